@@ -1,0 +1,52 @@
+"""Left joins whose null keys match nothing and do not pile up in one task."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def any_null(keys: Sequence[str]) -> Column:
+    """True where one of the keys is null."""
+    result = F.col(keys[0]).isNull()
+    for key in keys[1:]:
+        result = result | F.col(key).isNull()
+    return result
+
+
+def scatter(keys: Sequence[str], by: Sequence[str], parts: int = 1 << 20) -> Column:
+    """0 for complete keys; for keys with a null a number from 1 on, spread by the other columns."""
+    spread = F.pmod(F.xxhash64(*[F.col(name) for name in by]), F.lit(parts)) + 1
+    return F.when(any_null(keys), spread).otherwise(F.lit(0).cast("bigint"))
+
+
+def left_join_complete(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` joined to ``right`` on ``keys``, as SQL's LEFT JOIN does it.
+
+    ``right`` holds each key once. Rows of ``left`` with a null key match nothing, but a plain
+    join would still send all of them to one task; here they spread over all tasks. A hot key that
+    is not null is split by the adaptive skew join.
+    """
+
+    def filled(key: str) -> Column:
+        return F.coalesce(F.col(key).cast("string"), F.lit(""))
+
+    names = [f"_join_{i}" for i in range(len(keys))]
+    tagged_left = left.withColumns(
+        {
+            **{name: filled(key) for name, key in zip(names, keys)},
+            "_join_null": scatter(keys, left.columns),
+        }
+    )
+    # -1 matches no row of the left side. A filter on the keys would say the same, but it would be
+    # pushed down and keep Spark from reusing a shuffle both sides share.
+    tagged_right = right.withColumns(
+        {
+            **{name: filled(key) for name, key in zip(names, keys)},
+            "_join_null": F.when(any_null(keys), F.lit(-1)).otherwise(F.lit(0)).cast("bigint"),
+        }
+    ).drop(*keys)
+    joined = tagged_left.join(tagged_right, [*names, "_join_null"], "left")
+    return joined.drop(*names, "_join_null")
