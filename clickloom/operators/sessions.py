@@ -1,7 +1,8 @@
 """Time between the events of a session.
 
-A session may hold any share of all events, so no step sorts a whole session in one task. The
-previous moment is looked up level by level: inside one time slice, then among the slices.
+An ordinary session is sorted in one task. A hot session, which may hold any share of all events,
+never is: there the previous moment is looked up level by level, first inside one time slice, then
+among the slices.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.operators.skew import HOT_ROWS, split_hot
+
 HOUR = 3600
 
 
@@ -58,18 +61,38 @@ def previous_moment(
     )
 
 
+def seconds_in_session(session: str, event_time: str, then_by: Sequence[str]) -> Column:
+    """Whole seconds since the previous event of the session, 0 for the first one."""
+    order = Window.partitionBy(session).orderBy(event_time, *then_by)
+    second = F.unix_timestamp(F.col(event_time))
+    return F.coalesce(second - F.unix_timestamp(F.lag(event_time).over(order)), F.lit(0))
+
+
 def time_spent(
     events: DataFrame,
     event_id: str,
     session: str = "user_session",
     event_time: str = "event_time",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``prev_event_time`` and ``time_spent`` to every event.
 
     Events of a session are ordered by time, then by ``event_id``, which is unique. The time spent
     is the difference of the whole seconds and belongs to the later event; the first event of a
-    session has no previous time and spends 0.
+    session has no previous time and spends 0. Sessions of ``hot_rows`` events and more are found
+    first and spread over many tasks.
     """
+    cold, hot = split_hot(events, session, hot_rows)
+    order = Window.partitionBy(session).orderBy(event_time, event_id)
+    previous = cold.withColumn("prev_event_time", F.lag(event_time).over(order))
+    if hot is not None:
+        previous = previous.unionByName(_previous_in_hot_sessions(hot, event_id, session, event_time))
+    spent = F.unix_timestamp(F.col(event_time)) - F.unix_timestamp("prev_event_time")
+    return previous.withColumn("time_spent", F.coalesce(spent, F.lit(0)).cast("double"))
+
+
+def _previous_in_hot_sessions(events: DataFrame, event_id: str, session: str, event_time: str) -> DataFrame:
+    """Add ``prev_event_time`` without sorting a session in one task."""
     keyed = events.withColumns({**session_key(session), "_micros": F.unix_micros(F.col(event_time))})
     # One row per distinct time; among events at the same time only the first looks further back.
     times = (
@@ -82,12 +105,8 @@ def time_spent(
     lookup = looked_up.select(*SESSION_KEY, "_micros", "_first", "_before")
     joined = keyed.join(lookup, [*SESSION_KEY, "_micros"], "left")
     before = F.when(F.col(event_id) == F.col("_first"), F.col("_before")).otherwise(F.col("_micros"))
-    previous = F.timestamp_micros(before)
-    spent = F.unix_timestamp(F.col(event_time)) - F.unix_timestamp(previous)
     return joined.select(
-        *[F.col(f"`{name}`") for name in events.columns],
-        previous.alias("prev_event_time"),
-        F.coalesce(spent, F.lit(0)).cast("double").alias("time_spent"),
+        *[F.col(f"`{name}`") for name in events.columns], F.timestamp_micros(before).alias("prev_event_time")
     )
 
 

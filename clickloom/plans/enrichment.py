@@ -15,18 +15,12 @@ BROADCAST_BYTES = 256 << 20
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether ``df`` is small enough to be sent to every executor.
-
-    Counts at most ``max_rows + 1`` rows and the bytes of their values.
-    """
+    """Whether ``df`` is small enough to be sent to every executor: its rows and bytes are counted."""
     size = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         text = F.octet_length(F.col(f"`{field.name}`").cast("string"))
         size = size + F.coalesce(text, F.lit(0)) + 8
-    measured = df.select(size.alias("size")).limit(max_rows + 1).agg(
-        F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")
-    )
-    row = measured.first()
+    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
     return row["n"] <= max_rows and row["bytes"] <= max_bytes
 
 

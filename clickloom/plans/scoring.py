@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.scalars import indicator, parse_event_time, share
 from clickloom.operators.aggregates import EVENT_TYPES, PRODUCT_COUNTS, SESSION_COUNTS
 from clickloom.operators.keys import left_join_complete, scatter
-from clickloom.operators.sessions import credited_seconds
+from clickloom.operators.sessions import credited_seconds, seconds_in_session
+from clickloom.operators.skew import HOT_ROWS, split_hot
 
 
 # The weights of the four shares; they add up to 1.
@@ -27,84 +28,130 @@ INTERACTION = ["user_session", "product_id", "user_id"]
 NAMED_INTERACTION = [*INTERACTION, "name"]
 
 
-def _with_time(events: DataFrame) -> DataFrame:
+def _prepared(events: DataFrame, tie_breakers: Sequence[str]) -> DataFrame:
+    """Only the columns needed, with the event time as a timestamp."""
+    columns = dict.fromkeys([*NAMED_INTERACTION, "event_type", "event_time", *tie_breakers])
     kind = events.schema["event_time"].dataType.typeName()
     time = parse_event_time("event_time") if kind == "string" else F.col("event_time").cast("timestamp")
-    return events.withColumn("event_time", time)
+    return events.select(*columns).withColumn("event_time", time)
 
 
-def interaction_features(
-    events: DataFrame,
-    event_types: Mapping[str, str] = EVENT_TYPES,
-    tie_breakers: Sequence[str] = (),
+def _flags(event_types: Mapping[str, str]) -> list[Column]:
+    return [
+        indicator("event_type", event_types[kind]).cast("bigint").alias(name)
+        for kind, name in PRODUCT_COUNTS.items()
+    ]
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    measures = [*PRODUCT_COUNTS.values(), "time_spent"]
+    return parts.groupBy(*NAMED_INTERACTION).agg(*[F.sum(name).alias(name) for name in measures])
+
+
+def _features_of_sessions(events: DataFrame, event_types: Mapping[str, str], ties: Sequence[str]) -> DataFrame:
+    """Counts and seconds where a session fits one task: one shuffle by session does it all."""
+    seconds = seconds_in_session("user_session", "event_time", [*ties, "product_id", "user_id"])
+    return _summed(events.select(*NAMED_INTERACTION, *_flags(event_types), seconds.alias("time_spent")))
+
+
+def _features_of_hot_sessions(
+    events: DataFrame, event_types: Mapping[str, str], ties: Sequence[str]
 ) -> DataFrame:
-    """Counts and seconds spent per session, product, user and product name.
+    """The same where a session does not fit one task.
 
     Events and seconds go through one aggregation that combines on the map side, so the rows of a
-    hot session shrink to its distinct interactions before they are shuffled.
+    session shrink to its distinct interactions before they are shuffled, by all four keys.
     """
-    timed = _with_time(events.select(*dict.fromkeys([*NAMED_INTERACTION, "event_type", "event_time", *tie_breakers])))
-    counted = timed.select(
-        *NAMED_INTERACTION,
-        *[indicator("event_type", event_types[kind]).cast("bigint").alias(name) for kind, name in PRODUCT_COUNTS.items()],
-        F.lit(0).cast("bigint").alias("time_spent"),
-    )
-    seconds = credited_seconds(timed, "user_session", "event_time", NAMED_INTERACTION, tie_breakers).select(
+    counted = events.select(*NAMED_INTERACTION, *_flags(event_types), F.lit(0).cast("bigint").alias("time_spent"))
+    carried = [*NAMED_INTERACTION]
+    seconds = credited_seconds(events, "user_session", "event_time", carried, [*ties, "product_id", "user_id"])
+    zeros = [F.lit(0).cast("bigint").alias(name) for name in PRODUCT_COUNTS.values()]
+    return _summed(counted.unionByName(seconds.select(*NAMED_INTERACTION, *zeros, "time_spent")))
+
+
+def _shares(features: DataFrame) -> DataFrame:
+    """F1 to F4 from counts, seconds and the sums of the session.
+
+    An interaction without session has no shares, one without product or user no time share.
+    """
+    session = F.col("user_session").isNotNull()
+    complete = session & F.col("product_id").isNotNull() & F.col("user_id").isNotNull()
+
+    def guarded(known: Column, part: str, total: str) -> Column:
+        return F.when(known, share(part, total)).otherwise(F.lit(0.0))
+
+    return features.select(
         *NAMED_INTERACTION,
-        *[F.lit(0).cast("bigint").alias(name) for name in PRODUCT_COUNTS.values()],
-        "time_spent",
-    )
-    return (
-        counted.unionByName(seconds)
-        .groupBy(*NAMED_INTERACTION)
-        .agg(
-            *[F.sum(name).alias(name) for name in PRODUCT_COUNTS.values()],
-            F.sum("time_spent").alias("time_spent"),
-        )
+        guarded(session, "product_views", "total_views").alias("F1"),
+        guarded(session, "product_carts", "total_carts").alias("F2"),
+        guarded(session, "product_purchases", "total_purchases").alias("F3"),
+        guarded(complete, "product_time_spent", "total_time_spent").alias("F4"),
     )
 
 
-def session_sums(features: DataFrame) -> DataFrame:
-    """Counts and seconds per session."""
-    return features.groupBy("user_session").agg(
-        *[F.sum(PRODUCT_COUNTS[kind]).alias(name) for kind, name in SESSION_COUNTS.items()],
-        F.sum("time_spent").alias("total_time_spent"),
-    )
+_TOTALS = {**{PRODUCT_COUNTS[kind]: name for kind, name in SESSION_COUNTS.items()}, "time_spent": "total_time_spent"}
+
+
+def _shares_of_sessions(features: DataFrame) -> DataFrame:
+    """Shares where a session fits one task: windows on the shuffle that is there already."""
+    interaction, session = Window.partitionBy(*INTERACTION), Window.partitionBy("user_session")
+    summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
+    return _shares(summed.withColumns({name: F.sum(part).over(session) for part, name in _TOTALS.items()}))
+
+
+def _shares_of_hot_sessions(features: DataFrame) -> DataFrame:
+    """The same where a session does not fit one task: its sums are joined.
+
+    Names of one interaction are few. Interactions with a null key have no time share, so they need
+    no sum and are scattered.
+    """
+    interaction = Window.partitionBy(*INTERACTION, scatter(INTERACTION, ["name"]))
+    summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
+    totals = features.groupBy("user_session").agg(*[F.sum(part).alias(name) for part, name in _TOTALS.items()])
+    return _shares(left_join_complete(summed, totals, ["user_session"]))
+
+
+def interaction_features(
+    events: DataFrame,
+    event_types: Mapping[str, str] = EVENT_TYPES,
+    tie_breakers: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Counts and seconds spent per session, product, user and product name.
+
+    ``tie_breakers`` order events of one session at the same time. Sessions of ``hot_rows`` events
+    and more are found first and spread over many tasks.
+    """
+    cold, hot = split_hot(_prepared(events, tie_breakers), "user_session", hot_rows)
+    features = _features_of_sessions(cold, event_types, tie_breakers)
+    return features if hot is None else features.unionByName(_features_of_hot_sessions(hot, event_types, tie_breakers))
 
 
 def product_time(features: DataFrame) -> DataFrame:
     """Seconds per session, product and user."""
-    return features.groupBy(*INTERACTION).agg(
-        F.sum("time_spent").cast("double").alias("product_time_spent")
-    )
+    return features.groupBy(*INTERACTION).agg(F.sum("time_spent").cast("double").alias("product_time_spent"))
 
 
 def session_time(features: DataFrame) -> DataFrame:
     """Seconds per session."""
-    return features.groupBy("user_session").agg(
-        F.sum("time_spent").cast("double").alias("total_time_spent")
-    )
+    return features.groupBy("user_session").agg(F.sum("time_spent").cast("double").alias("total_time_spent"))
 
 
-def interaction_shares(features: DataFrame) -> DataFrame:
-    """The shares F1 to F4 of each interaction in its session.
+def interaction_shares(
+    events: DataFrame,
+    event_types: Mapping[str, str] = EVENT_TYPES,
+    tie_breakers: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """The shares F1 to F4 (views, carts, purchases, time) of each interaction in its session.
 
-    A product with two names in one interaction has the time of both under each name. An
-    interaction without session has no shares, one without product or user no time share.
+    A product with two names in one interaction has the time of both under each name.
     """
-    # Names of one interaction are few. Interactions with a null key have no time share, so they
-    # need no sum and are scattered.
-    names = Window.partitionBy(*INTERACTION, scatter(INTERACTION, ["name"]))
-    with_time = features.withColumn("product_time_spent", F.sum("time_spent").over(names))
-    joined = left_join_complete(with_time, session_sums(features), ["user_session"])
-    complete = F.col("product_id").isNotNull() & F.col("user_id").isNotNull()
-    return joined.select(
-        *NAMED_INTERACTION,
-        share("product_views", "total_views").alias("F1"),
-        share("product_carts", "total_carts").alias("F2"),
-        share("product_purchases", "total_purchases").alias("F3"),
-        F.when(complete, share("product_time_spent", "total_time_spent")).otherwise(F.lit(0.0)).alias("F4"),
-    )
+    cold, hot = split_hot(_prepared(events, tie_breakers), "user_session", hot_rows)
+    shares = _shares_of_sessions(_features_of_sessions(cold, event_types, tie_breakers))
+    if hot is None:
+        return shares
+    return shares.unionByName(_shares_of_hot_sessions(_features_of_hot_sessions(hot, event_types, tie_breakers)))
 
 
 def interaction_scores(
@@ -113,13 +160,14 @@ def interaction_scores(
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
     with_session: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``user_id, product_id, name, score`` of every interaction.
 
-    ``event_time`` is a timestamp, or text in the message format. ``tie_breakers`` order events of
-    one session at the same time. ``with_session`` adds ``user_session`` in front.
+    ``event_time`` is a timestamp, or text in the message format. ``with_session`` adds
+    ``user_session`` in front.
     """
-    shares = interaction_shares(interaction_features(events, event_types, tie_breakers))
+    shares = interaction_shares(events, event_types, tie_breakers, hot_rows)
     score = (
         F.lit(weights.views) * F.col("F1")
         + F.lit(weights.carts) * F.col("F2")

@@ -68,9 +68,16 @@ def retrain_points(training: DataFrame, embedder: Embedder | None = None) -> Dat
     return labelled.select(*TRAINING_COLUMNS)
 
 
+# Words one training task takes; larger corpora get more tasks than the settings ask for.
+WORDS_PER_TASK = 50_000_000
+
+# Spark's Word2Vec holds the vocabulary on the driver, in arrays of at most 2^31 - 1 numbers.
+MAX_NUMBERS = 2**31 - 1
+
+
 @dataclass(frozen=True)
 class Word2VecSettings:
-    """``min_count`` and ``num_partitions`` as Spark's Word2Vec takes them."""
+    """As Spark's Word2Vec takes them; ``num_partitions`` is the least number of training tasks."""
 
     min_count: int = 0
     num_partitions: int = 1
@@ -90,26 +97,34 @@ def word_tokens(df: DataFrame, text: str, words: str = "_words") -> DataFrame:
     return filtered_tokens(df, text, words).withColumn(words, non_blank(words))
 
 
+def word_counts(tokens: DataFrame, words: str = "_words") -> DataFrame:
+    """``word, n`` of all words."""
+    return tokens.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
+
 def vocabulary(tokens: DataFrame, words: str = "_words", min_count: int = 0) -> DataFrame:
     """``word, n`` of the words that occur at least ``min_count`` times."""
-    counts = tokens.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") >= min_count)
+    return word_counts(tokens, words).filter(F.col("n") >= min_count)
 
 
 def fit_word2vec(tokens: DataFrame, settings: Word2VecSettings, words: str = "_words") -> Word2VecModel:
     """Word2Vec trained on every row.
 
-    Spark keeps the vocabulary and its vectors on the driver and allows at most 2^31 numbers in
-    them. A larger vocabulary fails here, before training, with advice.
+    The words are counted first. A corpus for more tasks than asked for gets them, and a vocabulary
+    too large for the driver fails before the training, with advice.
     """
-    limit = (2**31 - 1) // settings.vector_size
-    found = vocabulary(tokens, words, settings.min_count).limit(limit + 1).count()
-    if found > limit:
+    frequent = F.col("n") >= settings.min_count
+    size = word_counts(tokens, words).agg(
+        F.count_if(frequent).alias("vocabulary"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")
+    ).first()
+    limit = MAX_NUMBERS // settings.vector_size
+    if size["vocabulary"] > limit:
         raise ValueError(f"more than {limit} words occur {settings.min_count} times; raise min_count")
+    tasks = max(settings.num_partitions, -(-size["words"] // WORDS_PER_TASK))
     return Word2Vec(
         vectorSize=settings.vector_size,
         minCount=settings.min_count,
-        numPartitions=settings.num_partitions,
+        numPartitions=tasks,
         maxIter=settings.max_iterations,
         seed=settings.seed,
         inputCol=words,

@@ -183,8 +183,8 @@ SELECT strftime(l_shipdate, '%Y-%m-%d'), 'purchase', l_partkey::VARCHAR, NULL, l
        (SELECT count(*) FROM (SELECT DISTINCT product_id FROM b)) AS distinct_product_id""",
     "profile_events": _PROFILED,
     "distinct_documents": "SELECT DISTINCT text, lang, source FROM documents",
-    "except_rows": "SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer "
-    "EXCEPT SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 9000",
+    "except_rows": "SELECT c_custkey FROM customer "
+    "EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'",
     "union_by_name": "SELECT c_name AS name, c_nationkey::BIGINT AS nation, c_acctbal AS balance, "
     "c_mktsegment AS segment FROM customer "
     "UNION ALL SELECT s_name, s_nationkey::BIGINT, s_acctbal, NULL FROM supplier",
@@ -219,6 +219,12 @@ FROM events GROUP BY event_id % 4""",
     "filtered_tokens": f"SELECT doc_id, array_to_string({_kept('text')}, ' ') AS tokens FROM documents",
     "hash_embedding": _with(_embedded("documents", "doc_id", "text", _kept("text")))
     + "SELECT doc_id, " + _CELL + " FROM documents LEFT JOIN cells USING (doc_id)",
+    "model_embedding": f"""
+WITH letters AS (
+  SELECT p_partkey AS product_id, unnest(string_split(array_to_string({_kept('p_name')}, ' '), '')) AS letter FROM part
+)
+SELECT product_id, (unicode(letter) % 130)::BIGINT AS bucket, count(*)::DOUBLE AS weight FROM letters
+WHERE unicode(letter) % 130 < 128 GROUP BY ALL""",
     "name_vectors": _with(_B, _P, _ENRICHED, _NAME_CELLS)
     + f"""SELECT user_session, event_time, product_id::VARCHAR AS product_id, name, {_CELL}
 FROM (SELECT DISTINCT * FROM enriched) LEFT JOIN cells USING (name)""",

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from clickloom import schemas, session
 from clickloom.functions import scalars, text, vectors
-from clickloom.functions.embedders import HashingEmbedder
+from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
 from clickloom.operators import aggregates, rows, sessions
 from clickloom.plans import buyers, enrichment, retrain, scoring
 from clickloom.plans import vectors as vector_plans
@@ -72,7 +72,8 @@ def interaction_scores(spark, sf_dir):
 
 @query
 def interaction_shares(spark, sf_dir):
-    return scoring.interaction_shares(_features(spark, sf_dir)).select(
+    shares = scoring.interaction_shares(named_behaviors(spark, sf_dir), CLICK_TYPES, ["event_id"])
+    return shares.select(
         "user_session", "product_id", "user_id", "name", *[F.col(f).alias(f.lower()) for f in ("F1", "F2", "F3", "F4")]
     )
 
@@ -225,9 +226,9 @@ def distinct_documents(spark, sf_dir):
 
 @query
 def except_rows(spark, sf_dir):
-    everybody = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
-    rich = table(spark, sf_dir, "customer").filter("c_acctbal > 9000")
-    return rows.rows_except(everybody, rich.select(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")))
+    customers = table(spark, sf_dir, "customer").select("c_custkey")
+    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
+    return rows.rows_except(customers, urgent.select(F.col("o_custkey").alias("c_custkey")))
 
 
 _PARTY = T.StructType(
@@ -390,6 +391,28 @@ def hash_embedding_distinct(spark, sf_dir):
     return _weights(vector_plans.embed_distinct_names(documents, HashingEmbedder(), name="text"), ["doc_id"])
 
 
+def _letter_model():
+    """A stand-in for a sentence model: 130 numbers per text, its letters counted by code.
+
+    The functions are nested, so that they travel to the executors by value.
+    """
+
+    def counts(one):
+        numbers = [0.0] * 130
+        for letter in one:
+            numbers[ord(letter) % 130] += 1.0
+        return numbers
+
+    return lambda: lambda texts: [counts(one) for one in texts]
+
+
+@query
+def model_embedding(spark, sf_dir):
+    embedder = ModelEmbedder(_letter_model())
+    names = products(spark, sf_dir).select("product_id", "name")
+    return _weights(vector_plans.embed_names(names, embedder), ["product_id"])
+
+
 @query
 def name_vectors(spark, sf_dir):
     points = vector_plans.name_points(dataset(spark, sf_dir))
