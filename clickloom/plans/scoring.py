@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.scalars import indicator, parse_event_time, share
 from clickloom.operators.aggregates import EVENT_TYPES, PRODUCT_COUNTS, SESSION_COUNTS
-from clickloom.operators.keys import left_join_complete, scatter
 from clickloom.operators.sessions import credited_seconds, seconds_in_session
 from clickloom.operators.skew import HOT_ROWS, split_hot
 
@@ -63,8 +62,8 @@ def _features_of_hot_sessions(
     session shrink to its distinct interactions before they are shuffled, by all four keys.
     """
     counted = events.select(*NAMED_INTERACTION, *_flags(event_types), F.lit(0).cast("bigint").alias("time_spent"))
-    carried = [*NAMED_INTERACTION]
-    seconds = credited_seconds(events, "user_session", "event_time", carried, [*ties, "product_id", "user_id"])
+    order = [*ties, "product_id", "user_id"]
+    seconds = credited_seconds(events, "user_session", "event_time", NAMED_INTERACTION, order)
     zeros = [F.lit(0).cast("bigint").alias(name) for name in PRODUCT_COUNTS.values()]
     return _summed(counted.unionByName(seconds.select(*NAMED_INTERACTION, *zeros, "time_spent")))
 
@@ -102,13 +101,18 @@ def _shares_of_sessions(features: DataFrame) -> DataFrame:
 def _shares_of_hot_sessions(features: DataFrame) -> DataFrame:
     """The same where a session does not fit one task: its sums are joined.
 
-    Names of one interaction are few. Interactions with a null key have no time share, so they need
-    no sum and are scattered.
+    At most ``MOST_HOT_KEYS`` sessions are hot, so their sums are broadcast and the interactions
+    stay where they are. Names of one interaction are few; interactions with a null key have no time
+    share, so they need no sum and are scattered.
     """
-    interaction = Window.partitionBy(*INTERACTION, scatter(INTERACTION, ["name"]))
+    complete = F.col(INTERACTION[0]).isNotNull()
+    for key in INTERACTION[1:]:
+        complete = complete & F.col(key).isNotNull()
+    scattered = F.when(~complete, F.xxhash64("name", *INTERACTION))
+    interaction = Window.partitionBy(*INTERACTION, scattered)
     summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
     totals = features.groupBy("user_session").agg(*[F.sum(part).alias(name) for part, name in _TOTALS.items()])
-    return _shares(left_join_complete(summed, totals, ["user_session"]))
+    return _shares(summed.join(F.broadcast(totals), "user_session", "left"))
 
 
 def interaction_features(

@@ -42,13 +42,15 @@ def embed_distinct_names(
 ) -> DataFrame:
     """:func:`embed_names`, but the embedder sees each distinct name once.
 
-    Worth it for a costly model and repeated names. Equal names collapse before the shuffle; the
-    adaptive skew join splits the rows of a hot name when the vectors are joined back.
+    Worth it for a costly model and repeated names. Equal names collapse before the shuffle. The
+    vectors are joined back by a digest of the name: that shuffles both sides for the join, which
+    is what the adaptive skew join needs to split the rows of a hot name.
     """
-    key = f"_{vector}_key"
-    keyed = df.withColumn(key, F.coalesce(F.col(name), F.lit("")))
-    vectors = embed_names(keyed.select(key).distinct(), embedder, key, vector)
-    return keyed.join(vectors, key).drop(key)
+    text, digest = f"_{vector}_text", f"_{vector}_digest"
+    keyed = df.withColumn(digest, F.sha2(F.coalesce(F.col(name), F.lit("")), 256))
+    names = df.select(F.coalesce(F.col(name), F.lit("")).alias(text)).distinct()
+    vectors = embed_names(names, embedder, text, vector).select(F.sha2(text, 256).alias(digest), vector)
+    return keyed.join(vectors, digest).drop(digest)
 
 
 def name_points(dataset: DataFrame, embedder: Embedder | None = None) -> DataFrame:

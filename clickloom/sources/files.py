@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.schemas import CORRUPT, with_corrupt
+from clickloom.schemas import CORRUPT, quoted, with_corrupt
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
@@ -37,24 +37,24 @@ def read_csv_checked(
 ) -> DataFrame:
     """CSV by schema, plus ``_corrupt_record`` with the whole line where it does not fit.
 
-    Columns are not pruned inside the parser: it must see the whole line to judge it.
+    The parser judges only the columns it is asked for. The filter, which every row passes, asks for
+    all of them, so that a line is judged as a whole whatever is selected later.
     """
-    return (
+    df = (
         spark.read.option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
         .schema(with_corrupt(schema))
         .csv(path)
     )
+    smallest = -(2**63)
+    return df.filter(F.xxhash64(*[quoted(name) for name in schema.fieldNames()]) >= F.lit(smallest))
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows without the marker column, and the quarantined lines as ``_corrupt_record``."""
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # A raw CSV frame may not be reduced to the marker alone, so the other columns ride along.
-    bad = df.filter(F.col(CORRUPT).isNotNull())
-    return good, bad
+    """Good rows without the marker column, and the quarantined rows with it."""
+    corrupt = F.col(CORRUPT).isNotNull()
+    return df.filter(~corrupt).drop(CORRUPT), df.filter(corrupt)
 
 
 def write_csv(df: DataFrame, path: str, quoted: bool = False, single_file: bool = False) -> None:
