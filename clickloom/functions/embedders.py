@@ -39,9 +39,12 @@ class HashingEmbedder:
     def embed(self, df: DataFrame, words: str, vector: str) -> DataFrame:
         buckets, counts, unit = (f"_{vector}_{part}" for part in ("buckets", "counts", "unit"))
 
+        # If a few low digits decide the remainder, only they are converted.
+        digits = next((n for n in range(1, 8) if 16**n % self.dimension == 0), 8)
+
         def bucket(word):
-            prefix = F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint")
-            return (prefix % self.dimension).cast("string")
+            low = F.conv(F.substring(F.md5(word), 9 - digits, digits), 16, 10).cast("bigint")
+            return (low % self.dimension).cast("string")
 
         hashed = df.withColumn(buckets, F.transform(non_blank(words), bucket))
         # The bucket numbers are the whole vocabulary, so counting is one pass per row.

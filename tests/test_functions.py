@@ -66,16 +66,17 @@ def test_tokens_of_blanks_stop_words_and_null(spark):
     assert df.columns == ["id", "name"] and tokens.columns == ["id", "name", "words", "filtered_words"]
 
 
-def test_hashing_embedder_against_python(spark):
+@pytest.mark.parametrize("dimension", [128, 100])
+def test_hashing_embedder_against_python(spark, dimension):
     names = ["red ring", "red red bolt", "the", None, "", "a  b"]
     df = spark.createDataFrame(list(enumerate(names)), "id int, name string")
-    result = plans.embed_names(df, HashingEmbedder())
+    result = plans.embed_names(df, HashingEmbedder(dimension))
     assert result.columns == ["id", "name", "vector"] and result.schema["vector"].dataType.simpleString() == "array<float>"
     for row in result.collect():
-        counts = [0] * 128
+        counts = [0] * dimension
         for token in (row.name or "").split():
             if token not in ("the", "a"):
-                counts[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 128] += 1
+                counts[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dimension] += 1
         length = math.sqrt(sum(c * c for c in counts)) or 1
         assert row.vector == pytest.approx([c / length for c in counts], abs=1e-7)
 
