@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.scalars import category_code, plain_base64
 from clickloom.operators.rows import pick, rename, stack
+from clickloom.operators.skew import HOT_ROWS, hot_keys, is_hot
 from clickloom.schemas import CATALOGUE_COLUMNS, DATASET
 
 # A catalogue is broadcast up to these sizes; both are measured.
@@ -30,16 +31,38 @@ def product_dimension(products: DataFrame) -> DataFrame:
     return pruned.withColumn("category_code", category_code()).drop("category", "type")
 
 
-def enrich_events(events: DataFrame, products: DataFrame, broadcast: bool | None = None) -> DataFrame:
+def enrich_events(
+    events: DataFrame, products: DataFrame, broadcast: bool | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Events inner joined with their product, nine columns; the product's name wins.
 
-    ``broadcast=None`` leaves the strategy to Spark, ``True`` sends the catalogue to every executor
-    if its measured size allows. Otherwise the join shuffles, and the adaptive skew join splits the
-    events of a hot product.
+    ``broadcast=None`` leaves the strategy to Spark, whose adaptive skew join splits the events of a
+    hot product. ``True`` sends the catalogue to every executor if its measured size allows. Beyond
+    that size, or with ``False``, products of ``hot_rows`` events and more are found first; only
+    their catalogue rows are broadcast, and only the other events are shuffled.
     """
     dimension = product_dimension(products)
+    if broadcast is None:
+        return _with_product(events, dimension)
     if broadcast and fits_broadcast(dimension):
-        dimension = F.broadcast(dimension)
+        return _with_product(events, F.broadcast(dimension))
+    key = "product_id"
+    if events.schema[key].dataType != dimension.schema[key].dataType:
+        # Equal keys of different types have different hashes.
+        return _with_product(events, dimension)
+    events = events.filter(F.col(key).isNotNull())
+    hashes = hot_keys(events, key, hot_rows)
+    if not hashes:
+        return _with_product(events, dimension)
+    hot = is_hot(key, hashes)
+    hot_dimension = dimension.filter(hot)
+    if fits_broadcast(hot_dimension):
+        hot_dimension = F.broadcast(hot_dimension)
+    cold = _with_product(events.filter(~hot), dimension.filter(~hot))
+    return cold.unionByName(_with_product(events.filter(hot), hot_dimension))
+
+
+def _with_product(events: DataFrame, dimension: DataFrame) -> DataFrame:
     e, p = events.alias("e"), dimension.alias("p")
     return e.join(p, F.col("e.product_id") == F.col("p.product_id"), "inner").select(
         "e.user_id",

@@ -30,6 +30,14 @@ def builder(app_name: str, extra: dict[str, str] | None = None) -> SparkSession.
     return result
 
 
+def shuffle_partitions(shuffled_bytes: int, target: int = 128 << 20) -> int:
+    """``spark.sql.shuffle.partitions`` for a job that shuffles so much, 400 at least.
+
+    Adaptive execution merges partitions that turn out small, so a generous estimate does no harm.
+    """
+    return max(int(RECOMMENDED["spark.sql.shuffle.partitions"]), -(-shuffled_bytes // target))
+
+
 def object_store_conf(
     endpoint: str,
     access_key: str,

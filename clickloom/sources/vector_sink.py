@@ -5,10 +5,10 @@ from __future__ import annotations
 import importlib
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
-from itertools import islice
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from clickloom.functions.vectors import DIMENSION, METRIC, enforce_contract
 
@@ -61,7 +61,7 @@ class Written(WriterCommitMessage):
     points: int
 
 
-class PointWriter(DataSourceWriter):
+class PointWriter(DataSourceArrowWriter):
     """Sends the rows of each task to the store, a batch per request."""
 
     def __init__(self, options: Mapping[str, str], overwrite: bool) -> None:
@@ -79,17 +79,17 @@ class PointWriter(DataSourceWriter):
         module, _, factory = self.client.partition(":")
         return getattr(importlib.import_module(module), factory)(self.options)
 
-    def point(self, row: Row) -> tuple[object, list[float], dict[str, object]]:
-        payload = row.asDict(recursive=True)
-        vector = payload.pop(self.vector)
-        return payload.pop(self.id), vector, payload
+    def point(self, payload: dict[str, object]) -> tuple[object, list[float], dict[str, object]]:
+        return payload.pop(self.id), payload.pop(self.vector), payload
 
-    def write(self, iterator: Iterator[Row]) -> Written:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         client = self.connect()
         points = 0
-        while batch := [self.point(row) for row in islice(iterator, self.batch_size)]:
-            client.upsert(self.collection, batch)
-            points += len(batch)
+        for batch in iterator:
+            for start in range(0, batch.num_rows, self.batch_size):
+                request = [self.point(row) for row in batch.slice(start, self.batch_size).to_pylist()]
+                client.upsert(self.collection, request)
+                points += len(request)
         return Written(points)
 
     def commit(self, messages: list[Written | None]) -> None:

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickloom.functions.vectors import DIMENSION
+from clickloom.sources.vector_sink import write_points
+
 BatchSink = Callable[[DataFrame, int], None]
 
 BATCH = "batch_id"
@@ -27,6 +30,20 @@ def batch_folder(path: str, fmt: str = "parquet", options: Mapping[str, str] | N
     return write
 
 
+def point_connector(
+    fmt: str, options: Mapping[str, str], vector: str = "vector", dimension: int = DIMENSION
+) -> BatchSink:
+    """A sink that sends each batch of points to a store, which replaces points by their id.
+
+    A repeated batch sends the same ids again and so changes nothing.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_points(batch, fmt, options, "append", vector, dimension)
+
+    return write
+
+
 def read_batches(
     spark: SparkSession,
     path: str,

@@ -169,3 +169,8 @@ def test_shared_dir_lies_below_the_checkpoint_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = session.shared_dir(spark, "x"), session.shared_dir(spark, "x")
     assert first.startswith(root) and first != second
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    assert session.shuffle_partitions(1 << 30) == 400
+    assert session.shuffle_partitions(1 << 40) == 8192

@@ -84,6 +84,32 @@ def test_events_of_a_hot_product_are_split(spark, tmp_path, skew_settings):
     assert "skew=true" in plan_of(result)
 
 
+@pytest.mark.parametrize("types", ["string", "int"])
+def test_hot_products_are_broadcast_beyond_the_size_limit(spark, monkeypatch, types):
+    """A catalogue too large to broadcast: only the rows of hot products are."""
+    events = spark.range(0, 3000, 1, 4).select(
+        F.col("id").cast("int").alias("user_id"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50).cast(types).alias("product_id"),
+        F.lit("view").alias("event_type"),
+        F.timestamp_seconds("id").alias("event_time"),
+        F.lit("s").alias("user_session"),
+    )
+    products = spark.range(40).select(
+        F.col("id").cast("string").alias("product_id"),
+        F.concat(F.lit("n"), "id").alias("name"),
+        *[F.lit("x").alias(c) for c in ("brand", "category", "type")],
+        F.lit(1.0).alias("price"),
+    )
+    expected = rows_of(enrichment.enrich_events(events, products))
+    measured = enrichment.fits_broadcast
+    monkeypatch.setattr(enrichment, "fits_broadcast", lambda df: measured(df, max_rows=10))
+    result = enrichment.enrich_events(events, products, True, hot_rows=500)
+    assert rows_of(result) == expected
+    # Without a type in common there is no hash in common, and the join is a plain one.
+    assert ("Union" in plan_of(result)) == (types == "string")
+    assert "Union" not in plan_of(enrichment.enrich_events(events, products, False, hot_rows=5000))
+
+
 def test_catalogue_merge_casts_and_drops(spark):
     behaviors = spark.createDataFrame(
         [("s", "view", "2024-01-01", 1, "event name", "A"), ("s", "view", "2024-01-02", 2, "n", "X")],

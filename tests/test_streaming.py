@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas
 from clickloom.plans.enrichment import enrich_events
+from clickloom.sources import vector_sink
 from clickloom.sources.topics import stream_lines
 from clickloom.streaming import ingest, sinks, upsert
 from tests.conftest import plan_of, rows_of
@@ -116,6 +117,18 @@ def test_the_last_position_wins_inside_a_batch(spark, tmp_path):
     assert [r.name for r in sinks.read_points(spark, f"{tmp_path}/p", upsert.POINT).collect()] == ["v9"]
 
 
+def test_points_go_to_a_store_by_id(spark, tmp_path):
+    vector_sink.register(spark)
+    options = {"client": "file_store:connect", "url": str(tmp_path), "collection_name": "online"}
+    store = sinks.point_connector("client_points", options)
+    records = spark.createDataFrame([(event(i % 5),) for i in range(20)], "value string")
+    for _ in range(2):
+        upsert.upsert_batch(records, store, sinks.batch_folder(f"{tmp_path}/d"))
+    sent = [point for name in (tmp_path / "online").glob("*.json") for point in json.loads(name.read_text())]
+    assert len(sent) == 10 and len({point[0] for point in sent}) == 5
+    assert sent[0][2].keys() == {"user_session", "user_id", "product_id", "name", "event_type", "event_time"}
+
+
 def test_copies_of_a_point_are_cut_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("point_id"), F.col("id").alias("n"))
     plan = plan_of(sinks.latest_per(df, "point_id", ["n"]))
