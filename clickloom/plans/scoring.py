@@ -93,7 +93,10 @@ _TOTALS = {**{PRODUCT_COUNTS[kind]: name for kind, name in SESSION_COUNTS.items(
 
 def _shares_of_sessions(features: DataFrame) -> DataFrame:
     """Shares where a session fits one task: windows on the shuffle that is there already."""
-    interaction, session = Window.partitionBy(*INTERACTION), Window.partitionBy("user_session")
+    interaction = Window.partitionBy(*INTERACTION)
+    # The sums need no order, but in this one both windows share a single sort.
+    session = Window.partitionBy(INTERACTION[0]).orderBy(*INTERACTION[1:])
+    session = session.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
     return _shares(summed.withColumns({name: F.sum(part).over(session) for part, name in _TOTALS.items()}))
 

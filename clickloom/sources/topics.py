@@ -67,7 +67,10 @@ def tag_records(
 
     Records without a value are tombstones and are left out.
     """
-    alive = without_tombstones(records, value).withColumn("_data", parsed(value, schema))
+    # Exploding one struct makes it a column that filters read; a plain expression would be pushed
+    # into each filter and parse the text again there.
+    data = F.explode(F.array(parsed(value, schema))).alias("_data")
+    alive = without_tombstones(records, value).select("*", data)
     broken = F.col("_data").isNull() | F.col(f"_data.{CORRUPT}").isNotNull()
     return alive.withColumn("_broken", broken)
 

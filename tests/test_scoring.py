@@ -227,6 +227,7 @@ def test_ordinary_sessions_are_shuffled_once(spark, tmp_path):
     events = spark.read.parquet(str(tmp_path / "e"))
     plan = plan_of(scoring.interaction_scores(events, tie_breakers=["event_id"]))
     assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 2
     assert "Join" not in plan and "Python" not in plan
 
 
