@@ -209,7 +209,9 @@ FROM m WHERE event_id % 100 = 1""",
     "point_ids": _with(_B) + f"SELECT event_id, {_point_id()} AS point_id FROM b",
     "embed_text": _with(_B, _P)
     + """SELECT event_id, coalesce(name, '') || ' ' || coalesce(event_type, '') AS embed_text
-FROM b LEFT JOIN (SELECT * FROM p WHERE price < 902) USING (product_id)""",
+FROM b LEFT JOIN (
+  SELECT p_partkey AS product_id, CASE WHEN p_type <> 'ECONOMY' THEN p_name END AS name FROM part
+) USING (product_id)""",
     "topic_message_count": "SELECT sum(messages)::BIGINT AS messages FROM (SELECT max(event_id // 4) - min(event_id // 4) + 1 "
     "AS messages FROM events GROUP BY event_id % 4)",
     "topic_partition_counts": """SELECT event_id % 4 AS "partition", min(event_id // 4) AS earliest,

@@ -344,7 +344,9 @@ def point_ids(spark, sf_dir):
 
 @query
 def embed_text(spark, sf_dir):
-    events = behaviors(spark, sf_dir).join(products(spark, sf_dir).filter("price < 902"), "product_id", "left")
+    unnamed = F.when(F.col("category") != "ECONOMY", F.col("name")).alias("name")
+    names = products(spark, sf_dir).select("product_id", unnamed)
+    events = behaviors(spark, sf_dir).join(names, "product_id", "left")
     return events.select("event_id", scalars.event_text().alias("embed_text"))
 
 

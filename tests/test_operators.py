@@ -159,6 +159,14 @@ def test_set_operations_treat_nulls_as_equal(spark):
     assert rows_of(rows.rows_except(df, df.filter("a = 1"))) == [(2, "x")]
 
 
+def test_except_drops_copies_before_a_shuffled_join(spark, tmp_path, skew_settings):
+    spark.range(100).select((F.col("id") % 3).alias("a")).write.parquet(str(tmp_path / "l"))
+    df = spark.read.parquet(str(tmp_path / "l"))
+    plan = plan_of(rows.rows_except(df, df.filter("a = 1")))
+    left = plan.split("SortMergeJoin")[1].split(":- ")[1].split("\n   +- ")[0]
+    assert plan.count("SortMergeJoin") == 1 and "HashAggregate(keys=[a" in left
+
+
 def test_fill_touches_measures_only(spark):
     df = spark.createDataFrame([(None, None, 1)], "user_id int, n long, m long")
     assert tuple(rows.fill_measures(df, ["n", "m"]).first()) == (None, 0, 1)
