@@ -65,7 +65,7 @@ def name_points(dataset: DataFrame, embedder: Embedder | None = None) -> DataFra
 
 def retrain_points(training: DataFrame, embedder: Embedder | None = None) -> DataFrame:
     """Points for the trainer from the training extract, with the event time as UTC label."""
-    timed = training.withColumn("event_time", F.col("event_time").cast("timestamp"))
+    timed = training.withColumn("event_time", F.col("event_time").try_cast("timestamp"))
     labelled = embed_names(timed, embedder).withColumn("event_time", utc_label("event_time"))
     return labelled.select(*TRAINING_COLUMNS)
 
@@ -113,13 +113,15 @@ def fit_word2vec(tokens: DataFrame, settings: Word2VecSettings, words: str = "_w
     """Word2Vec trained on every row.
 
     The words are counted first. A corpus for more tasks than asked for gets them, and a vocabulary
-    too large for the driver fails before the training, with advice.
+    that is empty or too large for the driver fails before the training, with advice.
     """
     frequent = F.col("n") >= settings.min_count
     size = word_counts(tokens, words).agg(
         F.count_if(frequent).alias("vocabulary"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")
     ).first()
     limit = MAX_NUMBERS // settings.vector_size
+    if not size["vocabulary"]:
+        raise ValueError(f"no word occurs {settings.min_count} times; lower min_count")
     if size["vocabulary"] > limit:
         raise ValueError(f"more than {limit} words occur {settings.min_count} times; raise min_count")
     tasks = max(settings.num_partitions, -(-size["words"] // WORDS_PER_TASK))

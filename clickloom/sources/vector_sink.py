@@ -7,7 +7,8 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from clickloom.functions.vectors import DIMENSION, METRIC, enforce_contract
@@ -47,13 +48,16 @@ def write_points(
     mode: str = "append",
     vector: str = "vector",
     dimension: int = DIMENSION,
-) -> None:
-    """Write points whose vectors all keep the contract; the write fails otherwise.
+) -> int:
+    """Write points whose vectors all keep the contract, and return their number.
 
-    ``mode="overwrite"`` recreates the collection.
+    The write fails at a vector that breaks the contract. ``mode="overwrite"`` recreates the
+    collection. The points are counted as they pass, without another job.
     """
-    checked = enforce_contract(df, vector, dimension)
+    counted = Observation()
+    checked = enforce_contract(df, vector, dimension).observe(counted, F.count("*").alias("n"))
     checked.write.format(fmt).options(**(options or {})).mode(mode).save()
+    return counted.get["n"]
 
 
 @dataclass

@@ -278,3 +278,5 @@ points AS (
     + f"SELECT point_id, user_id, name, event_time, {_CELL} FROM points LEFT JOIN cells USING (point_id)",
 }
 ORACLE["hash_embedding_distinct"] = ORACLE["hash_embedding"]
+ORACLE["load_names"] = ORACLE["name_vectors"]
+ORACLE["load_retrain"] = ORACLE["retrain_vectors"]

@@ -13,7 +13,7 @@ from clickloom import schemas, session
 from clickloom.functions import scalars, text, vectors
 from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
 from clickloom.operators import aggregates, rows, sessions
-from clickloom.plans import buyers, enrichment, retrain, scoring
+from clickloom.plans import buyers, enrichment, loads, retrain, scoring
 from clickloom.plans import vectors as vector_plans
 from clickloom.sources import files, tables, topics, vector_sink
 from clickloom.streaming import ingest, sinks, upsert
@@ -563,9 +563,32 @@ def vector_sink_points(spark, sf_dir):
     return _weights(spark.read.parquet(path), ["vec_id", "label"])
 
 
+@query
+def load_names(spark, sf_dir):
+    """The dataset as a CSV file, checked, loaded twice into one collection, and read back."""
+    path, target = session.shared_dir(spark, "dataset"), session.shared_dir(spark, "points")
+    files.write_csv(dataset(spark, sf_dir), path)
+    good, _ = loads.read_dataset(spark, path)
+    collection = loads.Collection(options={"path": target})
+    loads.load_names(good, collection)
+    loads.load_names(good, collection)
+    return _weights(spark.read.parquet(target), ["user_session", "event_time", "product_id", "name"])
+
+
+@query
+def load_retrain(spark, sf_dir):
+    """The training extract as a CSV file, loaded, and read back."""
+    path, target = session.shared_dir(spark, "extract"), session.shared_dir(spark, "points")
+    files.write_csv(dataset(spark, sf_dir), path)
+    loads.load_retrain(spark, path, loads.Collection(options={"path": target}))
+    return _weights(spark.read.parquet(target), ["user_session", "event_time", "product_id", "category_code"])
+
+
 @query
 def retrain_event(spark, sf_dir):
-    event = retrain.retrain_event(table(spark, sf_dir, "embeddings"))
+    points = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    target = {"path": session.shared_dir(spark, "points")}
+    event = retrain.retrain_event(spark, vector_sink.write_points(points, "parquet", target, dimension=64))
     return event.select("event", "message", "n_points", (F.col("timestamp") > 0).alias("has_timestamp"))
 
 

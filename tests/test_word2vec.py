@@ -61,6 +61,11 @@ def test_too_large_a_vocabulary_fails_first(monkeypatch, names):
         plans.fit_word2vec(plans.word_tokens(names.select("name"), "name"), SMALL)
 
 
+def test_no_frequent_word_fails_first(names):
+    with pytest.raises(ValueError, match="lower min_count"):
+        plans.fit_word2vec(plans.word_tokens(names.select("name"), "name"), plans.Word2VecSettings(min_count=1000))
+
+
 def test_training_extract(spark):
     events = spark.range(40).select(
         F.col("id").cast("int").alias("user_id"),
