@@ -19,9 +19,13 @@ from clickloom.functions.vectors import DIMENSION, enforce_contract, float_array
 
 
 class Embedder(Protocol):
-    """Adds the vector of the tokens in column ``words`` as column ``vector``."""
+    """Adds the vector of the tokens in column ``words`` as column ``vector``.
+
+    A costly embedder is shown each distinct text once.
+    """
 
     dimension: int
+    costly: bool
 
     def embed(self, df: DataFrame, words: str, vector: str) -> DataFrame: ...
 
@@ -33,6 +37,8 @@ class HashingEmbedder:
     modulo the dimension; a text without tokens has the zero vector.
     """
 
+    costly = False
+
     def __init__(self, dimension: int = DIMENSION) -> None:
         self.dimension = dimension
 
@@ -62,6 +68,8 @@ class ModelEmbedder:
     their vectors. Vectors are cut to ``dimension``; a shorter one fails the job.
     """
 
+    costly = True
+
     def __init__(
         self,
         factory: Callable[[], Callable[[list[str]], Sequence[Sequence[float]]]],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
@@ -30,27 +31,43 @@ TRAINING_COLUMNS = [
 ]
 
 
-def embed_names(df: DataFrame, embedder: Embedder | None = None, name: str = "name", vector: str = "vector") -> DataFrame:
-    """Add the vector of the name's tokens without stop words."""
-    words = f"_{vector}_words"
-    tokens = filtered_tokens(df, name, words)
-    return (embedder or HashingEmbedder()).embed(tokens, words, vector).drop(words)
+def once_per_text(
+    df: DataFrame, text: str, vector: str, embed: Callable[[DataFrame, str, str], DataFrame]
+) -> DataFrame:
+    """Add the vector of ``text``, embedding each distinct text once; null counts as empty.
+
+    ``embed(frame, text, vector)`` adds the vectors to a frame of texts. Equal texts collapse before
+    the shuffle. The vectors are joined back by a digest of the text: that shuffles both sides for the
+    join, which is what the adaptive skew join needs to split the rows of a hot text.
+    """
+    column, digest = f"_{vector}_distinct", f"_{vector}_digest"
+    filled = F.coalesce(F.col(text), F.lit(""))
+    texts = df.select(filled.alias(column)).distinct()
+    vectors = embed(texts, column, vector).select(F.sha2(column, 256).alias(digest), vector)
+    return df.withColumn(digest, F.sha2(filled, 256)).join(vectors, digest).drop(digest)
 
 
-def embed_distinct_names(
-    df: DataFrame, embedder: Embedder, name: str = "name", vector: str = "vector"
+def embed_names(
+    df: DataFrame,
+    embedder: Embedder | None = None,
+    name: str = "name",
+    vector: str = "vector",
+    distinct: bool | None = None,
 ) -> DataFrame:
-    """:func:`embed_names`, but the embedder sees each distinct name once.
+    """Add the vector of the name's tokens without stop words.
 
-    Worth it for a costly model and repeated names. Equal names collapse before the shuffle. The
-    vectors are joined back by a digest of the name: that shuffles both sides for the join, which
-    is what the adaptive skew join needs to split the rows of a hot name.
+    ``distinct`` says whether each distinct name is embedded once, or each row; by default a costly
+    embedder gets distinct names.
     """
-    text, digest = f"_{vector}_text", f"_{vector}_digest"
-    keyed = df.withColumn(digest, F.sha2(F.coalesce(F.col(name), F.lit("")), 256))
-    names = df.select(F.coalesce(F.col(name), F.lit("")).alias(text)).distinct()
-    vectors = embed_names(names, embedder, text, vector).select(F.sha2(text, 256).alias(digest), vector)
-    return keyed.join(vectors, digest).drop(digest)
+    embedder = embedder or HashingEmbedder()
+
+    def embed(rows: DataFrame, text: str, out: str) -> DataFrame:
+        words = f"_{out}_words"
+        return embedder.embed(filtered_tokens(rows, text, words), words, out).drop(words)
+
+    if embedder.costly if distinct is None else distinct:
+        return once_per_text(df, name, vector, embed)
+    return embed(df, name, vector)
 
 
 def name_points(dataset: DataFrame, embedder: Embedder | None = None) -> DataFrame:

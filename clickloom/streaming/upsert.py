@@ -11,6 +11,7 @@ from clickloom.functions.embedders import Embedder, HashingEmbedder
 from clickloom.functions.scalars import event_text, point_id
 from clickloom.functions.text import tokenize
 from clickloom.operators.rows import persisted
+from clickloom.plans.vectors import once_per_text
 from clickloom.sources.topics import split_records, tag_records
 from clickloom.streaming.sinks import BatchSink, latest_per
 
@@ -43,9 +44,13 @@ def event_points(events: DataFrame, embedder: Embedder | None = None, order: lis
     """
     keyed = events.withColumn("point_id", point_id(*POINT_KEY))
     # Without a position, copies differ in the name at most.
-    unique = latest_per(keyed, "point_id", [*(order or []), "name"])
-    words = tokenize(unique.withColumn("_text", event_text()), "_text", "_words")
-    embedded = (embedder or HashingEmbedder()).embed(words, "_words", "vector")
+    unique = latest_per(keyed, "point_id", [*(order or []), "name"]).withColumn("_text", event_text())
+    embedder = embedder or HashingEmbedder()
+
+    def embed(rows: DataFrame, text: str, out: str) -> DataFrame:
+        return embedder.embed(tokenize(rows, text, "_words"), "_words", out).drop("_words")
+
+    embedded = once_per_text(unique, "_text", "vector", embed) if embedder.costly else embed(unique, "_text", "vector")
     return embedded.select(*POINT.fieldNames())
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from clickloom import schemas, session
 from clickloom.functions import scalars, text, vectors
-from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
+from clickloom.functions.embedders import ModelEmbedder
 from clickloom.operators import aggregates, rows, sessions
 from clickloom.plans import buyers, enrichment, loads, retrain, scoring
 from clickloom.plans import vectors as vector_plans
@@ -390,7 +390,7 @@ def hash_embedding(spark, sf_dir):
 @query
 def hash_embedding_distinct(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _weights(vector_plans.embed_distinct_names(documents, HashingEmbedder(), name="text"), ["doc_id"])
+    return _weights(vector_plans.embed_names(documents, name="text", distinct=True), ["doc_id"])
 
 
 def _letter_model():

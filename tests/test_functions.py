@@ -109,7 +109,7 @@ def test_model_embedder_fails_on_short_vectors(spark):
 
 def test_distinct_embedding_equals_plain_embedding(spark):
     df = spark.createDataFrame([(i, n) for i, n in enumerate(["a ring", "a ring", None, "", "bolt"])], "id int, name string")
-    plain, distinct = plans.embed_names(df), plans.embed_distinct_names(df, HashingEmbedder())
+    plain, distinct = plans.embed_names(df), plans.embed_names(df, distinct=True)
     assert rows_of(plain.select("id", "name", "vector")) == rows_of(distinct.select("id", "name", "vector"))
 
 
@@ -119,7 +119,7 @@ def test_a_hot_name_is_split_when_vectors_are_joined_back(spark, tmp_path, skew_
         F.when(F.col("id") % 3 == 0, "hot name").otherwise(F.concat(F.lit("n"), F.col("id"))).alias("name"),
         F.sha2(F.col("id").cast("string"), 256).alias("payload"),
     ).write.parquet(str(tmp_path / "n"))
-    result = plans.embed_distinct_names(spark.read.parquet(str(tmp_path / "n")), HashingEmbedder(4))
+    result = plans.embed_names(spark.read.parquet(str(tmp_path / "n")), HashingEmbedder(4), distinct=True)
     assert result.select("id").distinct().count() == 40000
     result.collect()
     assert "skew=true" in plan_of(result)
@@ -174,3 +174,23 @@ def test_shared_dir_lies_below_the_checkpoint_folder(spark):
 def test_shuffle_partitions_grow_with_the_data():
     assert session.shuffle_partitions(1 << 30) == 400
     assert session.shuffle_partitions(1 << 40) == 8192
+
+
+def test_a_model_sees_each_distinct_text_once(spark, tmp_path):
+    seen = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        def embed(texts):
+            for _ in texts:
+                open(os.path.join(seen, uuid.uuid4().hex), "w").close()
+            return [[1.0] * 128 for _ in texts]
+
+        return embed
+
+    df = spark.range(0, 300, 1, 4).select("id", (F.col("id") % 7).cast("string").alias("name"))
+    assert plans.embed_names(df, ModelEmbedder(load)).count() == 300
+    plans.embed_names(df, ModelEmbedder(load)).collect()
+    assert len(list(tmp_path.iterdir())) == 7
