@@ -136,6 +136,23 @@ def _point_id(time: str = f"strftime(ts, {_MICROS})") -> str:
     return f"sha256(concat_ws(chr(31), user_session, user_id::VARCHAR, {product}, event_type, {time}))"
 
 
+def _known(source: str, text: str, min_count: int) -> str:
+    """The distinct texts of ``source`` that hold a word of its vocabulary."""
+    return f"""
+words AS (SELECT {text} AS txt, unnest({_kept(text)}) AS word FROM {source}),
+known AS (
+  SELECT DISTINCT txt FROM words WHERE word IN (
+    SELECT word FROM words WHERE word <> '' GROUP BY word HAVING count(*) >= {min_count}
+  )
+)"""
+
+
+_COMBINED = """
+combined AS (
+  SELECT product_id::VARCHAR AS product_id, concat_ws(' ', user_id::VARCHAR, product_id::VARCHAR, name, brand,
+         category_code, price::VARCHAR, event_type, event_time, user_session) AS label FROM enriched
+)"""
+
 _PROFILED = " UNION ALL ".join(
     f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({name}) AS n_nulls, "
     f"min({name})::VARCHAR AS min_value, max({name})::VARCHAR AS max_value FROM events"
@@ -240,6 +257,13 @@ FROM (SELECT DISTINCT * FROM enriched) LEFT JOIN cells USING (name)""",
     "vocabulary": _with(_B, _P, _N)
     + f"""SELECT word, count(*) AS n FROM (SELECT unnest({_kept('name')}) AS word FROM n)
 WHERE word <> '' GROUP BY word HAVING count(*) >= 10""",
+    "word2vec_training_shape": _with(_B, _P, _ENRICHED, _known("enriched", "name", 10))
+    + """SELECT user_session, substr(event_time, 1, 19) || ' UTC' AS event_time, product_id, name, brand, category_code,
+       price, event_type, 128 AS dimension, name IN (SELECT txt FROM known) AS has_words FROM enriched""",
+    "word2vec_combined_shape": _with(_B, _P, _ENRICHED, _COMBINED, _known("combined", "label", 10))
+    + "SELECT product_id, 128 AS dimension, label IN (SELECT txt FROM known) AS has_words FROM combined",
+    "word2vec_behavior_shape": _with(_B, _P, _N, _known("n", "name", 0))
+    + "SELECT user_id, product_id, name, 128 AS dimension, name IN (SELECT txt FROM known) AS has_words FROM n",
     "csv_roundtrip": _PART,
     "csv_inferred": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice + 0.25::DOUBLE AS p_retailprice FROM part",
     "csv_quoted": f'SELECT p_partkey AS "productID", {_DESCRIPTION} AS new_description FROM part',

@@ -483,6 +483,29 @@ def word2vec_behavior(spark, sf_dir):
     return vector_plans.behavior_vectors(named_behaviors(spark, sf_dir))
 
 
+def _shape(df: DataFrame, keys: list[str]) -> DataFrame:
+    """What is certain about a Word2Vec vector: its length, and whether the text has a known word."""
+    return df.select(
+        *keys, F.size("vector").alias("dimension"), F.exists("vector", lambda x: x != 0).alias("has_words")
+    )
+
+
+@query
+def word2vec_training_shape(spark, sf_dir):
+    keys = ["user_session", "event_time", "product_id", "name", "brand", "category_code", "price", "event_type"]
+    return _shape(word2vec_training(spark, sf_dir), keys)
+
+
+@query
+def word2vec_combined_shape(spark, sf_dir):
+    return _shape(word2vec_combined(spark, sf_dir), ["product_id"])
+
+
+@query
+def word2vec_behavior_shape(spark, sf_dir):
+    return _shape(word2vec_behavior(spark, sf_dir), ["user_id", "product_id", "name"])
+
+
 # --- files, sinks and streams -------------------------------------------------------------------
 
 
