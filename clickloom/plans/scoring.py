@@ -115,7 +115,11 @@ def _shares_of_hot_sessions(features: DataFrame) -> DataFrame:
     interaction = Window.partitionBy(*INTERACTION, scattered)
     summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
     totals = features.groupBy("user_session").agg(*[F.sum(part).alias(name) for part, name in _TOTALS.items()])
-    return _shares(summed.join(F.broadcast(totals), "user_session", "left"))
+    # Null-safe, since a plain equality would put a filter on nulls below the sums, which would then
+    # no longer share the shuffle of the interactions.
+    same = F.col("i.user_session").eqNullSafe(F.col("t.user_session"))
+    joined = summed.alias("i").join(F.broadcast(totals).alias("t"), same, "left")
+    return _shares(joined.select("i.*", *_TOTALS.values()))
 
 
 def interaction_features(

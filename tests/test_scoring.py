@@ -246,8 +246,12 @@ def test_hot_sums_are_broadcast_and_no_hot_session_is_joined_by_shuffle(spark):
     events = spark.createDataFrame(random_events(11, 200), SCHEMA)
     shares = scoring._shares_of_hot_sessions(scoring._features_of_hot_sessions(events, scoring.EVENT_TYPES, []))
     plan = plan_of(shares)
-    assert "BroadcastHashJoin [user_session" in plan
-    assert "SortMergeJoin [user_session" not in plan
+    assert "BroadcastHashJoin [coalesce(user_session" in plan
+    assert "SortMergeJoin [user_session" not in plan and "SortMergeJoin [coalesce(user_session" not in plan
+    # The sums are made from the same shuffled interactions.
+    shares.collect()
+    final = plan_of(shares).split("== Initial Plan")[0]
+    assert "ReusedExchange [user_session" in final
 
 
 def test_copies_at_one_time_are_split(spark, tmp_path, skew_settings):

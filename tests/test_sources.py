@@ -122,6 +122,16 @@ def test_batch_read_and_write_of_a_topic_by_another_format(spark, tmp_path):
     assert topics.read_topic(spark, path, "text").first().value == "x"
 
 
+def test_a_stream_by_another_format(spark, tmp_path):
+    lines(tmp_path / "1.txt", "x", "y")
+    records = topics.stream_topic(spark, {"path": str(tmp_path), "maxFilesPerTrigger": "1"}, "text")
+    assert records.isStreaming and records.columns == ["value"]
+    seen = []
+    query = records.writeStream.foreachBatch(lambda batch, _: seen.extend(r.value for r in batch.collect()))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(seen) == ["x", "y"]
+
+
 def points(spark, n, dimension=4):
     return spark.range(0, n, 1, 3).select(
         F.concat(F.lit("id"), "id").alias("point_id"),
