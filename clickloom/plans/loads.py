@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.functions.embedders import Embedder
+from clickloom.functions.scalars import point_id
 from clickloom.functions.vectors import DIMENSION
 from clickloom.operators.aggregates import EVENT_TYPES
 from clickloom.plans import vectors
@@ -25,14 +26,22 @@ from clickloom.sources.vector_sink import write_points
 
 @dataclass(frozen=True)
 class Collection:
-    """A vector collection: a connector's format and options."""
+    """A vector collection: a connector's format and options.
+
+    ``with_ids`` adds a ``point_id`` made from the payload, for stores that do not give out ids of
+    their own. Points with the same payload then become one.
+    """
 
     fmt: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
     dimension: int = DIMENSION
+    with_ids: bool = False
 
     def load(self, points: DataFrame, recreate: bool) -> int:
         mode = "overwrite" if recreate else "append"
+        if self.with_ids:
+            payload = [name for name in points.columns if name != "vector"]
+            points = points.withColumn("point_id", point_id(*payload))
         return write_points(points, self.fmt, self.options, mode, dimension=self.dimension)
 
 

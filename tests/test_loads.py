@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.plans import loads, vectors
-from clickloom.schemas import DATASET
-from clickloom.sources import files
+from clickloom.schemas import DATASET, POINT, PRODUCT
+from clickloom.sources import files, vector_sink
 
 SMALL = vectors.Word2VecSettings(min_count=1, num_partitions=2)
 
@@ -38,6 +38,17 @@ def test_names_from_a_file_with_bad_lines(spark, tmp_path, target, dataset):
     assert [r._corrupt_record for r in bad.collect()] == ["too,short"]
     assert loads.load_names(good, target) == loads.load_names(good, target) == 3
     assert stored(spark, target).count() == 3
+    assert stored(spark, target).schema == POINT
+
+
+def test_names_to_a_store_without_ids_of_its_own(spark, tmp_path, dataset):
+    vector_sink.register(spark)
+    options = {"client": "file_store:connect", "url": str(tmp_path), "collection_name": "names"}
+    store = loads.Collection("client_points", options, with_ids=True)
+    assert loads.load_names(dataset, store) == loads.load_names(dataset, store) == 3
+    sent = [point for name in (tmp_path / "names").glob("*.json") for point in json.loads(name.read_text())]
+    assert len(sent) == 6 and len({point[0] for point in sent}) == 3
+    assert all(list(point[2]) == DATASET.fieldNames() for point in sent)
 
 
 def test_combined(spark, target, dataset):
@@ -47,10 +58,7 @@ def test_combined(spark, target, dataset):
 
 def test_training(spark, target, dataset):
     events = dataset.select("user_id", "product_id", "event_type", F.to_timestamp("event_time").alias("event_time"), "user_session")
-    products = spark.createDataFrame(
-        [("p1", "red ring", "b", "c", "t", 1.0)],
-        "product_id string, name string, brand string, category string, type string, price double",
-    )
+    products = spark.createDataFrame([("p1", "red ring", "b", "c", "t", 1.0)], PRODUCT)
     assert loads.load_training(events, products, target, SMALL) == 2
     assert stored(spark, target).columns == vectors.TRAINING_COLUMNS
 

@@ -9,11 +9,10 @@ from pyspark.sql import types as T
 from clickloom.operators import aggregates, rows
 from clickloom.plans import buyers, enrichment, retrain
 from clickloom.plans.vectors import name_points, retrain_points
-from clickloom.schemas import CATALOGUE_COLUMNS, DATASET
+from clickloom.schemas import CATALOGUE_COLUMNS, DATASET, PRODUCT
 from tests.conftest import plan_of, rows_of
 
 EVENTS = "user_id int, product_id string, event_type string, event_time timestamp, user_session string, name string"
-PRODUCTS = "product_id string, name string, brand string, category string, type string, price double"
 
 
 @pytest.fixture
@@ -35,7 +34,7 @@ def events(spark):
 def products(spark):
     return spark.createDataFrame(
         [("A", "ring", "b1", "c", "t", 1.0), ("B", "bolt", None, None, "t", 2.0), (None, "none", "b", "c", "t", 3.0)],
-        PRODUCTS,
+        PRODUCT,
     )
 
 

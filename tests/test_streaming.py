@@ -34,7 +34,7 @@ def drop(folder, name, *lines):
 def products(spark):
     return spark.createDataFrame(
         [(f"p{i}", f"product {i}", "b", "c", "t", float(i)) for i in range(3)],
-        "product_id string, name string, brand string, category string, type string, price double",
+        schemas.PRODUCT,
     )
 
 
