@@ -82,6 +82,8 @@ def time_spent(
     session has no previous time and spends 0. Sessions of ``hot_rows`` events and more are found
     first and spread over many tasks.
     """
+    if events.schema[event_time].dataType.typeName() == "timestamp_ntz":
+        events = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
     cold, hot = split_hot(events, session, hot_rows)
     order = Window.partitionBy(session).orderBy(event_time, event_id)
     previous = cold.withColumn("prev_event_time", F.lag(event_time).over(order))

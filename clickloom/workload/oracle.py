@@ -304,3 +304,6 @@ points AS (
 ORACLE["hash_embedding_distinct"] = ORACLE["hash_embedding"]
 ORACLE["load_names"] = ORACLE["name_vectors"]
 ORACLE["load_retrain"] = ORACLE["retrain_vectors"]
+ORACLE["interaction_scores_hot_sessions"] = ORACLE["interaction_scores"]
+ORACLE["time_spent_hot_sessions"] = ORACLE["time_spent"]
+ORACLE["enriched_events_hot_products"] = ORACLE["enriched_events"]

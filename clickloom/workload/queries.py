@@ -70,6 +70,15 @@ def interaction_scores(spark, sf_dir):
     return scoring.interaction_scores(events, event_types=CLICK_TYPES, tie_breakers=["event_id"], with_session=True)
 
 
+@query
+def interaction_scores_hot_sessions(spark, sf_dir):
+    """The same with sessions of six events and more going the way of hot ones."""
+    events = named_behaviors(spark, sf_dir)
+    return scoring.interaction_scores(
+        events, event_types=CLICK_TYPES, tie_breakers=["event_id"], with_session=True, hot_rows=6
+    )
+
+
 @query
 def interaction_shares(spark, sf_dir):
     shares = scoring.interaction_shares(named_behaviors(spark, sf_dir), CLICK_TYPES, ["event_id"])
@@ -103,6 +112,14 @@ def time_spent(spark, sf_dir):
     )
 
 
+@query
+def time_spent_hot_sessions(spark, sf_dir):
+    """The same with sessions of six events and more going the way of hot ones."""
+    return sessions.time_spent(behaviors(spark, sf_dir), "event_id", hot_rows=6).select(
+        "event_id", micros_text("prev_event_time").alias("prev_event_time"), "time_spent"
+    )
+
+
 @query
 def product_time(spark, sf_dir):
     return scoring.product_time(_features(spark, sf_dir))
@@ -130,6 +147,13 @@ def enriched_events_broadcast(spark, sf_dir):
     return _readable(enrichment.enrich_events(behaviors(spark, sf_dir), products(spark, sf_dir), broadcast=True))
 
 
+@query
+def enriched_events_hot_products(spark, sf_dir):
+    """Shuffled, with products of a hundred events and more broadcast as hot ones."""
+    enriched = enrichment.enrich_events(behaviors(spark, sf_dir), products(spark, sf_dir), False, hot_rows=100)
+    return _readable(enriched)
+
+
 @query
 def category_codes(spark, sf_dir):
     return enrichment.product_dimension(products(spark, sf_dir)).select("product_id", "category_code")

@@ -184,6 +184,13 @@ def test_time_spent_against_brute_force(spark, hot_rows):
     assert found == expected_times(rows)
 
 
+def test_time_spent_without_time_zone(spark):
+    events = spark.createDataFrame(random_events(3, 100), SCHEMA)
+    local = events.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    for hot_rows in (1, 10**9):
+        assert rows_of(time_spent(local, "event_id", hot_rows=hot_rows)) == rows_of(time_spent(events, "event_id"))
+
+
 def test_only_large_sessions_are_hot(spark):
     events = spark.createDataFrame(random_events(4, 400), SCHEMA)
     hot = hot_keys(events, "user_session", 100)
