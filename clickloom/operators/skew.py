@@ -31,7 +31,11 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[int]:
 
 def is_hot(key: str, hashes: Sequence[int]) -> Column:
     """Whether a row's key is among the hot ones."""
-    return F.xxhash64(key).isin(list(hashes))
+    if not hashes:
+        return F.lit(False)
+    # One expression text; thousands of literal columns would take seconds to make.
+    name = key.replace("`", "``")
+    return F.expr(f"xxhash64(`{name}`) IN ({', '.join(f'{value}L' for value in hashes)})")
 
 
 def split_hot(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.vectors import DIMENSION
+from clickloom.sources.tables import write_table
 from clickloom.sources.vector_sink import write_points
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -30,6 +31,18 @@ def batch_folder(path: str, fmt: str = "parquet", options: Mapping[str, str] | N
     return write
 
 
+def table_connector(fmt: str, options: Mapping[str, str]) -> BatchSink:
+    """A sink that appends each batch by a connector, such as a document collection.
+
+    A repeated batch is appended again, unless the store replaces rows by a key.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_table(batch, fmt, options, "append")
+
+    return write
+
+
 def point_connector(
     fmt: str, options: Mapping[str, str], vector: str = "vector", dimension: int = DIMENSION
 ) -> BatchSink:

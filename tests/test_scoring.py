@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators.aggregates import session_product_counts, session_totals
 from clickloom.operators.sessions import time_spent
-from clickloom.operators.skew import hot_keys
+from clickloom.operators.skew import hot_keys, is_hot
 from clickloom.plans import scoring
 from tests.conftest import plan_of, rows_of
 
@@ -272,3 +272,10 @@ def test_copies_at_one_time_are_split(spark, tmp_path, skew_settings):
     result = time_spent(spark.read.parquet(str(tmp_path / "e")), "event_id", hot_rows=1)
     assert len(result.collect()) == 60000
     assert "skew=true" in plan_of(result)
+
+
+def test_extreme_hashes(spark):
+    hashes = [-(2**63), 2**63 - 1, spark.range(1).select(F.xxhash64(F.lit(5).cast("bigint"))).first()[0]]
+    found = spark.range(10).filter(is_hot("id", hashes)).collect()
+    assert [r.id for r in found] == [5]
+    assert spark.range(10).filter(is_hot("id", [])).count() == 0

@@ -79,6 +79,15 @@ def test_a_repeated_batch_counts_once(spark, tmp_path, products):
     assert raw(spark, tmp_path).count() == 2
 
 
+def test_raw_events_go_to_a_table_by_connector(spark, tmp_path, products):
+    drop(tmp_path / "in", "1.json", event(1), event(2))
+    path = {"path": str(tmp_path / "raw")}
+    folders = ingest.folder_sinks(str(tmp_path / "out"))
+    target = ingest.IngestSinks(sinks.table_connector("json", path), folders.enriched, folders.dead)
+    ingest.ingest_batch(spark.read.text(str(tmp_path / "in")), products, target)
+    assert sorted(r.user_id for r in spark.read.json(path["path"]).collect()) == [1, 2]
+
+
 def run_upsert(spark, root, per_trigger=1):
     lines = stream_lines(spark, str(root / "in"), per_trigger)
     points, dead = sinks.batch_folder(f"{root}/points"), sinks.batch_folder(f"{root}/dead")
