@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import packing, records, sharding
+from clickloom.llm import packing, records, sharding, substrings
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the windows of 13 words that earlier documents have."""
+    kept = substrings.remove_repeated(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return kept.select(F.col("key").alias("doc_id"), "n_words", "n_removed", digest)
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as framed records, written and read back."""
     documents = table(spark, sf_dir, "documents")
@@ -52,9 +59,32 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_substring_dedup": op5_substring_dedup,
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stratified_shards": op10_stratified_shards,
 }
 
-ORACLE: dict[str, str] = {}
+# Words as in the operator: no ASCII white space inside.
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE: dict[str, str] = {
+    "op5_substring_dedup": f"""
+        WITH split AS (SELECT doc_id, {WORDS} AS words FROM documents),
+        windows AS (
+            SELECT doc_id, place, list_slice(words, place, place + 12) AS part
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS place FROM split)
+        ),
+        firsts AS (SELECT part, min(doc_id) AS first_id FROM windows GROUP BY part HAVING count(*) > 1),
+        lost AS (
+            SELECT DISTINCT doc_id, unnest(range(place, place + 13)) AS place
+            FROM windows JOIN firsts USING (part) WHERE first_id < doc_id
+        ),
+        gone AS (SELECT doc_id, list(place) AS places, count(*) AS n FROM lost GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed,
+            sha256(coalesce(array_to_string(
+                CASE WHEN n IS NULL THEN words
+                ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
+        FROM split LEFT JOIN gone USING (doc_id)
+    """,
+}
