@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import packing, records, sharding, substrings
+from clickloom.llm import packing, records, sharding, substrings, warc
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records, written and read back by byte ranges."""
+    folder = shared_dir(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    found = warc.read_warc(spark, folder, payloads=False).filter(F.col("record_type").isin("response", "revisit"))
+    row = lambda name: F.regexp_extract(name, "^<urn:row:(-?[0-9]+)>$", 1).try_cast("long")
+    return found.select(
+        row("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", row("refers_to").alias("refers_to")
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 13 words that earlier documents have."""
     kept = substrings.remove_repeated(table(spark, sf_dir, "documents"))
@@ -59,6 +70,7 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
@@ -69,6 +81,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
+            FROM pages
+        ),
+        tops AS (SELECT html, max(page_id) AS top FROM sized WHERE payload_bytes >= 1000 GROUP BY html)
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+            CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id < top THEN top END AS refers_to
+        FROM sized LEFT JOIN tops USING (html)
+    """,
     "op5_substring_dedup": f"""
         WITH split AS (SELECT doc_id, {WORDS} AS words FROM documents),
         windows AS (
