@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import packing, records, sharding, substrings, warc
+from clickloom.llm import packing, records, sharding, substrings, toxicity, warc
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,6 +32,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their toxicity."""
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(documents, model, keep=["doc_id"])
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 13 words that earlier documents have."""
     kept = substrings.remove_repeated(table(spark, sf_dir, "documents"))
@@ -71,6 +80,7 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_toxicity": op2_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
