@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import packing, records, sharding, substrings, toxicity, warc
+from clickloom.llm import jaccard, packing, records, sharding, substrings, toxicity, warc
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -41,6 +41,12 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their group of near copies and their number of links."""
+    linked = jaccard.linked_documents(jaccard.similarity_join(table(spark, sf_dir, "documents")))
+    return linked.select(F.col("key").alias("doc_id"), F.col("group").alias("class_id"), F.col("links").alias("n_links"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 13 words that earlier documents have."""
     kept = substrings.remove_repeated(table(spark, sf_dir, "documents"))
@@ -81,6 +87,7 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
+    "op3_jaccard_join": op3_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
@@ -90,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Words as in the operator: no ASCII white space inside.
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+# Words of shingles: ASCII letters, digits and characters beyond ASCII, in lower case.
+SHINGLE_WORD = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
+
 ORACLE: dict[str, str] = {
     "op1_warc": """
         WITH sized AS (
@@ -102,6 +112,30 @@ ORACLE: dict[str, str] = {
             CASE WHEN page_id < top THEN top END AS refers_to
         FROM sized LEFT JOIN tops USING (html)
     """,
+    "op3_jaccard_join": f"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '{SHINGLE_WORD}') AS words FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, list_slice(words, place, place + 4) AS part FROM (
+                SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 3))) AS place FROM split WHERE len(words) > 0
+            )
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.part = y.part AND x.doc_id <> y.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE s.n * 5 >= (x.n + y.n - s.n) * 4
+        ),
+        reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+        lowest AS (SELECT a, min(b) AS low FROM reached GROUP BY a),
+        degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT doc_id, least(doc_id, coalesce(low, doc_id)) AS class_id, coalesce(degree.n, 0) AS n_links
+        FROM documents LEFT JOIN lowest ON lowest.a = doc_id LEFT JOIN degree ON degree.a = doc_id
+    """,
     "op5_substring_dedup": f"""
         WITH split AS (SELECT doc_id, {WORDS} AS words FROM documents),
         windows AS (
