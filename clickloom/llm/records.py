@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.batches import slices, text_bytes
 from clickloom.llm.checksums import crc32c, masked
 from clickloom.llm.shared import locate, whole_file
-from clickloom.llm.tokens import encoder
+from clickloom.llm.tokens import SLICE, encoder
 
 _HEAD = "<qBB"
 _FRAME = 16
@@ -92,7 +92,7 @@ def write_tokens(
             for batch in batches:
                 keys = batch.column(0).to_pylist()
                 data, offsets = text_bytes(batch.column(1))
-                for first, last, part, places in slices(data, offsets):
+                for first, last, part, places in slices(data, offsets, SLICE):
                     ids, starts = encode.encode(part, places)
                     values = []
                     for n in range(last - first):

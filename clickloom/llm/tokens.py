@@ -17,7 +17,8 @@ from clickloom.llm.batches import owners, slices, span_hashes
 
 LINE_FEED = 10
 BLANK = 32
-MOST_KNOWN = 1 << 21
+MOST_KNOWN = 1 << 19
+SLICE = 1 << 20
 _LINES = 200
 _SPACE = re.compile(r"\s")
 
@@ -42,8 +43,8 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.places = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
+        self.places = np.zeros(0, np.int32)
+        self.lengths = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
@@ -69,17 +70,18 @@ class Encoder:
         order = np.concatenate([np.flatnonzero(plain), rest])
         places = len(self.ids) + np.cumsum(lengths[order]) - lengths[order]
         self.ids = np.concatenate([self.ids, *found])
-        keys = np.concatenate([self.keys, keys[order]])
-        sort = np.argsort(keys)
-        self.keys = keys[sort]
-        self.places = np.concatenate([self.places, places])[sort]
-        self.lengths = np.concatenate([self.lengths, lengths[order]])[sort]
+        sort = np.argsort(keys[order])
+        order, places = order[sort], places[sort]
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.places = np.insert(self.places, at, places)
+        self.lengths = np.insert(self.lengths, at, lengths[order])
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where those of each text start."""
         counts = np.zeros(len(offsets) - 1, np.int64)
         found = []
-        for first, last, part, places in slices(data, offsets):
+        for first, last, part, places in slices(data, offsets, SLICE):
             ids, lengths = self._encode_slice(part, places)
             counts[first:last] = lengths
             found.append(ids)
@@ -103,7 +105,7 @@ class Encoder:
             order = np.sort(where[new])
             self._learn(data, hashes[order], starts[order], ends[order])
             at = np.searchsorted(self.keys, keys)
-        places, lengths = self.places[at][number], self.lengths[at][number]
+        places, lengths = self.places[at][number].astype(np.int64), self.lengths[at][number].astype(np.int64)
         total = int(lengths.sum())
         shift = np.cumsum(lengths) - lengths
         ids = self.ids[np.repeat(places - shift, lengths) + np.arange(total)]
