@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import jaccard, packing, records, sharding, substrings, toxicity, warc
+from clickloom.llm import contamination, jaccard, packing, records, sharding, substrings, toxicity, urls, warc
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -47,6 +47,21 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select(F.col("key").alias("doc_id"), F.col("group").alias("class_id"), F.col("links").alias("n_links"))
 
 
+RULES = [
+    urls.Rule("org", "/", True),
+    urls.Rule("example.org", "/es/", False),
+    urls.Rule("example.org", "/en/1", False),
+    urls.Rule("com", "/fr/", True),
+    urls.Rule("com", "/de/", False),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages with the verdict on their URL."""
+    judged = urls.judge(table(spark, sf_dir, "pages"), RULES)
+    return judged.select(F.col("key").alias("page_id"), "host", "path", "rule", "verdict")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the windows of 13 words that earlier documents have."""
     kept = substrings.remove_repeated(table(spark, sf_dir, "documents"))
@@ -54,6 +69,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("key").alias("doc_id"), "n_words", "n_removed", digest)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents that contain items of the benchmark, with the items."""
+    found = contamination.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "shared", "total", "containment")
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as framed records, written and read back."""
     documents = table(spark, sf_dir, "documents")
@@ -88,7 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_url_filter": op4_url_filter,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_decontamination": op6_decontamination,
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stratified_shards": op10_stratified_shards,
@@ -154,4 +177,25 @@ ORACLE: dict[str, str] = {
                 ELSE list_filter(words, lambda w, i: NOT list_contains(places, i)) END, ' '), '')) AS kept_sha256
         FROM split LEFT JOIN gone USING (doc_id)
     """,
+    "op6_decontamination": f"""
+        WITH texts AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+        ),
+        split AS (
+            SELECT kind, id, regexp_extract_all(lower(coalesce(text, '')), '{SHINGLE_WORD}') AS words FROM texts
+        ),
+        shingles AS (
+            SELECT DISTINCT kind, id, list_slice(words, place, place + 4) AS part FROM (
+                SELECT kind, id, words, unnest(range(1, greatest(2, len(words) - 3))) AS place
+                FROM split WHERE len(words) > 0
+            )
+        ),
+        totals AS (SELECT id, count(*) AS total FROM shingles WHERE kind = 'i' GROUP BY id),
+        shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, CAST(count(*) AS INTEGER) AS shared
+            FROM shingles d JOIN shingles i ON d.part = i.part AND d.kind = 'd' AND i.kind = 'i' GROUP BY 1, 2
+        )
+        SELECT doc_id, item_id, shared, CAST(total AS INTEGER) AS total, shared / total AS containment
+        FROM shared JOIN totals ON id = item_id WHERE shared * 5 >= total * 4
+    """,
 }
