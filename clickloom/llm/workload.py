@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import contamination, jaccard, packing, records, sharding, substrings, toxicity, urls, warc
+from clickloom.llm import contamination, jaccard, neighbours, packing, records, sharding, substrings, toxicity, urls, warc
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -75,6 +75,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "shared", "total", "containment")
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as framed records, written and read back."""
     documents = table(spark, sf_dir, "documents")
@@ -112,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_filter": op4_url_filter,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stratified_shards": op10_stratified_shards,
