@@ -412,7 +412,7 @@ def linked_documents(join: Join) -> DataFrame:
 def one_of_each_group(df: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``df`` with one document of each group of similar ones: the one with the smallest key.
 
-    Rows without key or without words stay. Of repeated rows of the document that stays one stays.
+    Rows without key or without words stay. Of repeated rows of one key and one text one stays.
     """
     taken = {"join_key", "join_row"} & set(df.columns)
     if taken:
