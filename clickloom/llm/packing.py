@@ -14,14 +14,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm import stages
 from clickloom.llm.batches import slices, text_bytes
 from clickloom.llm.shared import read_part
-from clickloom.llm.tokens import encoder
-from clickloom.session import shared_dir
+from clickloom.llm.tokens import SLICE, encoder
 
+_ROWS = 1000
 PIECES = "key long, piece int, start long, length long, ids binary, part long, nth long"
 PLACED = "key long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 
@@ -115,7 +116,7 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "do
         for batch in batches:
             keys = batch.column(0)
             data, offsets = text_bytes(batch.column(1))
-            for first, last, some, places in slices(data, offsets):
+            for first, last, some, places in slices(data, offsets, SLICE):
                 ids, starts = encode.encode(some, places)
                 ids = np.insert(ids, starts[1:], np.uint32(end_id)).astype(kind)
                 counts = np.diff(starts) + 1
@@ -131,46 +132,40 @@ def pieces(df: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "do
                 kinds, at, many = np.unique(lengths[order], return_index=True, return_counts=True)
                 nth[order] = np.arange(len(order)) - np.repeat(at, many) + np.repeat(seen[kinds], many)
                 seen[kinds] += many
-                raw = memoryview(ids.tobytes())
-                wide = ids.itemsize
-                low, high = (begins[owner] + start) * wide, (begins[owner] + stop) * wide
+                # Pieces follow each other without a gap, and so do their bytes.
+                edges = np.append(begins[owner] + start, len(ids)) * ids.itemsize
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.slice(first, last - first).take(pa.array(owner)),
                         pa.array(piece.astype(np.int32)),
                         pa.array(start),
                         pa.array(lengths),
-                        pa.array([raw[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)], pa.binary()),
+                        _binary(ids, edges),
                         pa.array(np.full(len(owner), part, np.int64)),
                         pa.array(nth),
                     ],
                     names=["key", "piece", "start", "length", "ids", "part", "nth"],
                 )
 
-    folder = shared_dir(df.sparkSession, "pieces")
-    rows.mapInArrow(cut, PIECES).write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    return stages.written(rows.mapInArrow(cut, PIECES), "pieces")[0]
 
 
-def place(spark: SparkSession, cut: DataFrame, size: int) -> DataFrame:
+def place(cut: DataFrame, size: int) -> DataFrame:
     """Every piece with the sequence and the offset that best fit decreasing gives it."""
     counts = cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("pieces"))
-    folder = shared_dir(spark, "piece-counts")
-    counts.write.parquet(folder)
-    counts = spark.read.parquet(folder)
+    counts, _ = stages.written(counts, "piece-counts")
     # At most ``size`` rows come to the driver.
     histogram = {row.length: row.pieces for row in counts.groupBy("length").agg(F.sum("pieces").alias("pieces")).collect()}
     runs = best_fit_decreasing(histogram, size)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = shared_dir(spark, "piece-ranks")
     ranked = counts.select("part", "length", F.coalesce(F.sum("pieces").over(before), F.lit(0)).alias("base"))
-    ranked.repartition("part").write.partitionBy("part").parquet(bases)
+    _, bases = stages.written(ranked.repartition("part"), "piece-ranks", "part")
     names = [name.split()[0] for name in PLACED.split(", ")]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = (runs[:, 0] << 44) + runs[:, 1]
         known: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in (some.slice(n, _ROWS) for some in batches for n in range(0, some.num_rows, _ROWS)):
             rows = {name: batch.column(n) for n, name in enumerate(batch.schema.names)}
             length, nth = (rows[name].to_numpy(zero_copy_only=False) for name in ("length", "nth"))
             parts = rows["part"].to_numpy(zero_copy_only=False)
@@ -186,20 +181,25 @@ def place(spark: SparkSession, cut: DataFrame, size: int) -> DataFrame:
             nth_in_run = rank - run[:, 1]
             rows["sequence_id"] = pa.array(run[:, 3] + nth_in_run // run[:, 2])
             rows["offset"] = pa.array(run[:, 4] + nth_in_run % run[:, 2] * length)
-            rows["ids"] = pa.array(_widened(rows["ids"], length), pa.binary())
+            rows["ids"] = _widened(rows["ids"], length)
             yield pa.RecordBatch.from_arrays([rows[name] for name in names], names=names)
 
     return cut.mapInArrow(find, PLACED)
 
 
-def _widened(ids: pa.Array, lengths: np.ndarray) -> list[bytes]:
+def _binary(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The bytes between the edges, as a column."""
+    parts = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(values)]
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, parts)
+
+
+def _widened(ids: pa.Array, lengths: np.ndarray) -> pa.Array:
     """Ids as little-endian unsigned 32-bit numbers."""
     data, offsets = text_bytes(ids)
     width = len(data) // max(1, int(lengths.sum()))
     if width == 4:
-        return [value.as_py() for value in ids]
-    wide = memoryview(data.view("<u2").astype("<u4").tobytes() if len(data) else b"")
-    return [wide[2 * a : 2 * b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        return ids
+    return _binary(np.ascontiguousarray(data).view("<u2").astype("<u4"), 2 * offsets)
 
 
 def pack(df: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,4 +212,4 @@ def pack(df: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc_
     packed as often as they come. Pieces of one length are interchangeable, so ties need no rule. Other
     columns play no part. An empty table gives no rows.
     """
-    return place(df.sparkSession, pieces(df, tokenizer, end_id, size, key, text), size)
+    return place(pieces(df, tokenizer, end_id, size, key, text), size)

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickloom.llm import stages
 from clickloom.llm.batches import slices, text_bytes
 from clickloom.llm.checksums import crc32c, masked
 from clickloom.llm.shared import locate, whole_file
@@ -111,9 +112,7 @@ def write_tokens(
                 {"shard": [shard], "path": [path], "records": [len(entries)], "ids": [total]}
             )
 
-    manifest = f"{folder}/manifest"
-    rows.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(manifest)
-    return df.sparkSession.read.parquet(manifest)
+    return stages.written(rows.mapInArrow(write, MANIFEST), "records-manifest")[0]
 
 
 def read_index(path: str) -> np.ndarray:

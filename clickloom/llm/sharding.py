@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.session import shared_dir
+from clickloom.llm import stages
 
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 5_000
 
 
 def shuffle_key(seed: int, column: str) -> Column:
@@ -15,7 +15,7 @@ def shuffle_key(seed: int, column: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(column).cast("string"), F.lit(""))))
 
 
-def _numbered(df: DataFrame, bucket: Column, order: list[Column], within: list[str], name: str, buckets: int) -> DataFrame:
+def _numbered(df: DataFrame, bucket: Column, order: list[Column], within: list[str], name: str) -> DataFrame:
     """``df`` with the place of each row, from 0, among the rows with equal ``within``, in the given order.
 
     ``bucket`` ascends with that order. A row is numbered within its bucket, and the sizes of the buckets
@@ -51,7 +51,6 @@ def interleave(df: DataFrame, shards: int, key: str = "doc_id", source: str = "s
     taken = {"shard", "slot", "shuffle_key", "bucket", "place", "rank", "position", "in_all", "fraction"} & set(df.columns)
     if taken:
         raise ValueError(f"columns {sorted(taken)} would be overwritten")
-    spark = df.sparkSession
     total = df.count()
     buckets = max(1, -(-total // ROWS_PER_BUCKET))
     columns = [F.col(f"`{name}`") for name in df.columns]
@@ -59,14 +58,12 @@ def interleave(df: DataFrame, shards: int, key: str = "doc_id", source: str = "s
     # 60 bits of the digest, cut into equal ranges that ascend with it.
     number = F.conv(F.substring("shuffle_key", 1, 7), 16, 10).cast("long")
     ranked = _numbered(
-        keyed, F.floor(number * buckets / F.lit(1 << 28)), [F.col("shuffle_key"), *columns], [source], "rank", buckets
+        keyed, F.floor(number * buckets / F.lit(1 << 28)), [F.col("shuffle_key"), *columns], [source], "rank"
     )
     fraction = ((F.col("rank") + 0.5) / F.col("in_all")).alias("fraction")
-    folder = shared_dir(spark, "ranked")
-    ranked.select(*columns, fraction).write.parquet(folder)
-    ranked = spark.read.parquet(folder)
+    ranked, _ = stages.written(ranked.select(*columns, fraction), "ranked")
     placed = _numbered(
-        ranked, F.floor(F.col("fraction") * buckets), [F.col("fraction"), F.col(f"`{source}`"), *columns], [], "position", buckets
+        ranked, F.floor(F.col("fraction") * buckets), [F.col("fraction"), F.col(f"`{source}`"), *columns], [], "position"
     )
     size, larger = divmod(total, shards)
     # The first ``larger`` shards have one row more.

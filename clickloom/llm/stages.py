@@ -10,18 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from clickloom.llm.shared import locate
 from clickloom.session import shared_dir
 
-_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# While a stage is written: its shuffle files go when it ends, because what it wrote is all that is needed
+# later, and texts reach Python in batches of a few megabytes.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Within, the shuffle files of a job go when it ends; what it wrote is all that is needed later."""
-    before = spark.conf.get(_CLEAN_UP, None)
-    spark.conf.set(_CLEAN_UP, "true")
+def _stage_settings(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key, None) for key in _SETTINGS}
+    for key, value in _SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def written(df: DataFrame, purpose: str, partition: str | None = None) -> tuple[DataFrame, str]:
@@ -31,7 +37,7 @@ def written(df: DataFrame, purpose: str, partition: str | None = None) -> tuple[
     """
     spark = df.sparkSession
     folder = shared_dir(spark, purpose)
-    with _shuffles_removed(spark):
+    with _stage_settings(spark):
         writer = df.write.partitionBy(partition) if partition else df.write
         writer.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder), folder

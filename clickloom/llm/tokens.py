@@ -56,9 +56,12 @@ class Encoder:
         found, lengths = [], np.zeros(len(units), np.int64)
         if plain.any():
             lines = [unit + "\n" for unit, one in zip(units, plain, strict=True) if one]
-            texts = ["".join(lines[n : n + _LINES]) for n in range(0, len(lines), _LINES)]
-            encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            ids = np.concatenate([np.array(one.ids, np.uint32) for one in encoded])
+            parts = []
+            for n in range(0, len(lines), _LINES):
+                # One text after the other: what the library holds for a text is far larger than its ids.
+                one = self.tokenizer.encode_batch_fast(["".join(lines[n : n + _LINES])], add_special_tokens=False)
+                parts.append(np.array(one[0].ids, np.uint32))
+            ids = np.concatenate(parts)
             feeds = np.flatnonzero(ids == self.line_feed[0])
             lengths[plain] = np.diff(feeds, prepend=-1) - 1
             found.append(np.delete(ids, feeds))
