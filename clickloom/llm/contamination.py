@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import stages
 
-# A word: ASCII letters, digits and characters beyond ASCII; texts are put in lower case first.
-WORD = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
+# What parts words: ASCII that is neither letter nor digit; texts are put in lower case first.
+BETWEEN = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 
 @dataclass(frozen=True)
@@ -39,11 +39,16 @@ class Settings:
 
 def words(text: str) -> Column:
     """The words of a lower-cased text."""
-    return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), 0)
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), BETWEEN), lambda word: word != "")
 
 
 def _starts(size: int) -> Column:
-    return F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))
+    """Where shingles start; nowhere in a text without words.
+
+    A filter on the words would be pushed below them and split each text a second time.
+    """
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))
+    return F.when(F.size("words") > 0, starts).otherwise(F.array().cast("array<int>"))
 
 
 def _hashes(size: int) -> Column:
@@ -88,8 +93,9 @@ def contained_items(
     their own and give a row each. Texts are searched whole. Empty tables give an empty result.
     """
     size = settings.size
-    wanted = items.select(F.col(item).alias("item"), words(item_text).alias("words")).filter(F.size("words") > 0)
-    wanted = wanted.withColumn("shingles", _shingles(size)).withColumn("needed", F.ceil(F.size("shingles") * settings.containment - 1e-9))
+    wanted = items.select(F.col(item).alias("item"), words(item_text).alias("words"))
+    wanted = wanted.withColumn("shingles", _shingles(size)).filter(F.size("shingles") > 0)
+    wanted = wanted.withColumn("needed", F.ceil(F.size("shingles") * settings.containment - 1e-9))
     wanted = wanted.withColumn("number", F.xxhash64("item", "shingles")).dropDuplicates(["number"])
     wanted, _ = stages.written(wanted.select("number", "item", "words", "shingles", "needed"), "benchmark")
     least = wanted.agg(F.min("needed")).first()[0]
@@ -103,7 +109,7 @@ def contained_items(
     enough = F.greatest(F.lit(1), F.floor(expected - settings.slack * spread)).alias("enough")
     tokens = wanted.select("number", enough, F.explode(F.array_distinct(_hashes(size))).alias("hash"))
 
-    hashed = documents.select(F.xxhash64(text).alias("row"), words(text).alias("words")).filter(F.size("words") > 0)
+    hashed = documents.select(F.xxhash64(text).alias("row"), words(text).alias("words"))
     hashed = hashed.select("row", F.sort_array(_hashes(size)).alias("hashes"))
     # The size class: bits of the number of shingles.
     classed = hashed.withColumn("bits", F.ceil(F.log2(F.size("hashes"))).cast("int"))
