@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the text form of event times in the behaviour messages. The Z is a
-# literal, so the time is read in the session zone (UTC).
+# Fixed value: the text form of event times in the behaviour messages; the Z stands for UTC.
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 # Fixed value: the nine attributes of one record, in this order.
@@ -34,12 +33,19 @@ def combined_attributes(columns: list[str] = COMBINED_ATTRIBUTES) -> Column:
 
 
 def utc_label(time: str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss UTC``; a null time leaves just ``UTC``."""
-    return F.concat_ws(" ", F.date_format(F.col(time), "yyyy-MM-dd HH:mm:ss"), F.lit("UTC"))
+    """``yyyy-MM-dd HH:mm:ss UTC`` in any session zone; a null time leaves just ``UTC``."""
+    seconds = F.unix_seconds(F.col(time).cast("timestamp"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.concat_ws(" ", F.timestamp_add("SECOND", seconds, epoch).cast("string"), F.lit("UTC"))
 
 
 def parse_event_time(text: str, fmt: str = EVENT_TIME_FORMAT) -> Column:
-    """The event time of a text; null where the text is malformed."""
+    """The event time of a text; null where the text is malformed.
+
+    A format that ends with a literal Z is read as UTC in any session zone, others in the session's.
+    """
+    if fmt.endswith("'Z'"):
+        return F.try_to_timestamp(F.concat(F.col(text), F.lit(" UTC")), F.lit(f"{fmt} VV"))
     return F.try_to_timestamp(F.col(text), F.lit(fmt))
 
 

@@ -36,6 +36,22 @@ def test_utc_label_and_time_parsing(spark):
     assert rows_of(labels) == [("2024-02-03 04:05:06 UTC",), ("UTC",), ("UTC",)]
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    """The first time does not exist on New York's clocks."""
+    texts = ["2024-03-10T02:30:00.123Z", "2024-01-01T03:04:05.000Z", "2024-11-03T01:30:00.000Z", "2024-01-01T03:04:05.000+01", "x"]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        parsed = df.withColumn("p", scalars.parse_event_time("t"))
+        found = parsed.select("t", scalars.utc_label("p").alias("label"), F.unix_millis("p").alias("millis")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [row.label for row in found] == ["2024-03-10 02:30:00 UTC", "2024-01-01 03:04:05 UTC", "2024-11-03 01:30:00 UTC", "UTC", "UTC"]
+    assert found[0].millis == 1710037800123
+
+
 def test_share_is_guarded(spark):
     df = spark.createDataFrame([(1, 4), (1, 0), (1, None)], "part long, total long")
     assert rows_of(df.select(scalars.share("part", "total"))) == [(0.0,), (0.0,), (0.25,)]
