@@ -37,18 +37,29 @@ def read_csv_checked(
 ) -> DataFrame:
     """CSV by schema, plus ``_corrupt_record`` with the whole line where it does not fit.
 
-    The parser judges only the columns it is asked for. The filter, which every row passes, asks for
-    all of them, so that a line is judged as a whole whatever is selected later.
+    With a header, columns are found by their names, in whatever order the file has them; columns that
+    the schema does not name are left out, and a missing one is an error. All files below ``path`` must
+    have one header, else reading fails. Without a header the order is the schema's.
+
+    A line is judged as a whole, whatever is selected later: pruning is switched off.
     """
-    df = (
-        spark.read.option("header", header)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(with_corrupt(schema))
-        .csv(path)
-    )
-    smallest = -(2**63)
-    return df.filter(F.xxhash64(*[quoted(name) for name in schema.fieldNames()]) >= F.lit(smallest))
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    found = schema
+    if header:
+        names = spark.read.csv(path, header=True).columns
+        missing = [name for name in schema.fieldNames() if name not in names]
+        if missing and names:
+            raise ValueError(f"{path} has no columns {missing}, only {names}")
+        wanted = {one.name: one for one in schema.fields}
+        found = T.StructType([wanted.get(name, T.StructField(name, T.StringType())) for name in names]) if names else schema
+        # The header of every file is compared with the schema made from the first one's.
+        reader = reader.option("enforceSchema", False)
+    df = reader.schema(with_corrupt(found)).csv(path)
+    # Spark refuses queries that read nothing but the corrupt lines, so the marker also names a column.
+    first = quoted(schema.fieldNames()[0])
+    marker = F.when(first.isNotNull() | F.col(CORRUPT).isNotNull(), F.col(CORRUPT)).alias(CORRUPT)
+    return df.select(*[quoted(name) for name in schema.fieldNames()], marker)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,15 +68,22 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(~corrupt).drop(CORRUPT), df.filter(corrupt)
 
 
+# Times in CSV keep their microseconds; Spark's own default cuts them to milliseconds.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(df: DataFrame, path: str, quoted: bool = False, single_file: bool = False) -> None:
-    """Replace ``path`` by CSV with a header.
+    """Replace ``path`` by CSV with a header; times are written down to the microsecond.
 
     ``quoted`` doubles quotes inside values. ``single_file`` sends all rows through one task; it is
     for small reports.
     """
     frame = df.coalesce(1) if single_file else df
-    options = {"quote": '"', "escape": '"'} if quoted else {}
-    frame.write.mode("overwrite").csv(path, header=True, **options)
+    options = {**CSV_TIMES, **({"quote": '"', "escape": '"'} if quoted else {})}
+    frame.write.mode("overwrite").options(header=True, **options).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, max_records_per_file: int = 0) -> None:

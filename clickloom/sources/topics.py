@@ -105,14 +105,31 @@ def write_topic(df: DataFrame, options: Mapping[str, str], fmt: str = FORMAT) ->
 
 
 def partition_counts(records: DataFrame) -> DataFrame:
-    """Earliest and next offset of each partition and the number of messages between them."""
+    """Earliest and next offset of each partition and the number of messages between them.
+
+    Partitions belong to their topic where the records have one.
+    """
     return (
-        records.groupBy("partition")
+        records.groupBy(*_topic(records), "partition")
         .agg(F.min("offset").alias("earliest"), (F.max("offset") + 1).alias("latest"))
         .withColumn("messages", F.col("latest") - F.col("earliest"))
     )
 
 
-def message_count(records: DataFrame) -> DataFrame:
-    """One row: the messages of all partitions, or -1 for a topic without any partition."""
+def _topic(records: DataFrame) -> list[str]:
+    return ["topic"] if "topic" in records.columns else []
+
+
+def message_count(records: DataFrame, topic: str | None = None) -> DataFrame:
+    """One row: the messages of one topic, or of all records; -1 where there are none.
+
+    Records cannot tell an empty topic from one that does not exist: both give -1.
+    """
+    if topic is not None:
+        records = records.filter(F.col("topic") == topic)
     return partition_counts(records).agg(F.coalesce(F.sum("messages"), F.lit(-1)).alias("messages"))
+
+
+def topic_counts(records: DataFrame) -> DataFrame:
+    """The messages of each topic."""
+    return partition_counts(records).groupBy("topic").agg(F.sum("messages").alias("messages"))
