@@ -67,7 +67,7 @@ def top_groups(df: DataFrame, key: str, k: int, count: str = "n") -> DataFrame:
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows in the given total order."""
+    """The first ``n`` rows in the given total order. They meet in one task, so ``n`` must be small."""
     return df.orderBy(*order).limit(n)
 
 

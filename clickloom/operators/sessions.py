@@ -73,14 +73,14 @@ def time_spent(
     event_id: str,
     session: str = "user_session",
     event_time: str = "event_time",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add ``prev_event_time`` and ``time_spent`` to every event.
 
     Events of a session are ordered by time, then by ``event_id``, which is unique. The time spent
     is the difference of the whole seconds and belongs to the later event; the first event of a
     session has no previous time and spends 0. Sessions of ``hot_rows`` events and more are found
-    first and spread over many tasks.
+    first and spread over many tasks; ``hot_rows=None`` skips the search, for events known to have none.
     """
     if events.schema[event_time].dataType.typeName() == "timestamp_ntz":
         events = events.withColumn(event_time, F.col(event_time).cast("timestamp"))

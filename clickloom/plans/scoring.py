@@ -126,12 +126,12 @@ def interaction_features(
     events: DataFrame,
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Counts and seconds spent per session, product, user and product name.
 
     ``tie_breakers`` order events of one session at the same time. Sessions of ``hot_rows`` events
-    and more are found first and spread over many tasks.
+    and more are found first and spread over many tasks; ``None`` skips the search.
     """
     cold, hot = split_hot(_prepared(events, tie_breakers), "user_session", hot_rows)
     features = _features_of_sessions(cold, event_types, tie_breakers)
@@ -152,7 +152,7 @@ def interaction_shares(
     events: DataFrame,
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """The shares F1 to F4 (views, carts, purchases, time) of each interaction in its session.
 
@@ -171,7 +171,7 @@ def interaction_scores(
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
     with_session: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """``user_id, product_id, name, score`` of every interaction.
 

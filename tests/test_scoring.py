@@ -198,6 +198,20 @@ def test_only_large_sessions_are_hot(spark):
     assert hot_keys(events, "user_session", 1000) == []
 
 
+def test_the_search_for_hot_sessions_shuffles_no_row_per_session(spark):
+    """One sketch for each task is all that is shuffled while the plan is built."""
+    events = spark.range(100_000, numPartitions=4).select(F.col("id").cast("string").alias("user_session"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("hot", "hot keys")
+    try:
+        assert hot_keys(events, "user_session", 10**6) == []
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("hot") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(info.numTasks for info in stages if info) <= 4 and len([info for info in stages if info]) <= 2 + 1
+    assert hot_keys(events, "user_session", None) == []
+
+
 def test_mixed_ways_agree(spark):
     rows = random_events(5, 400)
     events = spark.createDataFrame(rows, SCHEMA)
