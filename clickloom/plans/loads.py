@@ -56,10 +56,13 @@ def load_names(dataset: DataFrame, target: Collection, embedder: Embedder | None
 
 
 def load_combined(
-    dataset: DataFrame, target: Collection, settings: vectors.Word2VecSettings = vectors.COMBINED_SETTINGS
+    dataset: DataFrame,
+    target: Collection,
+    settings: vectors.Word2VecSettings = vectors.COMBINED_SETTINGS,
+    embedder: Embedder | None = None,
 ) -> int:
     """Recreate the collection with a vector of all attributes of each record."""
-    return target.load(vectors.combined_vectors(dataset, settings), recreate=True)
+    return target.load(vectors.combined_vectors(dataset, settings, embedder), recreate=True)
 
 
 def load_training(
@@ -67,9 +70,10 @@ def load_training(
     products: DataFrame,
     target: Collection,
     settings: vectors.Word2VecSettings = vectors.TRAINING_SETTINGS,
+    embedder: Embedder | None = None,
 ) -> int:
     """Recreate the collection with the training extract."""
-    return target.load(vectors.training_vectors(events, products, settings), recreate=True)
+    return target.load(vectors.training_vectors(events, products, settings, embedder), recreate=True)
 
 
 def load_retrain(

@@ -13,10 +13,11 @@ from clickloom.functions.embedders import Embedder, HashingEmbedder
 from clickloom.functions.scalars import combined_attributes, utc_label
 from clickloom.functions.text import filtered_tokens, non_blank
 from clickloom.functions.vectors import DIMENSION, float_array
-from clickloom.operators.rows import distinct_rows
+from clickloom.operators.rows import distinct_rows, persisted
 from clickloom.plans.enrichment import enrich_events
 from clickloom.schemas import DATASET
 
+# The columns of the training extract, in this order.
 TRAINING_COLUMNS = [
     "user_id",
     "product_id",
@@ -87,16 +88,16 @@ def retrain_points(training: DataFrame, embedder: Embedder | None = None) -> Dat
     return labelled.select(*TRAINING_COLUMNS)
 
 
-# Words one training task takes; larger corpora get more tasks than the settings ask for.
-WORDS_PER_TASK = 50_000_000
-
 # Spark's Word2Vec holds the vocabulary on the driver, in arrays of at most 2^31 - 1 numbers.
 MAX_NUMBERS = 2**31 - 1
 
 
 @dataclass(frozen=True)
 class Word2VecSettings:
-    """As Spark's Word2Vec takes them; ``num_partitions`` is the least number of training tasks."""
+    """As Spark's Word2Vec takes them.
+
+    The number of training tasks changes the model, so it is ``num_partitions`` for any corpus.
+    """
 
     min_count: int = 0
     num_partitions: int = 1
@@ -129,23 +130,20 @@ def vocabulary(tokens: DataFrame, words: str = "_words", min_count: int = 0) ->
 def fit_word2vec(tokens: DataFrame, settings: Word2VecSettings, words: str = "_words") -> Word2VecModel:
     """Word2Vec trained on every row.
 
-    The words are counted first. A corpus for more tasks than asked for gets them, and a vocabulary
-    that is empty or too large for the driver fails before the training, with advice.
+    The words are counted first. A vocabulary that is empty or too large for the driver fails before
+    the training, with advice; for such a corpus give the plans an embedder, which needs none.
     """
     frequent = F.col("n") >= settings.min_count
-    size = word_counts(tokens, words).agg(
-        F.count_if(frequent).alias("vocabulary"), F.coalesce(F.sum("n"), F.lit(0)).alias("words")
-    ).first()
+    size = word_counts(tokens, words).agg(F.count_if(frequent).alias("vocabulary")).first()
     limit = MAX_NUMBERS // settings.vector_size
     if not size["vocabulary"]:
         raise ValueError(f"no word occurs {settings.min_count} times; lower min_count")
     if size["vocabulary"] > limit:
         raise ValueError(f"more than {limit} words occur {settings.min_count} times; raise min_count")
-    tasks = max(settings.num_partitions, -(-size["words"] // WORDS_PER_TASK))
     return Word2Vec(
         vectorSize=settings.vector_size,
         minCount=settings.min_count,
-        numPartitions=tasks,
+        numPartitions=settings.num_partitions,
         maxIter=settings.max_iterations,
         seed=settings.seed,
         inputCol=words,
@@ -162,29 +160,46 @@ def word2vec_vectors(
 ) -> DataFrame:
     """Add the mean word vector of a text; a text without words has the zero vector.
 
-    The model is fitted on ``df`` unless one is given. The tokens are not cached between fitting
-    and use: splitting a text again costs less than storing the tokens of every row.
+    The model is fitted on ``df`` unless one is given. Fitting reads the tokens three times, so that
+    column alone is kept meanwhile.
     """
     tokens = word_tokens(df, text)
-    model = model or fit_word2vec(tokens, settings)
+    if model is None:
+        with persisted(tokens.select("_words")) as kept:
+            model = fit_word2vec(kept, settings)
     return model.transform(tokens).withColumn(vector, float_array("_word2vec")).drop("_words", "_word2vec")
 
 
-def behavior_vectors(events: DataFrame, settings: Word2VecSettings = BEHAVIOR_SETTINGS) -> DataFrame:
+def _text_vectors(df: DataFrame, text: str, settings: Word2VecSettings, embedder: Embedder | None) -> DataFrame:
+    """By Word2Vec, or by an embedder: that one has no vocabulary and so no limit."""
+    return word2vec_vectors(df, text, settings) if embedder is None else embed_names(df, embedder, text)
+
+
+def behavior_vectors(
+    events: DataFrame, settings: Word2VecSettings = BEHAVIOR_SETTINGS, embedder: Embedder | None = None
+) -> DataFrame:
     """``user_id, product_id, name, vector`` of every event."""
     rows = events.select("user_id", "product_id", "name")
-    return word2vec_vectors(rows, "name", settings)
+    return _text_vectors(rows, "name", settings, embedder)
 
 
 def training_vectors(
-    events: DataFrame, products: DataFrame, settings: Word2VecSettings = TRAINING_SETTINGS
+    events: DataFrame,
+    products: DataFrame,
+    settings: Word2VecSettings = TRAINING_SETTINGS,
+    embedder: Embedder | None = None,
 ) -> DataFrame:
     """The training extract: enriched events with name vector and UTC time label."""
-    vectors = word2vec_vectors(enrich_events(events, products), "name", settings)
+    vectors = _text_vectors(enrich_events(events, products), "name", settings, embedder)
     return vectors.withColumn("event_time", utc_label("event_time")).select(*TRAINING_COLUMNS)
 
 
-def combined_vectors(dataset: DataFrame, settings: Word2VecSettings = COMBINED_SETTINGS) -> DataFrame:
-    """``product_id, vector`` of every record, the vector made from all nine attributes."""
+def combined_vectors(
+    dataset: DataFrame, settings: Word2VecSettings = COMBINED_SETTINGS, embedder: Embedder | None = None
+) -> DataFrame:
+    """``product_id, vector`` of every record, the vector made from all nine attributes.
+
+    The attributes hold ids and times, so a vocabulary grows with the data; large data needs an embedder.
+    """
     texts = dataset.select("product_id", combined_attributes().alias("_text"))
-    return word2vec_vectors(texts, "_text", settings).select("product_id", "vector")
+    return _text_vectors(texts, "_text", settings, embedder).select("product_id", "vector")

@@ -13,6 +13,7 @@ def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+# The fields of a behaviour message.
 BEHAVIOR = T.StructType(
     [
         T.StructField("user_session", T.StringType()),
@@ -35,7 +36,7 @@ PRODUCT = T.StructType(
     ]
 )
 
-# The dataset file: every column is text, the price too.
+# The columns of the dataset file; every one is text, the price too.
 DATASET = _strings(
     "event_time",
     "event_type",
@@ -51,6 +52,7 @@ DATASET = _strings(
 # Points loaded from the dataset file.
 POINT = T.StructType([*DATASET.fields, T.StructField("vector", T.ArrayType(T.FloatType()))])
 
+# The columns of the catalogue file.
 CATALOGUE_COLUMNS = [
     "productID",
     "name",

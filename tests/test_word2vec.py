@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from clickloom.functions.embedders import HashingEmbedder
 from clickloom.plans import vectors as plans
 
 SMALL = plans.Word2VecSettings(min_count=0, vector_size=16)
@@ -46,13 +47,19 @@ def test_vocabulary_counts_rows(spark, names):
     assert {r.word: r.n for r in plans.vocabulary(tokens, min_count=20).collect()} == {"red": 30, "ring": 20}
 
 
-def test_large_corpora_get_more_tasks(monkeypatch, names):
+def test_the_number_of_tasks_is_the_callers(monkeypatch, names):
     asked = []
     real = plans.Word2Vec
     monkeypatch.setattr(plans, "Word2Vec", lambda **options: asked.append(options["numPartitions"]) or real(**options))
-    monkeypatch.setattr(plans, "WORDS_PER_TASK", 25)
     plans.fit_word2vec(plans.word_tokens(names.select("name"), "name"), SMALL)
-    assert asked == [4]  # 90 words
+    assert asked == [SMALL.num_partitions]
+
+
+def test_plans_take_an_embedder(names):
+    events = names.select("name", F.lit(1).alias("user_id"), F.lit("p").alias("product_id"))
+    found = plans.behavior_vectors(events, embedder=HashingEmbedder())
+    assert found.columns == ["user_id", "product_id", "name", "vector"]
+    assert all(len(row.vector) == 128 for row in found.collect())
 
 
 def test_too_large_a_vocabulary_fails_first(monkeypatch, names):
