@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib
+import uuid
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -75,9 +76,12 @@ class PointWriter(DataSourceArrowWriter):
         self.id = options.get("id_field", "point_id")
         self.batch_size = int(options.get("batch.size", BATCH_SIZE))
         self.options = dict(options)
+        self.target = self.collection
         if overwrite:
+            # The old collection stays until all points of the new one are in.
+            self.target = f"{self.collection}-{uuid.uuid4().hex}"
             dimension = int(options.get("dimension", DIMENSION))
-            self.connect().recreate_collection(self.collection, collection_config(dimension))
+            self.connect().recreate_collection(self.target, collection_config(dimension))
 
     def connect(self):
         module, _, factory = self.client.partition(":")
@@ -87,29 +91,39 @@ class PointWriter(DataSourceArrowWriter):
         return payload.pop(self.id), payload.pop(self.vector), payload
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        client = self.connect()
-        points = 0
+        client, points = self.connect(), 0
+        # A request may need the rows of several batches, or part of one.
+        request: list = []
         for batch in iterator:
-            for start in range(0, batch.num_rows, self.batch_size):
-                request = [self.point(row) for row in batch.slice(start, self.batch_size).to_pylist()]
-                client.upsert(self.collection, request)
-                points += len(request)
-        return Written(points)
+            for row in batch.to_pylist():
+                request.append(self.point(row))
+                if len(request) == self.batch_size:
+                    client.upsert(self.target, request)
+                    points += len(request)
+                    request = []
+        if request:
+            client.upsert(self.target, request)
+        return Written(points + len(request))
 
     def commit(self, messages: list[Written | None]) -> None:
-        """Nothing to do: an upsert counts at once, and a repeated task sends the same ids."""
+        """A new collection takes the old one's place; added points count already."""
+        if self.target != self.collection:
+            self.connect().replace_collection(self.collection, self.target)
 
     def abort(self, messages: list[Written | None]) -> None:
-        """Points that were sent stay; the next load replaces them by id."""
+        """A new collection goes, the old one stays; added points are replaced by the next load."""
+        if self.target != self.collection:
+            self.connect().drop_collection(self.target)
 
 
 class ClientPoints(DataSource):
     """Format ``client_points``, for vector stores with a Python client only.
 
     Option ``client`` names a factory as ``module:function``. It is given the options and returns an
-    object with ``upsert(collection, points)`` and ``recreate_collection(collection, config)``. A
-    point is ``(id, vector, payload)``; its id must come from the data, so that a repeated task
-    does no harm.
+    object with ``upsert(collection, points)`` and, for loads that replace a collection,
+    ``recreate_collection(collection, config)``, ``replace_collection(collection, by)`` and
+    ``drop_collection(collection)``. A point is ``(id, vector, payload)``; its id must come from the
+    data, so that a repeated task does no harm.
     """
 
     @classmethod

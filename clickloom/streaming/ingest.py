@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.rows import persisted
-from clickloom.plans.enrichment import enrich_events
+from clickloom.plans.enrichment import enrich_events, fits_broadcast, product_dimension
+from clickloom.sources.files import CSV_TIMES
 from clickloom.sources.topics import split_records, tag_records
 from clickloom.streaming.sinks import BatchSink, batch_folder
 
@@ -26,30 +27,56 @@ def folder_sinks(root: str) -> IngestSinks:
     """Raw copy and dead letters as Parquet, the enriched extract as CSV, below ``root``."""
     return IngestSinks(
         raw=batch_folder(f"{root}/behaviors"),
-        enriched=batch_folder(f"{root}/enriched", "csv", {"header": "true"}),
+        enriched=batch_folder(f"{root}/enriched", "csv", {"header": "true", **CSV_TIMES}),
         dead=batch_folder(f"{root}/dead_letters"),
     )
 
 
-def ingest_batch(records: DataFrame, products: DataFrame, sinks: IngestSinks, batch_id: int = 0) -> None:
-    """Ingest one bounded set of records. All sinks see the same records."""
+class Catalogue:
+    """The catalogue of a stream. Its size is measured at the first batch and then every ``refresh`` batches."""
+
+    def __init__(self, products: DataFrame, refresh: int = 1000) -> None:
+        self.products, self.refresh = products, refresh
+        self.left, self.fits = 0, False
+
+    def may_broadcast(self) -> bool:
+        if not self.left:
+            self.fits, self.left = fits_broadcast(product_dimension(self.products)), self.refresh
+        self.left -= 1
+        return self.fits
+
+
+def ingest_batch(
+    records: DataFrame, products: DataFrame, sinks: IngestSinks, batch_id: int = 0, fits: bool | None = None
+) -> None:
+    """Ingest one bounded set of records. All sinks see the same records.
+
+    ``fits`` tells whether the catalogue may be broadcast, if that has been measured.
+    """
     with persisted(tag_records(records)) as tagged:
         good, dead = split_records(tagged)
         sinks.raw(good, batch_id)
-        sinks.enriched(enrich_events(good, products, broadcast=True), batch_id)
+        sinks.enriched(enrich_events(good, products, broadcast=True, fits=fits), batch_id)
         sinks.dead(dead, batch_id)
 
 
 def ingest_stream(
-    records: DataFrame, products: DataFrame, sinks: IngestSinks, checkpoint: str, until_now: bool = True
+    records: DataFrame,
+    products: DataFrame,
+    sinks: IngestSinks,
+    checkpoint: str,
+    until_now: bool = True,
+    refresh: int = 1000,
 ) -> StreamingQuery:
     """Ingest a record stream; with ``until_now`` the query ends when it has caught up.
 
-    The checkpoint keeps the progress: the next start goes on where this one ended.
+    The checkpoint keeps the progress: the next start goes on where this one ended. Whether the
+    catalogue may be broadcast is measured once, and again every ``refresh`` batches.
     """
+    catalogue = Catalogue(products, refresh)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, products, sinks, batch_id)
+        ingest_batch(batch, products, sinks, batch_id, catalogue.may_broadcast())
 
     writer = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if until_now:

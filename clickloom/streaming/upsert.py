@@ -62,7 +62,9 @@ def upsert_batch(
     with persisted(tag_records(records, PAYLOAD)) as tagged:
         good, broken = split_records(tagged, keep=position)
         points(event_points(good, embedder, position), batch_id)
-        dead(broken.select(F.col("value")), batch_id)
+        letters = broken.select(F.col("value"))
+        if not letters.isEmpty():
+            dead(letters, batch_id)
 
 
 def upsert_stream(

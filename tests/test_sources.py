@@ -41,6 +41,29 @@ def test_csv_quarantine_sees_the_whole_line_when_columns_are_pruned(spark, tmp_p
     assert [r.b for r in good.select("b").collect()] == ["x"]
 
 
+def test_checked_csv_goes_by_the_header(spark, tmp_path):
+    path = lines(tmp_path / "x.csv", "c.d,b,a", "q,x,1", "q,y", "q,z,no")
+    good, bad = files.split_corrupt(files.read_csv_checked(spark, path, PAIR))
+    assert good.columns == ["a", "b"] and rows_of(good) == [(1, "x")]
+    assert sorted(r[schemas.CORRUPT] for r in bad.collect()) == ["q,y", "q,z,no"]
+    with pytest.raises(ValueError, match="no columns"):
+        files.read_csv_checked(spark, lines(tmp_path / "y.csv", "a,c", "1,x"), PAIR)
+
+
+def test_checked_csv_refuses_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines(tmp_path / "in" / "1.csv", "a,b", "1,x")
+    lines(tmp_path / "in" / "2.csv", "b,a", "y,2")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv_checked(spark, str(tmp_path / "in"), PAIR).collect()
+
+
+def test_csv_keeps_microseconds(spark, tmp_path):
+    df = spark.sql("SELECT timestamp'2024-01-01 03:04:05.123456' AS t, timestamp_ntz'2024-01-01 03:04:05.000001' AS n")
+    files.write_csv(df, str(tmp_path / "t"))
+    assert rows_of(spark.read.schema(df.schema).csv(str(tmp_path / "t"), header=True)) == rows_of(df)
+
+
 def test_csv_quotes_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi", twice'), (2, "two\nlines"), (3, None)], PAIR)
     files.write_csv(df, str(tmp_path / "q"), quoted=True)
@@ -116,6 +139,15 @@ def test_message_counts(spark):
     assert topics.message_count(records.limit(0)).first().messages == -1
 
 
+def test_message_counts_by_topic(spark):
+    rows = [("a", 0, 0), ("a", 0, 1), ("b", 0, 100), ("b", 0, 101)]
+    records = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    assert rows_of(topics.topic_counts(records)) == [("a", 2), ("b", 2)]
+    assert topics.message_count(records).first().messages == 4
+    assert topics.message_count(records, "b").first().messages == 2
+    assert topics.message_count(records, "c").first().messages == -1
+
+
 def test_batch_read_and_write_of_a_topic_by_another_format(spark, tmp_path):
     path = {"path": str(tmp_path / "topic")}
     topics.write_topic(spark.createDataFrame([("x",)], "value string"), path, "text")
@@ -167,6 +199,31 @@ def test_points_through_a_client_in_batches(spark, tmp_path):
         vector_sink.write_points(df, "client_points", {**options, "broken": "yes"}, dimension=4)
 
 
+def test_a_request_may_be_larger_than_an_arrow_batch(spark, tmp_path):
+    vector_sink.register(spark)
+    df = points(spark, 50).coalesce(1)
+    options = {**vector_sink.point_options(df, str(tmp_path), "col", batch_size=40), "client": "file_store:connect"}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        vector_sink.write_points(df, "client_points", options, dimension=4)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(len(json.load(open(name))) for name in glob(str(tmp_path / "col" / "*.json"))) == [10, 40]
+
+
+def test_a_failing_load_keeps_the_old_collection(spark, tmp_path):
+    vector_sink.register(spark)
+    df = points(spark, 5).coalesce(1)
+    options = {**vector_sink.point_options(df, str(tmp_path), "col"), "client": "file_store:connect", "dimension": "4"}
+    vector_sink.write_points(df, "client_points", options, "overwrite", dimension=4)
+    before = sorted(glob(str(tmp_path / "*" / "*")))
+    bad = df.withColumn("point_id", F.concat(F.lit("fails"), "point_id"))
+    with pytest.raises(PySparkException, match="request refused"):
+        vector_sink.write_points(bad, "client_points", options, "overwrite", dimension=4)
+    assert sorted(glob(str(tmp_path / "*" / "*"))) == before
+
+
 def test_point_options_carry_the_schema(spark):
     df = points(spark, 1)
     options = vector_sink.point_options(df, "u", "c", batch_size=vector_sink.BATCH_SIZE)

@@ -110,6 +110,54 @@ def test_points_are_upserted(spark, tmp_path):
     }
 
 
+def test_compacted_points_are_the_same(spark, tmp_path):
+    for n in range(4):
+        drop(tmp_path / "in", f"{n}.json", event(1, name=f"v{n}"), event(10 + n))
+    found = rows_of(run_upsert(spark, tmp_path))
+    path = f"{tmp_path}/points"
+    assert sinks.compact_points(spark, path, upsert.POINT) == 2
+    assert rows_of(sinks.read_points(spark, path, upsert.POINT)) == found
+    assert [p.name for p in sorted((tmp_path / "points").glob("batch_id=*"))] == ["batch_id=3"]
+    drop(tmp_path / "in", "4.json", event(1, name="last"))
+    run_upsert(spark, tmp_path)
+    assert sinks.compact_points(spark, path, upsert.POINT) == 3
+    assert sinks.compact_points(spark, path, upsert.POINT) == 3
+    names = {r.user_id: r.name for r in sinks.read_points(spark, path, upsert.POINT).collect()}
+    assert names["1"] == "last" and len(names) == 5
+    # Batches that an interrupted run left behind do no harm.
+    spark.read.parquet(f"{path}/batch_id=4").write.parquet(f"{path}/batch_id=0")
+    assert {r.user_id: r.name for r in sinks.read_points(spark, path, upsert.POINT).collect()} == names
+
+
+def test_no_dead_letters_no_folder(spark, tmp_path):
+    drop(tmp_path / "in", "1.json", event(1))
+    run_upsert(spark, tmp_path)
+    assert not (tmp_path / "dead").exists()
+    assert sinks.read_batches(spark, f"{tmp_path}/dead", schemas.BEHAVIOR).count() == 0
+
+
+def test_a_dirty_key_does_not_stop_the_stream(spark, tmp_path):
+    numbers = spark.createDataFrame([(1, "one", "b", "c", "t", 1.0)], "product_id long, name string, brand string, category string, type string, price double")
+    drop(tmp_path / "in", "1.json", event(1, product_id="1"), event(2, product_id="abc"), event(3, product_id=None))
+    assert run_ingest(spark, tmp_path, numbers) == 1
+    schema = enrich_events(spark.createDataFrame([], schemas.BEHAVIOR), numbers).schema
+    enriched = sinks.read_batches(spark, str(tmp_path / "out/enriched"), schema, "csv", {"header": "true"})
+    assert [(r.user_id, r.product_id, r.name) for r in enriched.collect()] == [(1, "1", "one")]
+    assert raw(spark, tmp_path).count() == 3
+
+
+def test_the_catalogue_is_measured_once(spark, tmp_path, products, monkeypatch):
+    measured = []
+    monkeypatch.setattr(ingest, "fits_broadcast", lambda df: measured.append(1) or True)
+    for n in range(5):
+        drop(tmp_path / "in", f"{n}.json", event(n))
+    assert run_ingest(spark, tmp_path, products) == 5
+    assert len(measured) == 1
+    catalogue = ingest.Catalogue(products, refresh=2)
+    assert [catalogue.may_broadcast() for _ in range(5)] == [True] * 5
+    assert len(measured) == 4
+
+
 def test_null_and_absent_name_embed_the_same(spark, tmp_path):
     absent = json.loads(event(1))
     absent.pop("name")
