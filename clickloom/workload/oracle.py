@@ -156,7 +156,7 @@ combined AS (
 _PROFILED = " UNION ALL ".join(
     f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({name}) AS n_nulls, "
     f"min({name})::VARCHAR AS min_value, max({name})::VARCHAR AS max_value FROM events"
-    for name in ["event_id", "user_id", "event_type", "props"]
+    for name in ["event_id", "ts", "user_id", "event_type", "value", "props"]
 )
 
 ORACLE: dict[str, str] = {
@@ -176,6 +176,8 @@ ORACLE: dict[str, str] = {
     "session_time": _with(_B, _P, _N, _SPENT)
     + "SELECT user_session, sum(time_spent) AS total_time_spent FROM spent GROUP BY ALL",
     "enriched_events": _with(_B, _P, _ENRICHED) + "SELECT * FROM enriched",
+    "enriched_events_mixed_keys": _with(_B, _P, _ENRICHED.replace("JOIN p USING (product_id)", "JOIN p USING (product_id) WHERE event_id % 100 <> 0"))
+    + "SELECT * REPLACE (product_id::VARCHAR AS product_id) FROM enriched",
     "enriched_events_broadcast": _with(_B, _P, _ENRICHED) + "SELECT * FROM enriched",
     "category_codes": _with(_P) + "SELECT product_id, category_code FROM p",
     "catalogue_merge": _with(_B, _P, _ENRICHED)
@@ -200,16 +202,16 @@ SELECT strftime(l_shipdate, '%Y-%m-%d'), 'purchase', l_partkey::VARCHAR, NULL, l
        (SELECT count(*) FROM (SELECT DISTINCT product_id FROM b)) AS distinct_product_id""",
     "profile_events": _PROFILED,
     "distinct_documents": "SELECT DISTINCT text, lang, source FROM documents",
-    "except_rows": "SELECT c_custkey FROM customer "
-    "EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'",
+    "except_rows": "SELECT l_partkey AS part, l_suppkey AS number FROM lineitem "
+    "EXCEPT SELECT l_partkey, l_quantity::BIGINT FROM lineitem",
     "union_by_name": "SELECT c_name AS name, c_nationkey::BIGINT AS nation, c_acctbal AS balance, "
     "c_mktsegment AS segment FROM customer "
     "UNION ALL SELECT s_name, s_nationkey::BIGINT, s_acctbal, NULL FROM supplier",
     "ordered_limit": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey LIMIT 1000",
     "filled_measures": "SELECT c_custkey, c_mktsegment, "
     "(SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n_orders FROM customer",
-    "laid_out_by_user": "SELECT event_id, user_id FROM events",
-    "laid_out_evenly": "SELECT event_id, user_id FROM events",
+    "laid_out_by_user": "SELECT user_id, 1::BIGINT AS parts, count(*) AS n_events FROM events GROUP BY user_id",
+    "laid_out_evenly": "SELECT 7::BIGINT AS parts, count(*) AS n_events, TRUE AS even FROM events",
     "combined_attributes": _with(_B, _P, _ENRICHED)
     + """SELECT user_session, event_time, concat_ws(' ', user_id::VARCHAR, product_id::VARCHAR, name, brand, category_code,
        price::VARCHAR, event_type, event_time, user_session) AS combined_attributes FROM enriched""",
@@ -222,7 +224,8 @@ SELECT strftime(l_shipdate, '%Y-%m-%d'), 'purchase', l_partkey::VARCHAR, NULL, l
     "dead_letters": _with(_B, _P, _N, _MESSAGES)
     + """SELECT '{"user_session":"' || substr(user_session, 1, 3) AS value, "partition", "offset"
 FROM m WHERE event_id % 100 = 1""",
-    "encode_events_json": "SELECT event_id, user_id, event_type, value AS amount FROM events",
+    "encode_events_json": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS event_time, user_id, event_type, "
+    "value AS amount, props FROM events",
     "point_ids": _with(_B) + f"SELECT event_id, {_point_id()} AS point_id FROM b",
     "embed_text": _with(_B, _P)
     + """SELECT event_id, coalesce(name, '') || ' ' || coalesce(event_type, '') AS embed_text
@@ -231,6 +234,11 @@ FROM b LEFT JOIN (
 ) USING (product_id)""",
     "topic_message_count": "SELECT sum(messages)::BIGINT AS messages FROM (SELECT max(event_id // 4) - min(event_id // 4) + 1 "
     "AS messages FROM events GROUP BY event_id % 4)",
+    "topic_counts": """SELECT topic, sum(messages)::BIGINT AS messages FROM (
+  SELECT topic, max(o) - min(o) + 1 AS messages FROM (
+    SELECT event_id % 4 AS p, event_id // 4 AS o, CASE WHEN event_id // 4 % 3 = 0 THEN 'orders' ELSE 'events' END AS topic FROM events
+  ) GROUP BY topic, p
+) GROUP BY topic""",
     "topic_partition_counts": """SELECT event_id % 4 AS "partition", min(event_id // 4) AS earliest,
        max(event_id // 4) + 1 AS latest, max(event_id // 4) + 1 - min(event_id // 4) AS messages
 FROM events GROUP BY event_id % 4""",
@@ -245,11 +253,13 @@ WITH letters AS (
 SELECT product_id, (unicode(letter) % 130)::BIGINT AS bucket, count(*)::DOUBLE AS weight FROM letters
 WHERE unicode(letter) % 130 < 128 GROUP BY ALL""",
     "name_vectors": _with(_B, _P, _ENRICHED, _NAME_CELLS)
-    + f"""SELECT user_session, event_time, product_id::VARCHAR AS product_id, name, {_CELL}
+    + f"""SELECT user_session, event_time, event_type, product_id::VARCHAR AS product_id, category_code, brand,
+       price::VARCHAR AS price, user_id::VARCHAR AS user_id, name, {_CELL}
 FROM (SELECT DISTINCT * FROM enriched) LEFT JOIN cells USING (name)""",
     "retrain_vectors": _with(_B, _P, _ENRICHED, _NAME_CELLS)
     + f"""SELECT user_session, substr(event_time, 1, 19) || ' UTC' AS event_time, product_id::VARCHAR AS product_id,
-       category_code, {_CELL} FROM enriched LEFT JOIN cells USING (name)""",
+       user_id::VARCHAR AS user_id, name, brand, category_code, price::VARCHAR AS price, event_type, {_CELL}
+FROM enriched LEFT JOIN cells USING (name)""",
     "truncate_vectors": _cells_of_list("embeddings", "vec_id", "embedding[1:48]"),
     "vector_contract": "SELECT vec_id, CASE vec_id % 10 WHEN 1 THEN 'dimension' WHEN 2 THEN 'missing' "
     "WHEN 3 THEN 'element' ELSE 'good' END AS verdict FROM embeddings",
@@ -264,6 +274,44 @@ WHERE word <> '' GROUP BY word HAVING count(*) >= 10""",
     + "SELECT product_id, 128 AS dimension, label IN (SELECT txt FROM known) AS has_words FROM combined",
     "word2vec_behavior_shape": _with(_B, _P, _N, _known("n", "name", 0))
     + "SELECT user_id, product_id, name, 128 AS dimension, name IN (SELECT txt FROM known) AS has_words FROM n",
+    "word2vec_means": _with(_B, _P, _N) + "SELECT DISTINCT name, 128::BIGINT AS dimension, TRUE AS is_mean FROM n",
+    "combined_vectors_hashed": _with(
+        _B,
+        _P,
+        _ENRICHED.replace("SELECT b.user_id", "SELECT DISTINCT b.user_id"),
+        "combined AS (SELECT row_number() OVER () AS k, * FROM ("
+        + _COMBINED.strip().removeprefix("combined AS (").removesuffix(")")
+        + "))",
+        _embedded("combined", "k", "label", _kept("label")),
+    )
+    + f"SELECT product_id, {_CELL} FROM combined LEFT JOIN cells USING (k)",
+    "csv_times": _with(_B) + f"SELECT event_id, strftime(ts, {_MICROS}) AS event_time FROM b",
+    "csv_reordered": """SELECT CASE WHEN p_partkey % 5 <> 0 THEN p_partkey END AS p_partkey,
+       CASE WHEN p_partkey % 5 <> 0 THEN p_brand END AS p_brand, CASE WHEN p_partkey % 5 <> 0 THEN p_name END AS p_name,
+       CASE WHEN p_partkey % 5 = 0 THEN p_name || ',' || p_brand END AS line FROM part""",
+    "csv_single_file": "SELECT 1::BIGINT AS files, count(*) AS n_rows FROM orders",
+    "topic_read": _with(_B, _P, _N, _MESSAGES)
+    + """, texts AS (
+  SELECT CASE WHEN event_id % 100 = 0 THEN NULL
+              ELSE to_json({user_session: user_session, user_id: user_id, product_id: product_id, name: name,
+                            event_type: event_type, event_time: strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')})::VARCHAR END AS json,
+         event_id, "partition", "offset", copies FROM m
+)
+SELECT CASE WHEN event_id % 100 = 1 THEN substr(json, 1, 20) ELSE json END AS value, "partition", "offset"
+FROM texts, range(copies)""",
+    "topic_stream": _with(_B, _P, _N, _MESSAGES)
+    + """, texts AS (
+  SELECT to_json({user_session: user_session, user_id: user_id, product_id: product_id, name: name,
+                  event_type: event_type, event_time: strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')})::VARCHAR AS json, user_session,
+         event_id, copies FROM m WHERE event_id % 100 <> 0
+)
+SELECT CASE WHEN event_id % 100 <> 1 THEN user_session END AS user_session,
+       CASE WHEN event_id % 100 = 1 THEN 20 ELSE length(json)::INTEGER END AS length FROM texts, range(copies)""",
+    "retrain_message": "SELECT 'data_ready' AS event, count(*)::VARCHAR || ' points' AS message, TRUE AS has_timestamp FROM embeddings",
+    "stream_restart": _with(_B, _P, _N, _MESSAGES) + "SELECT product_id, count(*) AS n FROM good GROUP BY product_id",
+    "stream_bounded_batches": _with(_B, _P, _N, _MESSAGES)
+    + """SELECT 3::BIGINT AS batches, (SELECT count(*) FROM good) AS good, count(*) AS dead FROM m, range(copies)
+WHERE event_id % 100 = 1""",
     "csv_roundtrip": _PART,
     "csv_inferred": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice + 0.25::DOUBLE AS p_retailprice FROM part",
     "csv_quoted": f'SELECT p_partkey AS "productID", {_DESCRIPTION} AS new_description FROM part',
@@ -279,13 +327,13 @@ FROM (SELECT *, p_partkey % 5 AS k FROM part)""",
     "retrain_event": "SELECT 'data_ready' AS event, 'New vectors are loaded. The model should be retrained.' AS message, "
     "count(*) AS n_points, TRUE AS has_timestamp FROM embeddings",
     "stream_ingest": _with(_B, _P, _N, _MESSAGES)
-    + """SELECT user_id, product_id, event_type, floor(epoch(ts))::BIGINT AS event_second, user_session, p.name, brand,
+    + f"""SELECT user_id, product_id, event_type, strftime(ts, {_MICROS}) AS event_time, user_session, p.name, brand,
        category_code, price
 FROM (SELECT * EXCLUDE (name) FROM good) g JOIN p ON p.product_id::VARCHAR = g.product_id""".replace(
         "SELECT user_id, product_id,", "SELECT user_id, g.product_id,"
     ),
     "stream_ingest_raw": _with(_B, _P, _N, _MESSAGES)
-    + f"SELECT user_session, product_id, name, event_type, strftime(ts, {_MICROS}) AS event_time FROM good",
+    + f"SELECT user_session, user_id, product_id, name, event_type, strftime(ts, {_MICROS}) AS event_time FROM good",
     "stream_vector_upsert": _with(
         _B,
         _P,
@@ -294,14 +342,16 @@ FROM (SELECT * EXCLUDE (name) FROM good) g JOIN p ON p.product_id::VARCHAR = g.p
         f"""
 points AS (
   SELECT DISTINCT {_point_id("event_time")} AS point_id, user_id::VARCHAR AS user_id, name, event_time,
-         name || ' ' || event_type AS label
+         user_session, product_id, event_type, name || ' ' || event_type AS label
   FROM (SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time FROM good)
 )""",
         _embedded("points", "point_id", "label", _words("label")),
     )
-    + f"SELECT point_id, user_id, name, event_time, {_CELL} FROM points LEFT JOIN cells USING (point_id)",
+    + f"""SELECT point_id, user_session, user_id, product_id, name, event_type, event_time, {_CELL}
+FROM points LEFT JOIN cells USING (point_id)""",
 }
 ORACLE["hash_embedding_distinct"] = ORACLE["hash_embedding"]
+ORACLE["stream_vector_upsert_compacted"] = ORACLE["stream_vector_upsert"]
 ORACLE["load_names"] = ORACLE["name_vectors"]
 ORACLE["load_retrain"] = ORACLE["retrain_vectors"]
 ORACLE["interaction_scores_hot_sessions"] = ORACLE["interaction_scores"]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from clickloom import schemas, session
 from clickloom.functions import scalars, text, vectors
-from clickloom.functions.embedders import ModelEmbedder
+from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
 from clickloom.operators import aggregates, rows, sessions
 from clickloom.plans import buyers, enrichment, loads, retrain, scoring
 from clickloom.plans import vectors as vector_plans
@@ -154,6 +154,14 @@ def enriched_events_hot_products(spark, sf_dir):
     return _readable(enriched)
 
 
+@query
+def enriched_events_mixed_keys(spark, sf_dir):
+    """Event keys as text, every hundredth dirty, against the catalogue's numbers."""
+    dirty = F.when(F.col("event_id") % 100 == 0, F.concat(F.lit("x"), "product_id"))
+    events = behaviors(spark, sf_dir).withColumn("product_id", F.coalesce(dirty, F.col("product_id").cast("string")))
+    return _readable(enrichment.enrich_events(events, products(spark, sf_dir), broadcast=True))
+
+
 @query
 def category_codes(spark, sf_dir):
     return enrichment.product_dimension(products(spark, sf_dir)).select("product_id", "category_code")
@@ -239,8 +247,7 @@ def distinct_counts(spark, sf_dir):
 
 @query
 def profile_events(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return aggregates.profile(events, ["event_id", "user_id", "event_type", "props"])
+    return aggregates.profile(table(spark, sf_dir, "events"))
 
 
 @query
@@ -250,9 +257,11 @@ def distinct_documents(spark, sf_dir):
 
 @query
 def except_rows(spark, sf_dir):
-    customers = table(spark, sf_dir, "customer").select("c_custkey")
-    urgent = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'")
-    return rows.rows_except(customers, urgent.select(F.col("o_custkey").alias("c_custkey")))
+    """Parts and suppliers of all line items that are not those of equal line numbers and quantities."""
+    lines = table(spark, sf_dir, "lineitem")
+    ordered = lines.select(F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("number"))
+    quantities = lines.select(F.col("l_partkey").alias("part"), F.col("l_quantity").cast("bigint").alias("number"))
+    return rows.rows_except(ordered, quantities)
 
 
 _PARTY = T.StructType(
@@ -297,12 +306,20 @@ def filled_measures(spark, sf_dir):
 
 @query
 def laid_out_by_user(spark, sf_dir):
-    return rows.by_hash(table(spark, sf_dir, "events").select("event_id", "user_id"), ["user_id"])
+    """Parts of the layout that hold a user's events: one, though the events come spread over many."""
+    events = rows.evenly(table(spark, sf_dir, "events").select("event_id", "user_id"), 7)
+    placed = rows.by_hash(events, ["user_id"], 5).withColumn("part", F.spark_partition_id())
+    return placed.groupBy("user_id").agg(F.count_distinct("part").alias("parts"), F.count("*").alias("n_events"))
 
 
 @query
 def laid_out_evenly(spark, sf_dir):
-    return rows.evenly(table(spark, sf_dir, "events").select("event_id", "user_id"))
+    """Seven parts that differ little, from events laid out by their type, of which there are five."""
+    events = rows.by_hash(table(spark, sf_dir, "events").select("event_id", "event_type"), ["event_type"], 7)
+    placed = rows.evenly(events, 7).groupBy(F.spark_partition_id().alias("part")).count()
+    return placed.agg(
+        F.count("*").alias("parts"), F.sum("count").alias("n_events"), (F.max("count") - F.min("count") < 200).alias("even")
+    )
 
 
 # --- scalar functions ---------------------------------------------------------------------------
@@ -315,7 +332,9 @@ def combined_attributes(spark, sf_dir):
 
 @query
 def event_time_utc_label(spark, sf_dir):
-    return behaviors(spark, sf_dir).select("event_id", scalars.utc_label("event_time").alias("label"))
+    """Labelled in a session of another zone, which is put back."""
+    labels = behaviors(spark, sf_dir).select("event_id", scalars.utc_label("event_time").alias("label"))
+    return _elsewhere(spark, labels)
 
 
 @query
@@ -324,10 +343,26 @@ def parse_event_time(spark, sf_dir):
     texts = behaviors(spark, sf_dir).select(
         "event_id", F.when(F.col("event_id") % 7 == 0, F.lit("not a time")).otherwise(millis).alias("time_text")
     )
-    parsed = texts.withColumn("parsed", scalars.parse_event_time("time_text"))
+    texts = texts.select("event_id", "time_text")
+    folder = session.shared_dir(spark, "times")
+    texts.write.parquet(folder)
+    parsed = spark.read.parquet(folder).withColumn("parsed", scalars.parse_event_time("time_text")).drop("time_text")
+    parsed = _elsewhere(spark, parsed)
     return parsed.select("event_id", micros_text("parsed").alias("parsed"), F.coalesce(F.unix_timestamp("parsed"), F.lit(-1)).alias("seconds"))
 
 
+def _elsewhere(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` as a session with another zone computes it."""
+    folder = session.shared_dir(spark, "elsewhere")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return spark.read.parquet(folder)
+
+
 @query
 def parse_events_json(spark, sf_dir):
     good, _ = topics.parse_records(messages(spark, sf_dir), keep=["partition", "offset"])
@@ -351,12 +386,16 @@ def dead_letters(spark, sf_dir):
 
 @query
 def encode_events_json(spark, sf_dir):
-    encoded = topics.encode_records(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value"))
-    return encoded.select(
-        F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
-        F.get_json_object("value", "$.user_id").cast("bigint").alias("user_id"),
-        F.get_json_object("value", "$.event_type").alias("event_type"),
-        F.get_json_object("value", "$.value").cast("double").alias("amount"),
+    encoded = topics.encode_records(table(spark, sf_dir, "events"))
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in table(spark, sf_dir, "events").columns])
+    one = encoded.select(F.from_json("value", fields).alias("e"))
+    return one.select(
+        F.col("e.event_id").cast("bigint").alias("event_id"),
+        F.date_format(F.col("e.ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS").alias("event_time"),
+        F.col("e.user_id").cast("bigint").alias("user_id"),
+        F.col("e.event_type").alias("event_type"),
+        F.col("e.value").cast("double").alias("amount"),
+        F.col("e.props").alias("props"),
     )
 
 
@@ -384,6 +423,13 @@ def topic_partition_counts(spark, sf_dir):
     return topics.partition_counts(_positions(spark, sf_dir))
 
 
+@query
+def topic_counts(spark, sf_dir):
+    """Two topics, their partitions numbered alike."""
+    topic = F.when(F.col("offset") % 3 == 0, "orders").otherwise("events").alias("topic")
+    return topics.topic_counts(_positions(spark, sf_dir).select("*", topic))
+
+
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         (F.col("event_id") % 4).alias("partition"), F.expr("event_id div 4").alias("offset")
@@ -442,13 +488,13 @@ def model_embedding(spark, sf_dir):
 @query
 def name_vectors(spark, sf_dir):
     points = vector_plans.name_points(dataset(spark, sf_dir))
-    return _weights(points, ["user_session", "event_time", "product_id", "name"])
+    return _weights(points, schemas.DATASET.fieldNames())
 
 
 @query
 def retrain_vectors(spark, sf_dir):
     points = vector_plans.retrain_points(dataset(spark, sf_dir))
-    return _weights(points, ["user_session", "event_time", "product_id", "category_code"])
+    return _weights(points, [name for name in vector_plans.TRAINING_COLUMNS if name != "vector"])
 
 
 @query
@@ -530,6 +576,32 @@ def word2vec_behavior_shape(spark, sf_dir):
     return _shape(word2vec_behavior(spark, sf_dir), ["user_id", "product_id", "name"])
 
 
+def _means(words: DataFrame, text: str, settings) -> DataFrame:
+    """Whether each vector is the mean of its words' vectors, an unknown word counting as zero."""
+    tokens = vector_plans.word_tokens(words, text)
+    model = vector_plans.fit_word2vec(tokens, settings)
+    found = vector_plans.word2vec_vectors(words.select(text), text, settings, model).distinct()
+    known = model.getVectors().select("word", vectors.float_array("vector").alias("known"))
+    exploded = tokens.select(text, "_words").distinct().select(text, F.size("_words").alias("n"), F.explode_outer("_words").alias("word"))
+    each = exploded.join(known, "word", "left").select(text, "n", F.posexplode_outer("known").alias("place", "x"))
+    sums = each.filter("place IS NOT NULL").groupBy(text, "place").agg((F.sum(F.col("x").cast("double")) / F.first("n")).alias("mean"))
+    cells = found.select(text, F.posexplode("vector").alias("place", "got"))
+    off = F.abs(F.col("got") - F.coalesce("mean", F.lit(0.0)))
+    return cells.join(sums, [text, "place"], "left").groupBy(text).agg(F.count("*").alias("dimension"), (F.max(off) < 1e-5).alias("is_mean"))
+
+
+@query
+def word2vec_means(spark, sf_dir):
+    """The vectors of all product names that occur, against the mean over all words, known or not."""
+    settings = vector_plans.Word2VecSettings(min_count=10)
+    return _means(named_behaviors(spark, sf_dir).select("name"), "name", settings)
+
+
+@query
+def combined_vectors_hashed(spark, sf_dir):
+    return _weights(vector_plans.combined_vectors(dataset(spark, sf_dir).distinct(), embedder=HashingEmbedder()), ["product_id"])
+
+
 # --- files, sinks and streams -------------------------------------------------------------------
 
 
@@ -586,6 +658,74 @@ def csv_quarantine(spark, sf_dir):
     return marked.withColumnRenamed(schemas.CORRUPT, "line")
 
 
+@query
+def csv_times(spark, sf_dir):
+    """Event times down to the microsecond, written and read back."""
+    path = session.shared_dir(spark, "csv-times")
+    events = behaviors(spark, sf_dir).select("event_id", "event_time")
+    files.write_csv(events, path)
+    return _readable(schemas.conform(files.read_csv_text(spark, path), events.schema))
+
+
+@query
+def csv_reordered(spark, sf_dir):
+    """Parts in files with another order of columns and one more, some lines broken."""
+    path = session.shared_dir(spark, "csv-reordered")
+    key = F.col("p_partkey")
+    line = F.when(key % 5 == 0, F.concat_ws(",", "p_name", "p_brand")).otherwise(F.concat_ws(",", "p_name", F.lit("more"), "p_partkey", "p_brand"))
+    lines = _part(spark, sf_dir).select(F.lit(1).alias("place"), line.alias("value"), (key % 3).alias("file"))
+    header = spark.range(1).select(F.lit(0).alias("place"), F.lit("p_name,other,p_partkey,p_brand").alias("value"))
+    for number in range(3):
+        own = header.union(lines.filter(F.col("file") == number).drop("file"))
+        own.repartition(1).sortWithinPartitions("place").select("value").write.text(f"{path}/file-{number}")
+    schema = T.StructType([T.StructField(n, t) for n, t in (("p_partkey", T.LongType()), ("p_brand", T.StringType()), ("p_name", T.StringType()))])
+    good, bad = files.split_corrupt(files.read_csv_checked(spark, f"{path}/file-*", schema))
+    marked = good.withColumn(schemas.CORRUPT, F.lit(None).cast("string"))
+    broken = bad.select(*[F.lit(None).cast(good.schema[n].dataType).alias(n) for n in good.columns], schemas.CORRUPT)
+    return marked.unionByName(broken).withColumnRenamed(schemas.CORRUPT, "line")
+
+
+@query
+def csv_single_file(spark, sf_dir):
+    """All orders in one file."""
+    path = session.shared_dir(spark, "csv-single")
+    files.write_csv(rows.evenly(table(spark, sf_dir, "orders").select("o_orderkey"), 5), path, single_file=True)
+    read = spark.read.csv(path, header=True).select(F.input_file_name().alias("file"))
+    return read.agg(F.count_distinct("file").alias("files"), F.count("*").alias("n_rows"))
+
+
+@query
+def topic_read(spark, sf_dir):
+    """The topic's records written and read in batch, by the format of files."""
+    path = {"path": session.shared_dir(spark, "topic-batch")}
+    topics.write_topic(messages(spark, sf_dir), path, "parquet")
+    return topics.read_topic(spark, path, "parquet")
+
+
+@query
+def topic_stream(spark, sf_dir):
+    """The topic's records as an endless stream of files, one file a batch, drained into a table."""
+    out, checkpoint = session.shared_dir(spark, "drained"), session.shared_dir(spark, "checkpoint")
+    records = topics.stream_topic(spark, {"path": _arrive(spark, sf_dir), "maxFilesPerTrigger": "1"}, "text")
+    writer = records.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer.start(out).awaitTermination()
+    return spark.read.parquet(out).select(F.get_json_object("value", "$.user_session").alias("user_session"), F.length("value").alias("length"))
+
+
+@query
+def retrain_message(spark, sf_dir):
+    """The retrain event sent to a topic as JSON and read back."""
+    points = table(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
+    n = vector_sink.write_points(points, "parquet", {"path": session.shared_dir(spark, "points")}, dimension=64)
+    topic = {"path": session.shared_dir(spark, "retrain-topic")}
+    topics.write_topic(retrain.as_topic_value(retrain.retrain_event(spark, n, f"{n} points")), topic, "text")
+    return topics.read_topic(spark, topic, "text").select(
+        F.get_json_object("value", "$.event").alias("event"),
+        F.get_json_object("value", "$.message").alias("message"),
+        (F.get_json_object("value", "$.timestamp").cast("bigint") > 0).alias("has_timestamp"),
+    )
+
+
 @query
 def parquet_roundtrip(spark, sf_dir):
     path = session.shared_dir(spark, "parquet")
@@ -619,7 +759,7 @@ def load_names(spark, sf_dir):
     collection = loads.Collection(options={"path": target})
     loads.load_names(good, collection)
     loads.load_names(good, collection)
-    return _weights(spark.read.parquet(target), ["user_session", "event_time", "product_id", "name"])
+    return _weights(spark.read.parquet(target), schemas.DATASET.fieldNames())
 
 
 @query
@@ -628,7 +768,7 @@ def load_retrain(spark, sf_dir):
     path, target = session.shared_dir(spark, "extract"), session.shared_dir(spark, "points")
     files.write_csv(dataset(spark, sf_dir), path)
     loads.load_retrain(spark, path, loads.Collection(options={"path": target}))
-    return _weights(spark.read.parquet(target), ["user_session", "event_time", "product_id", "category_code"])
+    return _weights(spark.read.parquet(target), [name for name in vector_plans.TRAINING_COLUMNS if name != "vector"])
 
 
 @query
@@ -662,7 +802,7 @@ def stream_ingest(spark, sf_dir):
         F.col("user_id").cast("bigint"),
         "product_id",
         "event_type",
-        F.unix_timestamp("event_time").alias("event_second"),
+        micros_text("event_time").alias("event_time"),
         "user_session",
         "name",
         "brand",
@@ -677,7 +817,37 @@ def stream_ingest_raw(spark, sf_dir):
     lines = topics.stream_lines(spark, _arrive(spark, sf_dir), 4)
     ingest.ingest_stream(lines, _string_products(spark, sf_dir), ingest.folder_sinks(out), checkpoint).awaitTermination()
     raw = sinks.read_batches(spark, f"{out}/behaviors", schemas.BEHAVIOR).drop(sinks.BATCH)
-    return raw.select("user_session", "product_id", "name", "event_type", micros_text("event_time").alias("event_time"))
+    return raw.select(
+        "user_session", F.col("user_id").cast("bigint"), "product_id", "name", "event_type", micros_text("event_time").alias("event_time")
+    )
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """The same stream stopped and started again when more records have come; each record counts once."""
+    out, checkpoint = session.shared_dir(spark, "ingest"), session.shared_dir(spark, "checkpoint")
+    path = session.shared_dir(spark, "topic")
+    records = rows.without_tombstones(messages(spark, sf_dir))
+    for part in (0, 1):
+        records.filter(F.col("offset") % 2 == part).select("value").write.mode("append").text(path)
+        lines = topics.stream_lines(spark, path, 2)
+        ingest.ingest_stream(lines, _string_products(spark, sf_dir), ingest.folder_sinks(out), checkpoint).awaitTermination()
+    raw = sinks.read_batches(spark, f"{out}/behaviors", schemas.BEHAVIOR)
+    return raw.groupBy("product_id").agg(F.count("*").alias("n"))
+
+
+@query
+def stream_bounded_batches(spark, sf_dir):
+    """One file a batch: the batches' own counts of records, good and bad, add up."""
+    out, checkpoint = session.shared_dir(spark, "ingest"), session.shared_dir(spark, "checkpoint")
+    path = session.shared_dir(spark, "topic")
+    rows.without_tombstones(messages(spark, sf_dir)).select("value").repartition(3).write.text(path)
+    lines = topics.stream_lines(spark, path, 1)
+    ingest.ingest_stream(lines, _string_products(spark, sf_dir), ingest.folder_sinks(out), checkpoint).awaitTermination()
+    good = sinks.read_batches(spark, f"{out}/behaviors", schemas.BEHAVIOR).select(sinks.BATCH)
+    dead = sinks.read_batches(spark, f"{out}/dead_letters", T.StructType([T.StructField("value", T.StringType())])).select(sinks.BATCH)
+    both = good.select("*", F.lit(1).alias("good")).unionByName(dead.select("*", F.lit(0).alias("good")))
+    return both.agg(F.count_distinct(sinks.BATCH).alias("batches"), F.sum("good").alias("good"), F.count_if(F.col("good") == 0).alias("dead"))
 
 
 @query
@@ -686,4 +856,22 @@ def stream_vector_upsert(spark, sf_dir):
     lines = topics.stream_lines(spark, _arrive(spark, sf_dir), 4)
     points, dead = sinks.batch_folder(f"{out}/points"), sinks.batch_folder(f"{out}/dead_letters")
     upsert.upsert_stream(lines, points, dead, checkpoint, until_now=True).awaitTermination()
-    return _weights(sinks.read_points(spark, f"{out}/points", upsert.POINT), ["point_id", "user_id", "name", "event_time"])
+    return _point_weights(sinks.read_points(spark, f"{out}/points", upsert.POINT))
+
+
+def _point_weights(points: DataFrame) -> DataFrame:
+    return _weights(points, ["point_id", *upsert.PAYLOAD.fieldNames()])
+
+
+@query
+def stream_vector_upsert_compacted(spark, sf_dir):
+    """The same with the batches compacted between two runs of the stream."""
+    out, checkpoint = session.shared_dir(spark, "upsert"), session.shared_dir(spark, "checkpoint")
+    path = session.shared_dir(spark, "topic")
+    points, dead = sinks.batch_folder(f"{out}/points"), sinks.batch_folder(f"{out}/dead_letters")
+    records = rows.without_tombstones(messages(spark, sf_dir))
+    for part in (0, 1):
+        records.filter(F.col("offset") % 2 == part).select("value").repartition(4).write.mode("append").text(path)
+        upsert.upsert_stream(topics.stream_lines(spark, path, 2), points, dead, checkpoint, until_now=True).awaitTermination()
+        sinks.compact_points(spark, f"{out}/points", upsert.POINT)
+    return _point_weights(sinks.read_points(spark, f"{out}/points", upsert.POINT))
