@@ -7,8 +7,9 @@ set's value there. Similar sets go on together, others part. A node of few sets
 a larger one is split again; what is still large at the last level is compared in blocks, so nothing is
 left out. All runs go down together, and there are as many as the target recall needs.
 
-Most pairs meet several times. The nodes of the first level that are compared are known to every set in
-them, so a pair is looked at only in the first one that it shares.
+Most pairs meet several times. Every set knows the nodes in which it is compared, so a pair is looked at in
+the first one that it shares and nowhere else. Links therefore need not leave their node one by one: a node
+tells each of its sets how many links it has there and with which other sets it hangs together.
 """
 
 from __future__ import annotations
@@ -30,8 +31,12 @@ from clickloom.llm.components import components
 LENGTH = 128
 _PAIRS = 1 << 16
 SIGNED = "key long, row long, a long, b long, words long, tokens binary, low binary, full binary"
-WORK = "node long, token int, side int, crossed boolean, class long, mask long, tokens binary, low binary"
-LINKS = "a long, b long, shared long, together long"
+WORK = (
+    "node long, token int, side int, crossed boolean, origin long, class long, "
+    "mask long, origins array<long>, tokens binary, low binary"
+)
+TIES = "class long, partners long, root long"
+PAIRS = "a long, b long, shared long, together long"
 
 
 @dataclass(frozen=True)
@@ -198,14 +203,17 @@ class _Rows:
 
     def __init__(self, batch: pa.RecordBatch, count: int) -> None:
         column = {name: batch.column(n) for n, name in enumerate(batch.schema.names)}
-        for name in ("node", "token", "side", "crossed", "class", "mask"):
+        for name in ("node", "token", "side", "crossed", "origin", "class", "mask"):
             setattr(self, "set" if name == "class" else name, column[name].to_numpy(zero_copy_only=False))
+        lengths = pc.list_value_length(column["origins"]).to_numpy(zero_copy_only=False)
+        self.known = np.arange(max(1, int(lengths.max(initial=0)))) < lengths[:, None]
+        self.origins = np.zeros(self.known.shape, np.int64)
+        self.origins[self.known] = pc.list_flatten(column["origins"]).to_numpy(zero_copy_only=False)
         self.tokens = np.frombuffer(text_bytes(column["tokens"])[0].tobytes(), np.uint32).reshape(-1, count)
         self.low = np.frombuffer(text_bytes(column["low"])[0].tobytes(), np.uint8).reshape(-1, LENGTH)
 
     def pairs(self, least_equal: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of each node that are to be looked at here and whose estimate suffices."""
-        bits = np.int64(1) << np.arange(self.tokens.shape[1], dtype=np.int64)
         active, step = np.arange(len(self.node)), 0
         while True:
             step += 1
@@ -221,12 +229,28 @@ class _Rows:
                 left, right = left[fits], right[fits]
                 near = (self.low[left] == self.low[right]).sum(1) >= least_equal
                 left, right = left[near], right[near]
-                common = (self.tokens[left] == self.tokens[right]) & ((self.mask[left, None] & bits) != 0)
-                token = np.where(common.any(1), common.argmax(1), -1)
-                here = token == self.token[left]
+                here = self._first_here(left, right)
                 if here.any():
                     yield left[here], right[here]
 
+    def _first_here(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether this is the first node in which both are compared: those of the first level by their
+        token, then the others by their number."""
+        bits = np.int64(1) << np.arange(self.tokens.shape[1], dtype=np.int64)
+        common = (self.tokens[left] == self.tokens[right]) & ((self.mask[left, None] & bits) != 0)
+        first = np.where(common.any(1), common.argmax(1), -1)
+        here = first == self.token[left]
+        deep = np.flatnonzero(here & (first < 0))
+        if len(deep):
+            i, j = left[deep], right[deep]
+            lowest, met = np.zeros(len(deep), np.int64), np.zeros(len(deep), bool)
+            for n in range(self.origins.shape[1]):
+                same = (self.origins[i, n, None] == self.origins[j]) & self.known[j]
+                new = ~met & self.known[i, n] & same.any(1)
+                lowest[new], met = self.origins[i[new], n], met | new
+            here[deep] = met & (lowest == self.origin[i])
+        return here
+
 
 def _whole_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches regrouped so that no node is cut."""
@@ -259,36 +283,68 @@ def _with_partners(count: int, least_equal: int):
     return run
 
 
-def _verified(count: int, settings: Settings):
-    """Links: pairs whose shingle sets are really similar."""
+def _verified(batch: pa.RecordBatch, count: int, settings: Settings) -> Iterator[tuple[int, int, int, int]]:
+    """Links: pairs whose shingle sets are really similar, as rows of the batch, shared and together."""
+    over, under = settings.similarity.as_integer_ratio()
+    data, offsets = text_bytes(pc.utf8_lower(batch.column(batch.schema.names.index("text"))))
+    sets: list[np.ndarray] = []
+    for _, _, some, ends in slices(data, offsets):
+        shingles = Shingles(some, ends, settings.size)
+        sets += [np.unique(shingles.values[a:b]) for a, b in zip(shingles.edges[:-1], shingles.edges[1:], strict=True)]
+    for left, right in _Rows(batch, count).pairs(settings.least_equal):
+        for i, j in zip(left.tolist(), right.tolist(), strict=True):
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            together = len(sets[i]) + len(sets[j]) - shared
+            # 0.8 as a binary fraction is a hair above; a rounded comparison takes it as meant.
+            if shared * under >= over * together or abs(shared / together - settings.similarity) < 1e-12:
+                yield i, j, shared, together
+
+
+def _tied(count: int, settings: Settings):
+    """For each set of a node: the documents that it is linked with there, and the smallest set that links
+    inside the node lead to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        over, under = settings.similarity.as_integer_ratio()
         for batch in _whole_nodes(batches):
-            names = batch.schema.names
-            data, offsets = text_bytes(pc.utf8_lower(batch.column(names.index("text"))))
-            sets: list[np.ndarray] = []
-            for _, _, some, ends in slices(data, offsets):
-                shingles = Shingles(some, ends, settings.size)
-                sets += [np.unique(shingles.values[a:b]) for a, b in zip(shingles.edges[:-1], shingles.edges[1:], strict=True)]
-            rows = _Rows(batch, count)
-            for left, right in rows.pairs(settings.least_equal):
-                found = []
-                for i, j in zip(left.tolist(), right.tolist(), strict=True):
-                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    together = len(sets[i]) + len(sets[j]) - shared
-                    # 0.8 as a binary fraction is a hair above; a rounded comparison takes it as meant.
-                    if shared * under >= over * together or abs(shared / together - settings.similarity) < 1e-12:
-                        found.append((*sorted((int(rows.set[i]), int(rows.set[j]))), shared, together))
-                if found:
-                    columns = [pa.array(column, pa.int64()) for column in zip(*found, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=[field.split()[0] for field in LINKS.split(", ")])
+            own, copies = (batch.column(batch.schema.names.index(name)).to_pylist() for name in ("class", "copies"))
+            partners, parent = dict.fromkeys(range(len(own)), 0), list(range(len(own)))
+
+            def root(n: int) -> int:
+                while parent[n] != n:  # noqa: B023
+                    parent[n] = parent[parent[n]]  # noqa: B023
+                    n = parent[n]  # noqa: B023
+                return n
+
+            for i, j, _, _ in _verified(batch, count, settings):
+                partners[i] += copies[j]
+                partners[j] += copies[i]
+                low, high = sorted((root(i), root(j)), key=own.__getitem__)
+                parent[high] = low
+            linked = [n for n, found in partners.items() if found]
+            if linked:
+                columns = [[own[n] for n in linked], [partners[n] for n in linked], [own[root(n)] for n in linked]]
+                names = [field.split()[0] for field in TIES.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names=names)
+
+    return run
+
+
+def _paired(count: int, settings: Settings):
+    """The links one by one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [field.split()[0] for field in PAIRS.split(", ")]
+        for batch in _whole_nodes(batches):
+            own = batch.column(batch.schema.names.index("class")).to_pylist()
+            found = [(*sorted((own[i], own[j])), shared, together) for i, j, shared, together in _verified(batch, count, settings)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*found, strict=True)], names=names)
 
     return run
 
 
 def _levels(classes: DataFrame, settings: Settings) -> DataFrame:
-    """Sets in the nodes that are compared: node, token, side, crossed, class."""
+    """Sets in the nodes that are compared: node, token, side, crossed, origin, class."""
     count = len(settings.places)
     rows = classes.select("class", "tokens").mapInArrow(_first_level(count), "node long, token int, class long")
     parts = []
@@ -296,7 +352,7 @@ def _levels(classes: DataFrame, settings: Settings) -> DataFrame:
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
         rows, _ = stages.written(rows.join(sizes, "node"), "nodes")
         whole = rows.filter(F.col("sets") <= settings.largest_node)
-        parts.append(whole.select("node", "token", F.lit(0).alias("side"), F.lit(False).alias("crossed"), "class"))
+        parts.append(whole.select("node", "token", F.lit(0).alias("side"), F.lit(False).alias("crossed"), F.col("node").alias("origin"), "class"))
         rows = rows.filter(F.col("sets") > settings.largest_node)
         if rows.isEmpty():
             break
@@ -325,6 +381,7 @@ def _blocks(rows: DataFrame, settings: Settings) -> DataFrame:
         F.lit(-1).alias("token"),
         F.col("side").cast("int").alias("side"),
         (F.col("side") != F.col("other")).alias("crossed"),
+        F.col("node").alias("origin"),
         "class",
     )
 
@@ -334,13 +391,16 @@ class Join:
     """What the join found.
 
     ``members`` has key, row, class, first and copies; texts of one class have the same words. ``classes`` has
-    each class with the first key and the number of its documents, ``links`` the similar pairs of classes,
-    once each.
+    each class with the first key and the number of its documents. ``ties`` has, for each class in each node
+    where it has links, the documents linked there and a class that it hangs together with. ``pairs`` has the
+    links between classes one by one, each once; it is only computed where it is used, and its rows grow with
+    the square of a group.
     """
 
     members: DataFrame
     classes: DataFrame
-    links: DataFrame
+    ties: DataFrame
+    pairs: DataFrame
 
 
 def similarity_join(df: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> Join:
@@ -366,26 +426,29 @@ def similarity_join(df: DataFrame, key: str = "doc_id", text: str = "text", sett
         classes = classes.withColumn("class", F.when(nth == 1, F.col("first")).otherwise(beyond))
         classes, _ = stages.written(classes, "classes")
     count, narrow = len(settings.places), classes.select("class", "tokens", "low")
+    fields = [field.split()[0] for field in WORK.split(", ")]
     nodes = _levels(classes, settings)
     masks = nodes.filter("token >= 0").groupBy("class").agg(F.expr("bit_or(shiftleft(1L, token))").alias("mask"))
-    work = nodes.join(narrow.join(masks, "class", "left"), "class")
-    work = work.select(*[F.coalesce("mask", F.lit(0).cast("long")).alias("mask") if field.startswith("mask") else field.split()[0] for field in WORK.split(", ")])
+    deep = nodes.filter("token < 0").groupBy("class").agg(F.sort_array(F.collect_set("origin")).alias("origins"))
+    work = nodes.join(narrow.join(masks, "class", "left").join(deep, "class", "left"), "class")
+    empty = {"mask": F.lit(0).cast("long"), "origins": F.array().cast("array<long>")}
+    work = work.withColumns({name: F.coalesce(name, value) for name, value in empty.items()}).select(*fields)
     sorted_work = work.repartition("node").sortWithinPartitions("node")
     found, _ = stages.written(sorted_work.mapInArrow(_with_partners(count, settings.least_equal), WORK), "partners")
     texts = df.select(F.col(key).cast("long").alias("class"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
-    wanted = found.select("class").distinct().join(classes.select("class", "row"), "class")
+    wanted = found.select("class").distinct().join(classes.select("class", "row", "copies"), "class")
     wanted, _ = stages.written(wanted, "partner-classes")
     if wanted.count() <= settings.broadcast_rows:
         wanted = F.broadcast(wanted)
-    texts = texts.join(wanted, ["class", "row"], "left_semi").dropDuplicates(["class", "row"]).drop("row")
-    checked = found.join(texts, "class").repartition("node").sortWithinPartitions("node")
-    links = checked.select("node", *[f.split()[0] for f in WORK.split(", ")[1:]], "text").mapInArrow(_verified(count, settings), LINKS)
-    links, _ = stages.written(links.dropDuplicates(["a", "b"]), "similar")
+    texts = texts.join(wanted, ["class", "row"]).dropDuplicates(["class", "row"]).drop("row")
+    checked = found.join(texts, "class").repartition("node").sortWithinPartitions("node").select(*fields, "text", "copies")
+    ties, _ = stages.written(checked.mapInArrow(_tied(count, settings), TIES), "ties")
+    pairs = checked.mapInArrow(_paired(count, settings), PAIRS)
     known = classes.select(*ids, "class", "first", "copies")
     members = documents.select("key", "row", *ids).join(known, ids).select("key", "row", "class", "first", "copies")
     rest = signatures.filter("key IS NULL OR words = 0").select("key", "row").distinct()
     rest = rest.select("key", "row", *[F.lit(None).cast("long").alias(name) for name in ("class", "first", "copies")])
-    return Join(members.union(rest), classes.select("class", "first", "copies"), links)
+    return Join(members.union(rest), classes.select("class", "first", "copies"), ties, pairs)
 
 
 def linked_documents(join: Join) -> DataFrame:
@@ -395,11 +458,9 @@ def linked_documents(join: Join) -> DataFrame:
     documents that are similar to this one, its copies among them; ``chosen`` is true for one document of
     each group. A document in no class is its own group.
     """
-    both = join.links.select("a", "b").union(join.links.select("b", "a")).toDF("class", "other")
-    copies = join.classes.select(F.col("class").alias("other"), "copies")
-    partners = both.join(copies, "other").groupBy("class").agg(F.sum("copies").alias("partners"))
+    partners = join.ties.groupBy("class").agg(F.sum("partners").alias("partners"))
     lowest = join.classes.select(F.col("class").alias("component"), F.col("first").alias("lowest"))
-    groups = components(join.links).join(lowest, "component").withColumnRenamed("node", "class")
+    groups = components(join.ties.select(F.col("class").alias("a"), F.col("root").alias("b"))).join(lowest, "component").withColumnRenamed("node", "class")
     result = join.members.join(partners, "class", "left").join(groups, "class", "left")
     links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("partners", F.lit(0))
     leads = F.coalesce(F.col("component") == F.col("class"), F.lit(True))

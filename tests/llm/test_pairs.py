@@ -73,10 +73,17 @@ def test_linked_documents(spark, largest):
     rows = documents()
     df = spark.createDataFrame([(*row, "r", "c") for row in rows], "doc_id long, text string, row string, class string").repartition(5)
     settings = replace(jaccard.Settings(), largest_node=largest, levels=2)
-    linked = jaccard.linked_documents(jaccard.similarity_join(df, settings=settings))
+    join = jaccard.similarity_join(df, settings=settings)
+    linked = jaccard.linked_documents(join)
     by_row = df.selectExpr("xxhash64(text) AS row", "text").distinct()
     found = {(row.key, row.text, row.group, row.links) for row in linked.join(by_row, "row").collect()}
     assert found == expected(rows)
+    # Each link between classes is found in one place.
+    pairs = [(row.a, row.b) for row in join.pairs.collect()]
+    assert len(pairs) == len(set(pairs)) and all(a < b for a, b in pairs)
+    copies = {row["class"]: row.copies for row in join.classes.collect()}
+    links = sum(2 * copies[a] * copies[b] for a, b in pairs) + sum(n * (n - 1) for n in copies.values())
+    assert links == sum(row[3] for row in expected(rows))
 
 
 def test_one_of_each_group(spark):
