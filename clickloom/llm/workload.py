@@ -130,7 +130,74 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 # Words of shingles: ASCII letters, digits and characters beyond ASCII, in lower case.
 SHINGLE_WORD = r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
+def _url_model_sql(order: int = 5, alphabet: int = 256) -> str:
+    """The verdicts on URLs: rules, Witten-Bell models of all orders, scores, threshold."""
+    by_length = sorted(RULES, key=lambda rule: -len(rule.name))
+    fits = {r.name: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in by_length}
+    rule = " ".join(f"WHEN {fits[r.name]} THEN '{r.name}'" for r in by_length)
+    allow = " ".join(f"WHEN rule = '{r.name}' THEN {str(r.allow).upper()}" for r in by_length)
+    levels = [f"p0 AS (SELECT '' AS gram, {1.0 / alphabet}::DOUBLE AS pa, {1.0 / alphabet}::DOUBLE AS pb)"]
+    for k in range(1, order + 1):
+        mixed = ", ".join(
+            f"CASE WHEN {x}_all > 0 THEN ({x} + {x}_kinds * p{x}) / ({x}_all + {x}_kinds) ELSE p{x} END AS p{x}" for x in "ab"
+        )
+        sums = ", ".join(f"sum({x}) OVER c AS {x}_all, sum(({x} > 0)::DOUBLE) OVER c AS {x}_kinds" for x in "ab")
+        levels.append(
+            f"g{k} AS (SELECT right(gram, {k}) AS gram, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM counts GROUP BY 1)"
+        )
+        levels.append(f"w{k} AS (SELECT *, {sums} FROM g{k} WINDOW c AS (PARTITION BY left(gram, {k - 1})))")
+        levels.append(f"p{k} AS (SELECT w.gram, {mixed} FROM w{k} w JOIN p{k - 1} q ON q.gram = right(w.gram, {k - 1}))")
+    return f"""
+        WITH texts AS (SELECT coalesce(url, '') AS url, count(*) AS pages FROM pages GROUP BY 1),
+        parsed AS (
+            SELECT url, pages, substr(md5(url), 1, 1) IN ('0', '1', '2') AS calibrates,
+                translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}') AS host,
+                regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path
+            FROM texts
+        ),
+        ruled AS (SELECT *, CASE {rule} END AS rule FROM parsed),
+        labelled AS (SELECT *, CASE {allow} END AS allow FROM ruled),
+        grams AS (
+            SELECT url, pages, allow, calibrates, substr(repeat(chr(2), {order - 1}) || url, place, {order}) AS gram
+            FROM (SELECT *, unnest(range(1, length(url) + 1)) AS place FROM labelled)
+        ),
+        counts AS (
+            SELECT gram, coalesce(sum(pages) FILTER (allow AND NOT calibrates), 0) AS a,
+                coalesce(sum(pages) FILTER (NOT allow AND NOT calibrates), 0) AS b
+            FROM grams GROUP BY gram
+        ),
+        {", ".join(levels)},
+        sums AS (SELECT url, sum(ln(pa) - ln(pb)) AS ratio FROM grams JOIN p{order} USING (gram) GROUP BY url),
+        scored AS (
+            SELECT l.*, CASE WHEN length(url) > 0 THEN round(ratio / length(url), 9) ELSE 0 END AS score
+            FROM labelled l LEFT JOIN sums USING (url)
+        ),
+        steps AS (
+            SELECT floor(score * {urls.Settings().steps})::BIGINT AS step, coalesce(sum(pages) FILTER (allow), 0) AS a,
+                coalesce(sum(pages) FILTER (NOT allow), 0) AS b
+            FROM scored WHERE allow IS NOT NULL AND calibrates AND length(url) > 0 GROUP BY 1
+        ),
+        edges AS (
+            SELECT *, coalesce(sum(a) OVER (ORDER BY step ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS over,
+                coalesce(sum(b) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under,
+                coalesce(lag(step) OVER (ORDER BY step) + 1, step) AS low
+            FROM (SELECT * FROM steps UNION ALL SELECT max(step) + 1, 0, 0 FROM steps)
+        ),
+        best AS (
+            SELECT least(greatest(0, low), step) AS step, over * (SELECT sum(b) FROM steps) + under * (SELECT sum(a) FROM steps) AS gain
+            FROM edges
+        ),
+        threshold AS (
+            SELECT CASE WHEN (SELECT sum(a) > 0 AND sum(b) > 0 FROM steps)
+                THEN (SELECT step FROM best ORDER BY gain DESC, abs(step), step LIMIT 1) / {urls.Settings().steps}.0 ELSE 0 END AS least
+        )
+        SELECT page_id, host, path, rule, CASE WHEN coalesce(allow, score >= least) THEN 'allow' ELSE 'block' END AS verdict
+        FROM pages JOIN scored ON scored.url = coalesce(pages.url, ''), threshold
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op4_url_filter": _url_model_sql(),
     "op1_warc": """
         WITH sized AS (
             SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes
