@@ -133,13 +133,14 @@ class _Shard:
             if np.isfinite(limit):
                 points = points[((self.projected[points] - place) ** 2).sum(1) < limit]
             best = np.concatenate([best, points])
-            scores = np.concatenate([scores, (self.vectors[points] * query).sum(1)])
+            scores = np.concatenate([scores, self.vectors[points] @ query])
             if len(best) > count:
                 top = np.argpartition(-scores, count - 1)[:count]
                 best, scores = best[top], scores[top]
             if len(best) == count:
                 limit = ratio * distance(scores.min())
-        return best, scores
+        # Summed anew, so that a score depends on its two vectors alone.
+        return best, (self.vectors[best] * query).sum(1)
 
 
 @functools.lru_cache(maxsize=1)
@@ -223,6 +224,8 @@ def nearest(
     for width, low, high in grid:
         spread = F.when(F.col("width") == width, F.sequence(F.lit(low).cast("long"), F.lit(high).cast("long"))).otherwise(spread)
     asked = asked.filter(F.col("width").isin(list(widths))).withColumn("shard", F.explode(spread))
+    # A group is little data and much work, so every group is a task; Spark would merge them by their size.
+    asked = asked.repartition(blocks * first, "shard", "block", "width")
     found = asked.groupBy("shard", "block", "width").applyInPandas(_search(folder, scale, longest, count, settings), FOUND)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
