@@ -1,6 +1,6 @@
 """Texts of an Arrow batch as bytes, and hashes of many byte spans at once.
 
-All of it works on slices of a few megabytes, so memory stays bounded whatever the batch holds; only a
+All of it works on slices of a megabyte, so memory stays bounded whatever the batch holds; only a
 single text longer than that makes a slice of its own.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _WINDOW = 1 << 18
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}

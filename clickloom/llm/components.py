@@ -21,7 +21,9 @@ def components(links: DataFrame) -> DataFrame:
     and the joins only bring one row for each node, so a node with very many links is no burden.
     """
     edges = links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).filter("node > other").distinct()
-    edges, folder = stages.written(edges, "links")
+    # No round makes more than two rows of a link.
+    rows = 2 * links.count()
+    edges, folder = stages.written(edges, "links", rows=rows)
     while True:
         if edges.join(edges.select(F.col("other").alias("node")), "node", "left_semi").isEmpty() and not _several(edges):
             return edges.select("node", F.col("other").alias("component")).union(
@@ -30,10 +32,10 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("other", "node"))
         low = _lowest(both).withColumn("low", F.least("node", "low"))
         large = both.join(low, "node").filter("other > node").select(F.col("other").alias("node"), F.col("low").alias("other"))
-        large, middle = stages.written(large.distinct(), "links")
+        large, middle = stages.written(large.distinct(), "links", rows=rows)
         low = _lowest(large)
         small = large.join(low, "node").filter("other > low").select(F.col("other").alias("node"), F.col("low").alias("other"))
-        edges, after = stages.written(small.union(low).distinct(), "links")
+        edges, after = stages.written(small.union(low).distinct(), "links", rows=rows)
         stages.dropped(folder)
         stages.dropped(middle)
         folder = after

@@ -97,7 +97,7 @@ def contained_items(
     wanted = wanted.withColumn("shingles", _shingles(size)).filter(F.size("shingles") > 0)
     wanted = wanted.withColumn("needed", F.ceil(F.size("shingles") * settings.containment - 1e-9))
     wanted = wanted.withColumn("number", F.xxhash64("item", "shingles")).dropDuplicates(["number"])
-    wanted, _ = stages.written(wanted.select("number", "item", "words", "shingles", "needed"), "benchmark")
+    wanted, _ = stages.written(wanted.select("number", "item", "words", "shingles", "needed"), "benchmark", rows=items.count())
     least = wanted.agg(F.min("needed")).first()[0]
     if least is None:
         least = 1
@@ -133,10 +133,8 @@ def contained_items(
 def without_items(
     documents: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings(), **names: str
 ) -> DataFrame:
-    """The documents that contain none of the items; all their columns."""
-    if "contaminated_row" in documents.columns:
-        raise ValueError("the column contaminated_row is needed")
+    """The documents that contain none of the items; all their columns, whatever their names."""
     found = contained_items(documents, items, key, text, settings=settings, **names)
-    gone, _ = stages.written(found.select(F.col("row").alias("contaminated_row")).distinct(), "contaminated")
-    rows = documents.withColumn("contaminated_row", F.xxhash64(text))
-    return rows.join(_small(gone, settings), "contaminated_row", "left_anti").drop("contaminated_row")
+    gone, _ = stages.written(found.select(F.col("row").alias("hash")).distinct(), "contaminated")
+    rows = documents.select(stages.wrapped(documents), F.xxhash64(text).alias("hash"))
+    return rows.join(_small(gone, settings), "hash", "left_anti").select("row.*")

@@ -350,6 +350,8 @@ def _levels(classes: DataFrame, settings: Settings) -> DataFrame:
     parts = []
     for level in range(1, settings.levels + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+        # Written first, so that both sides of the join are shuffled for it alone and a hot node can be split.
+        sizes, _ = stages.written(sizes, "node-sizes")
         rows, _ = stages.written(rows.join(sizes, "node"), "nodes")
         whole = rows.filter(F.col("sets") <= settings.largest_node)
         parts.append(whole.select("node", "token", F.lit(0).alias("side"), F.lit(False).alias("crossed"), F.col("node").alias("origin"), "class"))
@@ -437,7 +439,7 @@ def similarity_join(df: DataFrame, key: str = "doc_id", text: str = "text", sett
     found, _ = stages.written(sorted_work.mapInArrow(_with_partners(count, settings.least_equal), WORK), "partners")
     texts = df.select(F.col(key).cast("long").alias("class"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     wanted = found.select("class").distinct().join(classes.select("class", "row", "copies"), "class")
-    wanted, _ = stages.written(wanted, "partner-classes")
+    wanted, _ = stages.written(wanted, "partner-classes", rows=found.count())
     if wanted.count() <= settings.broadcast_rows:
         wanted = F.broadcast(wanted)
     texts = texts.join(wanted, ["class", "row"]).dropDuplicates(["class", "row"]).drop("row")
@@ -475,20 +477,17 @@ def one_of_each_group(df: DataFrame, key: str = "doc_id", text: str = "text", se
 
     Rows without key or without words stay. Of repeated rows of one key and one text one stays.
     """
-    taken = {"join_key", "join_row"} & set(df.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are needed")
     documents = linked_documents(similarity_join(df, key, text, settings))
     gone = documents.filter("NOT chosen").select(
-        F.col("key").alias("join_key"), F.col("row").alias("join_row")
+        "key", F.col("row").alias("hash")
     )
     gone, _ = stages.written(gone, "similar-gone")
-    rows = df.withColumns({"join_key": F.col(key).cast("long"), "join_row": F.xxhash64(text)})
+    rows = df.select(stages.wrapped(df), F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("hash"))
     if gone.count() <= settings.broadcast_rows:
         gone = F.broadcast(gone)
-    kept = rows.join(gone, ["join_key", "join_row"], "left_anti")
-    ids = rows.filter("join_key IS NOT NULL").groupBy("join_key", "join_row").count().filter("count > 1")
+    kept = rows.join(gone, ["key", "hash"], "left_anti")
+    ids = rows.filter("key IS NOT NULL").groupBy("key", "hash").count().filter("count > 1")
     if not ids.isEmpty():
-        unknown = kept.filter("join_key IS NULL")
-        kept = kept.filter("join_key IS NOT NULL").dropDuplicates(["join_key", "join_row"]).union(unknown)
-    return kept.drop("join_key", "join_row")
+        unknown = kept.filter("key IS NULL")
+        kept = kept.filter("key IS NOT NULL").dropDuplicates(["key", "hash"]).union(unknown)
+    return kept.select("row.*")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.llm.shared import locate
 from clickloom.session import shared_dir
@@ -30,12 +31,19 @@ def _stage_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def written(df: DataFrame, purpose: str, partition: str | None = None) -> tuple[DataFrame, str]:
+# Tables whose rows are few and narrow go into files of so many.
+ROWS_PER_FILE = 200_000
+
+
+def written(df: DataFrame, purpose: str, partition: str | None = None, rows: int | None = None) -> tuple[DataFrame, str]:
     """``df`` as a table of the shared folder: read again, and its folder.
 
-    This cuts the lineage, survives lost executors and frees the shuffles that led to it.
+    This cuts the lineage, survives lost executors and frees the shuffles that led to it. If ``df`` is known to
+    have at most ``rows`` narrow rows, it is written in as many files as they fill, not one for each task.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     folder = shared_dir(spark, purpose)
     with _stage_settings(spark):
         writer = df.write.partitionBy(partition) if partition else df.write
@@ -43,6 +51,11 @@ def written(df: DataFrame, purpose: str, partition: str | None = None) -> tuple[
     return spark.read.schema(df.schema).parquet(folder), folder
 
 
+def wrapped(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``, so that none can clash with columns beside it."""
+    return F.struct(*[F.col("`" + name.replace("`", "``") + "`") for name in df.columns]).alias("row")
+
+
 def dropped(folder: str) -> None:
     """Remove a table that :func:`written` made and that nothing will read again."""
     store, path = locate(folder)

@@ -31,7 +31,7 @@ from clickloom.llm.shared import read_part
 
 WINDOW = 13
 NO_KEY = np.iinfo(np.int64).max
-_FLUSH = 4 << 20
+_FLUSH = 1 << 20
 _PER_BLOCK = 1 << 20
 _ROWS = 2
 _SECOND = np.uint64(0xA0761D6478BD642F)
@@ -281,7 +281,7 @@ def _known_firsts(folder: str, part: int) -> tuple[_Set, np.ndarray]:
     return _Set(hashes[new]), keys[new]
 
 
-def _removal(size: int, folder: str, extra: list[str]):
+def _removal(size: int, folder: str, with_text: bool, extra: list[str]):
     """Pass 3: the words that stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,8 +309,12 @@ def _removal(size: int, folder: str, extra: list[str]):
                     pa.array(removed),
                     _joined(windows, kept, last - first),
                 ]
+                names = ["key", "n_words", "n_removed", "kept"]
+                if with_text:
+                    columns.append(batch.column(0).slice(first, last - first))
+                    names.append("text")
                 columns += [batch.column(3 + n).slice(first, last - first) for n in range(len(extra))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "n_words", "n_removed", "kept", *extra])
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, *extra])
 
     return run
 
@@ -338,7 +342,7 @@ def remove_repeated(df: DataFrame, key: str = "doc_id", text: str = "text", size
 
     Windows are judged on the input. Words are runs of bytes that are no ASCII white space, unchanged. One
     row for each row of ``df``: ``key``, ``n_words``, ``n_removed``, ``kept`` (the words that stay, joined by
-    one blank), and ``extra``, a struct of the columns named in ``keep``.
+    one blank), and with ``keep`` the whole ``text`` and ``extra``, a struct of the columns named there.
 
     Nulls: a null text has no words; a row without key comes after all others, so it loses what any keyed
     document has and takes nothing from them. Rows of one key do not take from each other. Texts shorter than
@@ -365,7 +369,8 @@ def remove_repeated(df: DataFrame, key: str = "doc_id", text: str = "text", size
     names = ["extra"] if keep else []
     ddl = "key long, n_words long, n_removed long, kept string"
     if keep:
-        ddl += f", extra {texts.schema['extra'].dataType.simpleString()}"
-    return texts.select("text", "part", "key", *names).mapInArrow(_removal(size, first_folder, names), ddl)
+        ddl += f", text string, extra {texts.schema['extra'].dataType.simpleString()}"
+    rest = _removal(size, first_folder, bool(keep), names)
+    return texts.select("text", "part", "key", *names).mapInArrow(rest, ddl)
 
 

@@ -8,6 +8,7 @@ of its own. The text is cut at those places only; the units are looked up by has
 from __future__ import annotations
 
 import functools
+import os
 import re
 
 import numpy as np
@@ -17,8 +18,8 @@ from clickloom.llm.batches import owners, slices, span_hashes
 
 LINE_FEED = 10
 BLANK = 32
-MOST_KNOWN = 1 << 19
-SLICE = 1 << 20
+MOST_KNOWN = 1 << 21
+SLICE = 2 << 20
 _LINES = 200
 _SPACE = re.compile(r"\s")
 
@@ -138,6 +139,10 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each tokenizer file and Python worker; what it knows serves later tasks too."""
+    """One encoder for each tokenizer file and Python worker; what it knows serves later tasks too.
+
+    Spark runs as many tasks as there are cores, so the library must not start threads of its own.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Encoder(path)
 

@@ -54,13 +54,13 @@ class Model:
     bias: float = 0.0
 
 
-def _characters(texts: list[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _characters(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Slices of whole texts as code points, with a blank at both ends of each text."""
     first = 0
     while first < len(texts):
         parts, total, last = [], 0, first
         while last < len(texts) and (total < SLICE_CHARS or last == first):
-            parts.append(f" {(texts[last] or '').lower()} ".encode("utf-32-le", "surrogatepass"))
+            parts.append(f" {(texts[last].as_py() or '').lower()} ".encode("utf-32-le", "surrogatepass"))
             total += len(parts[-1]) // 4
             last += 1
         offsets = np.concatenate([[0], np.cumsum([len(part) // 4 for part in parts])])
@@ -90,7 +90,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((2, 1 << _HASH_BITS), np.uint32)
     for batch in batches:
         labels = batch.column(1).to_pylist()
-        for first, last, characters, offsets in _characters(batch.column(0).to_pylist()):
+        for first, last, characters, offsets in _characters(batch.column(0)):
             hashed = list(_hashed(characters, offsets))
             for n in range(last - first):
                 own = np.unique(np.concatenate([grams[ends[0, n] : ends[1, n]] for grams, ends in hashed] or [np.zeros(0, np.uint32)]))
@@ -147,7 +147,7 @@ def _features(grams: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(grams)
         for batch in batches:
-            for first, last, characters, offsets in _characters(batch.column(0).to_pylist()):
+            for first, last, characters, offsets in _characters(batch.column(0)):
                 owner, chosen = _present(table, characters, offsets)
                 edges = np.searchsorted(owner, np.arange(last - first + 1))
                 rows = [chosen[a:b].astype(np.uint16).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
@@ -222,20 +222,23 @@ def score(df: DataFrame, model: Model, text: str = "text", keep: list[str] | Non
     A null or empty text has no n-grams and gets the score of the bias. Rows are scored one by one, so
     repeated rows get one score. An empty table gives an empty one.
     """
-    kept = [F.col(f"`{name}`").alias(f"c{n}") for n, name in enumerate(keep or [])]
+    # The text itself is sent to Python once, and back only if it is to be kept.
+    names = {name: "t" if name == text else f"c{n}" for n, name in enumerate(keep or [])}
+    kept = [F.col(f"`{name}`").alias(inner) for name, inner in names.items() if inner != "t"]
     rows = df.select(F.col(text).alias("t"), *kept)
-    kinds = rows.schema.fields[1:]
+    kinds = [kind for kind in rows.schema.fields if kind.name in names.values()]
     ddl = ", ".join(["score double", *(f"{kind.name} {kind.dataType.simpleString()}" for kind in kinds)])
+    first_kept = 0 if "t" in names.values() else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model.grams)
         for batch in batches:
-            for first, last, characters, offsets in _characters(batch.column(0).to_pylist()):
+            for first, last, characters, offsets in _characters(batch.column(0)):
                 owner, chosen = _present(table, characters, offsets)
                 logit = np.bincount(owner, model.weights[chosen], last - first) + model.bias
                 scores = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
-                columns = [batch.column(n).slice(first, last - first) for n in range(1, batch.num_columns)]
+                columns = [batch.column(n).slice(first, last - first) for n in range(first_kept, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([pa.array(scores), *columns], names=["score", *(kind.name for kind in kinds)])
 
     scored = rows.mapInArrow(run, ddl)
-    return scored.select(*[F.col(f"c{n}").alias(name) for n, name in enumerate(keep or [])], "score")
+    return scored.select(*[F.col(inner).alias(name) for name, inner in names.items()], "score")

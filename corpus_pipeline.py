@@ -24,8 +24,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Texts reach Python in batches of a few megabytes, also in the jobs that read a stage's result."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is more likely not toxic. Documents without text stay."""
+    _small_batches(spark)
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, keep=docs.columns)
     return scored.filter((F.col("score") < 0.5) | (F.coalesce(F.length("text"), F.lit(0)) == 0)).select(*docs.columns)
@@ -42,9 +48,10 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     The words that stay are joined by single blanks and ``n_chars`` follows the text; a document that loses
     nothing keeps its text unchanged, and one that loses all of it goes.
     """
+    _small_batches(spark)
     columns = docs.columns
-    kept = substrings.remove_repeated(docs, keep=columns)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("extra.text"))
+    kept = substrings.remove_repeated(docs, keep=[name for name in columns if name != "text"])
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("extra.n_chars"))
     changed = {"text": text, "n_chars": n_chars}
     rows = kept.filter((F.col("n_words") == 0) | (F.col("n_removed") < F.col("n_words")))
@@ -58,6 +65,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in the training sequences."""
+    _small_batches(spark)
     packed = packing.pack(docs, public_tokenizers.path(TOKENIZER), END_ID, SEQUENCE_SIZE)
     return packed.select(F.col("key").alias("doc_id"), "piece", "start", "length", "sequence_id", "offset", "ids")
 

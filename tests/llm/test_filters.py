@@ -57,9 +57,10 @@ def repeated_rows():
 def test_remove_repeated(spark, size, monkeypatch):
     rows = repeated_rows()
     df = spark.createDataFrame([(*row, "k", 1) for row in rows], "doc_id long, text string, part string, hash int").repartition(6)
-    found = substrings.remove_repeated(df, size=size, keep=df.columns).collect()
+    found = substrings.remove_repeated(df, size=size, keep=["doc_id", "part", "hash"]).collect()
     assert sorted(((row.key, row.n_words, row.n_removed, row.kept) for row in found), key=str) == without_repeats(rows, size)
-    assert sorted(((row.extra.doc_id, row.extra.text) for row in found), key=str) == sorted(rows, key=str)
+    assert sorted(((row.extra.doc_id, row.text) for row in found), key=str) == sorted(rows, key=str)
+    assert all((row.extra.part, row.extra.hash) == ("k", 1) for row in found)
 
 
 def test_sketch_loses_nothing_with_many_blocks_and_flushes(spark, monkeypatch):

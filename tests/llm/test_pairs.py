@@ -88,7 +88,8 @@ def test_linked_documents(spark, largest):
 
 def test_one_of_each_group(spark):
     rows = documents()
-    df = spark.createDataFrame([(*row, n) for n, row in enumerate(rows)], "doc_id long, text string, n int").repartition(5)
+    df = spark.createDataFrame([(*row, n) for n, row in enumerate(rows)], "doc_id long, text string, hash int").repartition(5)
+    assert jaccard.one_of_each_group(df).columns == df.columns
     kept = [(row.doc_id, row.text) for row in jaccard.one_of_each_group(df).collect()]
     assert {row for row in kept if row[0] is None or not normal(row[1])} == {row for row in rows if row[0] is None or not normal(row[1])}
     groups = {}
