@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import stages
 
-ROWS_PER_BUCKET = 5_000
+ROWS_PER_BUCKET = 2_000
 
 
 def shuffle_key(seed: int, column: str) -> Column:
@@ -46,25 +46,20 @@ def interleave(df: DataFrame, shards: int, key: str = "doc_id", source: str = "s
 
     Nulls: a null source is a source of its own, a null key is ordered like an empty text. Equal fractional
     ranks are ordered by source, rows of one source and key by their other columns; rows alike in all columns
-    are interchangeable. Columns named as the result's are refused. An empty table gives an empty one.
+    are interchangeable. A ``shard`` or ``slot`` column of ``df`` is replaced; other names cannot clash. An
+    empty table gives an empty one.
     """
-    taken = {"shard", "slot", "shuffle_key", "bucket", "place", "rank", "position", "in_all", "fraction"} & set(df.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} would be overwritten")
     total = df.count()
     buckets = max(1, -(-total // ROWS_PER_BUCKET))
-    columns = [F.col(f"`{name}`") for name in df.columns]
-    keyed = df.withColumn("shuffle_key", shuffle_key(seed, key))
-    # 60 bits of the digest, cut into equal ranges that ascend with it.
-    number = F.conv(F.substring("shuffle_key", 1, 7), 16, 10).cast("long")
-    ranked = _numbered(
-        keyed, F.floor(number * buckets / F.lit(1 << 28)), [F.col("shuffle_key"), *columns], [source], "rank"
-    )
+    keyed = df.select(stages.wrapped(df), F.col(f"`{source}`").alias("source"), shuffle_key(seed, key).alias("shuffled"))
+    # The leading 28 bits of the digest, cut into equal ranges that ascend with it.
+    number = F.conv(F.substring("shuffled", 1, 7), 16, 10).cast("long")
+    bucket = F.floor(number * buckets / F.lit(1 << 28))
+    ranked = _numbered(keyed, bucket, [F.col("shuffled"), F.col("row")], ["source"], "rank")
     fraction = ((F.col("rank") + 0.5) / F.col("in_all")).alias("fraction")
-    ranked, _ = stages.written(ranked.select(*columns, fraction), "ranked")
-    placed = _numbered(
-        ranked, F.floor(F.col("fraction") * buckets), [F.col("fraction"), F.col(f"`{source}`"), *columns], [], "position"
-    )
+    ranked, _ = stages.written(ranked.select("row", "source", fraction), "ranked")
+    order = [F.col(name) for name in ("fraction", "source", "row")]
+    placed = _numbered(ranked, F.floor(F.col("fraction") * buckets), order, [], "position")
     size, larger = divmod(total, shards)
     # The first ``larger`` shards have one row more.
     edge = larger * (size + 1)
@@ -73,8 +68,9 @@ def interleave(df: DataFrame, shards: int, key: str = "doc_id", source: str = "s
         larger + F.floor((position - edge) / max(size, 1))
     )
     start = F.col("shard") * size + F.least(F.col("shard"), F.lit(larger))
+    kept = [F.col(f"row.`{name}`") for name in df.columns if name not in ("shard", "slot")]
     return placed.withColumn("shard", shard.cast("int")).select(
-        *columns, "shard", (position - start).cast("long").alias("slot")
+        *kept, "shard", (position - start).cast("long").alias("slot")
     )
 
 

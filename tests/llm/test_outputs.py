@@ -161,8 +161,9 @@ def test_interleave(spark, monkeypatch):
 def test_more_shards_than_rows(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, source string")
     assert sorted(row.shard for row in sharding.interleave(df, 5).collect()) == [0, 1]
-    with pytest.raises(ValueError):
-        sharding.interleave(df.withColumnRenamed("source", "slot"), 5, source="slot")
+    clashing = df.withColumnRenamed("source", "slot").selectExpr("*", "1 AS rank", "2 AS row", "'x' AS shard", "3 AS bucket")
+    found = sharding.interleave(clashing, 2, source="slot").orderBy("doc_id").collect()
+    assert [(row.doc_id, row.rank, row.row, row.bucket, row.slot) for row in found] == [(1, 1, 2, 3, 0), (2, 1, 2, 3, 0)]
 
 
 def test_write_shards(spark, tmp_path):
