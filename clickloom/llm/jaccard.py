@@ -392,8 +392,8 @@ def _blocks(rows: DataFrame, settings: Settings) -> DataFrame:
 class Join:
     """What the join found.
 
-    ``members`` has key, row, class, first and copies; texts of one class have the same words. ``classes`` has
-    each class with the first key and the number of its documents. ``ties`` has, for each class in each node
+    ``members`` has key, row, class, first, copies and whether it stands for its class; texts of one class have
+    the same words. ``classes`` has each class with the first key and the number of its documents. ``ties`` has, for each class in each node
     where it has links, the documents linked there and a class that it hangs together with. ``pairs`` has the
     links between classes one by one, each once; it is only computed where it is used, and its rows grow with
     the square of a group.
@@ -437,19 +437,21 @@ def similarity_join(df: DataFrame, key: str = "doc_id", text: str = "text", sett
     work = work.withColumns({name: F.coalesce(name, value) for name, value in empty.items()}).select(*fields)
     sorted_work = work.repartition("node").sortWithinPartitions("node")
     found, _ = stages.written(sorted_work.mapInArrow(_with_partners(count, settings.least_equal), WORK), "partners")
-    texts = df.select(F.col(key).cast("long").alias("class"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
-    wanted = found.select("class").distinct().join(classes.select("class", "row", "copies"), "class")
+    # A class is not always its first key, so texts are found by the key and row that stand for it.
+    texts = df.select(F.col(key).cast("long").alias("first"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
+    wanted = found.select("class").distinct().join(classes.select("class", "first", "row", "copies"), "class")
     wanted, _ = stages.written(wanted, "partner-classes", rows=found.count())
     if wanted.count() <= settings.broadcast_rows:
         wanted = F.broadcast(wanted)
-    texts = texts.join(wanted, ["class", "row"]).dropDuplicates(["class", "row"]).drop("row")
+    texts = texts.join(wanted, ["first", "row"]).dropDuplicates(["class"]).drop("first", "row")
     checked = found.join(texts, "class").repartition("node").sortWithinPartitions("node").select(*fields, "text", "copies")
     ties, _ = stages.written(checked.mapInArrow(_tied(count, settings), TIES), "ties")
     pairs = checked.mapInArrow(_paired(count, settings), PAIRS)
-    known = classes.select(*ids, "class", "first", "copies")
-    members = documents.select("key", "row", *ids).join(known, ids).select("key", "row", "class", "first", "copies")
+    known = classes.select(*ids, "class", "first", "copies", F.col("row").alias("of"))
+    stands = ((F.col("key") == F.col("first")) & (F.col("row") == F.col("of"))).alias("stands")
+    members = documents.select("key", "row", *ids).join(known, ids).select("key", "row", "class", "first", "copies", stands)
     rest = signatures.filter("key IS NULL OR words = 0").select("key", "row").distinct()
-    rest = rest.select("key", "row", *[F.lit(None).cast("long").alias(name) for name in ("class", "first", "copies")])
+    rest = rest.select("key", "row", *[F.lit(None).cast("long").alias(name) for name in ("class", "first", "copies")], F.lit(True).alias("stands"))
     return Join(members.union(rest), classes.select("class", "first", "copies"), ties, pairs)
 
 
@@ -461,12 +463,15 @@ def linked_documents(join: Join) -> DataFrame:
     each group. A document in no class is its own group.
     """
     partners = join.ties.groupBy("class").agg(F.sum("partners").alias("partners"))
-    lowest = join.classes.select(F.col("class").alias("component"), F.col("first").alias("lowest"))
-    groups = components(join.ties.select(F.col("class").alias("a"), F.col("root").alias("b"))).join(lowest, "component").withColumnRenamed("node", "class")
+    groups = components(join.ties.select(F.col("class").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "class")
+    # The smallest class of a component need not have its smallest key: numbers beyond any key stand for keys too.
+    lowest = groups.join(join.classes, "class").groupBy("component").agg(F.min(F.struct("first", "class")).alias("low"))
+    lowest = lowest.select("component", F.col("low.first").alias("lowest"), F.col("low.class").alias("leader"))
+    groups = groups.join(lowest, "component").select("class", "lowest", "leader")
     result = join.members.join(partners, "class", "left").join(groups, "class", "left")
     links = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("partners", F.lit(0))
-    leads = F.coalesce(F.col("component") == F.col("class"), F.lit(True))
-    chosen = F.col("class").isNull() | (leads & (F.col("key") == F.col("first")))
+    leads = F.coalesce(F.col("leader") == F.col("class"), F.lit(True))
+    chosen = leads & F.col("stands")
     return result.select(
         "key", "row", "class", F.coalesce("lowest", "first", "key").alias("group"), links.alias("links"), chosen.alias("chosen")
     )

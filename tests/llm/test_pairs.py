@@ -124,6 +124,29 @@ def _component(rows, key, text):
     return cache[key, text]
 
 
+@pytest.mark.parametrize("largest", [2048, 8])
+def test_every_text_of_a_shared_key_has_near_copies(spark, largest):
+    source = random.Random(8)
+    families = []
+    for n in range(6):
+        words = source.choices(VOCABULARY, k=80)
+        # The shared key is the smallest, and has its words twice in different writing; one word of 80 differs.
+        own = [(-7, " ".join(words)), (-7, " ".join(words).upper())]
+        own += [(100 * n + m, " ".join(changed(source, words, 1))) for m in range(4)]
+        families.append(own)
+    rows = [row for own in families for row in own]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    settings = replace(jaccard.Settings(), largest_node=largest, levels=2)
+    linked = jaccard.linked_documents(jaccard.similarity_join(df, settings=settings))
+    by_row = df.selectExpr("xxhash64(text) AS row", "text").distinct()
+    found = linked.join(by_row, "row").collect()
+    assert {(row.key, row.text, row.group, row.links) for row in found} == expected(rows)
+    assert len(found) == len(rows) and {row.group for row in found} == {-7}
+    kept = [(row.doc_id, row.text) for row in jaccard.one_of_each_group(df, settings=settings).collect()]
+    assert all(sum(row in own for row in kept) == 1 for own in families) and len(kept) == len(families)
+    assert {key for key, _ in kept} == {-7}
+
+
 def test_join_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.linked_documents(jaccard.similarity_join(df)).count() == 0
