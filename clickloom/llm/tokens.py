@@ -3,6 +3,10 @@
 Byte-level BPE first cuts a text into pre-tokens and never merges across them. A blank before a character
 that is no white space always starts a pre-token, and a single line feed between two such characters is one
 of its own. The text is cut at those places only; the units are looked up by hash, new ones are encoded.
+
+The literals of added tokens, special ones among them, get their own ids, as the library does it by default.
+They cut a text before the pre-tokens do, so white space before one belongs to what it ends: no unit starts
+next to a literal or inside one.
 """
 
 from __future__ import annotations
@@ -38,7 +42,12 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()} - {""}
+        self.literals: dict[bytes, tuple[bytes, ...]] = {}
+        for literal in sorted(map(str.encode, added), key=len, reverse=True):
+            self.literals[literal[:2]] = (*self.literals.get(literal[:2], ()), literal)
+        self.literal = re.compile("|".join(map(re.escape, sorted(added))) or "(?!)")
+        self.spaced = any(_SPACE.search(literal) for literal in added)
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.forget()
 
@@ -49,11 +58,12 @@ class Encoder:
         self.ids = np.zeros(0, np.uint32)
 
     def _learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Encode new units. Those without white space inside go by the hundred as texts of one line each."""
+        """Encode new units. Those without white space or literals inside go by the hundred as texts of one line each."""
         raw = data.tobytes()
         units = [raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        joined = len(self.line_feed) == 1
-        plain = np.array([joined and _SPACE.search(unit, unit[0] == " ") is None for unit in units], bool)
+        joined = len(self.line_feed) == 1 and not self.spaced
+        plain = [joined and _SPACE.search(unit, unit[0] == " ") is None and self.literal.search(unit) is None for unit in units]
+        plain = np.array(plain, bool)
         found, lengths = [], np.zeros(len(units), np.int64)
         if plain.any():
             lines = [unit + "\n" for unit, one in zip(units, plain, strict=True) if one]
@@ -92,10 +102,26 @@ class Encoder:
         ids = np.concatenate(found) if found else np.zeros(0, np.uint32)
         return ids, np.concatenate([[0], np.cumsum(counts)])
 
+    def _literals(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where literals start and end; of those with one start the longest, whether they overlap or not."""
+        raw, low, high = data.tobytes(), [], []
+        for head, literals in self.literals.items():
+            at = raw.find(head)
+            while at >= 0:
+                longest = next((literal for literal in literals if raw.startswith(literal, at)), None)
+                if longest is not None:
+                    low.append(at)
+                    high.append(at + len(longest))
+                at = raw.find(head, at + 1)
+        return np.array(low, np.int64), np.array(high, np.int64)
+
     def _encode_slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         starts, firsts = unit_starts(data, offsets)
+        low, high = self._literals(data)
+        if len(low):
+            starts, firsts = _apart(starts, offsets, low, high)
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(data, starts, ends)
         keys, where, number = np.unique(hashes, return_index=True, return_inverse=True)
@@ -137,6 +163,23 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.searchsorted(starts, offsets)
 
 
+def _apart(starts: np.ndarray, offsets: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The starts that are safe with literals from ``low`` to ``high``, and the first unit of each text.
+
+    Those from the byte before a literal to the one behind it go, and the next one, which may end white space
+    that the literal takes with it. Larger units are always right; texts still start units.
+    """
+    first = np.searchsorted(starts, low - 1)
+    last = np.minimum(np.searchsorted(starts, high + 1, "right") + 1, len(starts))
+    change = np.zeros(len(starts) + 1, np.int64)
+    np.add.at(change, first, 1)
+    np.add.at(change, last, -1)
+    kept = np.cumsum(change)[:-1] == 0
+    kept |= np.isin(starts, offsets[:-1])
+    starts = starts[kept]
+    return starts, np.searchsorted(starts, offsets)
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder for each tokenizer file and Python worker; what it knows serves later tasks too.

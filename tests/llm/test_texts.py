@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from tokenizers import AddedToken, Tokenizer
 
 from clickloom.llm import batches, checksums, tokens
 
@@ -34,6 +35,29 @@ def test_ids_equal_plain_encoding(encoder, monkeypatch):
         assert ids[starts[n] : starts[n + 1]].tolist() == one.ids, values[n]
 
 
+def test_special_tokens_are_encoded_as_by_a_fresh_tokenizer(encoder):
+    fresh = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    values = [f"a {end} b", f"a   {end}   b", f"a\n{end}\nb", f"a\n {end}\n c", end, end * 2, f" {end}", f"{end} ", "<|endof", "text|> a", *texts(2000, 40, 2)]
+    ids, starts = encoder.encode(*batches.text_bytes(pa.array(values)))
+    for n, one in enumerate(fresh.encode_batch(values, add_special_tokens=False)):
+        assert ids[starts[n] : starts[n + 1]].tolist() == one.ids, values[n]
+    assert ids[: starts[1]].tolist() == [64, 220, 50256, 275]
+
+
+def test_added_tokens_that_take_white_space_or_hold_it(tmp_path):
+    fresh = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    fresh.add_tokens([AddedToken("<|l|>", lstrip=True, normalized=False), AddedToken("<|r|>", rstrip=True, normalized=False)])
+    fresh.add_tokens([AddedToken("<|a b|>", normalized=False), AddedToken("<|w", single_word=True, normalized=False), "    "])
+    fresh.save(str(tmp_path / "added.json"))
+    source = random.Random(5)
+    pieces = [*PIECES, "<|l|>", "<|r|>", "<|a b|>", "<|a", " b|>", "<|w", "    ", "  "]
+    values = ["".join(source.choice(pieces) for _ in range(source.randint(0, 30))) for _ in range(3000)]
+    ids, starts = tokens.Encoder(str(tmp_path / "added.json")).encode(*batches.text_bytes(pa.array(values)))
+    for n, one in enumerate(fresh.encode_batch(values, add_special_tokens=False)):
+        assert ids[starts[n] : starts[n + 1]].tolist() == one.ids, values[n]
+
+
 def test_null_and_sliced_columns_are_read_as_texts():
     column = pa.array(["ab", None, "", "cde"]).slice(1)
     data, offsets = batches.text_bytes(column)
