@@ -29,6 +29,8 @@ from clickloom.llm.batches import WORD_BYTE, mix, owners, slices, span_hashes, s
 from clickloom.llm.components import components
 
 LENGTH = 128
+# Places of the first level are the bits of a long.
+MOST_PLACES = 62
 _PAIRS = 1 << 16
 SIGNED = "key long, row long, a long, b long, words long, tokens binary, low binary, full binary"
 WORK = (
@@ -69,8 +71,12 @@ class Settings:
     def places(self) -> np.ndarray:
         """The places sampled at the roots of all runs, each once."""
         source = np.random.default_rng(self.seed)
-        counts = source.binomial(LENGTH, 1 / (self.similarity * LENGTH), self.runs)
-        return source.permutation(LENGTH)[: min(int(counts.sum()), 62)]
+        count = int(source.binomial(LENGTH, 1 / (self.similarity * LENGTH), self.runs).sum())
+        if count > MOST_PLACES:
+            raise ValueError(
+                f"recall {self.recall} at similarity {self.similarity} takes {count} places, but a mask holds {MOST_PLACES}"
+            )
+        return source.permutation(LENGTH)[:count]
 
     @property
     def least_equal(self) -> int:

@@ -161,6 +161,12 @@ def test_estimates_and_runs_reach_the_recall():
     assert 0.6 * jaccard.LENGTH < settings.least_equal < 0.8 * jaccard.LENGTH
 
 
+def test_more_places_than_a_mask_holds_are_refused():
+    for settings in (jaccard.Settings(similarity=0.2), jaccard.Settings(similarity=0.5, recall=1 - 1e-9)):
+        with pytest.raises(ValueError, match="places"):
+            settings.places  # noqa: B018
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
 def test_components(spark, shape):
     source = random.Random(1)
