@@ -112,6 +112,7 @@ class _Shard:
         self.vectors = part("vectors", np.float64).reshape(-1, width)
         self.projected = part("projected", np.float64).reshape(-1, settings.dimensions)
         self.leaves, self.ids, self.firsts = (part(name, np.int64) for name in ("leaves", "ids", "firsts"))
+        self.longest = math.sqrt((self.vectors**2).sum(1).max())
         self.low = np.minimum.reduceat(self.projected, self.leaves[:-1])
         self.high = np.maximum.reduceat(self.projected, self.leaves[:-1])
 
@@ -135,13 +136,24 @@ class _Shard:
             best = np.concatenate([best, points])
             scores = np.concatenate([scores, self.vectors[points] @ query])
             if len(best) > count:
-                top = np.argpartition(-scores, count - 1)[:count]
+                top = self._top(query, best, scores, count)
                 best, scores = best[top], scores[top]
             if len(best) == count:
                 limit = ratio * distance(scores.min())
         # Summed anew, so that a score depends on its two vectors alone.
         return best, (self.vectors[best] * query).sum(1)
 
+    def _top(self, query: np.ndarray, points: np.ndarray, scores: np.ndarray, count: int) -> np.ndarray:
+        """Places of the ``count`` best points by the score as it is in the result, then the smallest id."""
+        edge = np.partition(scores, len(scores) - count)[len(scores) - count]
+        # Products of a matrix differ from sums by their rounding, so what is that near the edge is summed.
+        slack = 4 * len(query) * np.finfo(np.float64).eps * self.longest * math.sqrt((query**2).sum())
+        near = np.flatnonzero(scores >= edge - slack)
+        if len(near) == count:
+            return near
+        summed = (self.vectors[points[near]] * query).sum(1)
+        return near[np.lexsort((self.ids[self.firsts[points[near]]], -summed))[:count]]
+
 
 @functools.lru_cache(maxsize=1)
 def _shard(folder: str, shard: int, width: int, settings: Settings) -> _Shard:

@@ -6,6 +6,8 @@ import random
 from dataclasses import replace
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from clickloom.llm import jaccard, neighbours
@@ -161,6 +163,25 @@ def test_estimates_and_runs_reach_the_recall():
     assert 0.6 * jaccard.LENGTH < settings.least_equal < 0.8 * jaccard.LENGTH
 
 
+def test_ties_at_the_cut_go_to_the_smaller_id(monkeypatch):
+    source = np.random.default_rng(3)
+    vectors = np.unique(source.integers(0, 2, (1500, 12)), axis=0).astype(float)[1:]
+    ids = source.permutation(len(vectors)) * 3
+    settings = neighbours.Settings(confidence=1 - 1e-12, leaf=16)
+    rows = pd.DataFrame({"shard": 0, "vector": list(vectors), "ids": [[n] for n in ids.tolist()]})
+    longest = float((vectors**2).sum(1).max())
+    index = pa.Table.from_pandas(neighbours._build(1.0, longest, settings)(rows))
+    monkeypatch.setattr(neighbours, "read_part", lambda *_: index)
+    neighbours._shard.cache_clear()
+    asked = pd.DataFrame({"query_id": ids[:40], "vector": list(vectors[:40])})
+    found = neighbours._search("ties", 1.0, longest, 20, settings)((0, 0, 12), asked)
+    neighbours._shard.cache_clear()
+    for query_id, vector in zip(asked["query_id"], asked["vector"], strict=True):
+        best = sorted((-score, n) for n, score in zip(ids.tolist(), (vectors @ vector).tolist(), strict=True) if n != query_id)
+        own = found[found["query_id"] == query_id]
+        assert list(zip(own["score"] * -1, own["vec_id"], strict=True)) == best[:20]
+
+
 def test_more_places_than_a_mask_holds_are_refused():
     for settings in (jaccard.Settings(similarity=0.2), jaccard.Settings(similarity=0.5, recall=1 - 1e-9)):
         with pytest.raises(ValueError, match="places"):
