@@ -60,3 +60,10 @@ def dropped(folder: str) -> None:
     """Remove a table that :func:`written` made and that nothing will read again."""
     store, path = locate(folder)
     store.delete_dir(path)
+
+
+def whole_keys(df: DataFrame, key: str) -> None:
+    """Refuse a key column that does not hold whole numbers, before any job starts."""
+    kind = df.schema[key].dataType.typeName()
+    if kind not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"keys are whole numbers, but {key} is {kind}")

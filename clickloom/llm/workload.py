@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import contamination, jaccard, neighbours, packing, records, sharding, substrings, toxicity, urls, warc
+from clickloom.llm import (
+    contamination,
+    jaccard,
+    neighbours,
+    packing,
+    periodic,
+    phrases,
+    records,
+    sharding,
+    substrings,
+    toxicity,
+    urls,
+    verified_copies,
+    warc,
+)
 from clickloom.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -111,6 +125,28 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their component of near copies."""
+    found = verified_copies.near_copies(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, some with a planted periodic end, with their runs."""
+    found = periodic.periodic_runs(table(spark, sf_dir, "documents"), planted=True)
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n")))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    best = [F.col(f"strongest.{name}").alias(name) for name in ("start", "length", "period")]
+    exponent = F.expr("1000L * strongest.length div strongest.period").alias("exponent_milli")
+    runs, collapsed = digest(F.array_join(lines, "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256")
+    return found.select(F.col("key").alias("doc_id"), "n_runs", *best, exponent, runs, collapsed)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -122,6 +158,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_records": op8_token_records,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_stratified_shards": op10_stratified_shards,
+    "op11_near_copies": op11_near_copies,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Words as in the operator: no ASCII white space inside.
@@ -196,7 +235,65 @@ def _url_model_sql(order: int = 5, alphabet: int = 256) -> str:
     """
 
 
+# A to Z in lower case, as bytes.
+LOWERED = f"translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}')"
+
 ORACLE: dict[str, str] = {
+    "op11_near_copies": rf"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS words FROM documents
+        ),
+        shingles AS (
+            SELECT DISTINCT doc_id, list_slice(words, place, place + 3) AS part FROM (
+                SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 2))) AS place FROM split WHERE len(words) > 0
+            )
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+            FROM shingles x JOIN shingles y ON x.part = y.part AND x.doc_id <> y.doc_id GROUP BY 1, 2
+        ),
+        links AS (
+            SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)
+        ),
+        reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+        lowest AS (SELECT a, min(b) AS low FROM reached GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+            doc_id <= coalesce(low, doc_id) AS kept
+        FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.a = doc_id
+    """,
+    "op12_collocations": rf"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all({LOWERED}, '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents
+        ),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+        grams AS (
+            SELECT lang, size, unnest([list_slice(words, i, i + size - 1) for i in range(1, len(words) - size + 2)]) AS gram
+            FROM split, (SELECT unnest([1, 2, 3]) AS size)
+        ),
+        f AS (SELECT lang, size, gram, count(*) AS f FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+        candidates AS (SELECT * FROM f WHERE size > 1 AND f >= 10),
+        cuts AS (
+            SELECT c.lang, c.gram, c.f AS a, k, x.f AS l, y.f AS r,
+                (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+            FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+            JOIN f x ON x.lang = c.lang AND x.gram = list_slice(c.gram, 1, k)
+            JOIN f y ON y.lang = c.lang AND y.gram = list_slice(c.gram, k + 1, c.size)
+        ),
+        worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+        inside AS (
+            SELECT DISTINCT s.lang, s.gram FROM candidates s
+            JOIN (SELECT lang, f, unnest([list_slice(gram, 1, 2), list_slice(gram, 2, 3)]) AS gram FROM candidates WHERE size = 3) b
+            ON b.lang = s.lang AND b.gram = s.gram AND 100 * b.f >= 50 * s.f
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+            FROM (SELECT lang, array_to_string(gram, ' ') AS phrase, a, l, r, score FROM worst ANTI JOIN inside USING (lang, gram))
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
     "op4_url_filter": _url_model_sql(),
     "op1_warc": """
         WITH sized AS (
