@@ -337,8 +337,12 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", settings
     pairs = pairs.filter(F.expr(f"longer IS NULL OR 100L * longer < {settings.percent}L * f")).select("x", "y", f("a"))
     pairs = pairs.join(one.select("x", f("l"), F.col("word").alias("wx"), "lang"), "x").join(one.select(F.col("x").alias("y"), f("r"), F.col("word").alias("wy")), "y")
     pairs = pairs.select("lang", F.concat_ws(" ", "wx", "wy").alias("phrase"), "a", "l", "r", _score(F.col("a"), F.col("l"), F.col("r"), settings).alias("score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = triples.union(pairs).withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= settings.top)
+    # First the best of each of some parts of a language, so that no task meets what all others found.
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    parts = triples.union(pairs).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SPLITS)))
+    some = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= settings.top)
+    best = Window.partitionBy("lang").orderBy(*order)
+    ranked = some.drop("part").withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= settings.top)
     totals = facts.filter(F.col("kind") == TOTAL).select("lang", "n")
     result = ranked.join(F.broadcast(totals), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
     result, _ = stages.written(result, "phrases")
