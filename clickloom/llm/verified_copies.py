@@ -7,12 +7,12 @@
 3. A candidate pair is compared batch by batch of its signature. With a uniform prior, the posterior after m
    of n equal values says how likely the similarity still reaches the wanted one; below the chosen miss
    probability the pair is pruned.
-4. Survivors are verified on their full sets, first the most similar partner of each class, then only what
-   is not connected yet.
+4. Of the survivors the most similar partner of each class is verified on the full sets.
 5. Members of a bucket that are still in different components are compared with each other in cells of
-   bounded size. The largest component of a bucket is compared with the rest of the bucket, not with itself.
+   bounded size, first by signature, then all survivors on their full sets. The largest component of a bucket is
+   compared with the rest of the bucket, not with itself. A cell tells what hangs together, not its pairs.
 
-Nothing is capped: whatever is still apart after a step is compared in the next one.
+Nothing is capped: every pair of a bucket is either connected, pruned or verified.
 """
 
 from __future__ import annotations
@@ -34,9 +34,10 @@ from clickloom.llm.jaccard import _whole_nodes as whole_cells
 # Buckets with more than one in so many of all memberships are joined by broadcast; there are no more of them.
 HOT_BUCKETS = 10_000
 _PAIRS = 1 << 16
+_COLUMNS = 4096
 SIGNED = "key long, row long, a long, b long, n long, bands array<long>, low binary"
 SURVIVORS = "a long, b long, equal int"
-FOUND = "a long, b long, equal int, cut boolean"
+CELLS = "cell long, side int, crossed boolean, class long, component long, low binary"
 
 
 @dataclass(frozen=True)
@@ -45,8 +46,8 @@ class Settings:
 
     Sets are similar if ``100 * shared >= percent * together``. A pair exactly there shares no band with a
     probability of ``(1 - s ** rows) ** bands``, 3 in a million. ``miss`` is the posterior probability of being similar
-    below which a pair is pruned, ``batch`` the number of values compared at a time. ``cell`` bounds what
-    is compared in one place, ``best`` how many partners of a class are verified first.
+    below which a pair is pruned, ``batch`` the number of values compared at a time. ``cell`` bounds how
+    many classes are compared in one place.
     """
 
     size: int = 4
@@ -56,7 +57,6 @@ class Settings:
     batch: int = 32
     miss: float = 1e-7
     cell: int = 256
-    best: int = 4
     seed: int = 29
 
     @property
@@ -198,50 +198,92 @@ def _test_pairs(settings: Settings):
     return run
 
 
-def _test_cells(settings: Settings, best: int | None):
-    """Surviving pairs of each cell between different components, for every class its ``best`` ones.
+class _Cells:
+    """Some whole cells: their rows and the pairs of different components that survive."""
+
+    def __init__(self, batch: pa.RecordBatch, settings: Settings) -> None:
+        self.cell, side, crossed, self.own, component = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(5))
+        low, steps = _signatures(batch.column(5), settings.length), settings.least_equal()
+        found, active, step = [], np.arange(len(self.cell)), 0
+        while True:
+            step += 1
+            active = active[active + step < len(self.cell)]
+            active = active[self.cell[active] == self.cell[active + step]]
+            if not len(active):
+                break
+            for first in range(0, len(active), _PAIRS):
+                i = active[first : first + _PAIRS]
+                j = i + step
+                fits = (component[i] != component[j]) & (~crossed[i] | (side[i] != side[j]))
+                i, j = i[fits], j[fits]
+                alive, _ = _sequential(low, low, i, j, steps)
+                found.append(np.stack([i[alive], j[alive]]))
+        self.pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+
+
+def _with_partners(settings: Settings):
+    """Rows of the classes that have a pair to verify in their cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in whole_cells(batches):
+            kept = np.unique(_Cells(batch, settings).pairs)
+            if len(kept):
+                yield batch.take(pa.array(kept))
+
+    return run
+
+
+def _shared(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """How many elements each two of some sets share, by products of parts of the table of sets by elements."""
+    _, codes = np.unique(values, return_inverse=True)
+    rows = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    order = np.argsort(codes, kind="stable")
+    codes, rows = codes[order], rows[order]
+    result = np.zeros((len(edges) - 1, len(edges) - 1), np.int64)
+    for first in range(0, int(codes.max(initial=-1)) + 1, _COLUMNS):
+        low, high = np.searchsorted(codes, [first, first + _COLUMNS])
+        part = np.zeros((len(edges) - 1, _COLUMNS), np.float32)
+        part[rows[low:high], codes[low:high] - first] = 1
+        result += np.rint(part @ part.T).astype(np.int64)
+    return result
 
-    ``cut`` says that the class had more than those.
-    """
-    steps = settings.least_equal()
+
+def _tied(settings: Settings):
+    """For each class with links in its cell, another one that these lead to. Survivors are verified exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_cells(batches):
-            cell, side, crossed, own, component = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(5))
-            low = _signatures(batch.column(5), settings.length)
-            found, active, step = [], np.arange(len(cell)), 0
-            while True:
-                step += 1
-                active = active[active + step < len(cell)]
-                active = active[cell[active] == cell[active + step]]
-                if not len(active):
-                    break
-                for first in range(0, len(active), _PAIRS):
-                    i = active[first : first + _PAIRS]
-                    j = i + step
-                    fits = (component[i] != component[j]) & (~crossed[i] | (side[i] != side[j]))
-                    i, j = i[fits], j[fits]
-                    alive, equal = _sequential(low, low, i, j, steps)
-                    found.append((i[alive], j[alive], equal))
-            if not found:
-                continue
-            i, j, equal = (np.concatenate(part) for part in zip(*found, strict=True))
-            cut = np.zeros(len(i), bool)
-            if best is not None and len(i):
-                # Both ways round: a pair stays if it is among the best of one of its two.
-                rows, pair = np.concatenate([i, j]), np.tile(np.arange(len(i)), 2)
-                order = np.lexsort((pair, -equal[pair], rows))
-                begin = np.searchsorted(rows[order], rows[order])
-                first = np.arange(len(order)) - begin < best
-                chosen = np.zeros(len(i), bool)
-                chosen[pair[order[first]]] = True
-                lost = ~chosen
-                cut[:] = lost.any()
-                i, j, equal, cut = i[chosen], j[chosen], equal[chosen], cut[chosen]
-            if len(i):
-                x, y = own[i], own[j]
-                columns = [pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y)), pa.array(equal), pa.array(cut)]
-                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "equal", "cut"])
+            cells = _Cells(batch, settings)
+            i, j = cells.pairs
+            sets = batch.column(6)
+            edges, values = sets.offsets.to_numpy(), sets.values.to_numpy(zero_copy_only=False)
+            parent = list(range(len(cells.own)))
+
+            def root(n: int) -> int:
+                while parent[n] != n:  # noqa: B023
+                    parent[n] = parent[parent[n]]  # noqa: B023
+                    n = parent[n]  # noqa: B023
+                return n
+
+            # Cells one by one: the rows of a cell follow each other.
+            begins = np.append(np.flatnonzero(np.concatenate([[True], cells.cell[1:] != cells.cell[:-1]])), len(cells.cell))
+            order = np.argsort(i, kind="stable")
+            i, j = i[order], j[order]
+            for first, last in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+                some = slice(*np.searchsorted(i, [first, last]))
+                if some.start == some.stop:
+                    continue
+                own = edges[first : last + 1]
+                shared = _shared(values[own[0] : own[-1]], own - own[0])[i[some] - first, j[some] - first]
+                sizes = np.diff(own)
+                together = sizes[i[some] - first] + sizes[j[some] - first] - shared
+                similar = 100 * shared >= settings.percent * together
+                for x, y in zip(i[some][similar].tolist(), j[some][similar].tolist(), strict=True):
+                    parent[root(x)] = root(y)
+            tied = [n for n in range(len(parent)) if root(n) != n]
+            if tied:
+                columns = [pa.array(cells.own[tied]), pa.array(cells.own[[root(n) for n in tied]])]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     return run
 
@@ -260,7 +302,6 @@ class _Search:
         self.classes, self.folder = stages.written(some.withColumn("class", F.monotonically_increasing_id()), "copy-classes")
         self.folders = [self.signed_folder, self.folder]
         self.links: DataFrame | None = None
-        self.tested: DataFrame | None = None
         self.groups = self.classes.select(F.col("class").alias("node"), F.col("class").alias("component")).limit(0)
 
     def _written(self, df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
@@ -287,51 +328,40 @@ class _Search:
         pairs = pairs.join(low.select(F.col("class").alias("a"), F.col("low").alias("left")), "a")
         return pairs.select("a", "b", "left", "right")
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of different components that were not verified yet."""
-        if self.links is not None:
-            for name in ("a", "b"):
-                own = self.groups.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
-                pairs = pairs.join(own, name, "left")
-            pairs = pairs.filter(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).drop("of_a", "of_b")
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        return pairs
-
-    def verify(self, pairs: DataFrame) -> None:
-        """Compare full sets; links change the components."""
-        pairs = self._written(pairs.select("a", "b").distinct(), "copy-pairs")
-        if pairs.isEmpty():
-            return
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    def shingles(self, wanted: DataFrame) -> DataFrame:
+        """The full sets of the classes in ``wanted``."""
         wanted = wanted.join(self.classes.select("class", F.col("of.key").alias("of_key"), F.col("of.row").alias("of_row")), "class")
         found = self.texts.join(wanted, F.col("row").eqNullSafe(F.col("of_row")) & F.col("key").eqNullSafe(F.col("of_key")))
         # Rows of one key and text may repeat; one of them is enough.
         one = found.groupBy("class").agg(F.first("text").alias("text"))
-        sets = self._written(one.mapInArrow(_exact_sets(self.settings.size), "class long, shingles array<long>"), "copy-sets")
-        both = pairs.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("right")), "b")
-        both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("left")), "a")
-        shared = F.size(F.array_intersect("left", "right"))
-        counted = both.select("a", "b", shared.alias("shared"), (F.size("left") + F.size("right")).alias("sizes"))
-        similar = F.expr(f"100L * shared >= {self.settings.percent}L * (sizes - shared)")
-        checked = self._written(counted.select("a", "b", similar.alias("similar")), "copy-checked")
-        links = checked.filter("similar").select("a", "b")
+        return self._written(one.mapInArrow(_exact_sets(self.settings.size), "class long, shingles array<long>"), "copy-sets")
+
+    def tie(self, links: DataFrame) -> None:
+        """Add verified links."""
         self.links = links if self.links is None else self.links.union(links)
-        rejected = checked.filter("NOT similar").select("a", "b")
-        self.tested = rejected if self.tested is None else self.tested.union(rejected)
         self.groups = self._written(components(self.links), "copy-groups")
 
-    def stars(self, members: DataFrame) -> None:
-        """Every member with the smallest class of its bucket."""
+    def stars(self, members: DataFrame) -> DataFrame:
+        """Compare every member with the smallest class of its bucket, and verify the best of these of each class.
+
+        Returns all that survive."""
         pairs = members.filter("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
-        alive = self.with_signatures(pairs).select("a", "b", "left", "right").mapInArrow(_test_pairs(self.settings), SURVIVORS)
-        alive = self._written(alive, "copy-survivors")
-        self.verify(alive.groupBy("a").agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b")))
-        self.verify(self.apart(alive))
-
-    def cells(self, members: DataFrame) -> DataFrame | None:
-        """Members of buckets that hold several components, in cells; the pivots are done."""
-        rows = members.filter("n > 2 AND class <> pivot").select("bucket", "class")
+        alive = self._written(self.with_signatures(pairs).mapInArrow(_test_pairs(self.settings), SURVIVORS), "copy-survivors")
+        best = self._written(alive.groupBy("a").agg(F.max_by("b", F.struct("equal", -F.col("b"))).alias("b")), "copy-pairs")
+        sets = self.shingles(best.select(F.explode(F.array("a", "b")).alias("class")).distinct())
+        both = best.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("right")), "b")
+        both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("left")), "a")
+        counted = both.select("a", "b", F.size(F.array_intersect("left", "right")).alias("shared"), (F.size("left") + F.size("right")).alias("sizes"))
+        similar = F.expr(f"100L * shared >= {self.settings.percent}L * (sizes - shared)")
+        self.tie(self._written(counted.filter(similar).select("a", "b"), "copy-links"))
+        return alive
+
+    def cells(self, members: DataFrame, alive: DataFrame) -> DataFrame | None:
+        """Members of buckets that hold several components, in cells. Pairs of a bucket of their own that did not
+        survive are done."""
+        two = members.filter("n = 2")
+        open_two = two.filter("class <> pivot").join(alive.select(F.col("a").alias("class"), F.col("b").alias("pivot")), ["class", "pivot"], "left_semi")
+        rows = members.filter("n > 2").select("bucket", "class").union(two.join(open_two.select("bucket"), "bucket", "left_semi").select("bucket", "class"))
         own = self.groups.select(F.col("node").alias("class"), "component")
         rows = rows.join(own, "class", "left").withColumn("component", F.coalesce("component", "class"))
         parts = self._written(rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")), "copy-parts")
@@ -363,14 +393,15 @@ class _Search:
         rows = cells.union(split).join(self.classes.select("class", "low"), "class")
         return rows.select("cell", "side", "crossed", "class", "component", "low").repartition("cell").sortWithinPartitions("cell")
 
-    def close(self, members: DataFrame, best: int | None) -> bool:
-        """Verify what the cells find; whether something was left for later."""
-        cells = self.cells(members)
+    def close(self, members: DataFrame, alive: DataFrame) -> None:
+        """Verify what the cells find."""
+        cells = self.cells(members, alive)
         if cells is None:
-            return False
-        found = self._written(cells.mapInArrow(_test_cells(self.settings, best), FOUND), "copy-found")
-        self.verify(self.apart(found.select("a", "b").distinct()))
-        return not found.filter("cut").isEmpty()
+            return
+        found = self._written(cells.mapInArrow(_with_partners(self.settings), CELLS), "copy-partners")
+        rows = found.join(self.shingles(found.select("class").distinct()), "class")
+        rows = rows.select("cell", "side", "crossed", "class", "component", "low", "shingles").repartition("cell").sortWithinPartitions("cell")
+        self.tie(self._written(rows.mapInArrow(_tied(self.settings), "a long, b long"), "copy-ties"))
 
 
 def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -389,9 +420,7 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", settings
     search = _Search(df, key, text, settings)
     members = search.members()
     if not members.isEmpty():
-        search.stars(members)
-        if search.close(members, settings.best):
-            search.close(members, None)
+        search.close(members, search.stars(members))
     known = search.classes.select("class", "a", "b", "copies", "first")
     groups = search.groups.select(F.col("node").alias("class"), "component").join(known.select("class", "first"), "class")
     if search.links is not None:

@@ -76,9 +76,9 @@ def found(df, **changes):
     return sorted([tuple(row) for row in result.collect()], key=str)
 
 
-@pytest.mark.parametrize("changes", [{}, {"cell": 8, "best": 1}])
+@pytest.mark.parametrize("changes", [{}, {"cell": 8}])
 def test_near_copies(spark, changes, monkeypatch):
-    """With cells of 8 classes, buckets are cut into blocks and partners are verified in two rounds."""
+    """With cells of 8 classes, buckets are cut into blocks."""
     if changes:
         monkeypatch.setattr(verified_copies, "HOT_BUCKETS", 100)
     rows = corpus()
@@ -110,7 +110,7 @@ def test_a_group_of_copies_takes_few_comparisons(spark, monkeypatch):
 
     def counted(df, purpose, *rest, **more):
         table, folder = real(df, purpose, *rest, **more)
-        if purpose in ("copy-survivors", "copy-pairs", "copy-found"):
+        if purpose in ("copy-survivors", "copy-pairs", "copy-partners", "copy-ties"):
             sizes.append(table.count())
         return table, folder
 
@@ -139,3 +139,12 @@ def test_sequential_pruning():
         rows = np.arange(len(left))
         share = len(verified_copies._sequential(left, right, rows, rows, steps)[0]) / len(left)
         assert least <= share <= most
+
+
+def test_shared_elements_of_many_sets(monkeypatch):
+    monkeypatch.setattr(verified_copies, "_COLUMNS", 7)
+    source = random.Random(4)
+    sets = [set(source.sample(range(40), source.randint(0, 30))) for _ in range(20)]
+    edges = np.concatenate([[0], np.cumsum([len(one) for one in sets])])
+    values = np.array([value for one in sets for value in sorted(one)], np.int64)
+    assert verified_copies._shared(values, edges).tolist() == [[len(x & y) for y in sets] for x in sets]
