@@ -1,21 +1,32 @@
 """Time between the events of a session.
 
-An ordinary session is sorted in one task. A hot session, which may hold any share of all events,
-never is: there the previous moment is looked up level by level, first inside one time slice, then
-among the slices.
+Events are laid out in ranges of (session, time, tie), each of them looks at the row before it, and the
+last row of each range is carried to the next one through a small table. A session may hold any share of
+all events: it simply lies in as many ranges as it needs, and nothing has to be known about it before.
+
+Where sessions are known to be small, a window over each does the same without a table in between; hot
+sessions can also be looked up level by level, first inside one time slice, then among the slices.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickloom.operators.skew import HOT_ROWS, split_hot
+from clickloom.operators.saved import Scratch
+from clickloom.operators.skew import split_hot
 
 HOUR = 3600
 
+# Instead of a number of rows from which a session is hot: ranges, for which no session is.
+RANGES = -1
+
 
 def session_key(session: str) -> dict[str, Column]:
     """The session as two columns without nulls, so that null is a session like any other."""
@@ -68,27 +79,104 @@ def seconds_in_session(session: str, event_time: str, then_by: Sequence[str]) ->
     return F.coalesce(second - F.unix_timestamp(F.lag(event_time).over(order)), F.lit(0))
 
 
+def _same_as_before(column: pa.Array) -> np.ndarray:
+    """For each value but the first whether it equals the one before it; null equals null."""
+    now, before = column.slice(1), column.slice(0, len(column) - 1)
+    both = pc.and_(pc.is_null(now), pc.is_null(before))
+    return pc.or_kleene(pc.fill_null(pc.equal(now, before), False), both).to_numpy(zero_copy_only=False)
+
+
+def _look_back(session: str, event_time: str, previous: str):
+    """Rows of one range with the time of the row before, if that has the same session.
+
+    ``_open`` marks the first row of a range, whose row before is elsewhere, ``_last`` the last one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: pa.RecordBatch | None = None  # the last row so far, not sent yet
+        started = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch] if before is None else [before, batch]).combine_chunks().to_batches()[0]
+            yield from sent(rows, not started, False)
+            started, before = started or rows.num_rows > 1, rows.slice(max(0, rows.num_rows - 2))
+        if before is not None:
+            yield from sent(before, False, True) if before.num_rows > 1 else sent(before, True, True)
+
+    def sent(rows: pa.RecordBatch, first: bool, last: bool) -> Iterator[pa.RecordBatch]:
+        """The rows that are complete: the first of a range only if asked, the last only at the end."""
+        names = rows.schema.names
+        sessions, times = rows.column(names.index(session)), rows.column(names.index(event_time))
+        same = np.concatenate([[False], _same_as_before(sessions)])
+        shifted = pa.concat_arrays([pa.nulls(1, times.type), times.slice(0, len(times) - 1)])
+        found = pc.if_else(pa.array(same), shifted, pa.nulls(len(times), times.type))
+        opened = np.zeros(len(times), bool)
+        opened[0] = first
+        ended = np.zeros(len(times), bool)
+        ended[-1] = last
+        whole = pa.RecordBatch.from_arrays([*rows.columns, found, pa.array(opened), pa.array(ended)], names=[*names, previous, "_open", "_last"])
+        begin, end = (0 if first else 1), (len(times) if last else len(times) - 1)
+        if end > begin:
+            yield whole.slice(begin, end - begin)
+
+    return run
+
+
+def previous_by_ranges(
+    events: DataFrame, session: str, event_time: str, then_by: Sequence[str], previous: str = "prev_event_time", ranges: int | None = None
+) -> DataFrame:
+    """Add the time of the event before in the session, null for its first one.
+
+    Events are ordered by time, then by ``then_by``; null is a session and a time of its own and comes first.
+    ``ranges`` is the number of tasks, the session's shuffle partitions unless given. Rows that agree in all of these
+    columns stay together, so there should not be very many of them.
+    """
+    spark = events.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = list(dict.fromkeys([session, event_time, *then_by]))
+    columns = [F.col(f"`{name}`") for name in keys]
+    ordered = events.repartitionByRange(ranges, *columns).withColumn("_range", F.spark_partition_id()).sortWithinPartitions(*columns)
+    kind = events.schema[event_time].dataType
+    marks = [T.StructField(previous, kind), T.StructField("_open", T.BooleanType()), T.StructField("_last", T.BooleanType())]
+    looked = ordered.mapInArrow(_look_back(session, event_time, previous), T.StructType([*ordered.schema.fields, *marks]))
+    # Written, because ranges laid out again could be cut elsewhere.
+    table = Scratch(events, "event-ranges").saved(looked)
+    # One row for each range: what the next one that is not empty has to know.
+    ends = table.filter("_last").select("_range", F.col(session).alias("_session"), F.col(event_time).alias("_time"))
+    before = Window.orderBy("_range")
+    carried = ends.select("_range", F.lag("_session").over(before).alias("_session"), F.lag("_time").over(before).alias("_time"))
+    joined = table.alias("e").join(F.broadcast(carried).alias("c"), (F.col("e._range") == F.col("c._range")) & F.col("e._open"), "left")
+    same = F.col("_open") & F.col(f"e.`{session}`").eqNullSafe(F.col("c._session"))
+    time = F.when(same, F.col("c._time")).otherwise(F.col(f"e.`{previous}`"))
+    return joined.select(*[F.col(f"e.`{name}`") for name in events.columns], time.alias(previous))
+
+
 def time_spent(
     events: DataFrame,
     event_id: str,
     session: str = "user_session",
     event_time: str = "event_time",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = RANGES,
 ) -> DataFrame:
     """Add ``prev_event_time`` and ``time_spent`` to every event.
 
     Events of a session are ordered by time, then by ``event_id``, which is unique. The time spent
     is the difference of the whole seconds and belongs to the later event; the first event of a
-    session has no previous time and spends 0. Sessions of ``hot_rows`` events and more are found
-    first and spread over many tasks; ``hot_rows=None`` skips the search, for events known to have none.
+    session has no previous time and spends 0. Sessions may be of any size, being cut into ranges. With ``hot_rows=None``
+    each session is sorted in one task, without a table in between, for sessions known to be small; with a
+    number, those of so many events are looked for and spread over many tasks.
     """
     if events.schema[event_time].dataType.typeName() == "timestamp_ntz":
         events = events.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    cold, hot = split_hot(events, session, hot_rows)
-    order = Window.partitionBy(session).orderBy(event_time, event_id)
-    previous = cold.withColumn("prev_event_time", F.lag(event_time).over(order))
-    if hot is not None:
-        previous = previous.unionByName(_previous_in_hot_sessions(hot, event_id, session, event_time))
+    if hot_rows == RANGES:
+        previous = previous_by_ranges(events, session, event_time, [event_id])
+    else:
+        cold, hot = split_hot(events, session, hot_rows)
+        order = Window.partitionBy(session).orderBy(event_time, event_id)
+        previous = cold.withColumn("prev_event_time", F.lag(event_time).over(order))
+        if hot is not None:
+            previous = previous.unionByName(_previous_in_hot_sessions(hot, event_id, session, event_time))
     spent = F.unix_timestamp(F.col(event_time)) - F.unix_timestamp("prev_event_time")
     return previous.withColumn("time_spent", F.coalesce(spent, F.lit(0)).cast("double"))
 

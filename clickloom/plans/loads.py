@@ -58,7 +58,7 @@ def load_names(dataset: DataFrame, target: Collection, embedder: Embedder | None
 def load_combined(
     dataset: DataFrame,
     target: Collection,
-    settings: vectors.Word2VecSettings = vectors.COMBINED_SETTINGS,
+    settings: vectors.Word2VecSettings | vectors.BlockedSettings = vectors.COMBINED_SETTINGS,
     embedder: Embedder | None = None,
 ) -> int:
     """Recreate the collection with a vector of all attributes of each record."""
@@ -69,7 +69,7 @@ def load_training(
     events: DataFrame,
     products: DataFrame,
     target: Collection,
-    settings: vectors.Word2VecSettings = vectors.TRAINING_SETTINGS,
+    settings: vectors.Word2VecSettings | vectors.BlockedSettings = vectors.TRAINING_SETTINGS,
     embedder: Embedder | None = None,
 ) -> int:
     """Recreate the collection with the training extract."""
@@ -87,9 +87,10 @@ def load_retrain(
 def load_behaviors(
     events: DataFrame,
     target: Collection,
-    settings: vectors.Word2VecSettings = vectors.BEHAVIOR_SETTINGS,
+    settings: vectors.Word2VecSettings | vectors.BlockedSettings = vectors.BEHAVIOR_SETTINGS,
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
+    embedder: Embedder | None = None,
 ) -> DataFrame | None:
     """Recreate the collection with a vector per event, and return the interaction scores.
 
@@ -97,5 +98,5 @@ def load_behaviors(
     """
     if unless_empty(events, "the behaviours") is None:
         return None
-    target.load(vectors.behavior_vectors(events, settings), recreate=True)
+    target.load(vectors.behavior_vectors(events, settings, embedder), recreate=True)
     return interaction_scores(events, event_types=event_types, tie_breakers=tie_breakers)

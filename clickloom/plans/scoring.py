@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.scalars import indicator, parse_event_time, share
 from clickloom.operators.aggregates import EVENT_TYPES, PRODUCT_COUNTS, SESSION_COUNTS
-from clickloom.operators.sessions import credited_seconds, seconds_in_session
-from clickloom.operators.skew import HOT_ROWS, split_hot
+from clickloom.operators.sessions import RANGES, credited_seconds, previous_by_ranges, seconds_in_session
+from clickloom.operators.skew import split_hot
 
 
 # The weights of the four shares; they add up to 1.
@@ -53,6 +53,14 @@ def _features_of_sessions(events: DataFrame, event_types: Mapping[str, str], tie
     return _summed(events.select(*NAMED_INTERACTION, *_flags(event_types), seconds.alias("time_spent")))
 
 
+def _features_by_ranges(events: DataFrame, event_types: Mapping[str, str], ties: Sequence[str]) -> DataFrame:
+    """The same for sessions of any size: events look back inside ranges of the order, and counts and seconds
+    are added up on the map side before they are shuffled by all four keys."""
+    looked = previous_by_ranges(events, "user_session", "event_time", [*ties, "product_id", "user_id"], "_previous")
+    spent = F.unix_timestamp("event_time") - F.unix_timestamp("_previous")
+    return _summed(looked.select(*NAMED_INTERACTION, *_flags(event_types), F.coalesce(spent, F.lit(0)).alias("time_spent")))
+
+
 def _features_of_hot_sessions(
     events: DataFrame, event_types: Mapping[str, str], ties: Sequence[str]
 ) -> DataFrame:
@@ -101,6 +109,14 @@ def _shares_of_sessions(features: DataFrame) -> DataFrame:
     return _shares(summed.withColumns({name: F.sum(part).over(session) for part, name in _TOTALS.items()}))
 
 
+def _scattered() -> Column:
+    """Interactions with a null key have no time share, so they need no sum and must not meet in one task."""
+    complete = F.col(INTERACTION[0]).isNotNull()
+    for key in INTERACTION[1:]:
+        complete = complete & F.col(key).isNotNull()
+    return F.when(~complete, F.xxhash64("name", *INTERACTION))
+
+
 def _shares_of_hot_sessions(features: DataFrame) -> DataFrame:
     """The same where a session does not fit one task: its sums are joined.
 
@@ -108,11 +124,7 @@ def _shares_of_hot_sessions(features: DataFrame) -> DataFrame:
     stay where they are. Names of one interaction are few; interactions with a null key have no time
     share, so they need no sum and are scattered.
     """
-    complete = F.col(INTERACTION[0]).isNotNull()
-    for key in INTERACTION[1:]:
-        complete = complete & F.col(key).isNotNull()
-    scattered = F.when(~complete, F.xxhash64("name", *INTERACTION))
-    interaction = Window.partitionBy(*INTERACTION, scattered)
+    interaction = Window.partitionBy(*INTERACTION, _scattered())
     summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
     totals = features.groupBy("user_session").agg(*[F.sum(part).alias(name) for part, name in _TOTALS.items()])
     # Null-safe, since a plain equality would put a filter on nulls below the sums, which would then
@@ -122,17 +134,29 @@ def _shares_of_hot_sessions(features: DataFrame) -> DataFrame:
     return _shares(joined.select("i.*", *_TOTALS.values()))
 
 
+def _shares_by_join(features: DataFrame) -> DataFrame:
+    """Shares for sessions of any size: their sums are joined, and where a session has very many interactions
+    the adaptive skew join splits them."""
+    interaction = Window.partitionBy(*INTERACTION, _scattered())
+    summed = features.withColumn("product_time_spent", F.sum("time_spent").over(interaction))
+    totals = features.groupBy("user_session").agg(*[F.sum(part).alias(name) for part, name in _TOTALS.items()])
+    return _shares(summed.join(totals, "user_session", "left"))
+
+
 def interaction_features(
     events: DataFrame,
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = RANGES,
 ) -> DataFrame:
     """Counts and seconds spent per session, product, user and product name.
 
-    ``tie_breakers`` order events of one session at the same time. Sessions of ``hot_rows`` events
-    and more are found first and spread over many tasks; ``None`` skips the search.
+    ``tie_breakers`` order events of one session at the same time. Sessions may be of any size, being cut into
+    ranges. With ``hot_rows=None`` each session is handled in one task, for sessions known to be small; with a
+    number, those of so many events are looked for and spread over many tasks.
     """
+    if hot_rows == RANGES:
+        return _features_by_ranges(_prepared(events, tie_breakers), event_types, tie_breakers)
     cold, hot = split_hot(_prepared(events, tie_breakers), "user_session", hot_rows)
     features = _features_of_sessions(cold, event_types, tie_breakers)
     return features if hot is None else features.unionByName(_features_of_hot_sessions(hot, event_types, tie_breakers))
@@ -152,12 +176,14 @@ def interaction_shares(
     events: DataFrame,
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = RANGES,
 ) -> DataFrame:
     """The shares F1 to F4 (views, carts, purchases, time) of each interaction in its session.
 
     A product with two names in one interaction has the time of both under each name.
     """
+    if hot_rows == RANGES:
+        return _shares_by_join(interaction_features(events, event_types, tie_breakers))
     cold, hot = split_hot(_prepared(events, tie_breakers), "user_session", hot_rows)
     shares = _shares_of_sessions(_features_of_sessions(cold, event_types, tie_breakers))
     if hot is None:
@@ -171,7 +197,7 @@ def interaction_scores(
     event_types: Mapping[str, str] = EVENT_TYPES,
     tie_breakers: Sequence[str] = (),
     with_session: bool = False,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int | None = RANGES,
 ) -> DataFrame:
     """``user_id, product_id, name, score`` of every interaction.
 

@@ -9,6 +9,8 @@ from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.blocked_word2vec import BlockedModel, BlockedSettings
+from clickloom.functions.blocked_word2vec import fit as fit_blocked
 from clickloom.functions.embedders import Embedder, HashingEmbedder
 from clickloom.functions.scalars import combined_attributes, utc_label
 from clickloom.functions.text import filtered_tokens, non_blank
@@ -154,15 +156,23 @@ def fit_word2vec(tokens: DataFrame, settings: Word2VecSettings, words: str = "_w
 def word2vec_vectors(
     df: DataFrame,
     text: str,
-    settings: Word2VecSettings,
-    model: Word2VecModel | None = None,
+    settings: Word2VecSettings | BlockedSettings,
+    model: Word2VecModel | BlockedModel | None = None,
     vector: str = "vector",
 ) -> DataFrame:
     """Add the mean word vector of a text; a text without words has the zero vector.
 
     The model is fitted on ``df`` unless one is given. Fitting reads the tokens three times, so that
-    column alone is kept meanwhile.
+    column alone is kept meanwhile. With blocked settings the model is a table, and each distinct text
+    gets its vector once.
     """
+    if isinstance(settings, BlockedSettings):
+        fitted = model or fit_blocked(word_tokens(df, text).select("_words"), settings, "_words")
+
+        def embed(rows: DataFrame, column: str, out: str) -> DataFrame:
+            return fitted.transform(word_tokens(rows, column), "_words", out).drop("_words")
+
+        return once_per_text(df, text, vector, embed)
     tokens = word_tokens(df, text)
     if model is None:
         with persisted(tokens.select("_words")) as kept:
@@ -170,13 +180,15 @@ def word2vec_vectors(
     return model.transform(tokens).withColumn(vector, float_array("_word2vec")).drop("_words", "_word2vec")
 
 
-def _text_vectors(df: DataFrame, text: str, settings: Word2VecSettings, embedder: Embedder | None) -> DataFrame:
-    """By Word2Vec, or by an embedder: that one has no vocabulary and so no limit."""
+def _text_vectors(
+    df: DataFrame, text: str, settings: Word2VecSettings | BlockedSettings, embedder: Embedder | None
+) -> DataFrame:
+    """By Word2Vec, on the driver or in blocks, or by an embedder, which has no vocabulary."""
     return word2vec_vectors(df, text, settings) if embedder is None else embed_names(df, embedder, text)
 
 
 def behavior_vectors(
-    events: DataFrame, settings: Word2VecSettings = BEHAVIOR_SETTINGS, embedder: Embedder | None = None
+    events: DataFrame, settings: Word2VecSettings | BlockedSettings = BEHAVIOR_SETTINGS, embedder: Embedder | None = None
 ) -> DataFrame:
     """``user_id, product_id, name, vector`` of every event."""
     rows = events.select("user_id", "product_id", "name")
@@ -186,7 +198,7 @@ def behavior_vectors(
 def training_vectors(
     events: DataFrame,
     products: DataFrame,
-    settings: Word2VecSettings = TRAINING_SETTINGS,
+    settings: Word2VecSettings | BlockedSettings = TRAINING_SETTINGS,
     embedder: Embedder | None = None,
 ) -> DataFrame:
     """The training extract: enriched events with name vector and UTC time label."""
@@ -195,11 +207,12 @@ def training_vectors(
 
 
 def combined_vectors(
-    dataset: DataFrame, settings: Word2VecSettings = COMBINED_SETTINGS, embedder: Embedder | None = None
+    dataset: DataFrame, settings: Word2VecSettings | BlockedSettings = COMBINED_SETTINGS, embedder: Embedder | None = None
 ) -> DataFrame:
     """``product_id, vector`` of every record, the vector made from all nine attributes.
 
-    The attributes hold ids and times, so a vocabulary grows with the data; large data needs an embedder.
+    The attributes hold ids and times, so a vocabulary grows with the data; large data needs blocked settings or
+    an embedder.
     """
     texts = dataset.select("product_id", combined_attributes().alias("_text"))
     return _text_vectors(texts, "_text", settings, embedder).select("product_id", "vector")

@@ -275,6 +275,12 @@ WHERE word <> '' GROUP BY word HAVING count(*) >= 10""",
     "word2vec_behavior_shape": _with(_B, _P, _N, _known("n", "name", 0))
     + "SELECT user_id, product_id, name, 128 AS dimension, name IN (SELECT txt FROM known) AS has_words FROM n",
     "word2vec_means": _with(_B, _P, _N) + "SELECT DISTINCT name, 128::BIGINT AS dimension, TRUE AS is_mean FROM n",
+    "behavior_vectors_hashed": _with(_B, _P, _N, _NAME_CELLS.replace("enriched", "n"))
+    + f"SELECT user_id, product_id, name, {_CELL} FROM n LEFT JOIN cells USING (name)",
+    "training_vectors_hashed": _with(_B, _P, _ENRICHED, _NAME_CELLS)
+    + f"""SELECT user_id, product_id, name, brand, category_code, price::VARCHAR AS price, event_type,
+       substr(event_time, 1, 19) || ' UTC' AS event_time, user_session, {_CELL}
+FROM enriched LEFT JOIN cells USING (name)""",
     "combined_vectors_hashed": _with(
         _B,
         _P,
@@ -357,3 +363,5 @@ ORACLE["load_retrain"] = ORACLE["retrain_vectors"]
 ORACLE["interaction_scores_hot_sessions"] = ORACLE["interaction_scores"]
 ORACLE["time_spent_hot_sessions"] = ORACLE["time_spent"]
 ORACLE["enriched_events_hot_products"] = ORACLE["enriched_events"]
+ORACLE["word2vec_blocked_means"] = ORACLE["word2vec_means"]
+ORACLE["word2vec_blocked_training_shape"] = ORACLE["word2vec_training_shape"]

@@ -579,9 +579,13 @@ def word2vec_behavior_shape(spark, sf_dir):
 def _means(words: DataFrame, text: str, settings) -> DataFrame:
     """Whether each vector is the mean of its words' vectors, an unknown word counting as zero."""
     tokens = vector_plans.word_tokens(words, text)
-    model = vector_plans.fit_word2vec(tokens, settings)
+    if isinstance(settings, vector_plans.BlockedSettings):
+        model = vector_plans.fit_blocked(tokens.select("_words"), settings, "_words")
+        known = model.vectors().withColumnRenamed("vector", "known")
+    else:
+        model = vector_plans.fit_word2vec(tokens, settings)
+        known = model.getVectors().select("word", vectors.float_array("vector").alias("known"))
     found = vector_plans.word2vec_vectors(words.select(text), text, settings, model).distinct()
-    known = model.getVectors().select("word", vectors.float_array("vector").alias("known"))
     exploded = tokens.select(text, "_words").distinct().select(text, F.size("_words").alias("n"), F.explode_outer("_words").alias("word"))
     each = exploded.join(known, "word", "left").select(text, "n", F.posexplode_outer("known").alias("place", "x"))
     sums = each.filter("place IS NOT NULL").groupBy(text, "place").agg((F.sum(F.col("x").cast("double")) / F.first("n")).alias("mean"))
@@ -597,6 +601,36 @@ def word2vec_means(spark, sf_dir):
     return _means(named_behaviors(spark, sf_dir).select("name"), "name", settings)
 
 
+# Small blocks, so that the small vocabulary of the test tables needs several.
+BLOCKED = vector_plans.BlockedSettings(min_count=10, block_words=20)
+
+
+@query
+def word2vec_blocked_means(spark, sf_dir):
+    """The same of a model that is a table of blocks."""
+    return _means(named_behaviors(spark, sf_dir).select("name"), "name", BLOCKED)
+
+
+@query
+def word2vec_blocked_training_shape(spark, sf_dir):
+    keys = ["user_session", "event_time", "product_id", "name", "brand", "category_code", "price", "event_type"]
+    return _shape(vector_plans.training_vectors(behaviors(spark, sf_dir), products(spark, sf_dir), BLOCKED), keys)
+
+
+@query
+def behavior_vectors_hashed(spark, sf_dir):
+    """Every event's vector by value, one row for each event and bucket."""
+    found = vector_plans.behavior_vectors(named_behaviors(spark, sf_dir), embedder=HashingEmbedder())
+    return _weights(found, ["user_id", "product_id", "name"])
+
+
+@query
+def training_vectors_hashed(spark, sf_dir):
+    """The training extract by value."""
+    found = vector_plans.training_vectors(behaviors(spark, sf_dir), products(spark, sf_dir), embedder=HashingEmbedder())
+    return _weights(found.withColumn("price", F.col("price").cast("string")), [name for name in vector_plans.TRAINING_COLUMNS if name != "vector"])
+
+
 @query
 def combined_vectors_hashed(spark, sf_dir):
     return _weights(vector_plans.combined_vectors(dataset(spark, sf_dir).distinct(), embedder=HashingEmbedder()), ["product_id"])

@@ -246,7 +246,7 @@ def test_product_and_session_time(spark):
 def test_ordinary_sessions_are_shuffled_once(spark, tmp_path):
     spark.createDataFrame(random_events(9, 200), SCHEMA).write.parquet(str(tmp_path / "e"))
     events = spark.read.parquet(str(tmp_path / "e"))
-    plan = plan_of(scoring.interaction_scores(events, tie_breakers=["event_id"]))
+    plan = plan_of(scoring.interaction_scores(events, tie_breakers=["event_id"], hot_rows=None))
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 2
     assert "Join" not in plan and "Python" not in plan
