@@ -365,3 +365,15 @@ ORACLE["time_spent_hot_sessions"] = ORACLE["time_spent"]
 ORACLE["enriched_events_hot_products"] = ORACLE["enriched_events"]
 ORACLE["word2vec_blocked_means"] = ORACLE["word2vec_means"]
 ORACLE["word2vec_blocked_training_shape"] = ORACLE["word2vec_training_shape"]
+ORACLE["stream_point_table"] = ORACLE["stream_vector_upsert"]
+ORACLE["stream_vector_upsert_once"] = _with(_B, _P, _N, _MESSAGES) + f"""SELECT product_id, count(*) AS written, count(*) AS points FROM (
+  SELECT DISTINCT product_id, {_point_id("event_time")} AS point_id
+  FROM (SELECT *, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time FROM good)
+) GROUP BY product_id"""
+# A log keeps tombstones too, under offsets of their own.
+ORACLE["log_read"] = _with(_B, _P, _N, _MESSAGES) + """SELECT "partition", sum((event_id % 100 <> 1)::INTEGER)::BIGINT AS good,
+       count(*) AS records, count(*) AS offsets
+FROM m, range(copies) WHERE event_id % 100 <> 0 GROUP BY ALL"""
+ORACLE["log_stream"] = _with(_B, _P, _N, _MESSAGES) + "SELECT product_id, count(*) AS n, TRUE AS bounded FROM good GROUP BY product_id"
+ORACLE["log_counts"] = _with(_B, _P, _N, _MESSAGES) + """SELECT 'behaviors' AS topic, sum(copies)::BIGINT AS messages FROM m
+UNION ALL SELECT 'empty', 0 UNION ALL SELECT 'unknown', -1"""

@@ -15,8 +15,8 @@ from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
 from clickloom.operators import aggregates, rows, sessions
 from clickloom.plans import buyers, enrichment, loads, retrain, scoring
 from clickloom.plans import vectors as vector_plans
-from clickloom.sources import files, tables, topics, vector_sink
-from clickloom.streaming import ingest, sinks, upsert
+from clickloom.sources import files, record_log, tables, topics, vector_sink
+from clickloom.streaming import ingest, point_table, sinks, upsert
 from clickloom.workload.tables import (
     CLICK_TYPES,
     behaviors,
@@ -897,6 +897,87 @@ def _point_weights(points: DataFrame) -> DataFrame:
     return _weights(points, ["point_id", *upsert.PAYLOAD.fieldNames()])
 
 
+@query
+def stream_vector_upsert_once(spark, sf_dir):
+    """All records twice, the second time in later batches: how often each product's points were written."""
+    out, checkpoint = session.shared_dir(spark, "upsert"), session.shared_dir(spark, "checkpoint")
+    path = session.shared_dir(spark, "topic")
+    points, dead = sinks.batch_folder(f"{out}/points"), sinks.batch_folder(f"{out}/dead_letters")
+    for _ in range(2):
+        rows.without_tombstones(messages(spark, sf_dir)).select("value").coalesce(2).write.mode("append").text(path)
+        lines = topics.stream_lines(spark, path, 1)
+        upsert.upsert_stream(lines, points, dead, checkpoint, until_now=True, horizon="1 day").awaitTermination()
+    written = sinks.read_batches(spark, f"{out}/points", upsert.POINT)
+    return written.groupBy("product_id").agg(F.count("*").alias("written"), F.count_distinct("point_id").alias("points"))
+
+
+@query
+def stream_point_table(spark, sf_dir):
+    """Points in a table of buckets, compacted between two runs of the stream and read by its newest version."""
+    out, checkpoint = session.shared_dir(spark, "points"), session.shared_dir(spark, "checkpoint")
+    path = session.shared_dir(spark, "topic")
+    points, dead = point_table.PointTable(spark, out, upsert.POINT, buckets=8), sinks.batch_folder(f"{out}-dead")
+    records = rows.without_tombstones(messages(spark, sf_dir))
+    for part in (0, 1):
+        records.filter(F.col("offset") % 2 == part).select("value").repartition(2).write.mode("append").text(path)
+        upsert.upsert_stream(topics.stream_lines(spark, path, 1), points.write, dead, checkpoint, until_now=True).awaitTermination()
+        if not part:
+            points.compact()
+            points.vacuum()
+    return _point_weights(points.read())
+
+
+def _log(spark: SparkSession, sf_dir: str, parts: int = 1) -> str:
+    """The topic records as a log of four partitions, written in so many steps, beside an empty topic."""
+    path = session.shared_dir(spark, "log")
+    record_log.create_topic(path, "behaviors", 4)
+    record_log.create_topic(path, "empty", 2)
+    records = messages(spark, sf_dir).select("value", "partition", "offset")
+    for part in range(parts):
+        record_log.append(records.filter(F.col("offset") % parts == part), path, "behaviors")
+    return path
+
+
+@query
+def log_read(spark, sf_dir):
+    """The records of a log in batch, with the offsets that it gave them."""
+    options = record_log.log_options(_log(spark, sf_dir), ["behaviors", "empty"])
+    records = topics.read_topic(spark, options, record_log.FORMAT)
+    good, dead = topics.split_records(topics.tag_records(records), keep=["topic", "partition", "offset"])
+    both = good.select("partition", "offset", F.lit(1).alias("good")).union(dead.select("partition", "offset", F.lit(0)))
+    each = both.groupBy("partition").agg(F.sum("good").alias("good"), F.count("*").alias("records"), F.count_distinct("offset").alias("offsets"))
+    return each
+
+
+@query
+def log_stream(spark, sf_dir):
+    """The log as a stream of bounded batches, stopped and started again when more has come."""
+    out, checkpoint, path = session.shared_dir(spark, "ingest"), session.shared_dir(spark, "checkpoint"), session.shared_dir(spark, "log")
+    record_log.create_topic(path, "behaviors", 4)
+    record_log.register(spark)
+    records = messages(spark, sf_dir).select("value", "partition", "offset")
+    total = records.count()
+    for part in (0, 1):
+        record_log.append(records.filter(F.col("offset") % 2 == part), path, "behaviors")
+        stream = topics.stream_topic(spark, record_log.log_options(path, ["behaviors"], -(-total // 5)), record_log.FORMAT)
+        query = ingest.ingest_stream(stream, _string_products(spark, sf_dir), ingest.folder_sinks(out), checkpoint, until_now=False)
+        query.processAllAvailable()
+        query.stop()
+    raw = sinks.read_batches(spark, f"{out}/behaviors", schemas.BEHAVIOR)
+    sizes = raw.groupBy(sinks.BATCH).count()
+    bounded = sizes.agg(F.max("count") <= -(-total // 5), F.count("*") >= 5).first()
+    return raw.groupBy("product_id").agg(F.count("*").alias("n")).withColumn("bounded", F.lit(all(bounded)))
+
+
+@query
+def log_counts(spark, sf_dir):
+    """Messages by topic from the offsets: an empty topic has 0, an unknown one -1."""
+    partitions = record_log.offsets(spark, _log(spark, sf_dir, 2))
+    names = ["behaviors", "empty", "unknown"]
+    counts = [record_log.count_messages(partitions, name).select(F.lit(name).alias("topic"), "messages") for name in names]
+    return counts[0].union(counts[1]).union(counts[2])
+
+
 @query
 def stream_vector_upsert_compacted(spark, sf_dir):
     """The same with the batches compacted between two runs of the stream."""
