@@ -56,3 +56,17 @@ def write_table(
 ) -> None:
     """Write by a connector."""
     df.write.format(fmt).options(**(options or {})).mode(mode).save()
+
+
+def store_layout(df: DataFrame, name: str, folder: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A table laid out once for all later reads: in buckets by ``keys``, each bucket sorted by them.
+
+    Joins with a table of equal buckets by these keys, and groupings that contain them, need no exchange. The
+    table is known to the session's catalogue as ``name`` and lies in ``folder``. Each bucket is one file for a task that writes
+    it, so rows are brought together first.
+    """
+    first, *rest = keys
+    spread = df.repartition(buckets, *keys)
+    writer = spread.write.bucketBy(buckets, first, *rest).sortBy(first, *rest)
+    writer.option("path", folder).mode("overwrite").saveAsTable(name)
+    return df.sparkSession.table(name)

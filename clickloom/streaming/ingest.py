@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.rows import persisted
+from clickloom.operators.saved import store_of
 from clickloom.plans.enrichment import enrich_events, fits_broadcast, product_dimension
 from clickloom.sources.files import CSV_TIMES
 from clickloom.sources.topics import split_records, tag_records
@@ -33,16 +34,28 @@ def folder_sinks(root: str) -> IngestSinks:
 
 
 class Catalogue:
-    """The catalogue of a stream. Its size is measured at the first batch and then every ``refresh`` batches."""
+    """The catalogue of a stream, and whether it may be broadcast now.
 
-    def __init__(self, products: DataFrame, refresh: int = 1000) -> None:
-        self.products, self.refresh = products, refresh
-        self.left, self.fits = 0, False
+    A catalogue in files is measured again when the sizes of its files change, which a listing tells; any other one is
+    measured with every batch, since nothing else says how it has grown.
+    """
+
+    def __init__(self, products: DataFrame) -> None:
+        self.products = products
+        self.sizes: tuple[int, ...] | None = None
+        self.fits = False
+
+    def _file_sizes(self) -> tuple[int, ...] | None:
+        sizes = []
+        for file in sorted(self.products.inputFiles()):
+            store, path = store_of(file)
+            sizes.append(store.get_file_info(path).size or -1)
+        return tuple(sizes) or None
 
     def may_broadcast(self) -> bool:
-        if not self.left:
-            self.fits, self.left = fits_broadcast(product_dimension(self.products)), self.refresh
-        self.left -= 1
+        sizes = self._file_sizes()
+        if sizes is None or sizes != self.sizes:
+            self.fits, self.sizes = fits_broadcast(product_dimension(self.products)), sizes
         return self.fits
 
 
@@ -66,14 +79,13 @@ def ingest_stream(
     sinks: IngestSinks,
     checkpoint: str,
     until_now: bool = True,
-    refresh: int = 1000,
 ) -> StreamingQuery:
     """Ingest a record stream; with ``until_now`` the query ends when it has caught up.
 
     The checkpoint keeps the progress: the next start goes on where this one ended. Whether the
-    catalogue may be broadcast is measured once, and again every ``refresh`` batches.
+    catalogue may be broadcast is known for every batch: see :class:`Catalogue`.
     """
-    catalogue = Catalogue(products, refresh)
+    catalogue = Catalogue(products)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, products, sinks, batch_id, catalogue.may_broadcast())

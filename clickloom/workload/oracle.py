@@ -377,3 +377,20 @@ FROM m, range(copies) WHERE event_id % 100 <> 0 GROUP BY ALL"""
 ORACLE["log_stream"] = _with(_B, _P, _N, _MESSAGES) + "SELECT product_id, count(*) AS n, TRUE AS bounded FROM good GROUP BY product_id"
 ORACLE["log_counts"] = _with(_B, _P, _N, _MESSAGES) + """SELECT 'behaviors' AS topic, sum(copies)::BIGINT AS messages FROM m
 UNION ALL SELECT 'empty', 0 UNION ALL SELECT 'unknown', -1"""
+ORACLE["resumable_distinct_load"] = ORACLE["distinct_documents"]
+ORACLE["merged_profiles"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, count(*) AS n_rows, count(*) - count({name}) AS n_nulls, min({name})::DOUBLE AS low, "
+    f"max({name})::DOUBLE AS high, {f'count(DISTINCT {name})' if whole else 'NULL::BIGINT'} AS n_distinct, TRUE AS half_is_half FROM lineitem"
+    for name, whole in {"l_orderkey": True, "l_partkey": True, "l_quantity": False, "l_extendedprice": False}.items()
+)
+ORACLE["message_drift"] = _with(_B, _P, _N) + """SELECT * FROM (
+  SELECT 'user_id' AS field, 'BIGINT' AS type, TRUE AS known, TRUE AS fits, (count(*) FILTER (event_id % 11 <> 0)) AS n FROM n
+  UNION ALL SELECT 'user_id', 'STRING', TRUE, FALSE, count(*) FILTER (event_id % 11 = 0) FROM n
+  UNION ALL SELECT 'name', 'STRING', TRUE, TRUE, count(*) FROM n
+  UNION ALL SELECT 'device', 'OBJECT', FALSE, FALSE, count(*) FILTER (event_id % 7 = 0) FROM n
+) WHERE n > 0"""
+ORACLE["message_unknown_fields"] = _with(_B, _P, _N) + """SELECT user_id, count(*) AS n,
+       count(*) FILTER (event_id % 7 = 0) AS with_unknown, 0::BIGINT AS with_misfits,
+       min(CASE WHEN event_id % 7 = 0 THEN '{"device":{"kind":"phone","n":' || event_id || '}}' END) AS first_unknown
+FROM n GROUP BY user_id"""
+ORACLE["stored_layout_join"] = ORACLE["enriched_events"]

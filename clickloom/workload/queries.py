@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from clickloom import schemas, session
 from clickloom.functions import scalars, text, vectors
 from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
-from clickloom.operators import aggregates, rows, sessions
-from clickloom.plans import buyers, enrichment, loads, retrain, scoring
+from clickloom.operators import aggregates, profiles, rows, sessions
+from clickloom.plans import buyers, distinct_load, enrichment, loads, retrain, scoring
 from clickloom.plans import vectors as vector_plans
-from clickloom.sources import files, record_log, tables, topics, vector_sink
+from clickloom.sources import drift, files, record_log, tables, topics, vector_sink
 from clickloom.streaming import ingest, point_table, sinks, upsert
 from clickloom.workload.tables import (
     CLICK_TYPES,
@@ -255,6 +255,85 @@ def distinct_documents(spark, sf_dir):
     return rows.distinct_rows(table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
 
+class _Stopped(Exception):
+    """A load that is stopped on purpose."""
+
+
+@query
+def resumable_distinct_load(spark, sf_dir):
+    """The distinct documents in five chunks, by a load that is stopped in its third chunk and started again."""
+    documents = table(spark, sf_dir, "documents")
+    chunks = [documents.filter(F.col("doc_id") % 5 == n).select("text", "lang", "source") for n in range(5)]
+    out = session.shared_dir(spark, "distinct")
+    write = sinks.batch_folder(f"{out}/rows")
+
+    def stopped(rows: DataFrame, chunk: int) -> None:
+        write(rows, chunk)
+        if chunk == 2:
+            raise _Stopped
+
+    try:
+        distinct_load.DistinctLoad(spark, f"{out}/load", 16).load(chunks, stopped)
+    except _Stopped:
+        distinct_load.DistinctLoad(spark, f"{out}/load", 16).load(chunks, write)
+    return sinks.read_batches(spark, f"{out}/rows", chunks[0].schema).drop(sinks.BATCH)
+
+
+@query
+def merged_profiles(spark, sf_dir):
+    """States of line items by day, merged to months, and from these the profile of all; half of them within 1 %."""
+    items = table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"]
+    days = profiles.states(items, F.col("l_shipdate").cast("date"), columns)
+    months = profiles.merged_states(days, F.trunc("part", "month"))
+    found = profiles.profile_of(months, [0.5])
+    middle = items.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in columns])))
+    below = middle.join(F.broadcast(found.select("column_name", F.col("quantiles")[0].alias("half"))), "column_name").groupBy("column_name").agg(
+        (F.avg((F.col("x") < F.col("half")).cast("double")) <= 0.52).alias("low_enough"), (F.avg((F.col("x") <= F.col("half")).cast("double")) >= 0.48).alias("high_enough")
+    )
+    return found.join(below, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "low", "high", "n_distinct", (F.col("low_enough") & F.col("high_enough")).alias("half_is_half")
+    )
+
+
+def _drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a producer that changes: a new field in each seventh, a number as text in each eleventh."""
+    events = named_behaviors(spark, sf_dir)
+    user = F.when(F.col("event_id") % 11 == 0, F.to_json(F.struct(F.col("user_id").cast("string").alias("user_id"), "name"))).otherwise(
+        F.to_json(F.struct("user_id", "name"))
+    )
+    extra = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit(',"device":{"kind":"phone","n":'), F.col("event_id"), F.lit("}}"))).otherwise(F.lit("}"))
+    return events.withColumns({"j": user, "extra": extra}).select("event_id", F.concat(F.expr("left(j, length(j) - 1)"), "extra").alias("value"))
+
+
+_USER = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("name", T.StringType())])
+
+
+@query
+def message_drift(spark, sf_dir):
+    """How often each field came as which type."""
+    return drift.drift(_drifting(spark, sf_dir), _USER)
+
+
+@query
+def message_unknown_fields(spark, sf_dir):
+    """Declared fields, and what the messages hold beyond them."""
+    found = drift.with_unknown(_drifting(spark, sf_dir), _USER)
+    return found.groupBy("user_id").agg(F.count("*").alias("n"), F.count("unknown").alias("with_unknown"), F.count("misfits").alias("with_misfits"),
+        F.min("unknown").alias("first_unknown"))
+
+
+@query
+def stored_layout_join(spark, sf_dir):
+    """Events and products in tables of buckets by product, joined where they lie."""
+    folder = session.shared_dir(spark, "layout")
+    tag = folder.rsplit("-", 1)[-1]
+    events = behaviors(spark, sf_dir).withColumn("product_id", F.col("product_id"))
+    stored = tables.store_layout(events, f"events_{tag}", f"{folder}/events", ["product_id"], 8)
+    catalogue = tables.store_layout(products(spark, sf_dir).withColumn("product_id", F.col("product_id").cast("bigint")), f"products_{tag}", f"{folder}/products", ["product_id"], 8)
+    return _readable(enrichment.enrich_events(stored, catalogue))
+
+
 @query
 def except_rows(spark, sf_dir):
     """Parts and suppliers of all line items that are not those of equal line numbers and quantities."""

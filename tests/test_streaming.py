@@ -146,16 +146,24 @@ def test_a_dirty_key_does_not_stop_the_stream(spark, tmp_path):
     assert raw(spark, tmp_path).count() == 3
 
 
-def test_the_catalogue_is_measured_once(spark, tmp_path, products, monkeypatch):
+def test_the_catalogue_is_measured_when_its_files_change(spark, tmp_path, products, monkeypatch):
     measured = []
     monkeypatch.setattr(ingest, "fits_broadcast", lambda df: measured.append(1) or True)
     for n in range(5):
         drop(tmp_path / "in", f"{n}.json", event(n))
-    assert run_ingest(spark, tmp_path, products) == 5
+    folder = str(tmp_path / "catalogue")
+    products.write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    assert run_ingest(spark, tmp_path, stored) == 5
     assert len(measured) == 1
-    catalogue = ingest.Catalogue(products, refresh=2)
-    assert [catalogue.may_broadcast() for _ in range(5)] == [True] * 5
-    assert len(measured) == 4
+    catalogue = ingest.Catalogue(stored)
+    assert [catalogue.may_broadcast() for _ in range(3)] == [True] * 3 and len(measured) == 2
+    grown = next(path for path in (tmp_path / "catalogue").glob("*.parquet"))
+    grown.write_bytes(grown.read_bytes() + b"more")
+    assert catalogue.may_broadcast() and len(measured) == 3
+    # Nothing tells how other catalogues grow, so they are measured with every batch.
+    other = ingest.Catalogue(products)
+    assert [other.may_broadcast() for _ in range(3)] == [True] * 3 and len(measured) == 6
 
 
 def test_null_and_absent_name_embed_the_same(spark, tmp_path):
