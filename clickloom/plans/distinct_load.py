@@ -26,8 +26,13 @@ BLOOM = "chunk int, range int, bits binary"
 
 
 def digest(df: DataFrame) -> Column:
-    """A digest of all columns; null differs from any value."""
-    parts = [F.coalesce(F.to_json(F.struct(F.col(f"`{name}`").alias("v"))), F.lit("")) for name in sorted(df.columns)]
+    """A digest of all columns; null differs from any value, and the two zeros of a float are one."""
+
+    def value(name: str) -> Column:
+        column = F.col(f"`{name}`")
+        return column + F.lit(0) if df.schema[name].dataType.typeName() in ("float", "double") else column
+
+    parts = [F.coalesce(F.to_json(F.struct(value(name).alias("v"))), F.lit("")) for name in sorted(df.columns)]
     return F.unhex(F.sha2(F.to_json(F.array(*parts)), 256))
 
 

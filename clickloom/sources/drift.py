@@ -13,11 +13,15 @@ from clickloom.schemas import BEHAVIOR
 _FITTING = {"string": ("STRING",), "timestamp": ("STRING",), "integer": ("BIGINT",), "long": ("BIGINT",), "double": ("DOUBLE", "DECIMAL", "BIGINT")}
 
 
+def _object(value: str) -> Column:
+    """A message as a variant; null where it is no JSON object."""
+    parsed = F.try_parse_json(F.col(value).cast("string"))
+    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed)
+
+
 def _fields(value: str) -> Column:
     """The fields of a message as a map to variants; null where it is no JSON object."""
-    parsed = F.try_parse_json(F.col(value).cast("string"))
-    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
-    return F.when(is_object, parsed.cast("map<string, variant>"))
+    return _object(value).cast("map<string, variant>")
 
 
 def with_unknown(records: DataFrame, schema: T.StructType = BEHAVIOR, value: str = "value") -> DataFrame:
@@ -68,6 +72,6 @@ def drift(records: DataFrame, schema: T.StructType = BEHAVIOR, value: str = "val
 
 
 def schema_seen(records: DataFrame, value: str = "value") -> DataFrame:
-    """One row: the schema that all messages together have."""
-    alive = without_tombstones(records, value)
-    return alive.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(value).cast("string"))).alias("schema"))
+    """One row: the schema that all messages together have, as far as they are JSON objects."""
+    alive = without_tombstones(records, value).select(_object(value).alias("found"))
+    return alive.filter("found IS NOT NULL").agg(F.schema_of_variant_agg("found").alias("schema"))

@@ -394,3 +394,5 @@ ORACLE["message_unknown_fields"] = _with(_B, _P, _N) + """SELECT user_id, count(
        min(CASE WHEN event_id % 7 = 0 THEN '{"device":{"kind":"phone","n":' || event_id || '}}' END) AS first_unknown
 FROM n GROUP BY user_id"""
 ORACLE["stored_layout_join"] = ORACLE["enriched_events"]
+ORACLE["collection_scan"] = _with(_B) + """SELECT event_type, count(*) AS n, sum(key)::BIGINT AS total, 8::BIGINT AS splits, TRUE AS even
+FROM (SELECT event_type, CASE WHEN event_id % 3 = 0 THEN 7 ELSE product_id * product_id END AS key FROM b) WHERE key >= 4 GROUP BY event_type"""

@@ -13,9 +13,10 @@ from clickloom import schemas, session
 from clickloom.functions import scalars, text, vectors
 from clickloom.functions.embedders import HashingEmbedder, ModelEmbedder
 from clickloom.operators import aggregates, profiles, rows, sessions
+from clickloom.operators.saved import saved
 from clickloom.plans import buyers, distinct_load, enrichment, loads, retrain, scoring
 from clickloom.plans import vectors as vector_plans
-from clickloom.sources import drift, files, record_log, tables, topics, vector_sink
+from clickloom.sources import collection, drift, files, record_log, tables, topics, vector_sink
 from clickloom.streaming import ingest, point_table, sinks, upsert
 from clickloom.workload.tables import (
     CLICK_TYPES,
@@ -323,6 +324,25 @@ def message_unknown_fields(spark, sf_dir):
         F.min("unknown").alias("first_unknown"))
 
 
+@query
+def collection_scan(spark, sf_dir):
+    """Documents of a collection by a key that a third of them share: rows, splits, and whether these are even."""
+    folder = session.shared_dir(spark, "collection")
+    events = behaviors(spark, sf_dir)
+    skewed = F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("product_id") * F.col("product_id"))
+    events.select(F.col("event_id").alias("_id"), skewed.alias("product_key"), "event_type", "user_id").write.parquet(folder)
+    before = spark.conf.get("spark.sql.python.filterPushdown.enabled")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        documents = collection.read_collection(spark, {"path": folder}, ["_id", "product_key", "event_type"], "product_key", 8)
+        found = documents.filter("product_key >= 4").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("product_key").alias("total"))
+        sizes = documents.groupBy(F.spark_partition_id().alias("split")).count()
+        even = sizes.agg(F.count("*").alias("splits"), (F.max("count") < 1.5 * F.avg("count")).alias("even"))
+        return saved(found.join(F.broadcast(even), F.lit(True)), f"{folder}-found")
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", before)
+
+
 @query
 def stored_layout_join(spark, sf_dir):
     """Events and products in tables of buckets by product, joined where they lie."""
