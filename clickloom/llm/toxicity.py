@@ -189,7 +189,9 @@ def fit(
     """Learn from the labelled rows that are not held out.
 
     Rows without key, or with a label other than 0 and 1, are not learnt from; of several labels of a key the
-    largest counts. With labels of one class only, or none, the model knows nothing but their share.
+    largest counts. With labels of one class only, or none, as in empty tables, the model knows nothing but their
+    share. Repeated rows of one key and text are learnt from once. The sample holds about ``sample_rows`` rows, also where
+    many texts share a key. Texts are read whole. Other columns are not read, so their names may clash.
     """
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1)")
     known = known.groupBy("key").agg(F.max("label").alias("label")).filter(~held_out("key"))
@@ -200,7 +202,14 @@ def fit(
     chosen = known.filter(F.pmod(F.xxhash64(F.lit(settings.seed), "key"), F.lit(steps)) < share)
     rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     # At most about ``sample_rows`` rows of two numbers are broadcast.
-    sample = rows.join(F.broadcast(chosen), "key").select("text", "label").repartition(settings.sample_tasks)
+    labelled = rows.join(F.broadcast(chosen), "key")
+    # Keys were chosen, but rows are what has to be bounded: copies count once, and where keys have many texts a hash
+    # chooses among these too.
+    digest = F.xxhash64(F.lit(settings.seed), "key", "text")
+    found = labelled.agg(F.approx_count_distinct(digest, 0.02)).first()[0]
+    if found > 1.1 * settings.sample_rows:
+        labelled = labelled.filter(F.pmod(digest, F.lit(steps)) < int(steps * settings.sample_rows / found))
+    sample = labelled.dropDuplicates(["key", "text"]).select("text", "label").repartition(settings.sample_tasks)
     sample, _ = stages.written(sample, "toxicity-sample")
     sizes = {row.label: row["count"] for row in sample.groupBy("label").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)

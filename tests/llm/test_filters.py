@@ -7,8 +7,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import pytest
+from pyspark.sql import functions as F
 
 from clickloom.llm import contamination, substrings, toxicity, urls
 
@@ -177,6 +179,17 @@ def test_odd_texts_get_scores(spark, model):
     assert next(row.score for row in found if row.doc_id is None) > 0.5
 
 
+def test_the_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Few labels whose keys have very many rows, copies and different texts alike."""
+    sizes = []
+    real = toxicity.stages.written
+    monkeypatch.setattr(toxicity.stages, "written", lambda df, *a, **k: (lambda out: (sizes.append(out[0].count()), out)[1])(real(df, *a, **k)))
+    documents = spark.range(20_000).select((F.col("id") % 10 + 1).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 4000).alias("text"))
+    labels = spark.createDataFrame([(n, n % 2) for n in range(1, 11)], "doc_id long, toxic int")
+    toxicity.fit(documents, labels, settings=replace(toxicity.Settings(), sample_rows=100))
+    assert 40 < sizes[0] < 200
+
+
 def test_fit_without_labels(spark):
     documents = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     model = toxicity.fit(documents, spark.createDataFrame([], "doc_id long, toxic int"))

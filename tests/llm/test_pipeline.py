@@ -101,3 +101,16 @@ def test_repeated_and_null_rows_pass_through_all_stages(spark, folder):
     found = sorted(((row.doc_id, row.text) for row in docs.collect()), key=str)
     # Repeated rows go with the near copies; rows without id or text stay.
     assert found == sorted([(1, "a b c"), (1, "other words"), (None, "a b c"), (None, None), (2, None), (3, "x" * 100_000)], key=str)
+
+
+def test_columns_may_have_any_name(spark, folder):
+    """Extra columns that are called like the stages' own ones pass through all of them unchanged."""
+    path, rows, _, _ = folder
+    names = ["score", "others", "key", "row", "label", "n_words", "extra"]
+    docs = spark.read.parquet(f"{path}/documents.parquet").filter("doc_id < 40").selectExpr("*", *[f"concat('{n}', doc_id) AS {n}" for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    assert docs.count() > 30
+    assert all(getattr(row, n) == f"{n}{row.doc_id}" for row in docs.collect() for n in names)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, path).count() >= docs.count()
