@@ -30,11 +30,17 @@ def _small_batches(spark: SparkSession) -> None:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is more likely not toxic. Documents without text stay."""
+    """Documents whose text is more likely not toxic. Documents without text stay.
+
+    Repeated rows have one score and stay or go together; an empty table gives an empty one. All columns but the text are
+    carried in a struct, so their names may clash with anything.
+    """
     _small_batches(spark)
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, keep=docs.columns)
-    return scored.filter((F.col("score") < 0.5) | (F.coalesce(F.length("text"), F.lit(0)) == 0)).select(*docs.columns)
+    others = F.struct(*[F.col(f"`{name}`") for name in docs.columns if name != "text"]).alias("others")
+    scored = toxicity.score(docs.select("text", others), model, keep=["text", "others"])
+    clean = scored.filter((F.col("score") < 0.5) | (F.coalesce(F.length("text"), F.lit(0)) == 0))
+    return clean.select(*[F.col("text") if name == "text" else F.col(f"others.`{name}`") for name in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
