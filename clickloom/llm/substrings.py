@@ -30,7 +30,6 @@ from clickloom.llm.batches import NOT_SPACE, mix, owners, slices, span_hashes, s
 from clickloom.llm.shared import read_part
 
 WINDOW = 13
-NO_KEY = np.iinfo(np.int64).max
 _FLUSH = 1 << 20
 _PER_BLOCK = 1 << 20
 _ROWS = 2
@@ -38,8 +37,8 @@ _SECOND = np.uint64(0xA0761D6478BD642F)
 
 SKETCH = "lane int, block long, part long, cells binary, twice binary"
 CELLS = "part long, lane int, block long, cells binary"
-CANDIDATES = "block long, part long, hash binary, check binary, key binary, several binary"
-FIRSTS = "part long, hash binary, key binary"
+CANDIDATES = "block long, part long, hash binary, check binary, key binary, keyed binary, several binary"
+FIRSTS = "part long, hash binary, check binary, key binary"
 
 
 def _deltas(values: np.ndarray) -> bytes:
@@ -86,6 +85,12 @@ class _Windows:
             return np.zeros(0, np.uint64)
         return window_hashes(span_hashes(self.data, self.starts, self.ends, lane), self.size)[self.places]
 
+    def checks(self, chosen: np.ndarray) -> np.ndarray:
+        """32 bits of an independent hash of the chosen windows."""
+        if not len(chosen):
+            return np.zeros(0, np.uint32)
+        return (self.hashes(1)[chosen] >> np.uint64(32)).astype(np.uint32)
+
 
 def _cell(hashes: np.ndarray, lane: int, bits: int) -> np.ndarray:
     return (mix(hashes ^ _SECOND) if lane else hashes) >> np.uint64(64 - bits)
@@ -163,17 +168,17 @@ def _candidates(size: int, bits: int, blocks: int, folder: str):
     """Pass 2: the windows whose cells all hold two or more, with the smallest key that has them here."""
 
     def flush(part: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        hashes, checks, keys = (np.concatenate(column) for column in zip(*held, strict=True))
-        order = np.lexsort((keys, checks, hashes))
-        hashes, checks, keys = hashes[order], checks[order], keys[order]
+        hashes, checks, keys, keyed = (np.concatenate(column) for column in zip(*held, strict=True))
+        order = np.lexsort((keys, ~keyed, checks, hashes))
+        hashes, checks, keys, keyed = hashes[order], checks[order], keys[order], keyed[order]
         if not len(hashes):
             return
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])
         at = np.flatnonzero(new)
         ends = np.append(at[1:], len(hashes)) - 1
-        several = keys[ends] > keys[at]
-        hashes, checks, keys = hashes[at], checks[at], keys[at]
+        several = (keys[ends] != keys[at]) | (keyed[ends] != keyed[at])
+        hashes, checks, keys, keyed = hashes[at], checks[at], keys[at], keyed[at]
         edges = np.searchsorted(hashes, np.arange(1 << blocks, dtype=np.uint64) << np.uint64(64 - blocks) if blocks else np.zeros(1, np.uint64))
         edges = np.append(edges, len(hashes))
         out: dict[str, list] = {name.split()[0]: [] for name in CANDIDATES.split(", ")}
@@ -184,6 +189,7 @@ def _candidates(size: int, bits: int, blocks: int, folder: str):
             out["hash"].append(hashes[own].tobytes())
             out["check"].append(checks[own].tobytes())
             out["key"].append(_coded(keys[own]))
+            out["keyed"].append(np.packbits(keyed[own]).tobytes())
             out["several"].append(np.packbits(several[own]).tobytes())
         yield pa.RecordBatch.from_pydict(out, schema=_schema(CANDIDATES))
 
@@ -191,7 +197,7 @@ def _candidates(size: int, bits: int, blocks: int, folder: str):
         part, held, count, cells = None, [], 0, []
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
-            keys = _keys(batch.column(2))
+            keys, keyed = _keys(batch.column(2))
             for first, last, some, places in _runs(batch.column(1), data, offsets):
                 own = batch.column(1)[first].as_py()
                 if held and (own != part or count >= _FLUSH):
@@ -204,8 +210,8 @@ def _candidates(size: int, bits: int, blocks: int, folder: str):
                 chosen = np.arange(len(hashes))
                 for lane in range(_ROWS):
                     chosen = chosen[cells[lane].find(_cell(hashes[chosen], lane, bits))[0]]
-                checks = (windows.hashes(1)[chosen] >> np.uint64(32)).astype(np.uint32) if len(chosen) else np.zeros(0, np.uint32)
-                held.append((hashes[chosen], checks, keys[first + windows.owner[windows.places[chosen]]]))
+                rows = first + windows.owner[windows.places[chosen]]
+                held.append((hashes[chosen], windows.checks(chosen), keys[rows], keyed[rows]))
                 count += len(chosen)
         if held:
             yield from flush(part, held)
@@ -213,9 +219,9 @@ def _candidates(size: int, bits: int, blocks: int, folder: str):
     return run
 
 
-def _keys(column: pa.Array) -> np.ndarray:
-    """Keys as numbers; a null key comes after all others."""
-    return column.fill_null(int(NO_KEY)).to_numpy(zero_copy_only=False)
+def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys as numbers, 0 for null, and which are not null."""
+    return column.fill_null(0).to_numpy(zero_copy_only=False), column.is_valid().to_numpy(zero_copy_only=False)
 
 
 def _coded(keys: np.ndarray) -> bytes:
@@ -246,57 +252,80 @@ def _first_documents(rows: pd.DataFrame) -> pd.DataFrame:
     sizes = [len(one) for one in hashes]
     checks = np.concatenate([np.frombuffer(data, np.uint32) for data in rows["check"]])
     keys = np.concatenate([_decoded(data) for data in rows["key"]])
-    several = np.concatenate(
-        [np.unpackbits(np.frombuffer(data, np.uint8), count=size) for data, size in zip(rows["several"], sizes, strict=True)]
-    ).astype(bool)
+    keyed, several = (
+        np.concatenate(
+            [np.unpackbits(np.frombuffer(data, np.uint8), count=size) for data, size in zip(rows[name], sizes, strict=True)]
+        ).astype(bool)
+        for name in ("keyed", "several")
+    )
     together = np.concatenate(hashes)
-    order = np.lexsort((keys, checks, together))
+    order = np.lexsort((keys, ~keyed, checks, together))
     new = np.ones(len(order), bool)
     new[1:] = (together[order][1:] != together[order][:-1]) | (checks[order][1:] != checks[order][:-1])
-    first = np.empty(len(order), np.int64)
-    first[order] = keys[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    told = several | (first < keys)
-    out = {"part": [], "hash": [], "key": []}
+    leader = np.empty(len(order), np.int64)
+    leader[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    first = keys[leader]
+    # Where rows without key are all that have a window, nobody loses it; so what is told comes from a key.
+    told = several | (keyed[leader] & (~keyed | (first < keys)))
+    out = {"part": [], "hash": [], "check": [], "key": []}
     at = 0
     for part, size, own in zip(rows["part"], sizes, hashes, strict=True):
         some = told[at : at + size]
         if some.any():
             out["part"].append(part)
             out["hash"].append(own[some].tobytes())
+            out["check"].append(checks[at : at + size][some].tobytes())
             out["key"].append(_coded(first[at : at + size][some]))
         at += size
     return pd.DataFrame(out)
 
 
-def _known_firsts(folder: str, part: int) -> tuple[_Set, np.ndarray]:
-    table = read_part(folder, "part", part, ["hash", "key"])
-    if table is None:
-        return _Set(np.zeros(0, np.uint64)), np.zeros(0, np.int64)
-    hashes = np.concatenate([np.frombuffer(data, np.uint64) for data in table["hash"].to_pylist()])
-    keys = np.concatenate([_decoded(data) for data in table["key"].to_pylist()])
-    order = np.lexsort((keys, hashes))
-    hashes, keys = hashes[order], keys[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = hashes[1:] != hashes[:-1]
-    return _Set(hashes[new]), keys[new]
+class _Firsts:
+    """The smallest key of each window that a part has to know, found by hash and check."""
+
+    def __init__(self, folder: str, part: int) -> None:
+        table = read_part(folder, "part", part, ["hash", "check", "key"])
+        columns = [table[name].to_pylist() if table is not None else [] for name in ("hash", "check", "key")]
+        hashes = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(data, np.uint64) for data in columns[0])])
+        checks = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(data, np.uint32) for data in columns[1])])
+        keys = np.concatenate([np.zeros(0, np.int64), *map(_decoded, columns[2])])
+        order = np.lexsort((keys, checks, hashes))
+        hashes, checks, keys = hashes[order], checks[order], keys[order]
+        new = np.ones(len(hashes), bool)
+        new[1:] = (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])
+        hashes, self.checks, self.keys = hashes[new], checks[new], keys[new]
+        values, self.begins, self.counts = np.unique(hashes, return_index=True, return_counts=True)
+        self.known = _Set(values)
+
+    def find(self, windows: _Windows) -> tuple[np.ndarray, np.ndarray]:
+        """Which windows are known, and the smallest keys that have them."""
+        found, at = self.known.find(windows.hashes(0))
+        checks, key, sure = windows.checks(found), np.zeros(len(found), np.int64), np.zeros(len(found), bool)
+        # Windows of one hash and different checks follow each other; there is hardly ever more than one.
+        for step in range(int(self.counts[at].max()) if len(at) else 0):
+            place = self.begins[at] + np.minimum(step, self.counts[at] - 1)
+            same = self.checks[place] == checks
+            key[same], sure = self.keys[place[same]], sure | same
+        return found[sure], key[sure]
 
 
 def _removal(size: int, folder: str, with_text: bool, extra: list[str]):
     """Pass 3: the words that stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, known, firsts = None, None, None
+        part, firsts = None, None
         for batch in batches:
             data, offsets = text_bytes(batch.column(0))
-            keys = _keys(batch.column(2))
+            keys, keyed = _keys(batch.column(2))
             for first, last, some, places in _runs(batch.column(1), data, offsets):
                 own = batch.column(1)[first].as_py()
                 if own != part:
-                    part, (known, firsts) = own, _known_firsts(folder, own)
+                    part, firsts = own, _Firsts(folder, own)
                 windows = _Windows(some, places, size)
-                found, at = known.find(windows.hashes(0))
+                found, smallest = firsts.find(windows)
                 begins = windows.places[found]
-                begins = begins[firsts[at] < keys[first + windows.owner[begins]]]
+                rows = first + windows.owner[begins]
+                begins = begins[~keyed[rows] | (smallest < keys[rows])]
                 edge = np.zeros(len(windows.owner) + 1, np.int64)
                 np.add.at(edge, begins, 1)
                 np.subtract.at(edge, begins + size, 1)
@@ -345,9 +374,10 @@ def remove_repeated(df: DataFrame, key: str = "doc_id", text: str = "text", size
     one blank), and with ``keep`` the whole ``text`` and ``extra``, a struct of the columns named there.
 
     Nulls: a null text has no words; a row without key comes after all others, so it loses what any keyed
-    document has and takes nothing from them. Rows of one key do not take from each other. Texts shorter than
-    a window stay whole. An empty table gives an empty one. Column names cannot clash: other columns are
-    carried inside ``extra``.
+    document has and takes nothing from them, whatever number the last key is. Rows of one key, repeated rows
+    among them, do not take from each other. Texts shorter than a window stay whole; long ones are searched
+    whole. Keys are whole numbers of 64 bits. An empty table gives an empty one. Column names cannot clash:
+    other columns are carried inside ``extra``.
     """
     spark = df.sparkSession
     extra = [F.struct(*[F.col(f"`{name}`") for name in keep]).alias("extra")] if keep else []

@@ -9,6 +9,9 @@ import zlib
 from collections import Counter, defaultdict
 from dataclasses import replace
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +76,55 @@ def test_sketch_loses_nothing_with_many_blocks_and_flushes(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == without_repeats(rows, 5)
 
 
+def test_null_keys_lose_to_the_last_key(spark):
+    words = " ".join(f"w{n}" for n in range(20))
+    last = 2**63 - 1
+    rows = [(None, words), (last, words), (None, words), (None, words + " tail"), (None, "x " * 30), (None, "x " * 30)]
+    found = substrings.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((row.key is None, row.n_words, row.n_removed) for row in found) == sorted(
+        [(False, 20, 0), (True, 20, 20), (True, 20, 20), (True, 21, 20), (True, 30, 0), (True, 30, 0)]
+    )
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_windows_of_one_hash_are_told_apart_by_their_checks(monkeypatch, bits):
+    plain = substrings._Windows.hashes
+    # All but a few bits of the first hash are lost, so most windows collide.
+    monkeypatch.setattr(
+        substrings._Windows, "hashes", lambda self, lane: plain(self, lane) if lane else plain(self, 0) & np.uint64((1 << bits) - 1)
+    )
+    source = random.Random(bits)
+    texts = [" ".join(source.choice("abcde") for _ in range(source.randint(0, 30))) for _ in range(80)]
+    keys = [source.choice([None, *range(60)]) for _ in texts]
+    parts = sorted(source.randrange(4) for _ in texts)
+    batch = pa.record_batch([pa.array(texts), pa.array(parts, pa.int64()), pa.array(keys, pa.int64())], ["text", "part", "key"])
+    tables: dict[str, pd.DataFrame] = {}
+
+    def read(folder, column, part, names):
+        rows = tables[folder][tables[folder][column] == part]
+        return pa.table({name: pa.array(rows[name].tolist()) for name in names}) if len(rows) else None
+
+    def grouped(rows, by, function):
+        return pd.concat([function(own.reset_index(drop=True)) for _, own in rows.groupby(by)], ignore_index=True)
+
+    monkeypatch.setattr(substrings, "read_part", read)
+    size, width, blocks = 4, 16, 0
+    sketch = pd.concat(one.to_pandas() for one in substrings._sketch(size, width, blocks)(iter([batch])))
+    tables["cells"] = grouped(sketch, ["lane", "block"], substrings._merge_cells)
+    found = pd.concat(one.to_pandas() for one in substrings._candidates(size, width, blocks, "cells")(iter([batch])))
+    tables["firsts"] = grouped(found, ["block"], substrings._first_documents)
+    removed = [n for one in substrings._removal(size, "firsts", False, [])(iter([batch])) for n in one.column(2).to_pylist()]
+
+    windows = [[tuple(text.split()[n : n + size]) for n in range(len(text.split()) - size + 1)] for text in texts]
+    owners: dict[tuple, set] = {}
+    for key, own in zip(keys, windows, strict=True):
+        for window in own if key is not None else []:
+            owners.setdefault(window, set()).add(key)
+    for key, own, count in zip(keys, windows, removed, strict=True):
+        lost = [n for n, window in enumerate(own) if window in owners and (key is None or min(owners[window]) < key)]
+        assert count == len({n + m for n in lost for m in range(size)})
+
+
 def test_remove_repeated_from_nothing(spark):
     assert substrings.remove_repeated(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
