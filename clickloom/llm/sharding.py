@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from clickloom.llm import stages
 
@@ -15,6 +16,23 @@ def shuffle_key(seed: int, column: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(column).cast("string"), F.lit(""))))
 
 
+def orderable(value: Column, kind: DataType) -> Column:
+    """The value in a form that Spark can order: maps as their sorted entries, variants as JSON."""
+    if isinstance(kind, MapType):
+        pair = lambda entry: F.struct(orderable(entry["key"], kind.keyType), orderable(entry["value"], kind.valueType))
+        return F.sort_array(F.transform(F.map_entries(value), pair))
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda element: orderable(element, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = [orderable(value.getField(field.name), field.dataType).alias(f"f{n}") for n, field in enumerate(kind.fields)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return F.to_json(value) if isinstance(kind, VariantType) else value
+
+
+def _has_maps(kind: DataType) -> bool:
+    return any(name in kind.simpleString() for name in ("map<", "variant"))
+
+
 def _numbered(df: DataFrame, bucket: Column, order: list[Column], within: list[str], name: str) -> DataFrame:
     """``df`` with the place of each row, from 0, among the rows with equal ``within``, in the given order.
 
@@ -45,8 +63,8 @@ def interleave(df: DataFrame, shards: int, key: str = "doc_id", source: str = "s
     every stretch of the order, and every shard, has the sources in their proportions.
 
     Nulls: a null source is a source of its own, a null key is ordered like an empty text. Equal fractional
-    ranks are ordered by source, rows of one source and key by their other columns; rows alike in all columns
-    are interchangeable. A ``shard`` or ``slot`` column of ``df`` is replaced; other names cannot clash. An
+    ranks are ordered by source, rows of one source and key by their other columns (maps by their sorted entries);
+    rows alike in all columns are interchangeable. A ``shard`` or ``slot`` column of ``df`` is replaced; other names cannot clash. An
     empty table gives an empty one.
     """
     total = df.count()
@@ -55,10 +73,12 @@ def interleave(df: DataFrame, shards: int, key: str = "doc_id", source: str = "s
     # The leading 28 bits of the digest, cut into equal ranges that ascend with it.
     number = F.conv(F.substring("shuffled", 1, 7), 16, 10).cast("long")
     bucket = F.floor(number * buckets / F.lit(1 << 28))
-    ranked = _numbered(keyed, bucket, [F.col("shuffled"), F.col("row")], ["source"], "rank")
+    kind = keyed.schema["row"].dataType
+    row = orderable(F.col("row"), kind) if _has_maps(kind) else F.col("row")
+    ranked = _numbered(keyed, bucket, [F.col("shuffled"), row], ["source"], "rank")
     fraction = ((F.col("rank") + 0.5) / F.col("in_all")).alias("fraction")
     ranked, _ = stages.written(ranked.select("row", "source", fraction), "ranked")
-    order = [F.col(name) for name in ("fraction", "source", "row")]
+    order = [F.col("fraction"), F.col("source"), row]
     placed = _numbered(ranked, F.floor(F.col("fraction") * buckets), order, [], "position")
     size, larger = divmod(total, shards)
     # The first ``larger`` shards have one row more.

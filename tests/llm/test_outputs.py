@@ -166,6 +166,19 @@ def test_more_shards_than_rows(spark):
     assert [(row.doc_id, row.rank, row.row, row.bucket, row.slot) for row in found] == [(1, 1, 2, 3, 0), (2, 1, 2, 3, 0)]
 
 
+def test_columns_that_have_no_order(spark):
+    values = ["map('b', doc_id, 'a', id) AS pairs", "array(map(doc_id, 'x')) AS nested", "parse_json(cast(doc_id AS string)) AS free"]
+    df = spark.range(30).selectExpr("id % 3 AS doc_id", "'s' AS source", "id").selectExpr("doc_id", "source", *values)
+    nulls = ["CAST(NULL AS map<string,bigint>) AS pairs", "CAST(NULL AS array<map<bigint,string>>) AS nested", "CAST(NULL AS variant) AS free"]
+    df = df.unionByName(spark.range(2).selectExpr("id AS doc_id", "'s' AS source", *nulls))
+    found = sharding.interleave(df, 4)
+    assert found.columns == [*df.columns, "shard", "slot"]
+    rows = found.selectExpr("doc_id", "to_json(pairs) AS pairs", "shard", "slot").collect()
+    again = sharding.interleave(df.repartition(5), 4).selectExpr("doc_id", "to_json(pairs) AS pairs", "shard", "slot").collect()
+    assert sorted(rows, key=str) == sorted(again, key=str)
+    assert sorted((row.shard, row.slot) for row in rows) == [(shard, slot) for shard in range(4) for slot in range(8)]
+
+
 def test_write_shards(spark, tmp_path):
     df = spark.createDataFrame([(n, "a") for n in range(10)], "doc_id long, source string")
     sharding.write_shards(sharding.interleave(df, 2), str(tmp_path / "out"))
