@@ -70,8 +70,9 @@ def mark_revisits(df: DataFrame, key: str, url: str, payload: str, least: int =
     """key, url, payload, length, sha1 and ``original``: the key that a revisit refers to, null for responses.
 
     Of equal payloads of at least ``least`` bytes the one with the largest key is the response. Payloads are
-    told apart by SHA-1, length and a second hash. Rows that share that largest key are responses all. Payloads
-    that occur once take no part in the join, so it only carries the groups of copies.
+    told apart by SHA-1, length and a second hash. Rows that share that largest key are responses all. The
+    table of copied payloads holds digests only; where it is too large to be broadcast, all rows are shuffled
+    by digest with their payloads.
     """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit("").cast("binary"))
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload"))
@@ -224,9 +225,14 @@ def _fields(content: bytes) -> tuple[dict[str, str], int] | None:
     return result, end + 4
 
 
-def scan(path: str, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Offset, header fields and block of the records that start in a byte range."""
+def scan(path: str, start: int, end: int, damage: list[int] | None = None) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """Offset, header fields and block of the records that start in a byte range.
+
+    Where a record has to begin and none does, its offset is added to ``damage``, and the search goes on. The
+    task that read the record before adds it, even beyond its range, so each is added once.
+    """
     window, place, sure = _Window(path, start), start, start == 0
+    damage = [] if damage is None else damage
     while place < min(end, window.size):
         if not sure:
             window.upto(min(place + _CHUNK, end + 2))
@@ -248,15 +254,30 @@ def scan(path: str, start: int, end: int) -> Iterator[tuple[int, dict[str, str],
             if place >= end:
                 return
         window.forget(place)
-        decoded = _decode(window, place)
-        head = _fields(decoded[0]) if decoded else None
-        follows = decoded is not None and window.at(decoded[1], 3) in (b"", MAGIC)
-        if head is None or not (sure or follows):
+        found = _found(window, place)
+        if found is None:
+            if sure:
+                damage.append(place)
             place, sure = place + 1, False
             continue
-        (content, after), (fields, block) = decoded, head
-        yield place, fields, content[block : block + int(fields["content-length"])]
-        place, sure = after, follows
+        fields, block, after = found
+        yield place, fields, block
+        place, sure = after, True
+    if sure and end <= place < window.size:
+        window.forget(place)
+        if _found(window, place) is None:
+            # The next task cannot know that a record has to begin here.
+            damage.append(place)
+
+
+def _found(window: _Window, place: int) -> tuple[dict[str, str], bytes, int] | None:
+    """Fields and block of the record at a place, and where it ends: at another member or the end of the file."""
+    decoded = _decode(window, place)
+    head = _fields(decoded[0]) if decoded else None
+    if head is None or window.at(decoded[1], 3) not in (b"", MAGIC):
+        return None
+    (content, after), (fields, block) = decoded, head
+    return fields, content[block : block + int(fields["content-length"])], after
 
 
 def _record(path: str, offset: int, fields: dict[str, str], block: bytes) -> tuple:
@@ -280,19 +301,28 @@ def _record(path: str, offset: int, fields: dict[str, str], block: bytes) -> tup
     return (path, offset, fields.get("warc-record-id"), kind, target, fields.get("warc-refers-to"), length, digest, payload)
 
 
-def read_warc(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
+def read_warc(
+    spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES, payloads: bool = True, damaged: str = "raise"
+) -> DataFrame:
     """All records of the ``.warc.gz`` files of a folder, one task for each byte range of ``split_bytes``.
 
     Columns: path, offset, record_id, record_type, target_uri, refers_to, payload_bytes, payload_digest (hex
     SHA-1; checked for responses), payload (null for other records, and unless ``payloads``).
+
+    Damaged members, and bytes that belong to none, fail the job with their path and offset. With
+    ``damaged="report"`` each such stretch is a row of the type ``damaged`` with the offset where it begins,
+    and the records after it are read; a record that no member follows belongs to the stretch, because it
+    cannot be told from one inside a payload. Empty files have no records.
     """
     # The listing runs on Spark; only the length column of the files is read.
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", "length")
-    return read_ranges(files, split_bytes, payloads)
+    return read_ranges(files, split_bytes, payloads, damaged)
 
 
-def read_ranges(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
+def read_ranges(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True, damaged: str = "raise") -> DataFrame:
     """:func:`read_warc` for a table of files: path, length."""
+    if damaged not in ("raise", "report"):
+        raise ValueError(f"damaged members can be raised or reported, not {damaged}")
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long")))
     ranges = files.filter("length > 0").select("path", starts.alias("start"), "length")
     ranges = ranges.withColumn("end", F.least(F.col("start") + split_bytes, F.col("length"))).drop("length")
@@ -301,14 +331,17 @@ def read_ranges(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool
         names = [field.split()[0] for field in RECORDS.split(", ")]
         for batch in batches:
             for path, start, end in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                rows = []
-                for offset, fields, block in scan(path, start, end):
+                rows, damage = [], []
+                for offset, fields, block in scan(path, start, end, damage):
                     rows.append(_record(path, offset, fields, block))
                     if not payloads:
                         rows[-1] = (*rows[-1][:-1], None)
                     if len(rows) == _BATCH:
                         yield _batch(names, rows)
                         rows = []
+                if damage and damaged == "raise":
+                    raise ValueError(f"no record can be read at {damage[0]} of {path}")
+                rows += [(path, offset, None, "damaged", *[None] * 5) for offset in damage]
                 if rows:
                     yield _batch(names, rows)
 

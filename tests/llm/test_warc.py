@@ -84,3 +84,40 @@ def test_wrong_digest_is_refused():
     fields = {"warc-type": "response", "warc-payload-digest": "sha1:" + "A" * 32}
     with pytest.raises(ValueError):
         warc._record("p", 0, fields, b"HTTP/1.1 200 OK\r\n\r\nbody")
+
+
+def test_damage_is_told_once_whatever_the_ranges(spark, tmp_path):
+    members = [warc._page(n, "u", body, len(body), hashlib.sha1(body).hexdigest(), None) for n, body in enumerate([b"one", b"two" * 50, b"three", b"four", b"five"])]
+    starts = [sum(map(len, members[:n])) for n in range(6)]
+    path = tmp_path / "a.warc.gz"
+    for broken, extra in (({1}, b""), ({0}, b""), ({1, 2}, b""), ({4}, b""), (set(), b"junk"), ({3}, b"junk"), (set(), b"")):
+        data = bytearray(b"".join(members))
+        for n in broken:
+            data[starts[n] + 20] ^= 0xFF
+        path.write_bytes(bytes(data) + extra)
+        size = path.stat().st_size
+        # A record that junk follows belongs to the stretch; neighbours are one stretch, told where it begins.
+        lost = broken | ({4} if extra else set())
+        told = [starts[n] for n in sorted(lost) if n - 1 not in lost]
+        for split in (7, 50, 64, 200, 1 << 20):
+            damage: list[int] = []
+            found = [place for low in range(0, size, split) for place, _, _ in warc.scan(str(path), low, min(low + split, size), damage)]
+            assert found == [starts[n] for n in range(5) if n not in lost], (broken, extra, split)
+            assert sorted(damage) == told, (broken, extra, split)
+    data = bytearray(b"".join(members))
+    path.write_bytes(bytes(data[: starts[4] + 30]))
+    with pytest.raises(Exception, match="no record can be read"):
+        warc.read_warc(spark, str(tmp_path)).collect()
+    rows = warc.read_warc(spark, str(tmp_path), 64, damaged="report").collect()
+    assert sorted((row.record_type, row.offset) for row in rows) == sorted([*(("response", n) for n in starts[:4]), ("damaged", starts[4])])
+    with pytest.raises(ValueError):
+        warc.read_warc(spark, str(tmp_path), damaged="skip")
+
+
+def test_a_long_record_is_read_over_many_ranges(spark, tmp_path):
+    source = random.Random(2)
+    long = "".join(chr(source.randint(32, 0x24F)) for _ in range(3_000_000))
+    folder = str(tmp_path / "warc")
+    warc.write_warc(pages(spark, [(1, "u", "a"), (2, "u", long), (3, "u", "b")]).coalesce(1), folder)
+    found = warc.read_warc(spark, folder, 300_000).filter("record_type = 'response'").orderBy("record_id").collect()
+    assert [bytes(row.payload).decode() for row in found] == ["a", long, "b"]
