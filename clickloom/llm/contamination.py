@@ -1,16 +1,19 @@
 """Test items that documents contain: size-partitioned MinHash containment search, exactly verified.
 
-A document's shingles are hashed into bins, and the smallest hash of each bin is its signature (one
-permutation serves all bins). Documents are partitioned by size: twice the shingles, twice the bins, so a
-short item keeps its weight in a long document. The size class also has so many bins that the shortest item
-is missed with less than one chance in a million. Items are far shorter than the bins are many; their side
-keeps every shingle. Items with enough matches in a signature are candidates, and for those the shingles
-themselves are compared. Everything is built from functions of Spark SQL.
+Items are partitioned by size. Those of a class, from 2 ** n up to twice as many shingles, have MinHash sketches
+of one length: so many of their smallest shingle hashes. A sketch is looked up among all shingle hashes of a
+document, however long that is (the containment form of MinHash: a long document's own sketch would hold nothing
+of a short item). An item may lack only so many shingles, so of its sketch at least a known number must be found;
+the sketch of each class is long enough for that number to be ``matches`` or more, for items of a single shingle
+all. The search therefore loses no pair, and one short item changes nothing for the others.
+
+Documents keep only hashes whose leading bits a sketch has, looked up in a bitmap; these meet the sketches in a
+join, and for pairs with enough matches the shingles themselves are compared. Everything is built from functions
+of Spark SQL.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,14 +29,16 @@ BETWEEN = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 class Settings:
     """Words in a shingle, the share of an item's shingles that counts as containment, and sizes.
 
-    ``slack`` is how far matches may fall short of what is expected, in standard deviations. Tables of more
-    than ``broadcast_rows`` rows of two numbers are not broadcast.
+    ``matches`` is how many hashes of its sketch must be found at least for the largest items of a class; smaller
+    ones need more. The bitmap has ``slots`` bits for a sketch hash, but no more than ``most_slots`` (beyond which it
+    lets more hashes through). Tables of more than ``broadcast_rows`` rows of two numbers are not broadcast.
     """
 
     size: int = 5
     containment: float = 0.8
-    miss: float = 1e-6
-    slack: float = 5.0
+    matches: int = 2
+    slots: int = 32
+    most_slots: int = 1 << 18
     broadcast_rows: int = 500_000
 
 
@@ -61,12 +66,44 @@ def _shingles(size: int) -> Column:
     return F.array_distinct(F.transform(_starts(size), lambda place: F.concat_ws(" ", F.slice("words", place + 1, size))))
 
 
-def _signature(extra_bits: int) -> Column:
-    """The smallest hash of each bin. In sorted hashes that is the first with its leading bits."""
-    return F.expr(
-        f"""filter(hashes, (hash, n) -> n = 0 OR
-            shiftrightunsigned(hash, 64 - bits - {extra_bits}) != shiftrightunsigned(get(hashes, n - 1), 64 - bits - {extra_bits}))"""
+def _needed(shingles: Column, settings: Settings) -> Column:
+    """How many of so many shingles a document must have."""
+    return F.ceil(shingles * settings.containment - 1e-9)
+
+
+def sketches(items: DataFrame, settings: Settings) -> DataFrame:
+    """A row for each hash of each item's sketch: number, needed, enough, hash.
+
+    ``items`` has number, words, shingles and needed. ``enough`` is how many hashes of the sketch a document has at least
+    that contains the item: all but those that the item may lack.
+    """
+    shingles = F.size("shingles")
+    largest = F.call_function("shiftleft", F.lit(2), F.floor(F.log2(shingles)).cast("int")) - 1
+    length = F.least(shingles, largest - _needed(largest, settings) + settings.matches).cast("int")
+    smallest = F.slice(F.array_sort(F.array_distinct(_hashes(settings.size))), 1, length)
+    kept = items.select("number", "needed", (shingles - F.col("needed")).alias("spare"), smallest.alias("sketch"))
+    enough = F.greatest(F.lit(1), F.size("sketch") - F.col("spare")).alias("enough")
+    return kept.select("number", "needed", enough, F.explode("sketch").alias("hash"))
+
+
+def _marked(tokens: DataFrame, settings: Settings):
+    """A condition on a hash: whether the bitmap of the tokens has its leading bits.
+
+    The bitmap is a literal of at most ``most_slots`` bits, so what is sent does not grow beyond that.
+    """
+    bits = max(10, min(tokens.count() * settings.slots, settings.most_slots).bit_length() - 1)
+    slot = F.shiftrightunsigned("hash", 64 - bits)
+    masks = tokens.groupBy(F.shiftright(slot, 6).alias("place")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))).alias("mask")
     )
+    found = {row.place: row.mask for row in masks.collect()}
+    bitmap = F.split(F.lit(",".join(str(found.get(place, 0)) for place in range(1 << (bits - 6)))), ",").cast("array<bigint>")
+
+    def condition(hash_: Column) -> Column:
+        mask = F.get(bitmap, F.shiftrightunsigned(hash_, 64 - bits + 6).cast("int"))
+        return F.getbit(mask, F.shiftrightunsigned(hash_, 64 - bits).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    return condition
 
 
 def _small(df: DataFrame, settings: Settings) -> DataFrame:
@@ -90,31 +127,23 @@ def contained_items(
     Nulls: a null text has no words; items without words are contained nowhere. A null key or item id stays
     null in the result. An item of fewer words than a shingle is one shingle of all of them, which only a
     document of just these words has. Repeated documents are found each; items that share an id are items of
-    their own and give a row each. Texts are searched whole. Empty tables give an empty result.
+    their own and give a row each. A share of exactly ``containment`` counts. Texts are searched whole, however long. Empty
+    tables give an empty result. Other columns of both tables play no part, whatever their names.
     """
     size = settings.size
     wanted = items.select(F.col(item).alias("item"), words(item_text).alias("words"))
     wanted = wanted.withColumn("shingles", _shingles(size)).filter(F.size("shingles") > 0)
-    wanted = wanted.withColumn("needed", F.ceil(F.size("shingles") * settings.containment - 1e-9))
+    wanted = wanted.withColumn("needed", _needed(F.size("shingles"), settings))
     wanted = wanted.withColumn("number", F.xxhash64("item", "shingles")).dropDuplicates(["number"])
     wanted, _ = stages.written(wanted.select("number", "item", "words", "shingles", "needed"), "benchmark", rows=items.count())
-    least = wanted.agg(F.min("needed")).first()[0]
-    if least is None:
-        least = 1
-    # With 2 ** e bins for a shingle, one is missed with a chance of at most 2 ** -(e + 1).
-    extra = max(1, math.ceil(-math.log2(settings.miss) / least) - 1)
-    load = 2.0**-extra
-    kept = (1 - math.exp(-load)) / load
-    expected, spread = F.col("needed") * kept, F.sqrt(F.col("needed") * kept * (1 - kept))
-    enough = F.greatest(F.lit(1), F.floor(expected - settings.slack * spread)).alias("enough")
-    tokens = wanted.select("number", enough, F.explode(F.array_distinct(_hashes(size))).alias("hash"))
+    tokens = sketches(wanted, settings)
 
     hashed = documents.select(F.xxhash64(text).alias("row"), words(text).alias("words"))
-    hashed = hashed.select("row", F.sort_array(_hashes(size)).alias("hashes"))
-    # The size class: bits of the number of shingles.
-    classed = hashed.withColumn("bits", F.ceil(F.log2(F.size("hashes"))).cast("int"))
-    exploded = classed.select("row", F.explode(_signature(extra)).alias("hash"))
-    matches = exploded.join(_small(tokens, settings), "hash")
+    hashed = hashed.select("row", F.greatest(F.size("words") - size + 1, F.lit(1)).alias("places"), _hashes(size).alias("hashes"))
+    marked = F.array_distinct(F.filter("hashes", _marked(tokens, settings)))
+    exploded = hashed.select("row", "places", F.explode(marked).alias("hash"))
+    # A document of fewer places than an item needs has no part in its class.
+    matches = exploded.join(_small(tokens, settings), "hash").filter("places >= needed")
     counted = matches.groupBy("row", "number").agg(F.count(F.lit(1)).alias("matches"), F.first("enough").alias("enough"))
     candidates, _ = stages.written(counted.filter("matches >= enough").select("row", "number"), "candidates")
 

@@ -166,6 +166,49 @@ def test_contained_items(spark):
     assert sorted(((row.doc_id, row.text) for row in kept), key=str) == sorted((d for d in documents if d[1] not in gone), key=str)
 
 
+def test_sketches_by_size_class(spark):
+    """The sketches of a class are equally long, and no item changes those of another."""
+    sizes = [1, 2, 5, 8, 11, 15, 16, 31, 40, 63]
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n + 4))) for n in sizes]
+    df = spark.createDataFrame(items, "number long, text string").withColumn("words", contamination.words("text"))
+    df = df.withColumn("shingles", contamination._shingles(5))
+    settings = contamination.Settings()
+    df = df.withColumn("needed", contamination._needed(F.size("shingles"), settings))
+
+    def found(rows):
+        grouped = contamination.sketches(rows, settings).groupBy("number", "needed", "enough").count()
+        return {row.number: (row.needed, row.enough, row["count"]) for row in grouped.collect()}
+
+    every = found(df)
+    assert {n: every[n][0] for n in sizes} == {n: -(-n * 4 // 5) for n in sizes}
+    for n in sizes:
+        top = 2 ** n.bit_length() - 1
+        assert every[n][2] == min(n, top - -(-top * 4 // 5) + 2)
+        assert every[n][1] == max(1, every[n][2] - (n - every[n][0]))
+    assert found(df.filter("number >= 16")) == {n: every[n] for n in sizes if n >= 16}
+
+
+@pytest.mark.parametrize("changed", [{"broadcast_rows": 0}, {"most_slots": 1 << 10, "slots": 1}, {"matches": 9}])
+def test_contained_items_whatever_the_settings(spark, changed):
+    source = random.Random(4)
+    text = lambda count: " ".join(source.choices([f"w{n}" for n in range(300)], k=count))
+    items = [(n, text(5 + n)) for n in range(60)]
+    documents = [(n, f"{text(source.choice([0, 900]))} {items[n % 60][1]} {text(5)}") for n in range(90)]
+    # Shingles of an item that are spread over a long text count as well.
+    words = items[50][1].split()
+    documents.append((90, " . ".join(" ".join(words[i : i + 5]) for i in source.sample(range(len(words) - 4), len(words) - 4))))
+    df = spark.createDataFrame(documents, "doc_id long, text string")
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    found = contamination.contained_items(df, wanted, settings=contamination.Settings(**changed)).collect()
+    expected = {
+        (key, item)
+        for key, body in documents
+        for item, wanted in items
+        if len(shingles(wanted) & shingles(body)) * 5 >= len(shingles(wanted)) * 4
+    }
+    assert {(row.key, row.item) for row in found} == expected and (90, 50) in expected
+
+
 def test_contamination_of_empty_tables(spark):
     some, none = spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert contamination.contained_items(some, none).count() == 0
