@@ -1,7 +1,7 @@
 """Nearest neighbours by inner product, found in a low-dimensional stable projection.
 
 Vectors get one more component that makes all of them equally long; then the largest inner product belongs
-to the smallest distance. A Gaussian matrix (its distribution is 2-stable) projects them to a few dimensions,
+to the smallest distance. A Gaussian matrix (its distribution is 2-stable) projects them to fewer dimensions,
 where a kd-tree gives a query's neighbours in growing distance, leaf by leaf. Each is verified with its
 original vector. The squared projected distance, divided by the squared true one, follows a chi-square
 distribution, so the search stops when a vector nearer than the worst one held would by now have been met
@@ -32,11 +32,15 @@ FOUND = "query_id long, vec_id long, score double"
 
 @dataclass(frozen=True)
 class Settings:
-    """``dimensions`` is even. ``shard_rows`` and ``block_rows`` bound what one task holds."""
+    """``dimensions`` is even. ``shard_rows`` and ``block_rows`` bound what one task holds.
 
-    dimensions: int = 8
-    confidence: float = 0.99
-    leaf: int = 64
+    With more dimensions the projected distance tells more of the true one, so fewer vectors are verified at the same
+    recall. ``confidence`` is for the worst neighbour held; nearer ones are met earlier, so the recall is above it.
+    """
+
+    dimensions: int = 32
+    confidence: float = 0.9
+    leaf: int = 16
     shard_rows: int = 1 << 16
     block_rows: int = 256
     seed: int = 5
@@ -106,15 +110,15 @@ def _build(scale: float, longest: float, settings: Settings):
 class _Shard:
     """One shard's vectors in the order of the leaves, with the box of each leaf."""
 
-    def __init__(self, folder: str, shard: int, width: int, settings: Settings) -> None:
-        table = read_part(folder, "shard", shard, [field.split()[0] for field in INDEX.split(", ")][1:])
-        part = lambda name, kind: np.frombuffer(table[name][0].as_py(), kind)
+    def __init__(self, parts: dict[str, bytes], width: int, settings: Settings) -> None:
+        part = lambda name, kind: np.frombuffer(parts[name], kind)
         self.vectors = part("vectors", np.float64).reshape(-1, width)
         self.projected = part("projected", np.float64).reshape(-1, settings.dimensions)
         self.leaves, self.ids, self.firsts = (part(name, np.int64) for name in ("leaves", "ids", "firsts"))
         self.longest = math.sqrt((self.vectors**2).sum(1).max())
         self.low = np.minimum.reduceat(self.projected, self.leaves[:-1])
         self.high = np.maximum.reduceat(self.projected, self.leaves[:-1])
+        self.verified = 0
 
     def search(self, query: np.ndarray, place: np.ndarray, distance, count: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
         """The ``count`` vectors of the largest inner product that were met before the search stopped.
@@ -129,10 +133,11 @@ class _Shard:
         while at < len(order) and bounds[order[at]] < limit:
             some = order[at : at + step]
             some = some[bounds[some] < limit]
-            at, step = at + step, min(step * 2, 64)
+            at, step = at + step, min(step * 2, 16)
             points = np.concatenate([np.arange(self.leaves[n], self.leaves[n + 1]) for n in some])
             if np.isfinite(limit):
                 points = points[((self.projected[points] - place) ** 2).sum(1) < limit]
+            self.verified += len(points)
             best = np.concatenate([best, points])
             scores = np.concatenate([scores, self.vectors[points] @ query])
             if len(best) > count:
@@ -157,26 +162,33 @@ class _Shard:
 
 @functools.lru_cache(maxsize=1)
 def _shard(folder: str, shard: int, width: int, settings: Settings) -> _Shard:
-    return _Shard(folder, shard, width, settings)
+    table = read_part(folder, "shard", shard, [field.split()[0] for field in INDEX.split(", ")][1:])
+    return _Shard({name: table[name][0].as_py() for name in table.column_names}, width, settings)
 
 
-def _search(folder: str, scale: float, longest: float, count: int, settings: Settings):
-    ratio = stop_ratio(settings)
+def _looks(shard: _Shard, width: int, scale: float, longest: float, count: int, settings: Settings):
+    """The search of a shard for one query."""
+    ratio, directions = stop_ratio(settings), _directions(width, settings)
+
+    def look(query: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        scaled = query / scale
+        # The query is made as long as the longest vector; that changes no order.
+        stretch = math.sqrt(longest) / math.sqrt((scaled**2).sum())
+        place = np.append(scaled * stretch, 0.0) @ directions
+        distance = lambda score: max(0.0, 2 * longest - 2 * score * stretch / scale**2)
+        # One more than wanted, because the query itself may be among them.
+        return shard.search(query, place, distance, count + 1, ratio)
 
+    return look
+
+
+def _search(folder: str, scale: float, longest: float, count: int, settings: Settings):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         width = int(key[2])
         shard = _shard(folder, int(key[0]), width, settings)
-        directions, out = _directions(width, settings), []
+        look, out = _looks(shard, width, scale, longest, count, settings), []
         for query_id, vector in zip(rows["query_id"], rows["vector"], strict=True):
-            query = np.array(vector, np.float64)
-            scaled = query / scale
-            size = math.sqrt((scaled**2).sum())
-            # The query is made as long as the longest vector; that changes no order.
-            stretch = math.sqrt(longest) / size
-            place = np.append(scaled * stretch, 0.0) @ directions
-            distance = lambda score: max(0.0, 2 * longest - 2 * score * stretch / scale**2)  # noqa: B023, E731
-            # One more than wanted, because the query itself may be among them.
-            best, scores = shard.search(query, place, distance, count + 1, ratio)
+            best, scores = look(np.array(vector, np.float64))
             numbers = [shard.ids[shard.firsts[n] : shard.firsts[n + 1]] for n in best]
             ids = np.concatenate(numbers)
             each = np.repeat(scores, [len(own) for own in numbers])
