@@ -40,7 +40,7 @@ class Settings:
 
     dimensions: int = 32
     confidence: float = 0.9
-    leaf: int = 16
+    leaf: int = 64
     shard_rows: int = 1 << 16
     block_rows: int = 256
     seed: int = 5
@@ -118,6 +118,7 @@ class _Shard:
         self.longest = math.sqrt((self.vectors**2).sum(1).max())
         self.low = np.minimum.reduceat(self.projected, self.leaves[:-1])
         self.high = np.maximum.reduceat(self.projected, self.leaves[:-1])
+        self.norms = (self.projected**2).sum(1)
         self.verified = 0
 
     def search(self, query: np.ndarray, place: np.ndarray, distance, count: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
@@ -129,14 +130,17 @@ class _Shard:
         bounds = (gap**2).sum(1)
         order = np.argsort(bounds, kind="stable")
         best, scores, limit = np.zeros(0, np.int64), np.zeros(0), np.inf
-        at, step = 0, 2
+        # Few long steps in large shards, but short ones against their size, so that the limit is known early.
+        at, step, most = 0, 2, max(2, len(order) // 16)
         while at < len(order) and bounds[order[at]] < limit:
             some = order[at : at + step]
             some = some[bounds[some] < limit]
-            at, step = at + step, min(step * 2, 16)
-            points = np.concatenate([np.arange(self.leaves[n], self.leaves[n + 1]) for n in some])
+            at, step = at + step, min(step * 2, most)
+            sizes = self.leaves[some + 1] - self.leaves[some]
+            points = np.repeat(self.leaves[some + 1] - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
             if np.isfinite(limit):
-                points = points[((self.projected[points] - place) ** 2).sum(1) < limit]
+                near = self.norms[points] - 2 * (self.projected[points] @ place) + place @ place
+                points = points[near < limit]
             self.verified += len(points)
             best = np.concatenate([best, points])
             scores = np.concatenate([scores, self.vectors[points] @ query])
