@@ -369,4 +369,36 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, item_id, shared, CAST(total AS INTEGER) AS total, shared / total AS containment
         FROM shared JOIN totals ON id = item_id WHERE shared * 5 >= total * 4
     """,
+    # The table of the checksum follows from its polynomial, bit by bit.
+    "op10_stratified_shards": f"""
+        WITH RECURSIVE bits AS (
+            SELECT n, n AS c, 0 AS step FROM (SELECT unnest(range(0, 256)) AS n)
+            UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
+        ),
+        crc AS (SELECT list(c ORDER BY n) AS rest FROM bits WHERE step = 8),
+        sized AS (
+            SELECT doc_id, source, strlen(coalesce(text, '')) + 16 AS size, xor(4294967295, list_reduce(
+                list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT),
+                lambda c, b: xor(c >> 8, rest[xor(c & 255, b) + 1]), 4294967295)) AS text_crc32
+            FROM documents, crc
+        ),
+        ranked AS (
+            SELECT *, (row_number() OVER (PARTITION BY source ORDER BY md5('0:' || coalesce(doc_id::VARCHAR, '')), size, text_crc32) - 0.5)::DOUBLE
+                / count(*) OVER (PARTITION BY source) AS fraction
+            FROM sized
+        ),
+        placed AS (
+            SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, doc_id, size, text_crc32) - 1 AS position,
+                count(*) OVER () // {SHARDS} AS least, count(*) OVER () % {SHARDS} AS larger
+            FROM ranked
+        ),
+        sharded AS (
+            SELECT *, CASE WHEN position < larger * (least + 1) THEN position // (least + 1)
+                ELSE larger + (position - larger * (least + 1)) // greatest(least, 1) END AS shard
+            FROM placed
+        )
+        SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+            (position - (shard * least + least(shard, larger)))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+        FROM sharded
+    """,
 }
