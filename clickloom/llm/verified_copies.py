@@ -11,6 +11,8 @@
 5. Members of a bucket that are still in different components are compared with each other in cells of
    bounded size, first by signature, then all survivors on their full sets. The largest component of a bucket is
    compared with the rest of the bucket, not with itself. A cell tells what hangs together, not its pairs.
+   Large buckets with the same largest component mostly have the same members, so these are compared once, in a
+   union of the buckets, wherever that takes fewer comparisons.
 
 Nothing is capped: every pair of a bucket is either connected, pruned or verified.
 """
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm import stages
@@ -314,12 +316,28 @@ class _Search:
         rows = self.classes.select("class", F.explode("bands").alias("bucket"))
         buckets = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("pivot")).filter("n > 1")
         buckets = self._written(buckets, "copy-buckets")
-        all_rows = self.classes.count() * self.settings.bands
-        hot = F.col("n") > max(self.settings.cell, all_rows // HOT_BUCKETS)
+        return self._written(self.with_buckets(rows, buckets, "n").select("bucket", "n", "pivot", "class"), "copy-members")
+
+    def with_buckets(self, rows: DataFrame, buckets: DataFrame, size: str) -> DataFrame:
+        """Rows with what ``buckets`` says of theirs; the few with very many rows are broadcast."""
+        hot = F.col(size) > max(self.settings.cell, self.classes.count() * self.settings.bands // HOT_BUCKETS)
         large = F.broadcast(buckets.filter(hot))
         usual = rows.join(large.select("bucket"), "bucket", "left_anti").join(buckets.filter(~hot), "bucket")
-        columns = ["bucket", "n", "pivot", "class"]
-        return self._written(rows.join(large, "bucket").select(*columns).union(usual.select(*columns)), "copy-members")
+        return rows.join(large, "bucket").unionByName(usual)
+
+    def with_components(self, rows: DataFrame) -> DataFrame:
+        """bucket, class and the component that the class is in so far."""
+        own = self.groups.select(F.col("node").alias("class"), "component")
+        return rows.join(own, "class", "left").select("bucket", "class", F.coalesce("component", "class").alias("component"))
+
+    def open_buckets(self, rows: DataFrame) -> DataFrame:
+        """bucket, m, main_n, main of the buckets with several components: their members, those of the largest
+        component, and that component."""
+        parts = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+        whole = self._written(parts, "copy-parts").groupBy("bucket").agg(
+            F.sum("n").alias("m"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("most")
+        ).filter("parts > 1")
+        return self._written(whole.select("bucket", "m", F.col("most.n").alias("main_n"), F.col("most.component").alias("main")), "copy-open")
 
     def with_signatures(self, pairs: DataFrame) -> DataFrame:
         """a, b and both signatures. Many rows may share b, so it is joined while the rows are narrow."""
@@ -356,34 +374,44 @@ class _Search:
         self.tie(self._written(counted.filter(similar).select("a", "b"), "copy-links"))
         return alive
 
+    def blocks(self) -> tuple[Column, Column]:
+        """How many blocks the smaller components of a bucket and its largest one make."""
+        half = self.settings.cell // 2
+        return F.ceil((F.col("m") - F.col("main_n")) / half), F.ceil(F.col("main_n") / half)
+
+    def unions(self, rows: DataFrame, whole: DataFrame) -> DataFrame:
+        """Rows of large buckets with what ``whole`` says of theirs; the number of a union is that of its largest
+        component."""
+        rest, mains = self.blocks()
+        spread = F.col("main_n") * rest + (F.col("m") - F.col("main_n")) * (rest + mains)
+        large = self._written(self.with_buckets(rows, whole, "m"), "copy-large")
+        once = large.select(F.col("main").alias("bucket"), "class", "component").distinct()
+        sizes = once.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.count_if(F.col("component") == F.col("bucket")).alias("main_n"))
+        apart = whole.groupBy("main").agg(F.sum(spread).alias("apart"))
+        fewer = sizes.withColumn("main", F.col("bucket")).join(apart, "main").filter(spread <= F.col("apart"))
+        fewer = self._written(fewer.select("bucket", "m", "main_n", "main"), "copy-unions")
+        own = whole.join(fewer.select("main"), "main", "left_anti").select("bucket", "m", "main_n", "main")
+        alone = self.with_buckets(large.select("bucket", "class", "component"), own, "m")
+        return self.with_buckets(once, fewer, "m").unionByName(alone)
+
     def cells(self, members: DataFrame, alive: DataFrame) -> DataFrame | None:
         """Members of buckets that hold several components, in cells. Pairs of a bucket of their own that did not
         survive are done."""
         two = members.filter("n = 2")
         open_two = two.filter("class <> pivot").join(alive.select(F.col("a").alias("class"), F.col("b").alias("pivot")), ["class", "pivot"], "left_semi")
         rows = members.filter("n > 2").select("bucket", "class").union(two.join(open_two.select("bucket"), "bucket", "left_semi").select("bucket", "class"))
-        own = self.groups.select(F.col("node").alias("class"), "component")
-        rows = rows.join(own, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        parts = self._written(rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")), "copy-parts")
-        whole = parts.groupBy("bucket").agg(
-            F.sum("n").alias("m"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("most")
-        ).filter("parts > 1")
-        whole = self._written(whole.select("bucket", "m", F.col("most.n").alias("main_n"), F.col("most.component").alias("main")), "copy-open")
+        rows = self.with_components(rows)
+        whole = self.open_buckets(rows)
         if whole.isEmpty():
             return None
-        hot = F.col("m") > max(self.settings.cell, self.classes.count() * self.settings.bands // HOT_BUCKETS)
-        large = F.broadcast(whole.filter(hot))
-        usual = rows.join(large.select("bucket"), "bucket", "left_anti").join(whole.filter(~hot), "bucket")
-        columns = ["bucket", "class", "component", "m", "main_n", "main"]
-        rows = rows.join(large, "bucket").select(*columns).union(usual.select(*columns))
-        half = self.settings.cell // 2
-        small = rows.filter(F.col("m") <= self.settings.cell)
+        few = F.col("m") <= self.settings.cell
+        small, large = self.with_buckets(rows, whole.filter(few), "m"), self.unions(rows, whole.filter(~few))
         cells = small.select(F.col("bucket").alias("cell"), F.lit(0).alias("side"), F.lit(False).alias("crossed"), "class", "component")
         # Blocks of the main component are numbered below zero; they meet all others, but not each other.
-        rest, mains = F.ceil((F.col("m") - F.col("main_n")) / half), F.ceil(F.col("main_n") / half)
+        rest, mains = self.blocks()
         spread = F.xxhash64("bucket", "class")
         side = F.when(F.col("component") == F.col("main"), -1 - F.pmod(spread, mains)).otherwise(F.pmod(spread, rest))
-        split = rows.filter(F.col("m") > self.settings.cell).withColumns({"rest": rest, "mains": mains, "side": side})
+        split = large.withColumns({"rest": rest, "mains": mains, "side": side})
         others = F.when(F.col("side") < 0, F.sequence(F.lit(0).cast("long"), F.col("rest") - 1)).otherwise(
             F.concat(F.sequence(-F.col("mains"), F.lit(-1).cast("long")), F.sequence(F.lit(0).cast("long"), F.col("rest") - 1))
         )

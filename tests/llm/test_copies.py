@@ -148,3 +148,22 @@ def test_shared_elements_of_many_sets(monkeypatch):
     edges = np.concatenate([[0], np.cumsum([len(one) for one in sets])])
     values = np.array([value for one in sets for value in sorted(one)], np.int64)
     assert verified_copies._shared(values, edges).tolist() == [[len(x & y) for y in sets] for x in sets]
+
+
+def test_large_buckets_of_the_same_classes_are_compared_once(spark, monkeypatch):
+    """Half of a large group are no copies of the rest, and all share many buckets."""
+    source = random.Random(6)
+    words = source.choices(WORDS, k=120)
+    rows = [(n, changed(source, words, 1 + n % 2 * 7)) for n in range(300)]
+    counts, real = [], verified_copies._Search.cells
+
+    def counted(self, members, alive):
+        cells = real(self, members, alive)
+        counts.append((cells.count(), members.filter("n > 16").count()))
+        return cells
+
+    monkeypatch.setattr(verified_copies._Search, "cells", counted)
+    want = [(key, n, low, key == low) for key, n, low, _ in expected(rows)]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string"), cell=16) == sorted(want, key=str)
+    (made, of), = counts
+    assert made < 3 * of
