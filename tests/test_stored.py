@@ -110,6 +110,15 @@ def test_merged_profiles_equal_the_whole(spark):
         profiles.states(df, F.col("day"), ["day"])
 
 
+def test_states_of_sparse_numbers_are_small(spark):
+    """Numbers far apart take a word each, and no table of 32,768 bits."""
+    df = spark.range(2000).select((F.col("id") % 20).alias("day"), (F.col("id") * 70_000 - 10**7).alias("n"))
+    days = profiles.states(df, F.col("day"), ["n"])
+    words = days.filter("bucket IS NOT NULL")
+    assert words.schema["bits"].dataType == T.LongType() and words.count() == 2000
+    assert profiles.profile_of(profiles.merged_states(days, F.col("part") % 3)).first().n_distinct == 2000
+
+
 USER = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("at", T.TimestampType())])
 
 
