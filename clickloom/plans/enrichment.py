@@ -69,12 +69,12 @@ def enrich_events(
     events = events.filter(F.col(_KEY).isNotNull())
     hashes = hot_keys(events, _KEY, hot_rows)
     if not hashes:
-        return _with_product(events, dimension)
+        return _with_product(events, dimension.hint("merge"))
     hot, hot_product = is_hot(_KEY, hashes), is_hot("product_id", hashes)
     hot_dimension = dimension.filter(hot_product)
     if fits_broadcast(hot_dimension):
         hot_dimension = F.broadcast(hot_dimension)
-    cold = _with_product(events.filter(~hot), dimension.filter(~hot_product))
+    cold = _with_product(events.filter(~hot), dimension.filter(~hot_product).hint("merge"))
     return cold.unionByName(_with_product(events.filter(hot), hot_dimension))
 
 

@@ -9,11 +9,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.rows import persisted
 from clickloom.operators.saved import store_of
-from clickloom.plans.enrichment import enrich_events, fits_broadcast, product_dimension
+from clickloom.plans import enrichment
+from clickloom.plans.enrichment import enrich_events, product_dimension
 from clickloom.sources.files import CSV_TIMES
 from clickloom.sources.topics import split_records, tag_records
 from clickloom.streaming.sinks import BatchSink, batch_folder
 
+# A stream sends the catalogue anew with every batch, and all of it through the driver each time, so what a
+# single join may broadcast is too much here.
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 8 << 20
+
+
+def fits_broadcast(catalogue: DataFrame) -> bool:
+    """Whether the catalogue is small enough to be sent with every batch."""
+    return enrichment.fits_broadcast(catalogue, BROADCAST_ROWS, BROADCAST_BYTES)
+
 
 @dataclass(frozen=True)
 class IngestSinks:

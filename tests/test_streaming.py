@@ -146,6 +146,13 @@ def test_a_dirty_key_does_not_stop_the_stream(spark, tmp_path):
     assert raw(spark, tmp_path).count() == 3
 
 
+def test_a_large_catalogue_is_not_sent_with_every_batch(spark):
+    wide = [F.lit("x").alias(name) for name in ("name", "brand", "category", "type")]
+    many = spark.range(ingest.BROADCAST_ROWS + 1).select(F.col("id").alias("product_id"), *wide, F.lit(1.0).alias("price"))
+    assert not ingest.Catalogue(many).may_broadcast()
+    assert ingest.Catalogue(many.limit(10)).may_broadcast()
+
+
 def test_the_catalogue_is_measured_when_its_files_change(spark, tmp_path, products, monkeypatch):
     measured = []
     monkeypatch.setattr(ingest, "fits_broadcast", lambda df: measured.append(1) or True)
