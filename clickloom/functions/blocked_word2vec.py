@@ -4,7 +4,8 @@ Words are spread over ``blocks`` by their hash, as words and as contexts. Vector
 for each block. Pairs of words that occur within a window are counted and belong to the cell (word block, context block).
 A round trains as many cells as there are blocks, no two of which share a word block or a context block, each in a
 task of its own; after as many rounds as there are blocks every cell had its turn. A task holds two blocks
-and the pairs of one cell, the driver holds nothing but counts.
+and the pairs of one cell, the driver holds nothing but counts and a bitmap of at most 16 MB that tells most rare words
+from the words of the vocabulary.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.functions.vectors import DIMENSION
 from clickloom.operators.saved import Scratch, remove, scratch
@@ -24,12 +27,18 @@ from clickloom.operators.saved import Scratch, remove, scratch
 WORD, CONTEXT = 0, 1
 BLOCKS = "kind int, block int, words binary, counts binary, vectors binary, squares binary"
 _BATCH = 2048
+# How many noise words a batch draws for each one that counts for a pair.
+_JOINT = 32
+# So many vectors are in a packed row at most; runs up to this length are added place by place.
+_PACKED, _SHORT = 8192, 64
+# Of the bitmap: the bits for each word of the vocabulary, and how many there are at least and at most, as powers of 2.
+_BITS_PER_WORD, _LEAST_BITS, _MOST_BITS = 64, 15, 27
 
 
 @dataclass(frozen=True)
 class BlockedSettings:
-    """``block_words`` and ``cell_pairs`` bound what a training task holds, ``text_rows`` what a task that adds up
-    the words of texts holds. The result depends on the settings and the text, not on the number of tasks."""
+    """``block_words`` and ``cell_pairs`` bound what a training task holds, ``text_rows`` and ``head_words`` what a
+    task that adds up the words of texts holds. The result depends on the settings and the text, not on the number of tasks."""
 
     min_count: int = 0
     vector_size: int = DIMENSION
@@ -41,6 +50,7 @@ class BlockedSettings:
     block_words: int = 50_000
     cell_pairs: int = 5_000_000
     text_rows: int = 1_000_000
+    head_words: int = 20_000
 
 
 def _hashed(word: str) -> Column:
@@ -52,15 +62,60 @@ def _block(word: str, blocks: int) -> Column:
     return F.pmod(F.shiftrightunsigned(F.col(word), 20), F.lit(blocks)).cast("int")
 
 
+@dataclass(frozen=True)
+class _Known:
+    """A bit for each value of the upper bits of a hash: a word without a bit is not in the vocabulary."""
+
+    bits: np.ndarray
+    power: int
+
+    @classmethod
+    def of(cls, vocabulary: DataFrame, size: int) -> _Known:
+        power = min(max(_LEAST_BITS, (_BITS_PER_WORD * size).bit_length()), _MOST_BITS)
+        place = F.shiftrightunsigned(_hashed("word"), 64 - power) + 1
+        marks = vocabulary.groupBy(F.bitmap_bucket_number(place).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        bits = np.zeros((2**power >> 15, 4096), np.uint8)
+        for row in marks.collect():
+            bits[row["at"] - 1] = np.frombuffer(row["bits"], np.uint8)
+        return cls(bits.ravel(), power)
+
+    def may_be(self, hashes: np.ndarray) -> np.ndarray:
+        place = hashes.view(np.uint64) >> np.uint64(64 - self.power)
+        return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in all lists, and the list each is from; null lists have none."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lengths)
+
+
+def _half_counts(tokens: DataFrame, words: str, window: int, known: _Known | None = None) -> DataFrame:
+    """``w, c, n`` with w <= c: how often these words are at most ``window`` places apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, text = _flat(batch.column(0))
+            kept = np.ones(len(hashes), bool) if known is None else known.may_be(hashes)
+            for apart in range(1, window + 1):
+                both = (text[apart:] == text[:-apart]) & kept[apart:] & kept[:-apart]
+                one, other = hashes[apart:][both], hashes[:-apart][both]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, other)), pa.array(np.maximum(one, other))], names=["w", "c"])
+
+    hashed = tokens.select(F.transform(words, lambda word: F.xxhash64(word)))
+    return hashed.mapInArrow(run, "w long, c long").groupBy("w", "c").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _either_way(half: DataFrame) -> DataFrame:
+    """``w, c, n`` for both orders of the words; a word beside itself is a pair either way."""
+    same = F.array(F.struct("w", "c", (F.col("n") * 2).alias("n")))
+    both = F.array(F.struct("w", "c", "n"), F.struct(F.col("c").alias("w"), F.col("w").alias("c"), "n"))
+    return half.select(F.inline(F.when(F.col("w") == F.col("c"), same).otherwise(both)))
+
+
 def pair_counts(tokens: DataFrame, words: str, window: int) -> DataFrame:
     """``w, c, n``: how often the words with these hashes are at most ``window`` places apart, either way."""
-    hashed = tokens.select(F.transform(words, lambda word: F.xxhash64(word)).alias("all"))
-    placed = hashed.select("all", F.posexplode("all").alias("i", "w"))
-    near = F.filter(
-        F.sequence(F.greatest(F.lit(0), F.col("i") - window), F.least(F.size("all") - 1, F.col("i") + window)), lambda j: j != F.col("i")
-    )
-    contexts = placed.select("w", F.explode(F.transform(near, lambda j: F.col("all")[j])).alias("c"))
-    return contexts.groupBy("w", "c").agg(F.count(F.lit(1)).alias("n"))
+    return _either_way(_half_counts(tokens, words, window))
 
 
 def _new_blocks(size: int, seed: int):
@@ -97,22 +152,25 @@ class _Block:
 
     def places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where words are, and which of them are there at all."""
-        at = np.minimum(np.searchsorted(self.words, wanted), len(self.words) - 1)
-        return at, self.words[at] == wanted
+        return _among(self.words, wanted)
 
     def step(self, rows: np.ndarray, gradient: np.ndarray, rate: float) -> None:
         """One step for the gradients of some rows, each slowed by what its row has moved already."""
-        distinct, of = np.unique(rows, return_inverse=True)
-        order = np.argsort(of, kind="stable")
-        begins = np.searchsorted(of[order], np.arange(len(distinct)))
-        total = np.add.reduceat(gradient[order], begins, axis=0)
-        self.squares[distinct] += (total**2).mean(1)
-        self.vectors[distinct] -= rate * total / np.sqrt(self.squares[distinct])[:, None]
+        order = np.argsort(rows, kind="stable")
+        begins = _begins(rows[order])
+        distinct, total = rows[order[begins]], np.add.reduceat(gradient[order], begins, axis=0)
+        self.squares[distinct] += np.einsum("md,md->m", total, total) / total.shape[1]
+        self.vectors[distinct] -= (rate / np.sqrt(self.squares[distinct]))[:, None] * total
 
     def changed(self) -> dict:
         return self.row | {"vectors": self.vectors.tobytes(), "squares": self.squares.tobytes()}
 
 
+def _begins(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal numbers begin."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -133,16 +191,17 @@ def _train(settings: BlockedSettings, turn: int):
             order = order[source.permutation(len(order))]
             i, j, n = i[kept][order], j[kept][order], n[kept][order].astype(np.float32)
             noise = np.cumsum(contexts.counts.astype(np.float64) ** 0.75)
+            drawn = _JOINT * settings.negatives
             for first in range(0, len(i), _BATCH):
                 own = slice(first, first + _BATCH)
                 a, b, weight = i[own], j[own], n[own, None]
-                others = np.searchsorted(noise, source.random((len(a), settings.negatives)) * noise[-1])
+                # All pairs of a batch meet the same noise words, each at a share of its weight.
+                others = np.searchsorted(noise, source.random(drawn) * noise[-1])
                 x, y, z = words.vectors[a], contexts.vectors[b], contexts.vectors[others]
-                near = (_sigmoid((x * y).sum(1, keepdims=True)) - 1) * weight
-                far = _sigmoid(np.einsum("md,mkd->mk", x, z)) * weight
-                words.step(a, near * y + np.einsum("mk,mkd->md", far, z), settings.rate)
-                pushed = (far[:, :, None] * x[:, None, :]).reshape(-1, settings.vector_size)
-                contexts.step(np.concatenate([b, others.ravel()]), np.concatenate([near * x, pushed]), settings.rate)
+                near = (_sigmoid(np.einsum("md,md->m", x, y)[:, None]) - 1) * weight
+                far = _sigmoid(x @ z.T) * (weight / np.float32(_JOINT))
+                words.step(a, near * y + far @ z, settings.rate)
+                contexts.step(np.concatenate([b, others]), np.concatenate([near * x, far.T @ x]), settings.rate)
         kinds = {"int": pa.int32(), "binary": pa.binary()}
         schema = pa.schema([(name, kinds[kind]) for name, kind in (field.split() for field in BLOCKS.split(", "))])
         return pa.Table.from_pylist([block.changed() for block in both.values()], schema)
@@ -159,6 +218,8 @@ class BlockedModel:
     count: int
     settings: BlockedSettings
     folder: str
+    known: _Known
+    size: int
 
     def vectors(self) -> DataFrame:
         """``word, vector`` of all words."""
@@ -174,86 +235,174 @@ class BlockedModel:
         found = self.blocks.filter(F.col("kind") == WORD).select("words", "vectors").mapInArrow(run, "w long, vector array<float>")
         return self.vocabulary.withColumn("w", _hashed("word")).join(found, "w").select("word", "vector")
 
+    def _head(self) -> np.ndarray:
+        """Hashes of the most frequent words, ``head_words`` at most; all words of a power of 2 of occurrences or none."""
+        power = F.length(F.bin("n"))
+        total, least = 0, 65
+        for row in sorted(self.vocabulary.groupBy(power.alias("power")).count().collect(), reverse=True):
+            total += row["count"]
+            if total > self.settings.head_words:
+                break
+            least = row["power"]
+        found = self.vocabulary.filter(power >= least).select(_hashed("word").alias("w")).collect()
+        return np.sort(np.array([row["w"] for row in found], np.int64))
+
     def transform(self, texts: DataFrame, words: str, vector: str) -> DataFrame:
         """Add the mean vector of the tokens in ``words``; unknown words count as zero, no words give zeros.
 
-        Each block adds up what its words give to each text, so texts meet one block at a time and a block that
+        The vectors of the most frequent words are handed to every part of the texts. Of the other words, each block
+        adds up what its words give to each text, so texts meet one block at a time and a block that
         many texts need is handed out several times.
         """
-        with scratch(texts, "word-means") as own:
-            numbered = own.saved(texts.withColumn("_id", F.monotonically_increasing_id()))
-            each = numbered.select("_id", F.explode(words).alias("word")).groupBy("_id", "word").agg(F.count(F.lit(1)).alias("n"))
-            each = each.select("_id", _hashed("word").alias("w"), "n").withColumn("block", _block("w", self.count))
-            each = own.saved(each)
-            most = each.groupBy("block").count().agg(F.max("count")).first()[0] or 0
-            copies = max(1, math.ceil(most / self.settings.text_rows))
-            part = F.pmod(F.xxhash64("_id"), F.lit(copies)).cast("int")
-            handed = self.blocks.filter(F.col("kind") == WORD).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-            keys = ["block", "part"]
-            sums = each.withColumn("part", part).groupBy(*keys).cogroup(handed.groupBy(*keys)).applyInArrow(_added(self.settings.vector_size), "_id long, sums array<float>")
-            total = sums.repartition("_id").sortWithinPartitions("_id").mapInArrow(_totals(self.settings.vector_size), "_id long, sums array<float>")
-            total = own.saved(total)
-            zeros = F.array_repeat(F.lit(0.0).cast("float"), self.settings.vector_size)
-            count = F.size(words)
-            mean = F.transform("sums", lambda x: (x / count).cast("float"))
-            result = numbered.join(total, "_id", "left").withColumn(vector, F.coalesce(mean, zeros)).drop("_id", "sums")
-            # The result outlives the folder of this job; it goes with the model's.
-            kept = Scratch(texts, f"{self.folder.rsplit('/', 1)[-1]}-texts")
-            return kept.saved(result)
-
-
-def _added(size: int):
-    """What the words of a block add to each text."""
+        size, rows = self.settings.vector_size, self.settings.text_rows
+        # The result reads these tables, and goes with the model's folder.
+        keeper = Scratch(texts, f"{self.folder.rsplit('/', 1)[-1]}-texts")
+        numbered = keeper.saved(texts.withColumn("_id", F.monotonically_increasing_id()))
+        counted = numbered.agg(F.count(F.lit(1)).alias("texts"), F.sum(F.size(words).cast("bigint")).alias("words")).first()
+        parts = max(1, math.ceil(4 * counted["texts"] / rows), math.ceil((counted["words"] or 0) / (4 * rows)))
+
+        def part(count: int) -> Column:
+            return F.pmod("_id", F.lit(count)).cast("int").alias("_part")
+
+        def handed(blocks: DataFrame, count: int) -> DataFrame:
+            return blocks.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+
+        head = self._head()
+        hashes = F.transform(words, lambda word: F.xxhash64(word)).alias("_hashes")
+        blocks = self.blocks.filter(F.col("kind") == WORD).select("block", "words", "vectors")
+        given = handed(blocks.mapInArrow(_in_head(head, size), "block int, keys binary, vectors binary"), parts)
+        if len(head) < self.size:
+            others = numbered.select("_id", hashes).mapInArrow(_not_in_head(head, self.known), "_id long, w long")
+            others = keeper.saved(others.withColumn("block", _block("w", self.count)))
+            most = others.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+            copies = max(1, math.ceil(most / rows))
+            split = others.select("*", part(copies)).groupBy("block", "_part").cogroup(handed(blocks, copies).groupBy("block", "_part"))
+            given = given.unionByName(split.applyInArrow(_added(size, parts), "block int, keys binary, vectors binary, _part int"))
+        fields = [field for field in numbered.schema.fields if field.name != "_id"]
+        fields = T.StructType([*fields, T.StructField(vector, T.ArrayType(T.FloatType()))])
+        base = numbered.select("*", part(parts), hashes)
+        return base.groupBy("_part").cogroup(given.groupBy("_part")).applyInArrow(_means(size, texts.columns, vector), fields)
+
+
+def _among(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where numbers are in ordered ones, and which of them are there at all."""
+    if not len(ordered):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(ordered, wanted), len(ordered) - 1)
+    return at, ordered[at] == wanted
+
+
+def _not_in_head(head: np.ndarray, known: _Known):
+    """``_id, w`` of the words that may be known but are not in the head."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, text = _flat(batch.column(1))
+            kept = known.may_be(hashes) & ~_among(head, hashes)[1]
+            ids = batch.column(0).to_numpy()[text[kept]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes[kept])], names=["_id", "w"])
+
+    return run
+
+
+def _in_head(head: np.ndarray, size: int):
+    """The words of a block that are in the head, and their vectors; no block is -1, which tells them from sums."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, vectors in zip(batch.column("words").to_pylist(), batch.column("vectors").to_pylist(), strict=True):
+                hashes = np.frombuffer(words, np.int64)
+                kept = _among(head, hashes)[1]
+                own = np.frombuffer(vectors, np.float32).reshape(-1, size)[kept]
+                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([hashes[kept].tobytes()]), pa.array([own.tobytes()])], names=["block", "keys", "vectors"])
+
+    return run
+
+
+def _add(sums: np.ndarray, rows: np.ndarray, vectors: Iterator[np.ndarray]) -> None:
+    """Add vectors, which come in parts, to the rows of sums; equal rows are beside each other."""
+    first = 0
+    for part in vectors:
+        own = rows[first : first + len(part)]
+        begins = _begins(own)
+        lengths = np.diff(np.append(begins, len(own)))
+        if lengths.max() > _SHORT:
+            sums[own[begins]] += np.add.reduceat(part, begins, axis=0)
+        else:
+            for place in range(lengths.max()):
+                at = begins[lengths > place]
+                sums[own[at]] += part[at + place]
+        first += len(part)
+
+
+def _parts(count: int, step: int = 65536) -> Iterator[slice]:
+    return (slice(first, min(first + step, count)) for first in range(0, count, step))
+
+
+def _added(size: int, parts: int):
+    """What the words of a block add to each text, packed for each part of the texts."""
 
     def run(rows: pa.Table, blocks: pa.Table) -> pa.Table:
-        empty = pa.table({"_id": pa.array([], pa.int64()), "sums": pa.array([], pa.list_(pa.float32()))})
+        schema = pa.schema([("block", pa.int32()), ("keys", pa.binary()), ("vectors", pa.binary()), ("_part", pa.int32())])
         if not rows.num_rows or not blocks.num_rows:
-            return empty
+            return schema.empty_table()
         words = np.frombuffer(blocks.column("words")[0].as_py(), np.int64)
         vectors = np.frombuffer(blocks.column("vectors")[0].as_py(), np.float32).reshape(-1, size)
-        w, n, ids = (rows.column(name).to_numpy() for name in ("w", "n", "_id"))
-        at = np.minimum(np.searchsorted(words, w), len(words) - 1)
-        kept = words[at] == w
-        at, n, ids = at[kept], n[kept], ids[kept]
+        w, ids = (rows.column(name).to_numpy() for name in ("w", "_id"))
+        at, kept = _among(words, w)
+        at, ids = at[kept], ids[kept]
         if not len(ids):
-            return empty
-        order = np.lexsort((at, ids))
-        return _sums(ids[order], (vectors[at[order[k : k + 65536]]] * n[order[k : k + 65536], None] for k in range(0, len(order), 65536)), size)
+            return schema.empty_table()
+        order = np.lexsort((at, ids, ids % parts))
+        at, ids = at[order], ids[order]
+        begins = _begins(ids)
+        distinct, ends = ids[begins], np.append(begins[1:], len(ids))
+        goals, block = distinct % parts, blocks.column("block")[0].as_py()
+        batches = []
+        borders = np.append(_begins(goals), len(goals))
+        for one, last in zip(borders, borders[1:], strict=False):
+            for own in _parts(last - one, _PACKED):
+                first, end = one + own.start, one + own.stop
+                sums = np.zeros((end - first, size), np.float32)
+                of = np.repeat(np.arange(end - first), ends[first:end] - begins[first:end])
+                mine = at[begins[first] : ends[end - 1]]
+                _add(sums, of, (vectors[mine[some]] for some in _parts(len(mine))))
+                columns = [[block], [distinct[first:end].tobytes()], [sums.tobytes()], [int(goals[first])]]
+                batches.append(pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, schema.types, strict=True)], schema=schema))
+        return pa.Table.from_batches(batches)
 
     return run
 
 
-def _sums(ids: np.ndarray, parts: Iterator[np.ndarray], size: int) -> pa.Table:
-    """Sums of vectors by id, from ids in order and the vectors in parts."""
-    distinct, begins = np.unique(ids, return_index=True)
-    out, at = np.zeros((len(distinct), size), np.float32), 0
-    for vectors in parts:
-        of = np.searchsorted(distinct, ids[at : at + len(vectors)])
-        first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
-        out[of[first]] += np.add.reduceat(vectors, first, axis=0)
-        at += len(vectors)
-    places = pa.array(np.arange(len(distinct) + 1, dtype=np.int32) * size)
-    return pa.table({"_id": pa.array(distinct), "sums": pa.ListArray.from_arrays(places, pa.array(out.ravel()))})
-
-
-def _totals(size: int):
-    """The sums of all blocks for each text; rows come ordered by text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column(0).to_numpy()
-            flat = batch.column(1).flatten().to_numpy().reshape(-1, size)
-            if last is not None:
-                ids, flat = np.concatenate([[last], ids]), np.concatenate([held[None], flat])
-            table = _sums(ids, iter([flat]), size)
-            last = int(ids[-1])
-            held = table.column("sums")[-1].values.to_numpy().copy()
-            yield from table.slice(0, table.num_rows - 1).to_batches()
-        if last is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([last]), pa.array([held], pa.list_(pa.float32()))], names=["_id", "sums"])
+def _means(size: int, columns: list[str], vector: str):
+    """The texts of a part with their means: what the head's words give, and what the blocks have added up."""
+
+    def run(texts: pa.Table, given: pa.Table) -> pa.Table:
+        ids = texts.column("_id").to_numpy()
+        sums, counts = np.zeros((len(ids), size), np.float32), np.zeros(len(ids), np.int64)
+        blocks, first = given.column("block").to_numpy(), 0
+        keys = [np.frombuffer(one, np.int64) for one in given.column("keys").to_pylist()]
+        vectors = [np.frombuffer(one, np.float32).reshape(-1, size) for one in given.column("vectors").to_pylist()]
+        of_head = np.flatnonzero(blocks < 0)
+        if len(ids) and len(of_head):
+            words, known = np.concatenate([keys[n] for n in of_head]), np.concatenate([vectors[n] for n in of_head])
+            order = np.argsort(words)
+            words, known = words[order], known[order]
+            for chunk in texts.column("_hashes").chunks:
+                hashes, text = _flat(chunk)
+                counts[first : first + len(chunk)] = np.bincount(text, minlength=len(chunk))
+                at, kept = _among(words, hashes)
+                at = at[kept]
+                _add(sums, text[kept] + first, (known[at[own]] for own in _parts(len(at))))
+                first += len(chunk)
+        by_id = np.argsort(ids)
+        # A text is in one row of a block at most; the order of blocks is fixed, and so is the sum.
+        for n in sorted(np.flatnonzero(blocks >= 0), key=lambda n: blocks[n]):
+            sums[by_id[np.searchsorted(ids[by_id], keys[n])]] += vectors[n]
+        sums /= np.maximum(counts, 1)[:, None].astype(np.float32)
+        places = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * size)
+        whole = texts.select(columns).append_column(vector, pa.ListArray.from_arrays(places, pa.array(sums.ravel())))
+        return pa.Table.from_batches(whole.to_batches(max_chunksize=_PACKED), whole.schema)
 
     return run
 
@@ -270,10 +419,12 @@ def fit(tokens: DataFrame, settings: BlockedSettings, words: str) -> BlockedMode
     with scratch(tokens, "word2vec-rounds") as own:
         counted = tokens.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         vocabulary = keeper.saved(counted.filter(F.col("n") >= settings.min_count))
-        pairs = own.saved(pair_counts(tokens, words, settings.window))
-        size, n_pairs = vocabulary.count(), pairs.count()
+        size = vocabulary.count()
         if not size:
             raise ValueError(f"no word occurs {settings.min_count} times; lower min_count")
+        known = _Known.of(vocabulary, size)
+        half = own.saved(_half_counts(tokens, words, settings.window, known))
+        pairs, n_pairs = _either_way(half), 2 * half.count()
         blocks = max(math.ceil(size / settings.block_words), math.ceil(math.sqrt(n_pairs / settings.cell_pairs)), 1)
         placed = pairs.withColumns({"wb": _block("w", blocks), "cb": _block("c", blocks)})
         shift = F.pmod(F.col("cb") - F.col("wb"), F.lit(blocks))
@@ -289,4 +440,4 @@ def fit(tokens: DataFrame, settings: BlockedSettings, words: str) -> BlockedMode
             table = own.saved(trained)
             if turn:
                 remove(before)
-        return BlockedModel(keeper.saved(table), vocabulary, blocks, settings, keeper.folder)
+        return BlockedModel(keeper.saved(table), vocabulary, blocks, settings, keeper.folder, known, size)

@@ -113,3 +113,34 @@ def test_gradient_steps_lower_the_loss():
     for _ in range(50):
         block.step(np.array([0, 1, 1, 3]), (block.vectors - goal)[[0, 1, 1, 3]], 0.1)
     assert ((block.vectors - goal) ** 2)[[0, 1, 3]].sum() < 0.05 * before
+
+
+@pytest.mark.parametrize("text_rows", [1_000_000, 4])
+def test_means_beyond_the_head(spark, text_rows):
+    """Words that are not handed to every part of the texts get their vectors from their blocks."""
+    settings = replace(SMALL, epochs=1, min_count=2, text_rows=text_rows, head_words=15, block_words=40)
+    rows = [(words + ["common"] * 2 + [f"once{n}"],) for n, (words,) in enumerate(sentences(150))] + [([],), (["unheard"],), (None,)]
+    texts = spark.createDataFrame(rows, "words array<string>").repartition(3)
+    model = fit(texts, settings, "words")
+    head = model._head()
+    assert model.count > 1 and 0 < len(head) <= 15 < model.size
+    known = {row.word: np.array(row.vector) for row in model.vectors().collect()}
+    assert not any(word.startswith("once") for word in known)
+    out = model.transform(texts, "words", "vector").collect()
+    assert sorted(repr(row.words) for row in out) == sorted(repr(words) for (words,) in rows)
+    for row in out:
+        words = row.words or []
+        want = sum((known.get(w, np.zeros(16)) for w in words), np.zeros(16)) / max(1, len(words))
+        assert np.allclose(row.vector, want, atol=1e-6)
+    # Arrays without nulls, and no texts at all.
+    assert model.transform(spark.range(3).selectExpr("id", "array('common') AS words"), "words", "vector").filter("vector[0] <> 0").count() == 3
+    assert model.transform(texts.limit(0), "words", "vector").collect() == []
+
+
+def test_words_that_are_in_no_vocabulary_are_left_out_of_the_pairs(spark):
+    tokens = spark.createDataFrame([(["a", f"x{n}", "b"],) for n in range(500)], "words array<string>")
+    vocabulary = spark.createDataFrame([("a", 500), ("b", 500)], "word string, n long")
+    known = blocked_word2vec._Known.of(vocabulary, 2)
+    assert known.bits.nbytes == 4096
+    counts = blocked_word2vec._half_counts(tokens, "words", 2, known)
+    assert counts.count() < 50 and counts.agg({"n": "max"}).first()[0] == 500
