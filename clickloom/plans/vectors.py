@@ -16,6 +16,7 @@ from clickloom.functions.scalars import combined_attributes, utc_label
 from clickloom.functions.text import filtered_tokens, non_blank
 from clickloom.functions.vectors import DIMENSION, float_array
 from clickloom.operators.rows import distinct_rows, persisted
+from clickloom.operators.saved import scratch
 from clickloom.plans.enrichment import enrich_events
 from clickloom.schemas import DATASET
 
@@ -111,7 +112,8 @@ class Word2VecSettings:
 # The settings of the three Word2Vec jobs.
 BEHAVIOR_SETTINGS = Word2VecSettings(min_count=0)
 TRAINING_SETTINGS = Word2VecSettings(min_count=10, num_partitions=32)
-COMBINED_SETTINGS = Word2VecSettings(min_count=10, num_partitions=200)
+# The attributes hold ids and times, so this vocabulary grows with the data and is kept in blocks.
+COMBINED_SETTINGS = BlockedSettings(min_count=10, block_words=100_000)
 
 
 def word_tokens(df: DataFrame, text: str, words: str = "_words") -> DataFrame:
@@ -159,13 +161,19 @@ def word2vec_vectors(
     settings: Word2VecSettings | BlockedSettings,
     model: Word2VecModel | BlockedModel | None = None,
     vector: str = "vector",
+    distinct: bool = True,
 ) -> DataFrame:
     """Add the mean word vector of a text; a text without words has the zero vector.
 
     The model is fitted on ``df`` unless one is given. Fitting reads the tokens three times, so that
     column alone is kept meanwhile. With blocked settings the model is a table, and each distinct text
-    gets its vector once.
+    gets its vector once, or with ``distinct=False`` each row.
     """
+    if isinstance(settings, BlockedSettings) and not distinct:
+        with scratch(df, "word-tokens") as own:
+            tokens = own.saved(word_tokens(df, text))
+            fitted = model or fit_blocked(tokens.select("_words"), settings, "_words")
+            return fitted.transform(tokens, "_words", vector).drop("_words")
     if isinstance(settings, BlockedSettings):
         fitted = model or fit_blocked(word_tokens(df, text).select("_words"), settings, "_words")
 
@@ -181,10 +189,12 @@ def word2vec_vectors(
 
 
 def _text_vectors(
-    df: DataFrame, text: str, settings: Word2VecSettings | BlockedSettings, embedder: Embedder | None
+    df: DataFrame, text: str, settings: Word2VecSettings | BlockedSettings, embedder: Embedder | None, distinct: bool = True
 ) -> DataFrame:
     """By Word2Vec, on the driver or in blocks, or by an embedder, which has no vocabulary."""
-    return word2vec_vectors(df, text, settings) if embedder is None else embed_names(df, embedder, text)
+    if embedder is None:
+        return word2vec_vectors(df, text, settings, distinct=distinct)
+    return embed_names(df, embedder, text)
 
 
 def behavior_vectors(
@@ -211,8 +221,8 @@ def combined_vectors(
 ) -> DataFrame:
     """``product_id, vector`` of every record, the vector made from all nine attributes.
 
-    The attributes hold ids and times, so a vocabulary grows with the data; large data needs blocked settings or
-    an embedder.
+    The attributes hold ids and times, so the vocabulary grows with the data, and hardly two records are equal:
+    each gets its vector by itself. Spark's Word2Vec keeps such a model on the driver.
     """
     texts = dataset.select("product_id", combined_attributes().alias("_text"))
-    return _text_vectors(texts, "_text", settings, embedder).select("product_id", "vector")
+    return _text_vectors(texts, "_text", settings, embedder, distinct=False).select("product_id", "vector")

@@ -144,3 +144,14 @@ def test_words_that_are_in_no_vocabulary_are_left_out_of_the_pairs(spark):
     assert known.bits.nbytes == 4096
     counts = blocked_word2vec._half_counts(tokens, "words", 2, known)
     assert counts.count() < 50 and counts.agg({"n": "max"}).first()[0] == 500
+
+
+def test_combined_vectors_keep_no_model_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "Word2Vec", None)
+    assert vectors.COMBINED_SETTINGS.min_count == 10 and vectors.COMBINED_SETTINGS.vector_size == vectors.DIMENSION
+    rows = [("t", "view", f"p{n // 2}", "c", "b", "1.0", "u", f"s{n}", "red ring") for n in range(24)] + [(None,) * 9] * 2
+    df = spark.createDataFrame(
+        rows, "event_time string, event_type string, product_id string, category_code string, brand string, price string, user_id string, user_session string, name string"
+    )
+    found = vectors.combined_vectors(df).collect()
+    assert sorted((row.product_id or "", any(row.vector), len(row.vector)) for row in found) == sorted((row[2] or "", row[2] is not None, 128) for row in rows)
