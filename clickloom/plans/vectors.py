@@ -113,7 +113,7 @@ class Word2VecSettings:
 BEHAVIOR_SETTINGS = Word2VecSettings(min_count=0)
 TRAINING_SETTINGS = Word2VecSettings(min_count=10, num_partitions=32)
 # The attributes hold ids and times, so this vocabulary grows with the data and is kept in blocks.
-COMBINED_SETTINGS = BlockedSettings(min_count=10, block_words=100_000)
+COMBINED_SETTINGS = BlockedSettings(min_count=10, block_words=100_000, cell_pairs=1_000_000)
 
 
 def word_tokens(df: DataFrame, text: str, words: str = "_words") -> DataFrame:
