@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.functions.vectors import DIMENSION
-from clickloom.operators.saved import Scratch, remove, scratch
+from clickloom.operators.saved import Scratch, read_folder, remove, saved, scratch, shuffles_freed
 
 WORD, CONTEXT = 0, 1
 BLOCKS = "kind int, block int, words binary, counts binary, vectors binary, squares binary"
+# The model's table in its folder.
+MODEL = "vectors"
 _BATCH = 2048
 # How many noise words a batch draws for each one that counts for a pair.
 _JOINT = 32
@@ -62,6 +64,10 @@ def _block(word: str, blocks: int) -> Column:
     return F.pmod(F.shiftrightunsigned(F.col(word), 20), F.lit(blocks)).cast("int")
 
 
+def _block_of(hashes: np.ndarray, blocks: int) -> np.ndarray:
+    return (hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(blocks)
+
+
 @dataclass(frozen=True)
 class _Known:
     """A bit for each value of the upper bits of a hash: a word without a bit is not in the vocabulary."""
@@ -232,7 +238,7 @@ class BlockedModel:
                     places = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * size)
                     yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.ListArray.from_arrays(places, pa.array(flat))], names=["w", "vector"])
 
-        found = self.blocks.filter(F.col("kind") == WORD).select("words", "vectors").mapInArrow(run, "w long, vector array<float>")
+        found = self.blocks.select("words", "vectors").mapInArrow(run, "w long, vector array<float>")
         return self.vocabulary.withColumn("w", _hashed("word")).join(found, "w").select("word", "vector")
 
     def _head(self) -> np.ndarray:
@@ -250,38 +256,19 @@ class BlockedModel:
     def transform(self, texts: DataFrame, words: str, vector: str) -> DataFrame:
         """Add the mean vector of the tokens in ``words``; unknown words count as zero, no words give zeros.
 
-        The vectors of the most frequent words are handed to every part of the texts. Of the other words, each block
-        adds up what its words give to each text, so texts meet one block at a time and a block that
-        many texts need is handed out several times.
+        Texts stay where they are: a task reads the vectors from the model's folder, those of the most frequent
+        words once, of the others the blocks that its texts need, one block at a time for many texts. Nothing is
+        shuffled or written, so the disk holds the model alone, however many texts there are.
         """
-        size, rows = self.settings.vector_size, self.settings.text_rows
-        # The result reads these tables, and goes with the model's folder.
-        keeper = Scratch(texts, f"{self.folder.rsplit('/', 1)[-1]}-texts")
-        numbered = keeper.saved(texts.withColumn("_id", F.monotonically_increasing_id()))
-        counted = numbered.agg(F.count(F.lit(1)).alias("texts"), F.sum(F.size(words).cast("bigint")).alias("words")).first()
-        parts = max(1, math.ceil(4 * counted["texts"] / rows), math.ceil((counted["words"] or 0) / (4 * rows)))
-
-        def part(count: int) -> Column:
-            return F.pmod("_id", F.lit(count)).cast("int").alias("_part")
-
-        def handed(blocks: DataFrame, count: int) -> DataFrame:
-            return blocks.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
-
         head = self._head()
+        found = self.blocks.mapInArrow(_in_head(head, self.settings.vector_size), "words binary, vectors binary")
+        # The result reads this table, and goes with the model's folder.
+        frequent = Scratch(texts, f"{self.folder.rsplit('/', 1)[-1]}-head")
+        frequent.saved(found.coalesce(1))
+        reader = _Reader(f"{frequent.folder}/{frequent.count}", self.folder, self.count, head, None if len(head) == self.size else self.known)
         hashes = F.transform(words, lambda word: F.xxhash64(word)).alias("_hashes")
-        blocks = self.blocks.filter(F.col("kind") == WORD).select("block", "words", "vectors")
-        given = handed(blocks.mapInArrow(_in_head(head, size), "block int, keys binary, vectors binary"), parts)
-        if len(head) < self.size:
-            others = numbered.select("_id", hashes).mapInArrow(_not_in_head(head, self.known), "_id long, w long")
-            others = keeper.saved(others.withColumn("block", _block("w", self.count)))
-            most = others.groupBy("block").count().agg(F.max("count")).first()[0] or 0
-            copies = max(1, math.ceil(most / rows))
-            split = others.select("*", part(copies)).groupBy("block", "_part").cogroup(handed(blocks, copies).groupBy("block", "_part"))
-            given = given.unionByName(split.applyInArrow(_added(size, parts), "block int, keys binary, vectors binary, _part int"))
-        fields = [field for field in numbered.schema.fields if field.name != "_id"]
-        fields = T.StructType([*fields, T.StructField(vector, T.ArrayType(T.FloatType()))])
-        base = numbered.select("*", part(parts), hashes)
-        return base.groupBy("_part").cogroup(given.groupBy("_part")).applyInArrow(_means(size, texts.columns, vector), fields)
+        fields = T.StructType([*texts.schema.fields, T.StructField(vector, T.ArrayType(T.FloatType()))])
+        return texts.select("*", hashes).mapInArrow(_means(reader, self.settings, texts.columns, vector), fields)
 
 
 def _among(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,21 +279,8 @@ def _among(ordered: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, ordered[at] == wanted
 
 
-def _not_in_head(head: np.ndarray, known: _Known):
-    """``_id, w`` of the words that may be known but are not in the head."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes, text = _flat(batch.column(1))
-            kept = known.may_be(hashes) & ~_among(head, hashes)[1]
-            ids = batch.column(0).to_numpy()[text[kept]]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hashes[kept])], names=["_id", "w"])
-
-    return run
-
-
 def _in_head(head: np.ndarray, size: int):
-    """The words of a block that are in the head, and their vectors; no block is -1, which tells them from sums."""
+    """The words of a block that are in the head, and their vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,11 +288,44 @@ def _in_head(head: np.ndarray, size: int):
                 hashes = np.frombuffer(words, np.int64)
                 kept = _among(head, hashes)[1]
                 own = np.frombuffer(vectors, np.float32).reshape(-1, size)[kept]
-                yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([hashes[kept].tobytes()]), pa.array([own.tobytes()])], names=["block", "keys", "vectors"])
+                yield pa.RecordBatch.from_arrays([pa.array([hashes[kept].tobytes()]), pa.array([own.tobytes()])], names=["words", "vectors"])
 
     return run
 
 
+@dataclass(frozen=True)
+class _Reader:
+    """Where a task finds the vectors: those of the head, and the blocks of all words (``known`` is none if the head is all)."""
+
+    frequent: str
+    blocks: str
+    count: int
+    head: np.ndarray
+    known: _Known | None
+
+    def _rows(self, folder: str, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        table = read_folder(folder, ["words", "vectors"])
+        if table is None:
+            return
+        for words, vectors in zip(*(table.column(name) for name in ("words", "vectors")), strict=True):
+            yield np.frombuffer(words.as_buffer(), np.int64), np.frombuffer(vectors.as_buffer(), np.float32).reshape(-1, size)
+
+    def of_head(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The head's words, ordered, and their vectors."""
+        found = list(self._rows(self.frequent, size))
+        words, vectors = (np.concatenate(parts) for parts in zip(*found, strict=True))
+        order = np.argsort(words)
+        return words[order], vectors[order]
+
+    def of_block(self, block: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same of a block; one without words has no folder."""
+        return next(self._rows(f"{self.blocks}/{MODEL}/block={block}", size), (np.zeros(0, np.int64), np.zeros((0, size), np.float32)))
+
+    def others(self, hashes: np.ndarray) -> np.ndarray:
+        """Which words may be known but are not in the head."""
+        return self.known.may_be(hashes) & ~_among(self.head, hashes)[1]
+
+
 def _add(sums: np.ndarray, rows: np.ndarray, vectors: Iterator[np.ndarray]) -> None:
     """Add vectors, which come in parts, to the rows of sums; equal rows are beside each other."""
     first = 0
@@ -339,70 +346,71 @@ def _parts(count: int, step: int = 65536) -> Iterator[slice]:
     return (slice(first, min(first + step, count)) for first in range(0, count, step))
 
 
-def _added(size: int, parts: int):
-    """What the words of a block add to each text, packed for each part of the texts."""
-
-    def run(rows: pa.Table, blocks: pa.Table) -> pa.Table:
-        schema = pa.schema([("block", pa.int32()), ("keys", pa.binary()), ("vectors", pa.binary()), ("_part", pa.int32())])
-        if not rows.num_rows or not blocks.num_rows:
-            return schema.empty_table()
-        words = np.frombuffer(blocks.column("words")[0].as_py(), np.int64)
-        vectors = np.frombuffer(blocks.column("vectors")[0].as_py(), np.float32).reshape(-1, size)
-        w, ids = (rows.column(name).to_numpy() for name in ("w", "_id"))
-        at, kept = _among(words, w)
-        at, ids = at[kept], ids[kept]
-        if not len(ids):
-            return schema.empty_table()
-        order = np.lexsort((at, ids, ids % parts))
-        at, ids = at[order], ids[order]
-        begins = _begins(ids)
-        distinct, ends = ids[begins], np.append(begins[1:], len(ids))
-        goals, block = distinct % parts, blocks.column("block")[0].as_py()
-        batches = []
-        borders = np.append(_begins(goals), len(goals))
-        for one, last in zip(borders, borders[1:], strict=False):
-            for own in _parts(last - one, _PACKED):
-                first, end = one + own.start, one + own.stop
-                sums = np.zeros((end - first, size), np.float32)
-                of = np.repeat(np.arange(end - first), ends[first:end] - begins[first:end])
-                mine = at[begins[first] : ends[end - 1]]
-                _add(sums, of, (vectors[mine[some]] for some in _parts(len(mine))))
-                columns = [[block], [distinct[first:end].tobytes()], [sums.tobytes()], [int(goals[first])]]
-                batches.append(pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, schema.types, strict=True)], schema=schema))
-        return pa.Table.from_batches(batches)
-
-    return run
-
+def _groups(batches: Iterator[pa.RecordBatch], rows: int, words: int) -> Iterator[pa.Table]:
+    """The batches in tables of ``rows`` rows at most; a table that has ``words`` words gets no further batch."""
+    held, n_rows, n_words = [], 0, 0
+    for batch in batches:
+        first = 0
+        while first < batch.num_rows:
+            part = batch.slice(first, rows - n_rows)
+            held.append(part)
+            first, n_rows = first + part.num_rows, n_rows + part.num_rows
+            n_words += len(part.column("_hashes").flatten())
+            if n_rows == rows or n_words >= words:
+                yield pa.Table.from_batches(held)
+                held, n_rows, n_words = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _add_block(sums: np.ndarray, texts: np.ndarray, at: np.ndarray, vectors: np.ndarray) -> None:
+    """Add what a block gives to the sums: its vectors ``at`` these places, to these texts. Text by text, so that
+    the sum of one does not depend on the others."""
+    order = np.lexsort((at, texts))
+    at, texts = at[order], texts[order]
+    begins = _begins(texts)
+    ends = np.append(begins[1:], len(texts))
+    for own in _parts(len(begins), _PACKED):
+        first, last = begins[own.start], ends[own.stop - 1]
+        mine = np.zeros((own.stop - own.start, sums.shape[1]), np.float32)
+        of = np.repeat(np.arange(len(mine)), ends[own] - begins[own])
+        _add(mine, of, (vectors[at[first:last][some]] for some in _parts(last - first)))
+        sums[texts[begins[own]]] += mine
+
+
+def _means(reader: _Reader, settings: BlockedSettings, columns: list[str], vector: str):
+    """Texts with their means: what the head's words give, and what the blocks add, in the order of the blocks."""
+    size, rows, most = settings.vector_size, max(1, settings.text_rows // 4), 4 * settings.text_rows
 
-def _means(size: int, columns: list[str], vector: str):
-    """The texts of a part with their means: what the head's words give, and what the blocks have added up."""
-
-    def run(texts: pa.Table, given: pa.Table) -> pa.Table:
-        ids = texts.column("_id").to_numpy()
-        sums, counts = np.zeros((len(ids), size), np.float32), np.zeros(len(ids), np.int64)
-        blocks, first = given.column("block").to_numpy(), 0
-        keys = [np.frombuffer(one, np.int64) for one in given.column("keys").to_pylist()]
-        vectors = [np.frombuffer(one, np.float32).reshape(-1, size) for one in given.column("vectors").to_pylist()]
-        of_head = np.flatnonzero(blocks < 0)
-        if len(ids) and len(of_head):
-            words, known = np.concatenate([keys[n] for n in of_head]), np.concatenate([vectors[n] for n in of_head])
-            order = np.argsort(words)
-            words, known = words[order], known[order]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = None
+        for texts in _groups(batches, rows, most):
+            words, known = frequent = frequent or reader.of_head(size)
+            sums, counts = np.zeros((len(texts), size), np.float32), np.zeros(len(texts), np.int64)
+            rest, first = [], 0
             for chunk in texts.column("_hashes").chunks:
                 hashes, text = _flat(chunk)
                 counts[first : first + len(chunk)] = np.bincount(text, minlength=len(chunk))
                 at, kept = _among(words, hashes)
                 at = at[kept]
                 _add(sums, text[kept] + first, (known[at[own]] for own in _parts(len(at))))
+                if reader.known is not None:
+                    other = reader.others(hashes)
+                    rest.append((hashes[other], text[other] + first))
                 first += len(chunk)
-        by_id = np.argsort(ids)
-        # A text is in one row of a block at most; the order of blocks is fixed, and so is the sum.
-        for n in sorted(np.flatnonzero(blocks >= 0), key=lambda n: blocks[n]):
-            sums[by_id[np.searchsorted(ids[by_id], keys[n])]] += vectors[n]
-        sums /= np.maximum(counts, 1)[:, None].astype(np.float32)
-        places = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * size)
-        whole = texts.select(columns).append_column(vector, pa.ListArray.from_arrays(places, pa.array(sums.ravel())))
-        return pa.Table.from_batches(whole.to_batches(max_chunksize=_PACKED), whole.schema)
+            if rest:
+                hashes, text = (np.concatenate(parts) for parts in zip(*rest, strict=True))
+                blocks = _block_of(hashes, reader.count)
+                for block in np.unique(blocks):
+                    mine = np.flatnonzero(blocks == block)
+                    words_there, there = reader.of_block(int(block), size)
+                    at, kept = _among(words_there, hashes[mine])
+                    if kept.any():
+                        _add_block(sums, text[mine[kept]], at[kept], there)
+            sums /= np.maximum(counts, 1)[:, None].astype(np.float32)
+            places = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * size)
+            whole = texts.select(columns).append_column(vector, pa.ListArray.from_arrays(places, pa.array(sums.ravel())))
+            yield from whole.to_batches(max_chunksize=_PACKED)
 
     return run
 
@@ -416,7 +424,7 @@ def fit(tokens: DataFrame, settings: BlockedSettings, words: str) -> BlockedMode
     if not tokens.schema[words].dataType.simpleString() == "array<string>":
         raise TypeError(f"{words} must be arrays of words")
     keeper = Scratch(tokens, "word2vec")
-    with scratch(tokens, "word2vec-rounds") as own:
+    with scratch(tokens, "word2vec-rounds") as own, shuffles_freed(tokens.sparkSession):
         counted = tokens.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         vocabulary = keeper.saved(counted.filter(F.col("n") >= settings.min_count))
         size = vocabulary.count()
@@ -440,4 +448,6 @@ def fit(tokens: DataFrame, settings: BlockedSettings, words: str) -> BlockedMode
             table = own.saved(trained)
             if turn:
                 remove(before)
-        return BlockedModel(keeper.saved(table), vocabulary, blocks, settings, keeper.folder, known, size)
+        # A folder for each block, which tasks read by themselves.
+        kept = saved(table.filter(F.col("kind") == WORD).select("words", "vectors", "block"), f"{keeper.folder}/{MODEL}", "block")
+        return BlockedModel(kept, vocabulary, blocks, settings, keeper.folder, known, size)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.session import shared_dir
 
@@ -31,6 +33,29 @@ def saved(df: DataFrame, folder: str, partition: str | None = None) -> DataFrame
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def read_folder(folder: str, columns: list[str]) -> pa.Table | None:
+    """A saved table, or one value of its partition column, read by a task itself; ``None`` if it is not there."""
+    store, path = store_of(folder)
+    found = store.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    files = sorted(f.path for f in found if f.base_name.endswith(".parquet"))
+    tables = [pq.read_table(f, columns=columns, filesystem=store, partitioning=None) for f in files]
+    return pa.concat_tables(tables) if tables else None
+
+
+_FREES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the job that wrote them ends, not when the driver next collects garbage."""
+    before = spark.conf.get(_FREES, None)
+    spark.conf.set(_FREES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_FREES) if before is None else spark.conf.set(_FREES, before)
+
+
 class Scratch:
     """Numbered tables below one folder of a job."""
 

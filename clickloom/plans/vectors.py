@@ -16,7 +16,7 @@ from clickloom.functions.scalars import combined_attributes, utc_label
 from clickloom.functions.text import filtered_tokens, non_blank
 from clickloom.functions.vectors import DIMENSION, float_array
 from clickloom.operators.rows import distinct_rows, persisted
-from clickloom.operators.saved import scratch
+from clickloom.operators.saved import Scratch, remove, shuffles_freed
 from clickloom.plans.enrichment import enrich_events
 from clickloom.schemas import DATASET
 
@@ -162,18 +162,25 @@ def word2vec_vectors(
     model: Word2VecModel | BlockedModel | None = None,
     vector: str = "vector",
     distinct: bool = True,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Add the mean word vector of a text; a text without words has the zero vector.
 
     The model is fitted on ``df`` unless one is given. Fitting reads the tokens three times, so that
     column alone is kept meanwhile. With blocked settings the model is a table, and each distinct text
-    gets its vector once, or with ``distinct=False`` each row.
+    gets its vector once, or with ``distinct=False`` each row. Of such rows only ``columns`` are kept, if they are given.
     """
     if isinstance(settings, BlockedSettings) and not distinct:
-        with scratch(df, "word-tokens") as own:
-            tokens = own.saved(word_tokens(df, text))
+        # The result reads these rows, so they stay.
+        own = Scratch(df, "word-tokens")
+        try:
+            with shuffles_freed(df.sparkSession):
+                tokens = own.saved(word_tokens(df, text).select(*(columns or df.columns), "_words"))
             fitted = model or fit_blocked(tokens.select("_words"), settings, "_words")
             return fitted.transform(tokens, "_words", vector).drop("_words")
+        except BaseException:
+            remove(own.folder)
+            raise
     if isinstance(settings, BlockedSettings):
         fitted = model or fit_blocked(word_tokens(df, text).select("_words"), settings, "_words")
 
@@ -189,11 +196,16 @@ def word2vec_vectors(
 
 
 def _text_vectors(
-    df: DataFrame, text: str, settings: Word2VecSettings | BlockedSettings, embedder: Embedder | None, distinct: bool = True
+    df: DataFrame,
+    text: str,
+    settings: Word2VecSettings | BlockedSettings,
+    embedder: Embedder | None,
+    distinct: bool = True,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """By Word2Vec, on the driver or in blocks, or by an embedder, which has no vocabulary."""
     if embedder is None:
-        return word2vec_vectors(df, text, settings, distinct=distinct)
+        return word2vec_vectors(df, text, settings, distinct=distinct, columns=columns)
     return embed_names(df, embedder, text)
 
 
@@ -225,4 +237,4 @@ def combined_vectors(
     each gets its vector by itself. Spark's Word2Vec keeps such a model on the driver.
     """
     texts = dataset.select("product_id", combined_attributes().alias("_text"))
-    return _text_vectors(texts, "_text", settings, embedder, distinct=False).select("product_id", "vector")
+    return _text_vectors(texts, "_text", settings, embedder, False, ["product_id"]).select("product_id", "vector")

@@ -12,6 +12,7 @@ import pytest
 from clickloom.functions import blocked_word2vec
 from clickloom.functions.blocked_word2vec import BlockedSettings, fit, pair_counts
 from clickloom.plans import vectors
+from tests.conftest import plan_of
 
 SMALL = BlockedSettings(vector_size=16, block_words=25, epochs=12, window=3)
 
@@ -155,3 +156,28 @@ def test_combined_vectors_keep_no_model_on_the_driver(spark, monkeypatch):
     )
     found = vectors.combined_vectors(df).collect()
     assert sorted((row.product_id or "", any(row.vector), len(row.vector)) for row in found) == sorted((row[2] or "", row[2] is not None, 128) for row in rows)
+
+
+def test_means_are_added_where_the_texts_are(spark):
+    """No shuffle and no table of sums or texts: both would hold a vector or more for each text."""
+    settings = replace(SMALL, epochs=1, head_words=15, block_words=40)
+    texts = spark.createDataFrame(sentences(150), "words array<string>").repartition(3).localCheckpoint()
+    model = fit(texts, settings, "words")
+    assert model.count > 1 and len(model._head()) < model.size
+    out = model.transform(texts, "words", "vector")
+    assert "Exchange" not in plan_of(out)
+    assert all(len(row.vector) == 16 for row in out.collect())
+
+
+def test_tables_of_the_combined_job(spark):
+    """Its tokens are kept once, without the texts they are from, and of the model the word vectors alone."""
+    from pathlib import Path
+
+    kept = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(kept.iterdir())
+    rows = [("t", "view", f"p{n // 2}", "c", "b", "1.0", "u", f"s{n}", "red ring") for n in range(24)]
+    df = spark.createDataFrame(rows, "event_time string, event_type string, product_id string, category_code string, brand string, price string, user_id string, user_session string, name string")
+    out = vectors.combined_vectors(df)
+    tables = {file.parent: spark.read.parquet(str(file.parent)).columns for folder in set(kept.iterdir()) - before for file in folder.rglob("*.parquet")}
+    assert sorted(map(tuple, tables.values())) == [("product_id", "_words"), ("word", "n"), ("words", "vectors"), ("words", "vectors")]
+    assert out.count() == 24
