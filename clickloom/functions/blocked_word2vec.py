@@ -3,8 +3,8 @@
 Words are spread over ``blocks`` by their hash, as words and as contexts. Vectors live in a table with one row
 for each block. Pairs of words that occur within a window are counted and belong to the cell (word block, context block).
 A round trains as many cells as there are blocks, no two of which share a word block or a context block, each in a
-task of its own; after as many rounds as there are blocks every cell had its turn. A task holds two blocks
-and the pairs of one cell, the driver holds nothing but counts and a bitmap of at most 16 MB that tells most rare words
+task of its own; after as many rounds as there are blocks every cell had its turn. A task reads its two blocks from the
+shared folder and holds them and the pairs of one cell, the driver holds nothing but counts and a bitmap of at most 16 MB that tells most rare words
 from the words of the vocabulary.
 """
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from clickloom.operators.saved import Scratch, read_folder, remove, saved, scrat
 
 WORD, CONTEXT = 0, 1
 BLOCKS = "kind int, block int, words binary, counts binary, vectors binary, squares binary"
+# Each slice of the pairs reads all tokens, so there are so many at most.
+_MOST_SLICES = 8
 # The model's table in its folder.
 MODEL = "vectors"
 _BATCH = 2048
@@ -40,7 +43,8 @@ _BITS_PER_WORD, _LEAST_BITS, _MOST_BITS = 64, 15, 27
 @dataclass(frozen=True)
 class BlockedSettings:
     """``block_words`` and ``cell_pairs`` bound what a training task holds, ``text_rows`` and ``head_words`` what a
-    task that adds up the words of texts holds. The result depends on the settings and the text, not on the number of tasks."""
+    task that adds up the words of texts holds. Pairs are counted in slices of about ``slice_pairs`` occurrences, whose
+    shuffles are on the disk one after another. The result depends on the settings and the text, not on the number of tasks."""
 
     min_count: int = 0
     vector_size: int = DIMENSION
@@ -53,6 +57,7 @@ class BlockedSettings:
     cell_pairs: int = 5_000_000
     text_rows: int = 1_000_000
     head_words: int = 20_000
+    slice_pairs: int = 500_000_000
 
 
 def _hashed(word: str) -> Column:
@@ -96,8 +101,10 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lengths)
 
 
-def _half_counts(tokens: DataFrame, words: str, window: int, known: _Known | None = None) -> DataFrame:
-    """``w, c, n`` with w <= c: how often these words are at most ``window`` places apart."""
+def _half_counts(
+    tokens: DataFrame, words: str, window: int, known: _Known | None = None, slice_: int = 0, slices: int = 1
+) -> DataFrame:
+    """``w, c, n`` with w <= c: how often these words are at most ``window`` places apart; one of so many slices of the pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,6 +113,9 @@ def _half_counts(tokens: DataFrame, words: str, window: int, known: _Known | Non
             for apart in range(1, window + 1):
                 both = (text[apart:] == text[:-apart]) & kept[apart:] & kept[:-apart]
                 one, other = hashes[apart:][both], hashes[:-apart][both]
+                if slices > 1:
+                    mine = ((one + other).view(np.uint64) >> np.uint64(32)) % np.uint64(slices) == slice_
+                    one, other = one[mine], other[mine]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, other)), pa.array(np.maximum(one, other))], names=["w", "c"])
 
     hashed = tokens.select(F.transform(words, lambda word: F.xxhash64(word)))
@@ -181,17 +191,21 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _train(settings: BlockedSettings, turn: int):
-    """Train one cell: its two blocks, and its pairs."""
+def _train(settings: BlockedSettings, turn: int, blocks: int, folder: str):
+    """Train one cell: its two blocks, which are in the folder, and its pairs. Each cell has a row without pairs besides."""
 
-    def run(blocks: pa.Table, pairs: pa.Table) -> pa.Table:
-        rows = blocks.select([field.split()[0] for field in BLOCKS.split(", ")]).to_pylist()
-        both = {row["kind"]: _Block(row, settings.vector_size) for row in rows}
-        if len(both) == 2 and pairs.num_rows:
+    def run(pairs: pa.Table) -> pa.Table:
+        names = [field.split()[0] for field in BLOCKS.split(", ")]
+        cell, both = pairs.column("cell")[0].as_py(), {}
+        for kind, block in (WORD, cell), (CONTEXT, (cell + turn) % blocks):
+            found = read_folder(f"{folder}/at={kind * blocks + block}", names)
+            if found is not None:
+                both[kind] = _Block(found.to_pylist()[0], settings.vector_size)
+        w, c, n = (pairs.column(name).to_numpy() for name in ("w", "c", "n"))
+        if len(both) == 2 and n.any():
             words, contexts = both[WORD], both[CONTEXT]
-            w, c, n = (pairs.column(name).to_numpy() for name in ("w", "c", "n"))
             (i, known), (j, there) = words.places(w), contexts.places(c)
-            kept = known & there
+            kept = known & there & (n > 0)
             order = np.lexsort((c[kept], w[kept]))
             source = np.random.default_rng((settings.seed, turn, words.row["block"], contexts.row["block"]))
             order = order[source.permutation(len(order))]
@@ -427,27 +441,33 @@ def fit(tokens: DataFrame, settings: BlockedSettings, words: str) -> BlockedMode
     with scratch(tokens, "word2vec-rounds") as own, shuffles_freed(tokens.sparkSession):
         counted = tokens.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         vocabulary = keeper.saved(counted.filter(F.col("n") >= settings.min_count))
-        size = vocabulary.count()
+        counted = vocabulary.agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("occurrences")).first()
+        size, occurrences = counted["words"], counted["occurrences"]
         if not size:
             raise ValueError(f"no word occurs {settings.min_count} times; lower min_count")
         known = _Known.of(vocabulary, size)
-        half = own.saved(_half_counts(tokens, words, settings.window, known))
-        pairs, n_pairs = _either_way(half), 2 * half.count()
+        slices = min(math.ceil(occurrences * settings.window / settings.slice_pairs), _MOST_SLICES)
+        halves = [own.saved(_half_counts(tokens, words, settings.window, known, n, slices)) for n in range(slices)]
+        half = reduce(DataFrame.unionByName, halves)
+        n_pairs = 2 * half.count()
         blocks = max(math.ceil(size / settings.block_words), math.ceil(math.sqrt(n_pairs / settings.cell_pairs)), 1)
-        placed = pairs.withColumns({"wb": _block("w", blocks), "cb": _block("c", blocks)})
-        shift = F.pmod(F.col("cb") - F.col("wb"), F.lit(blocks))
-        pairs = own.saved(placed.withColumn("shift", shift).drop("cb").repartition("shift", "wb"), "shift")
+        shift = F.pmod(_block("c", blocks) - _block("w", blocks), F.lit(blocks))
+        # A pair and its other order belong to rounds that are equally far from the first.
+        pairs = own.saved(half.withColumn("apart", F.least(shift, blocks - shift)), "apart")
+        for n in range(slices):
+            remove(f"{own.folder}/{n + 1}")
+        at = (F.col("kind") * blocks + F.col("block")).alias("at")
         spread = vocabulary.select(_hashed("word").alias("w"), "n").withColumn("block", _block("w", blocks))
-        table = own.saved(spread.groupBy("block").applyInArrow(_new_blocks(settings.vector_size, settings.seed), BLOCKS))
+        own.saved(spread.groupBy("block").applyInArrow(_new_blocks(settings.vector_size, settings.seed), BLOCKS).select("*", at), "at")
+        # A row for each cell, so that one without pairs hands on its blocks as well.
+        cells = tokens.sparkSession.range(blocks).select(*[F.lit(0).cast("long").alias(name) for name in ("w", "c", "n")], F.col("id").cast("int").alias("cell"))
         for turn in range(settings.epochs * blocks):
             now = turn % blocks
-            cell = F.when(F.col("kind") == WORD, F.col("block")).otherwise(F.pmod(F.col("block") - now, F.lit(blocks)))
-            mine = pairs.filter(F.col("shift") == now).select("w", "c", "n", F.col("wb").alias("cell"))
-            trained = table.withColumn("cell", cell).groupBy("cell").cogroup(mine.groupBy("cell")).applyInArrow(_train(settings, turn), BLOCKS)
+            mine = _either_way(pairs.filter(F.col("apart") == min(now, blocks - now))).filter(shift == now)
+            dealt = mine.withColumn("cell", _block("w", blocks)).unionByName(cells).repartitionById(blocks, "cell")
             before = f"{own.folder}/{own.count}"
-            table = own.saved(trained)
-            if turn:
-                remove(before)
+            table = own.saved(dealt.groupBy("cell").applyInArrow(_train(settings, turn, blocks, before), BLOCKS).select("*", at), "at")
+            remove(before)
         # A folder for each block, which tasks read by themselves.
         kept = saved(table.filter(F.col("kind") == WORD).select("words", "vectors", "block"), f"{keeper.folder}/{MODEL}", "block")
         return BlockedModel(kept, vocabulary, blocks, settings, keeper.folder, known, size)

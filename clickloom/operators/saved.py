@@ -27,9 +27,9 @@ def remove(folder: str) -> None:
         store.delete_dir(path)
 
 
-def saved(df: DataFrame, folder: str, partition: str | None = None) -> DataFrame:
+def saved(df: DataFrame, folder: str, partition: str | None = None, codec: str | None = None) -> DataFrame:
     """``df`` written to ``folder`` and read again, with its own schema."""
-    (df.write.partitionBy(partition) if partition else df.write).parquet(folder)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(folder, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
@@ -62,9 +62,9 @@ class Scratch:
     def __init__(self, df: DataFrame, purpose: str) -> None:
         self.folder, self.count = shared_dir(df.sparkSession, purpose), 0
 
-    def saved(self, df: DataFrame, partition: str | None = None) -> DataFrame:
+    def saved(self, df: DataFrame, partition: str | None = None, codec: str | None = None) -> DataFrame:
         self.count += 1
-        return saved(df, f"{self.folder}/{self.count}", partition)
+        return saved(df, f"{self.folder}/{self.count}", partition, codec)
 
     def drop_before(self, keep: int) -> None:
         """Delete all but the last ``keep`` tables."""

@@ -175,7 +175,7 @@ def word2vec_vectors(
         own = Scratch(df, "word-tokens")
         try:
             with shuffles_freed(df.sparkSession):
-                tokens = own.saved(word_tokens(df, text).select(*(columns or df.columns), "_words"))
+                tokens = own.saved(word_tokens(df, text).select(*(columns or df.columns), "_words"), codec="zstd")
             fitted = model or fit_blocked(tokens.select("_words"), settings, "_words")
             return fitted.transform(tokens, "_words", vector).drop("_words")
         except BaseException:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 from collections import Counter
 from dataclasses import replace
@@ -12,7 +13,7 @@ import pytest
 from clickloom.functions import blocked_word2vec
 from clickloom.functions.blocked_word2vec import BlockedSettings, fit, pair_counts
 from clickloom.plans import vectors
-from tests.conftest import plan_of
+from tests.conftest import plan_of, rows_of
 
 SMALL = BlockedSettings(vector_size=16, block_words=25, epochs=12, window=3)
 
@@ -181,3 +182,27 @@ def test_tables_of_the_combined_job(spark):
     tables = {file.parent: spark.read.parquet(str(file.parent)).columns for folder in set(kept.iterdir()) - before for file in folder.rglob("*.parquet")}
     assert sorted(map(tuple, tables.values())) == [("product_id", "_words"), ("word", "n"), ("words", "vectors"), ("words", "vectors")]
     assert out.count() == 24
+
+
+def test_pairs_in_slices(spark):
+    """Each pair is in one slice, and the model is the same."""
+    tokens = spark.createDataFrame(sentences(200), "words array<string>").localCheckpoint()
+    one = pair_counts(tokens, "words", 3)
+    parts = [blocked_word2vec._either_way(blocked_word2vec._half_counts(tokens, "words", 3, None, n, 4)) for n in range(4)]
+    assert all(part.count() > one.count() / 8 for part in parts)
+    assert sorted(rows_of(one)) == sorted(row for part in parts for row in rows_of(part))
+    whole, sliced = (rows_of(fit(tokens, replace(SMALL, epochs=1, slice_pairs=n), "words").vectors()) for n in (10**9, 1000))
+    assert whole == sliced
+
+
+def test_blocks_are_not_shuffled(spark, monkeypatch):
+    """A round deals out pairs alone; tasks read the blocks by themselves. No table of a round is kept."""
+    from clickloom.operators.saved import Scratch
+
+    plans, folders, real = [], [], Scratch.saved
+    monkeypatch.setattr(Scratch, "saved", lambda self, df, *a, **k: (plans.append(plan_of(df)), folders.append(self.folder), real(self, df, *a, **k))[2])
+    model = fit(spark.createDataFrame(sentences(50), "words array<string>"), replace(SMALL, epochs=1), "words")
+    rounds = [plan for plan in plans if "squares" in plan and "cell" in plan]
+    assert len(rounds) == model.count > 1
+    assert all(plan.count("Exchange") == 1 and "vectors" not in plan[plan.index("Exchange"):] for plan in rounds)
+    assert [os.path.isdir(folder) for folder in (folders[0], folders[-1])] == [True, False]
